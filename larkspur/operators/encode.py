@@ -80,25 +80,20 @@ def log_target(df: DataFrame, col: str, how: str = "log1p") -> DataFrame:
     return df.withColumn(col, fn(F.col(col).cast("double")))
 
 
-def yeo_johnson(x: Column, lam: float) -> Column:
-    neg = -x
-    upper = F.log1p(x) if abs(lam) < 1e-12 else (F.pow(x + 1, F.lit(lam)) - 1) / lam
-    lower = -F.log1p(neg) if abs(lam - 2) < 1e-12 else -(F.pow(neg + 1, F.lit(2 - lam)) - 1) / (2 - lam)
+def yeo_johnson(x: Column, lam: Column) -> Column:
+    upper = F.when(lam == 0, F.log1p(x)).otherwise((F.pow(x + 1, lam) - 1) / F.nullif(lam, F.lit(0.0)))
+    lower = F.when(lam == 2, -F.log1p(-x)).otherwise((1 - F.pow(1 - x, 2 - lam)) / F.nullif(2 - lam, F.lit(0.0)))
     return F.when(x >= 0, upper).otherwise(lower)
 
 
 def yeo_johnson_profile(df: DataFrame, col: str, grid: Sequence[float]) -> DataFrame:
     """Log likelihood per lambda, all in one pass over the column."""
-    x = F.col(col).cast("double")
-    jac = F.sum(F.signum(x) * F.log1p(F.abs(x)))
-    cells = [
-        F.struct(
-            F.lit(float(g)).alias("lam"),
-            (-F.count(x) / 2 * F.log(F.var_pop(yeo_johnson(x, float(g)))) + (g - 1) * jac).alias("loglik"),
-        )
-        for g in grid
-    ]
-    return df.where(x.isNotNull()).agg(F.array(*cells).alias("c")).select(F.inline("c"))
+    x = F.col("x")
+    lams = F.explode(F.array(*[F.lit(float(g)) for g in grid])).alias("lam")
+    rows = df.select(F.col(col).cast("double").alias("x")).where(x.isNotNull()).select("x", lams)
+    jac = (F.col("lam") - 1) * F.sum(F.signum(x) * F.log1p(F.abs(x)))
+    fit = -F.count("*") / 2 * F.log(F.var_pop(yeo_johnson(x, F.col("lam"))))
+    return rows.groupBy("lam").agg((fit + jac).alias("loglik"))
 
 
 def fit_yeo_johnson(df: DataFrame, col: str, lo: float = -2.0, hi: float = 4.0, rounds: int = 5, width: int = 13) -> float:
@@ -115,7 +110,7 @@ def fit_yeo_johnson(df: DataFrame, col: str, lo: float = -2.0, hi: float = 4.0,
 
 def apply_yeo_johnson(df: DataFrame, col: str, lam: float, out: str) -> DataFrame:
     """Transform, then standardize."""
-    df = df.withColumn(out, yeo_johnson(F.col(col).cast("double"), lam))
+    df = df.withColumn(out, yeo_johnson(F.col(col).cast("double"), F.lit(lam)))
     return apply_scaler(df, fit_scaler(df, [out]))
 
 

@@ -9,14 +9,16 @@ from pyspark.sql import DataFrame, functions as F
 from larkspur.operators.ordered import position
 
 
-def attach_lookup(df: DataFrame, lookup: DataFrame, key: str, out: str, lookup_key: str | None = None) -> DataFrame:
-    """Left join that adds column `out`. A lookup with a repeated key would multiply rows, so it is refused.
+def attach_lookup(
+    df: DataFrame, lookup: DataFrame, key: str, out: Sequence[str], lookup_key: str | None = None
+) -> DataFrame:
+    """Left join that adds the columns `out`. A lookup with a repeated key would multiply rows, so it is refused.
 
     No broadcast hint: Spark broadcasts the lookup when its size is under the threshold, and splits a
     hot key of the large side when it is not.
     """
     lookup_key = lookup_key or key
-    pairs = lookup.select(F.col(lookup_key).alias("_k"), F.col(out))
+    pairs = lookup.select(F.col(lookup_key).alias("_k"), *out)
     clash = pairs.groupBy("_k").agg(F.count("*").alias("n")).where("n > 1").limit(1).collect()
     if clash:
         raise ValueError(f"lookup key {lookup_key} repeats, for example {clash[0][0]!r}")

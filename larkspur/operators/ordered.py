@@ -11,10 +11,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 RANK_BITS = 12
-BINS = 256
+MAX_BINS = 1024
 # `percentile` keeps every distinct value of a group in one buffer; beyond this many
 # distinct values the bin-narrowing form takes over.
 DISTINCT_LIMIT = 200_000
@@ -60,12 +61,18 @@ def _rank_in_bins(rows: DataFrame, within: list[str], order: list[Column], out:
     return joined.withColumn(out, F.col("_off") + F.col("_local") - 1).drop("_off", "_local")
 
 
-def sample_borders(df: DataFrame, col: str, bins: int = BINS, per_bin: int = 16) -> list:
+def bin_count(df: DataFrame) -> int:
+    """Bins follow the width of the shuffles, within fixed bounds."""
+    return max(16, min(MAX_BINS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
+def sample_borders(df: DataFrame, col: str, bins: int | None = None, per_bin: int = 16) -> list:
     """Borders that cut the distinct values of `col` into about equal bins.
 
     The rows with the smallest hashes are a uniform draw of the values; Spark keeps only
     `bins * per_bin` of them per task, so what reaches the driver is bounded.
     """
+    bins = bins or bin_count(df)
     take = bins * per_bin
     got = df.select(col).where(F.col(col).isNotNull()).orderBy(F.xxhash64(col)).limit(take).collect()
     values = sorted({r[0] for r in got})
@@ -73,22 +80,35 @@ def sample_borders(df: DataFrame, col: str, bins: int = BINS, per_bin: int = 16)
     return values[step::step][: bins - 1]
 
 
-def bin_of(col: str | Column, borders: list) -> Column:
-    """How many borders lie at or below the value; nested comparisons, so about log2(bins) tests per row."""
-    col = F.col(col) if isinstance(col, str) else col
-
-    def pick(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(col >= F.lit(borders[mid]), pick(mid + 1, hi)).otherwise(pick(lo, mid))
-
-    return pick(0, len(borders))
-
-
-def position(df: DataFrame, key: str, out: str = "position", bins: int = BINS) -> DataFrame:
+def with_bins(df: DataFrame, borders: dict[str, list], out: dict[str, str]) -> DataFrame:
+    """Add `out[c]`, how many of `borders[c]` lie at or below c. Numbers go through `Bucketizer`, whose
+    binary search stays cheap for many borders; a cast to double keeps the order, which is all bins need."""
+    numeric = [c for c in borders if borders[c] and isinstance(df.schema[c].dataType, T.NumericType)]
+    if numeric:
+        ready = df.withColumns({f"_b_{c}": F.col(c).cast("double") for c in numeric})
+        splits = [[float("-inf"), *sorted({float(b) for b in borders[c]}), float("inf")] for c in numeric]
+        bucket = Bucketizer(
+            inputCols=[f"_b_{c}" for c in numeric],
+            outputCols=[f"_o_{c}" for c in numeric],
+            splitsArray=splits,
+            handleInvalid="keep",
+        )
+        df = bucket.transform(ready).drop(*[f"_b_{c}" for c in numeric])
+        df = df.withColumns({out[c]: F.coalesce(F.col(f"_o_{c}").cast("int"), F.lit(0)) for c in numeric})
+        df = df.drop(*[f"_o_{c}" for c in numeric])
+    for c in set(borders) - set(numeric):
+        if borders[c]:
+            cuts = F.array(*[F.lit(b) for b in borders[c]])
+            n = F.size(F.filter(cuts, lambda b, c=c: b <= F.col(c)))
+            df = df.withColumn(out[c], F.when(F.col(c).isNull(), 0).otherwise(n))
+        else:
+            df = df.withColumn(out[c], F.lit(0))
+    return df
+
+
+def position(df: DataFrame, key: str, out: str = "position", bins: int | None = None) -> DataFrame:
     """0-based position of each row in the order of its unique key."""
-    rows = df.withColumn("_bin", bin_of(key, sample_borders(df, key, bins)))
+    rows = with_bins(df, {key: sample_borders(df, key, bins)}, {key: "_bin"})
     return _rank_in_bins(rows, [], [F.col(key)], out).drop("_bin")
 
 
@@ -97,7 +117,7 @@ def running_sums(
 ) -> DataFrame:
     """Inclusive running sums of `sums` over distinct `order` values, per group; adds `cum_<name>`."""
     by = list(by)
-    rows = df.withColumn("_bin", bin_of(order, borders))
+    rows = with_bins(df, {order: borders}, {order: "_bin"})
     totals = rows.groupBy(*by, "_bin").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     bin_key = F.col("_bin").desc() if descending else F.col("_bin").asc()
     val_key = F.col(order).desc() if descending else F.col(order).asc()
@@ -113,7 +133,7 @@ def running_sums(
     return joined.drop("_bin", *[f"_o_{c}" for c in sums], *[f"_s_{c}" for c in sums])
 
 
-def value_borders(df: DataFrame, cols: Sequence[str], bins: int = BINS) -> tuple[dict[str, list], int]:
+def value_borders(df: DataFrame, cols: Sequence[str], bins: int) -> tuple[dict[str, list], int]:
     """Approximate quantiles per column as bin borders, and the largest approximate distinct count."""
     probs = [i / bins for i in range(1, bins)]
     aggs = [F.percentile_approx(F.col(c).cast("double"), probs, 10 * bins).alias(f"b{i}") for i, c in enumerate(cols)]
@@ -129,7 +149,7 @@ def exact_quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     distinct_limit: int = DISTINCT_LIMIT,
-    bins: int = BINS,
+    bins: int | None = None,
 ) -> DataFrame:
     """Linear-interpolated exact quantiles, one row per group and column, quantiles in array `q`.
 
@@ -137,7 +157,7 @@ def exact_quantiles(
     bin of every wanted rank, then order only the rows of those bins.
     """
     by, cols, probs = list(by), list(cols), list(probs)
-    borders, distinct = value_borders(df, cols, bins)
+    borders, distinct = value_borders(df, cols, bins or bin_count(df))
     if distinct <= distinct_limit:
         aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]
         wide = df.groupBy(*by).agg(*aggs)
@@ -147,12 +167,9 @@ def exact_quantiles(
 
 
 def _narrowed_quantiles(df: DataFrame, cols: list, probs: list, by: list, borders: dict) -> DataFrame:
+    df = with_bins(df, borders, {c: f"_bin_{c}" for c in cols})
     cells = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.col(c).cast("double").alias("value"),
-            bin_of(F.col(c).cast("double"), borders[c]).alias("bin"),
-        )
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(f"_bin_{c}").alias("bin"))
         for c in cols
     ]
     long = df.select(*by, F.inline(F.array(*cells))).where(F.col("value").isNotNull())

@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from larkspur.operators.ordered import exact_quantiles, null_safe_join
+from larkspur.operators.ordered import exact_quantiles
 
-NUMERIC = (T.NumericType,)
 
 
 def columns_of(df: DataFrame, kind: str) -> list[str]:
@@ -141,4 +140,3 @@ def sorted_distinct(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in {"null_safe_join"}]

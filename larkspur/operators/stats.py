@@ -19,7 +19,7 @@ def crosstab(df: DataFrame, a: str, b: str, values: Sequence, margins: bool = Fa
     src = df.select(F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b))
     names = [str(v) for v in values]
     if not margins:
-        wide = src.groupBy(a).pivot(b, names).agg(F.count("*"))
+        wide = src.groupBy(a).pivot(b, names).agg(F.count(F.lit(1)))
         return wide.na.fill(0).orderBy(a)
     cube = src.cube(a, b).agg(F.count("*").alias("n"), F.grouping(a).alias("ga"), F.grouping(b).alias("gb"))
     cube = cube.select(

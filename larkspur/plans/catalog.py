@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["profiling"]
+MODULES = ["profiling", "tables"]
 
 
 def register() -> None:
