@@ -80,6 +80,10 @@ def sample_borders(df: DataFrame, col: str, bins: int | None = None, per_bin: in
     return values[step::step][: bins - 1]
 
 
+def _at_or_below(cuts: Column, value: Column) -> Column:
+    return F.size(F.filter(cuts, lambda b: b <= value))
+
+
 def with_bins(df: DataFrame, borders: dict[str, list], out: dict[str, str]) -> DataFrame:
     """Add `out[c]`, how many of `borders[c]` lie at or below c. Numbers go through `Bucketizer`, whose
     binary search stays cheap for many borders; a cast to double keeps the order, which is all bins need."""
@@ -99,8 +103,7 @@ def with_bins(df: DataFrame, borders: dict[str, list], out: dict[str, str]) -> D
     for c in set(borders) - set(numeric):
         if borders[c]:
             cuts = F.array(*[F.lit(b) for b in borders[c]])
-            n = F.size(F.filter(cuts, lambda b, c=c: b <= F.col(c)))
-            df = df.withColumn(out[c], F.when(F.col(c).isNull(), 0).otherwise(n))
+            df = df.withColumn(out[c], F.when(F.col(c).isNull(), 0).otherwise(_at_or_below(cuts, F.col(c))))
         else:
             df = df.withColumn(out[c], F.lit(0))
     return df

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["profiling", "tables"]
+MODULES = ["profiling", "tables", "text"]
 
 
 def register() -> None:
