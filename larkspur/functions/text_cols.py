@@ -91,17 +91,17 @@ def ngrams(tokens: str | Column, low: int = 1, high: int = 1) -> Column:
     tokens = _c(tokens)
     if (low, high) == (1, 1):
         return tokens
-    parts = []
-    for n in range(low, high + 1):
-        starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - n + 1)).otherwise(F.array().cast("array<int>"))
-        parts.append(_runs(tokens, starts, n))
+    # runs of n come from runs of n - 1 zipped with the tokens moved on by n - 1, one linear step each
+    runs, parts = tokens, []
+    for n in range(1, high + 1):
+        if n > 1:
+            runs = F.zip_with(runs, F.slice(tokens, n, F.size(tokens)), lambda a, b: F.concat(a, F.lit(" "), b))
+            runs = F.filter(runs, lambda t: t.isNotNull())
+        if n >= low:
+            parts.append(runs)
     return F.concat(*parts)
 
 
-def _runs(tokens: Column, starts: Column, n: int) -> Column:
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, n), " "))
-
-
 def label_from_path(col: str | Column, word: str = "spam") -> Column:
     """1 when the folder of the path holds the word."""
     folder = F.regexp_extract(_c(col), r"([^/]+)/[^/]*$", 1)
