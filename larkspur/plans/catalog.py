@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["profiling", "tables", "text"]
+MODULES = ["profiling", "tables", "text", "evaluation"]
 
 
 def register() -> None:
