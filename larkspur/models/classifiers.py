@@ -47,7 +47,7 @@ def fit_boosted(df: DataFrame, feats, label: str, depth: int = 6, rate: float =
 
 def fit_svc(df: DataFrame, feats, label: str, C: float = 1.0) -> PipelineModel:
     """Linear support vector classifier; the kernel form needs an n x n matrix."""
-    svc = LinearSVC(labelCol=label, regParam=1.0 / (C * df.count()), standardization=False, maxIter=200)
+    svc = LinearSVC(labelCol=label, regParam=1.0 / (C * df.count()), standardization=False, maxIter=100)
     return with_features(feats, svc).fit(df)
 
 

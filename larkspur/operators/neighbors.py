@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from larkspur.session import settle
+
 MAX_PIVOTS = 1024
 BLOCK = 2048
 
@@ -69,7 +71,7 @@ def build_cells(pts: DataFrame, k: int) -> tuple[DataFrame, Cells]:
                 yield b.assign(cell=c.astype("int32"), dist=d[np.arange(len(b)), c])
 
     id_type = pts.schema["id"].dataType.simpleString()
-    placed = pts.mapInPandas(assign, f"id {id_type}, v array<double>, cell int, dist double")
+    placed = settle(pts.mapInPandas(assign, f"id {id_type}, v array<double>, cell int, dist double"))
     m = len(pivots)
     size, radius = np.zeros(m), np.zeros(m)
     closest = np.full((m, max(k, 1)), np.inf)

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["profiling", "tables", "text", "evaluation", "models_bayes"]
+MODULES = ["profiling", "tables", "text", "evaluation", "models_bayes", "sources", "models"]
 
 
 def register() -> None:
