@@ -45,9 +45,9 @@ def fit_boosted(df: DataFrame, feats, label: str, depth: int = 6, rate: float =
     return with_features(feats, gbt if classes == 2 else OneVsRest(labelCol=label, classifier=gbt)).fit(df)
 
 
-def fit_svc(df: DataFrame, feats, label: str, C: float = 1.0) -> PipelineModel:
+def fit_svc(df: DataFrame, feats, label: str, C: float = 1.0, rounds: int = 100) -> PipelineModel:
     """Linear support vector classifier; the kernel form needs an n x n matrix."""
-    svc = LinearSVC(labelCol=label, regParam=1.0 / (C * df.count()), standardization=False, maxIter=100)
+    svc = LinearSVC(labelCol=label, regParam=1.0 / (C * df.count()), standardization=False, maxIter=rounds)
     return with_features(feats, svc).fit(df)
 
 

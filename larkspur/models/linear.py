@@ -78,7 +78,7 @@ def rank_features(model: PipelineModel, names: Sequence[str], n: int | None = No
     """Coefficients (or importances) by absolute value, largest first; `is_zero` marks the unused."""
     last = model.stages[-1]
     values = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    rows = [(c, float(v), abs(float(v)), v == 0) for c, v in zip(names, values.toArray())]
+    rows = [(c, float(v), abs(float(v)), bool(v == 0)) for c, v in zip(names, values.toArray())]
     spark = model_session()
     out = spark.createDataFrame(rows, "feature string, value double, size double, is_zero boolean").orderBy(F.desc("size"), "feature")
     return out.limit(n) if n else out

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.operators.ordered import null_safe_join, running_sums, value_borders, bin_count
 
+CLUSTER_LIMIT = 10_000
+
 
 def _ratio(a: Column, b: Column) -> Column:
     """a / b, 0 where b is 0."""
@@ -253,7 +255,12 @@ def silhouette(df: DataFrame, feats: str, cluster: str, noise: int | None = None
     if noise is not None:
         pts = pts.where(F.col("c") != noise)
     sums = _cluster_sums(pts)
-    k = sums.agg(F.collect_list(F.struct("c", "n", "psi", "s"))).scalar()
+    many = F.count("*") > CLUSTER_LIMIT
+    stop = F.raise_error(F.lit(f"silhouette holds one vector per cluster; more than {CLUSTER_LIMIT} clusters"))
+    table = F.collect_list(F.struct("c", "n", "psi", "s"))
+    k = sums.limit(CLUSTER_LIMIT + 1).agg(F.when(many, stop.cast("string")).alias("e"), table.alias("t")).select(
+        F.when(F.col("e").isNull(), F.col("t"))
+    ).scalar()
     norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
     rows = pts.withColumn("k", k).withColumn("x2", norm)
     far = F.transform(

@@ -43,22 +43,34 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def hash_rank(
-    df: DataFrame, key: str, seed: int | str = 42, within: Sequence[str] = (), out: str = "rank", bits: int = RANK_BITS
+    df: DataFrame,
+    key: str,
+    seed: int | str = 42,
+    within: Sequence[str] = (),
+    out: str = "rank",
+    size: str | None = None,
+    bits: int = RANK_BITS,
 ) -> DataFrame:
-    """0-based rank of each row by hash of its unique key, per `within` group."""
-    within = list(within)
+    """0-based rank of each row by hash of its unique key, per `within` group. `size` names a column for
+    the row count of the group, which falls out of the same small table."""
     rows = df.withColumn("_h", hash_order(key, seed)).withColumn("_bin", F.shiftright("_h", 32 - bits))
-    return _rank_in_bins(rows, within, [F.col("_h"), F.col(key)], out).drop("_h", "_bin")
+    return _rank_in_bins(rows, list(within), [F.col("_h"), F.col(key)], out, size).drop("_h", "_bin")
 
 
-def _rank_in_bins(rows: DataFrame, within: list[str], order: list[Column], out: str) -> DataFrame:
+def _rank_in_bins(rows: DataFrame, within: list[str], order: list[Column], out: str, size: str | None = None) -> DataFrame:
     sizes = rows.groupBy(*within, "_bin").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*within).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*within, "_bin", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy(*within, "_bin").orderBy(*order))
-    ranked = rows.withColumn("_local", local)
-    joined = null_safe_join(ranked, offsets, [*within, "_bin"])
-    return joined.withColumn(out, F.col("_off") + F.col("_local") - 1).drop("_off", "_local")
+    group = Window.partitionBy(*within)
+    before = group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    # one struct as the key: nulls inside compare equal, and the window and the join share one shuffle
+    slot = F.struct(*within, "_bin").alias("_slot_key")
+    parts = [F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
+    if size:
+        parts.append(F.sum("_n").over(group).alias(size))
+    offsets = sizes.select(slot, *parts)
+    local = F.row_number().over(Window.partitionBy("_slot_key").orderBy(*order)).alias("_local")
+    ranked = rows.select("*", slot).select("*", local)
+    joined = ranked.join(offsets, "_slot_key").withColumn(out, F.col("_off") + F.col("_local") - 1)
+    return joined.drop("_slot_key", "_off", "_local")
 
 
 def bin_count(df: DataFrame) -> int:
@@ -128,12 +140,13 @@ def running_sums(
     offsets = totals.select(
         *by, "_bin", *[F.coalesce(F.sum(f"_t_{c}").over(before), F.lit(0)).alias(f"_o_{c}") for c in sums]
     )
-    inside = Window.partitionBy(*by, "_bin").orderBy(val_key).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.select("*", *[F.sum(c).over(inside).alias(f"_s_{c}") for c in sums])
-    joined = null_safe_join(local, offsets, [*by, "_bin"])
+    offsets = offsets.select(F.struct(*by, "_bin").alias("_slot_key"), *[f"_o_{c}" for c in sums])
+    inside = Window.partitionBy("_slot_key").orderBy(val_key).rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.select("*", F.struct(*by, "_bin").alias("_slot_key"))
+    joined = local.select("*", *[F.sum(c).over(inside).alias(f"_s_{c}") for c in sums]).join(offsets, "_slot_key")
     for c in sums:
         joined = joined.withColumn(f"cum_{c}", F.col(f"_o_{c}") + F.col(f"_s_{c}"))
-    return joined.drop("_bin", *[f"_o_{c}" for c in sums], *[f"_s_{c}" for c in sums])
+    return joined.drop("_bin", "_slot_key", *[f"_o_{c}" for c in sums], *[f"_s_{c}" for c in sums])
 
 
 def value_borders(df: DataFrame, cols: Sequence[str], bins: int) -> tuple[dict[str, list], int]:

@@ -10,9 +10,10 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from larkspur.operators.ordered import hash_order, hash_rank, null_safe_join, unit_hash
+from larkspur.operators.ordered import hash_order, hash_rank, unit_hash
 
 COPY_LOT = 10_000
+CLASS_LIMIT = 1000
 
 
 def split(df: DataFrame, key: str, share: float = 0.8, seed: int = 42, out: str = "part") -> DataFrame:
@@ -25,8 +26,7 @@ def class_sizes(df: DataFrame, label: str) -> DataFrame:
 
 
 def _ranked_with_size(df: DataFrame, key: str, label: str, seed: int) -> DataFrame:
-    ranked = hash_rank(df, key, seed, within=[label], out="_rank")
-    return null_safe_join(ranked, class_sizes(df, label), [label])
+    return hash_rank(df, key, seed, within=[label], out="_rank", size="_size")
 
 
 def split_stratified(df: DataFrame, key: str, label: str, share: float = 0.8, seed: int = 42, out: str = "part") -> DataFrame:
@@ -111,10 +111,12 @@ def class_weights(df: DataFrame, label: str, given: Mapping | None = None, out:
         for k, w in given.items():
             pick = pick.when(F.col(label) == F.lit(k), F.lit(float(w)))
         return df.withColumn(out, pick.otherwise(F.lit(1.0)))
-    sizes = class_sizes(df, label)
-    stats = sizes.agg(F.struct(F.sum("_size").alias("n"), F.count("*").alias("k"))).scalar()
-    weights = sizes.select(label, (stats.getField("n") / (stats.getField("k") * F.col("_size"))).alias(out))
-    return null_safe_join(df, weights, [label])
+    # the classes are few and known before the rows are weighed, so no join is needed
+    sizes = class_sizes(df, label).limit(CLASS_LIMIT + 1).collect()
+    if len(sizes) > CLASS_LIMIT:
+        raise ValueError(f"{label} has more than {CLASS_LIMIT} classes")
+    total = sum(r["_size"] for r in sizes)
+    return class_weights(df, label, {r[label]: total / (len(sizes) * r["_size"]) for r in sizes}, out)
 
 
 def mask_labels(df: DataFrame, key: str, label: str, share: float, seed: int = 42, out: str = "masked") -> DataFrame:

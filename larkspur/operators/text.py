@@ -18,6 +18,12 @@ def clean_tokens(col: str | Column, digits: bool = True, words: Sequence[str] =
     return tc.remove_stop_words(tc.tokenize(tc.normalize_text(col, digits)), words)
 
 
+def explode_terms(df: DataFrame, keep: Sequence[str], tokens: str | Column) -> DataFrame:
+    """One row per token. The outer form with a null check, as for the plain form the optimizer adds a
+    "not empty" filter under the scan that works out the tokens a second time."""
+    return df.select(*keep, F.explode_outer(tokens).alias("term")).where(F.col("term").isNotNull())
+
+
 def preview_by_group(df: DataFrame, group: str, key: str, text: str, n: int = 15) -> DataFrame:
     """First row of each group by key, cut to its first n lines."""
     picked = df.groupBy(group).agg(F.min_by(F.struct(key, text), key).alias("r"))
@@ -36,7 +42,7 @@ def most_common(df: DataFrame, col: str, n: int) -> DataFrame:
 def term_counts(df: DataFrame, key: str, tokens: str | Column, ngrams: tuple[int, int] = (1, 1)) -> DataFrame:
     """(key, term, tf). Rows are spread by key once; counting, and later joins and sums by key, reuse that."""
     src = df.select(F.col(key), tc.ngrams(tokens, *ngrams).alias("_t")).repartition(key)
-    return src.select(key, F.explode("_t").alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    return explode_terms(src, [key], "_t").groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def fit_vocabulary(
@@ -107,19 +113,13 @@ def tfidf_vectors(train: DataFrame, tokens: str, max_terms: int = 5000, ngrams:
 
 def word_llr(df: DataFrame, tokens: str | Column, label: str) -> DataFrame:
     """(term, hits, misses, llr): ln of the smoothed share of a word among the words of the positive
-    class over that among the rest, by documents that hold it. The two totals are one row, worked out
-    from the token sets without exploding them."""
+    class over that among the rest, by documents that hold it. The two totals are sums over the same
+    counts, so their subquery reuses the counts' shuffle instead of reading the text again."""
     src = df.select(F.array_distinct(tokens).alias("_t"), F.col(label).cast("int").alias("_y"))
-    size = F.size("_t")
-    totals = src.agg(
-        F.struct(
-            F.coalesce(F.sum(F.when(F.col("_y") == 1, size)), F.lit(0)).alias("s"),
-            F.coalesce(F.sum(F.when(F.col("_y") == 0, size)), F.lit(0)).alias("h"),
-        )
-    ).scalar()
-    counts = src.select(F.explode("_t").alias("term"), "_y").groupBy("term").agg(
+    counts = explode_terms(src, ["_y"], "_t").groupBy("term").agg(
         F.count_if(F.col("_y") == 1).alias("hits"), F.count_if(F.col("_y") == 0).alias("misses")
     )
+    totals = counts.agg(F.struct(F.sum("hits").alias("s"), F.sum("misses").alias("h"))).scalar()
     pos = (F.col("hits") + 1) / (totals.getField("s") + 1)
     neg = (F.col("misses") + 1) / (totals.getField("h") + 1)
     return counts.withColumn("llr", F.log(pos / neg))
@@ -127,8 +127,7 @@ def word_llr(df: DataFrame, tokens: str | Column, label: str) -> DataFrame:
 
 def top_words(df: DataFrame, tokens: str | Column, label: str, n: int = 100) -> DataFrame:
     """Most frequent words per class."""
-    words = df.select(F.col(label), F.explode(tokens).alias("term"))
-    counts = words.groupBy(label, "term").agg(F.count("*").alias("n"))
+    counts = explode_terms(df, [label], tokens).groupBy(label, "term").agg(F.count("*").alias("n"))
     rank = F.row_number().over(Window.partitionBy(label).orderBy(F.desc("n"), "term"))
     return counts.withColumn("rank", rank).where(F.col("rank") <= n)
 

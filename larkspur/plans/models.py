@@ -147,7 +147,7 @@ def mail_vectors(spark, sf):
 @query("mdl14_svc")
 def _(spark, sf):
     train, test = mail_vectors(spark, sf)
-    return _scores(classifiers.fit_svc(train, "features", "label", C=1.0).transform(test))
+    return _scores(classifiers.fit_svc(train, "features", "label", C=1.0, rounds=25).transform(test))
 
 
 @query("mdl16_mlp")
@@ -189,7 +189,7 @@ def _(spark, sf):
 @query("mdl20_stack")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
-    bases = [LogisticRegression(labelCol="label", regParam=0.01), DecisionTreeClassifier(labelCol="label", seed=1)]
+    bases = [LogisticRegression(labelCol="label", regParam=0.01, maxIter=25), DecisionTreeClassifier(labelCol="label", seed=1)]
     stack = ensemble.fit_stack(train, bases, "label", "fold", 3, classifiers.forest("label", trees=10, seed=7))
     return _scores(stack.transform(test))
 
@@ -278,7 +278,7 @@ def _(spark, sf):
 @query("tun1_grid_search")
 def _(spark, sf):
     e = vectors(spark, sf)
-    lr = LogisticRegression(labelCol="label")
+    lr = LogisticRegression(labelCol="label", maxIter=25)
     cv = tune.grid_search(e, lr, {lr.regParam: [0.001, 0.01, 0.1]}, "fold", 3, "accuracy", "label")
     return tune.grid_table(cv, spark)
 
@@ -292,7 +292,7 @@ def _(spark, sf):
 @query("tun3_cv_scores")
 def _(spark, sf):
     e = vectors(spark, sf)
-    return tune.cv_scores(e, LogisticRegression(labelCol="label", regParam=0.01), "fold", 3, "accuracy", "label")
+    return tune.cv_scores(e, LogisticRegression(labelCol="label", regParam=0.01, maxIter=25), "fold", 3, "accuracy", "label")
 
 
 @query("tun4_cv_predict")
