@@ -6,7 +6,7 @@ from larkspur.functions.text_cols import collapse
 from larkspur.models import linear
 from larkspur.operators import split
 from larkspur.plans.registry import load, query
-from larkspur.session import scratch_path
+from larkspur.session import scratch_path, spread
 from larkspur.sources import mail, tables
 from larkspur.streaming import scoring
 
@@ -52,7 +52,7 @@ MESSAGE = [
 
 def messages(spark, sf):
     """One raw multipart message per document."""
-    d = load(spark, sf, "documents").select("doc_id", "source", collapse("text").alias("text"))
+    d = spread(load(spark, sf, "documents"), "doc_id").select("doc_id", "source", collapse("text").alias("text"))
 
     def fill(s):
         return F.replace(F.replace(F.lit(s), F.lit("{src}"), F.col("source")), F.lit("{id}"), F.col("doc_id").cast("string"))

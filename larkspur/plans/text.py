@@ -6,6 +6,7 @@ from larkspur.functions import text_cols as tc
 from larkspur.functions.words import MAIL_STOP_WORDS, SPAM_PHRASES, STOP_WORDS, TRIGGER_WORDS
 from larkspur.operators import stem, text
 from larkspur.plans.registry import load, query
+from larkspur.session import spread
 
 STOPS = "[" + ", ".join("'" + w.replace("'", "''") + "'" for w in STOP_WORDS) + "]"
 NORM = r"regexp_replace(lower(trim(regexp_replace({0}, '\s+', ' ', 'g'))), '[^\p{{L}}\p{{N}}_\s]', '', 'g')"
@@ -14,9 +15,13 @@ CLEAN = f"list_filter({TOK.format(NORM.format('text'))}, lambda t: NOT list_cont
 DOCS = f"d AS (SELECT doc_id, source, toxic, {CLEAN} AS tokens FROM documents JOIN labels USING (doc_id))"
 
 
+def docs(spark, sf):
+    return spread(load(spark, sf, "documents"), "doc_id")
+
+
 def labelled_tokens(spark, sf):
-    docs = load(spark, sf, "documents").select("doc_id", "source", "text").join(load(spark, sf, "labels"), "doc_id")
-    return docs.select("doc_id", "source", "toxic", text.clean_tokens("text").alias("tokens"))
+    labelled = docs(spark, sf).select("doc_id", "source", "text").join(load(spark, sf, "labels"), "doc_id")
+    return labelled.select("doc_id", "source", "toxic", text.clean_tokens("text").alias("tokens"))
 
 
 @query(
@@ -38,7 +43,7 @@ def word_llr(spark, sf):
        FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY source)""",
 )
 def _(spark, sf):
-    return text.preview_by_group(load(spark, sf, "documents"), "source", "doc_id", "text", 15)
+    return text.preview_by_group(docs(spark, sf), "source", "doc_id", "text", 15)
 
 
 @query(
@@ -54,7 +59,7 @@ def _(spark, sf):
     "SELECT doc_id, md5(CASE WHEN instr(text, E'\\n\\n') > 0 THEN substr(text, instr(text, E'\\n\\n') + 2) ELSE text END) AS body FROM (SELECT doc_id, replace(text, '. ', E'.\\n\\n') AS text FROM documents)",
 )
 def _(spark, sf):
-    t = load(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit(".\n\n")).alias("text"))
+    t = docs(spark, sf).select("doc_id", F.replace("text", F.lit(". "), F.lit(".\n\n")).alias("text"))
     return t.select("doc_id", F.md5(tc.split_body("text")).alias("body"))
 
 
@@ -66,7 +71,7 @@ def _(spark, sf):
        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&nbsp;', ' '), '&#39;', ''''), '&#8211;', chr(8211)), '&amp;', '&'), '\s+', ' ', 'g')) AS body FROM pages""",
 )
 def _(spark, sf):
-    return load(spark, sf, "pages").select("page_id", tc.html_text("html").alias("body"))
+    return spread(load(spark, sf, "pages"), "page_id").select("page_id", tc.html_text("html").alias("body"))
 
 
 HEADED = "E'From: a@b.org\\nX-Loop: list\\nSubject: on\\nSender: me\\n' || text"
@@ -78,7 +83,7 @@ HEADED = "E'From: a@b.org\\nX-Loop: list\\nSubject: on\\nSender: me\\n' || text"
 )
 def _(spark, sf):
     head = F.concat(F.lit("From: a@b.org\nX-Loop: list\nSubject: on\nSender: me\n"), F.col("text"))
-    return load(spark, sf, "documents").select("doc_id", F.md5(tc.drop_header_lines(head)).alias("body"))
+    return docs(spark, sf).select("doc_id", F.md5(tc.drop_header_lines(head)).alias("body"))
 
 
 @query(
@@ -87,7 +92,7 @@ def _(spark, sf):
        FROM (SELECT doc_id, replace(text, '. ', E'.\n \n  ') AS text FROM documents)""",
 )
 def _(spark, sf):
-    t = load(spark, sf, "documents").select("doc_id", F.replace("text", F.lit(". "), F.lit(".\n \n  ")).alias("text"))
+    t = docs(spark, sf).select("doc_id", F.replace("text", F.lit(". "), F.lit(".\n \n  ")).alias("text"))
     return t.select("doc_id", F.md5(tc.compact_lines("text")).alias("body"))
 
 
@@ -96,7 +101,7 @@ def _(spark, sf):
     f"SELECT doc_id, md5(regexp_replace(text, '(?i)({'|'.join(SPAM_PHRASES + ['idiot'])}).*', '', 'g')) AS body FROM documents",
 )
 def _(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", F.md5(tc.cut_after_phrases("text", [*SPAM_PHRASES, "idiot"])).alias("body"))
+    return docs(spark, sf).select("doc_id", F.md5(tc.cut_after_phrases("text", [*SPAM_PHRASES, "idiot"])).alias("body"))
 
 
 @query(
@@ -105,7 +110,7 @@ def _(spark, sf):
        md5(regexp_replace(regexp_replace(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), '\p{{Nd}}+', '', 'g'), '[^\p{{L}}\p{{N}}_\s]', '', 'g')) AS no_digits FROM documents""",
 )
 def _(spark, sf):
-    return load(spark, sf, "documents").select(
+    return docs(spark, sf).select(
         "doc_id", F.md5(tc.normalize_text("text")).alias("body"), F.md5(tc.normalize_text("text", digits=False)).alias("no_digits")
     )
 
@@ -116,7 +121,7 @@ def _(spark, sf):
        md5(array_to_string({TOK.format(NORM.format('text'))}, ' ')) AS tokens FROM documents""",
 )
 def _(spark, sf):
-    t = load(spark, sf, "documents").select(
+    t = docs(spark, sf).select(
         "doc_id", tc.tokenize(tc.normalize_text("text")).alias("a"), tc.tokenize(F.lower("text"), tc.WORD + "+").alias("b")
     )
     return t.select("doc_id", F.size("a").alias("n_split"), F.size("b").alias("n_match"), F.md5(F.array_join("a", " ")).alias("tokens"))
@@ -127,7 +132,7 @@ def _(spark, sf):
     f"SELECT doc_id, CAST(len(tokens) AS INT) AS n, md5(array_to_string(tokens, ' ')) AS tokens FROM (SELECT doc_id, {CLEAN} AS tokens FROM documents)",
 )
 def _(spark, sf):
-    t = load(spark, sf, "documents").select("doc_id", text.clean_tokens("text").alias("t"))
+    t = docs(spark, sf).select("doc_id", text.clean_tokens("text").alias("t"))
     return t.select("doc_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens"))
 
 
@@ -138,13 +143,13 @@ def _(spark, sf):
 )
 def _(spark, sf):
     words = [*MAIL_STOP_WORDS, "the", "and"]
-    return load(spark, sf, "documents").select("doc_id", F.size(text.clean_tokens("text", words=words)).alias("n"))
+    return docs(spark, sf).select("doc_id", F.size(text.clean_tokens("text", words=words)).alias("n"))
 
 
 @query("txt10_stem")
 def _(spark, sf):
-    docs = load(spark, sf, "documents").where("lang = 'en'").select("doc_id", text.clean_tokens("text").alias("tokens"))
-    terms = stem.stem_terms(text.term_counts(docs, "doc_id", "tokens"))
+    english = docs(spark, sf).where("lang = 'en'").select("doc_id", text.clean_tokens("text").alias("tokens"))
+    terms = stem.stem_terms(text.term_counts(english, "doc_id", "tokens"))
     return terms.groupBy("stem").agg(F.sum("tf").alias("n"), F.count_distinct("term").alias("forms"))
 
 
@@ -154,7 +159,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     path = F.concat(F.lit("/mail1/"), F.col("source"), F.lit("/"), F.col("doc_id"), F.lit(".txt"))
-    return load(spark, sf, "documents").select(
+    return docs(spark, sf).select(
         "doc_id", tc.label_from_path(path, "1").alias("by_path"), tc.label_from_category("source", {"src0": 0, "src1": 1}).alias("by_category")
     )
 
@@ -166,7 +171,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     sender = F.when(F.col("doc_id") % 3 == 0, "nobody").otherwise(F.concat(F.lit("\"a@b\" <x@"), F.col("source"), F.lit(".example.org>")))
-    return load(spark, sf, "documents").select(
+    return docs(spark, sf).select(
         "doc_id",
         tc.sender_domain("text", "text").alias("in_text"),
         tc.sender_domain("text", "address").alias("address"),
@@ -180,7 +185,7 @@ def _(spark, sf):
        CAST(len(regexp_extract_all(text, '[!@#$%^&*(),.?":{}|<>]')) AS INT) AS num_special_chars, CAST(len(regexp_extract_all(text, '\p{Nd}')) AS INT) AS num_digits FROM documents""",
 )
 def _(spark, sf):
-    return load(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in tc.text_counts("text").items()])
+    return docs(spark, sf).select("doc_id", *[c.alias(n) for n, c in tc.text_counts("text").items()])
 
 
 @query(
@@ -192,7 +197,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     signals = tc.spam_signals("text", [*TRIGGER_WORDS, "the"])
-    return load(spark, sf, "documents").select("doc_id", *[c.alias(n) for n, c in signals.items()])
+    return docs(spark, sf).select("doc_id", *[c.alias(n) for n, c in signals.items()])
 
 
 TERMS = "tc AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS term FROM d) GROUP BY 1, 2)"
@@ -203,8 +208,8 @@ TERMS = "tc AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(
     f"""WITH {DOCS}, {TERMS} SELECT term, CAST(sum(tf) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS df FROM tc GROUP BY 1 HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 500""",
 )
 def _(spark, sf):
-    docs = labelled_tokens(spark, sf)
-    return text.fit_vocabulary(text.term_counts(docs, "doc_id", "tokens"), 1, 500, min_df=2, max_df=10**9).drop("idf")
+    labelled = labelled_tokens(spark, sf)
+    return text.fit_vocabulary(text.term_counts(labelled, "doc_id", "tokens"), 1, 500, min_df=2, max_df=10**9).drop("idf")
 
 
 VOCAB = """n AS (SELECT count(*) AS n FROM d),
@@ -241,7 +246,7 @@ def _(spark, sf):
 
 @query("txt19_most_common", "SELECT lang, CAST(count(*) AS BIGINT) AS n FROM documents GROUP BY 1 ORDER BY count(*) DESC, lang LIMIT 1")
 def _(spark, sf):
-    return text.most_common(load(spark, sf, "documents"), "lang", 1)
+    return text.most_common(docs(spark, sf), "lang", 1)
 
 
 @query(
@@ -250,9 +255,9 @@ def _(spark, sf):
        SELECT source, term, round(sum(weight) / any_value(docs), 6) AS mean_weight FROM tfidf JOIN d USING (doc_id) JOIN s USING (source) GROUP BY 1, 2""",
 )
 def _(spark, sf):
-    docs = labelled_tokens(spark, sf)
-    w = text.tfidf(docs, "doc_id", "tokens", max_terms=300)
-    return text.mean_tfidf(w, docs, "doc_id", "source").withColumn("mean_weight", F.round("mean_weight", 6))
+    labelled = labelled_tokens(spark, sf)
+    w = text.tfidf(labelled, "doc_id", "tokens", max_terms=300)
+    return text.mean_tfidf(w, labelled, "doc_id", "source").withColumn("mean_weight", F.round("mean_weight", 6))
 
 
 TEMPLATES = [

@@ -59,3 +59,10 @@ def settle(df: DataFrame) -> DataFrame:
     if not sc._jsc.sc().getCheckpointDir().isDefined():
         sc.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread a scan of too few partitions over all cores before heavy per-row work (a small file in one
+    row group is one task). Does nothing to a table that already has a partition per core."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *keys)
