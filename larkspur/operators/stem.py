@@ -49,74 +49,121 @@ def _lookup(key: Column, table: dict) -> Column:
     return out
 
 
-def with_stem(df: DataFrame, term: str, out: str = "stem") -> DataFrame:
-    """Add the stem of each term. Meant for a table of distinct terms."""
-    w, e = F.col("_w"), F.col("_e")
-    base = _cut(w, F.length(e))
-    has = e != ""
-    in_r1 = F.length(w) - F.length(e) >= F.col("_p1")
-    in_r2 = F.length(w) - F.length(e) >= F.col("_p2")
-
-    def ending(d: DataFrame, endings) -> DataFrame:
-        return d.withColumn("_e", _ending(w, endings))
-
-    d = df.withColumn("_w", F.regexp_replace(F.lower(F.col(term)), "^'", ""))
-    # a y that opens the word or follows a vowel is a consonant, written Y
-    d = d.withColumn("_w", F.regexp_replace(F.regexp_replace(w, "^y", "Y"), "([aeiouy])y", "$1Y"))
-    d = d.withColumn("_p1", F.length(F.regexp_extract(w, f"^(gener|commun|arsen|{REGION})", 1)))
-    d = d.withColumn("_p1", F.when(F.col("_p1") == 0, F.length(w)).otherwise(F.col("_p1")))
-    rest = F.regexp_extract(F.substring(w, F.col("_p1") + 1, F.length(w)), f"^({REGION})", 1)
-    d = d.withColumn("_p2", F.when(rest == "", F.length(w)).otherwise(F.col("_p1") + F.length(rest)))
-    # possessives
-    d = ending(d, ["'s'", "'s", "'"]).withColumn("_w", base)
-    # plurals
-    d = ending(d, ["sses", "ied", "ies", "us", "ss", "s"])
-    d = d.withColumn(
-        "_w",
+def _let(value: Column, body) -> Column:
+    """`body(value)` with the value worked out once. The whole stem stays one expression of linear size,
+    which a filter pushed through it only repeats, never multiplies."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _on_ending(w: Column, endings, act) -> Column:
+    """`act(word, ending, base)`; the ending is empty where none fits."""
+    return _let(_ending(w, endings), lambda e: act(w, e, _cut(w, F.length(e))))
+
+
+def _plural(w: Column, e: Column, base: Column) -> Column:
+    return (
         F.when(e == "sses", F.concat(base, F.lit("ss")))
         .when(e.isin("ied", "ies"), F.concat(base, F.when(F.length(base) > 1, F.lit("i")).otherwise(F.lit("ie"))))
         .when((e == "s") & base.rlike("[aeiouy].+"), base)
-        .otherwise(w),
-    )
-    d = d.withColumn("_done", w.isin(*STOP_AFTER_PLURAL))
-    # past and -ing
-    d = ending(d, ["eedly", "ingly", "edly", "eed", "ing", "ed"])
-    gone = e.isin("ed", "edly", "ing", "ingly") & base.rlike("[aeiouy]")
-    d = d.withColumn("_gone", gone & ~F.col("_done"))
-    d = d.withColumn(
-        "_w", F.when(F.col("_gone"), base).when(e.isin("eed", "eedly") & in_r1 & ~F.col("_done"), F.concat(base, F.lit("ee"))).otherwise(w)
-    )
-    short_word = (F.col("_p1") >= F.length(w)) & w.rlike(SHORT_END)
-    d = d.withColumn(
-        "_w",
-        F.when(F.col("_gone") & w.rlike("(at|bl|iz)$"), F.concat(w, F.lit("e")))
-        .when(F.col("_gone") & w.rlike("(bb|dd|ff|gg|mm|nn|pp|rr|tt)$"), _cut(w, F.lit(1)))
-        .when(F.col("_gone") & short_word, F.concat(w, F.lit("e")))
-        .otherwise(w),
+        .otherwise(w)
     )
-    # final y
-    d = d.withColumn("_w", F.when(~F.col("_done"), F.regexp_replace(w, "(.[^aeiouy])[yY]$", "$1i")).otherwise(w))
-    # derivational endings
-    d = ending(d, STEP2)
-    allowed = F.when(e == "ogi", base.rlike("l$")).when(e == "li", base.rlike("[cdeghkmnrt]$")).otherwise(F.lit(True))
-    act = has & in_r1 & allowed & ~F.col("_done")
-    d = d.withColumn("_w", F.when(act, F.concat(base, _lookup(e, STEP2))).otherwise(w))
-    d = ending(d, STEP3)
-    act = has & in_r1 & ((e != "ative") | in_r2) & ~F.col("_done")
-    d = d.withColumn("_w", F.when(act, F.concat(base, _lookup(e, STEP3))).otherwise(w))
-    d = ending(d, STEP4)
-    act = has & in_r2 & ((e != "ion") | base.rlike("[st]$")) & ~F.col("_done")
-    d = d.withColumn("_w", F.when(act, base).otherwise(w))
-    # final e and l
-    d = ending(d, ["e", "l"])
-    act = ((e == "e") & (in_r2 | (in_r1 & ~base.rlike(SHORT_END)))) | ((e == "l") & in_r2 & base.rlike("l$"))
-    d = d.withColumn("_w", F.when(act & ~F.col("_done"), base).otherwise(w))
-    lower = F.lower(F.col(term))
-    d = d.withColumn(
-        out,
-        F.when(F.length(lower) <= 2, lower).when(lower.isin(*WHOLE), _lookup(lower, WHOLE)).otherwise(F.lower(w)),
+
+
+def _repair(w: Column, p1: Column) -> Column:
+    """After -ed or -ing is gone: hop(p), hat(e), fil(e)."""
+    short_word = (p1 >= F.length(w)) & w.rlike(SHORT_END)
+    return (
+        F.when(w.rlike("(at|bl|iz)$"), F.concat(w, F.lit("e")))
+        .when(w.rlike("(bb|dd|ff|gg|mm|nn|pp|rr|tt)$"), _cut(w, F.lit(1)))
+        .when(short_word, F.concat(w, F.lit("e")))
+        .otherwise(w)
     )
-    return d.drop("_w", "_e", "_p1", "_p2", "_done", "_gone")
+
+
+def _past(p1: Column):
+    def act(w: Column, e: Column, base: Column) -> Column:
+        gone = e.isin("ed", "edly", "ing", "ingly") & base.rlike("[aeiouy]")
+        eed = e.isin("eed", "eedly") & (F.length(base) >= p1)
+        return F.when(gone, _let(base, lambda b: _repair(b, p1))).when(eed, F.concat(base, F.lit("ee"))).otherwise(w)
+
+    return act
+
+
+def _derived(table: dict, allowed):
+    def act(w: Column, e: Column, base: Column) -> Column:
+        return F.when((e != "") & allowed(e, base), F.concat(base, _lookup(e, table))).otherwise(w)
+
+    return act
+
+
+def _last_letter(p1: Column, p2: Column):
+    def act(w: Column, e: Column, base: Column) -> Column:
+        n = F.length(base)
+        drop_e = (e == "e") & ((n >= p2) | ((n >= p1) & ~base.rlike(SHORT_END)))
+        drop_l = (e == "l") & (n >= p2) & base.rlike("l$")
+        return F.when(drop_e | drop_l, base).otherwise(w)
+
+    return act
+
+
+def _suffixes(w: Column, p1: Column, p2: Column) -> Column:
+    """Everything after the plural step."""
+
+    def in_r1_step2(e: Column, base: Column) -> Column:
+        fits = F.when(e == "ogi", base.rlike("l$")).when(e == "li", base.rlike("[cdeghkmnrt]$")).otherwise(F.lit(True))
+        return (F.length(base) >= p1) & fits
+
+    def in_r1_step3(e: Column, base: Column) -> Column:
+        return (F.length(base) >= p1) & ((e != "ative") | (F.length(base) >= p2))
+
+    def in_r2(e: Column, base: Column) -> Column:
+        return (F.length(base) >= p2) & ((e != "ion") | base.rlike("[st]$"))
+
+    out = _on_ending(w, ["eedly", "ingly", "edly", "eed", "ing", "ed"], _past(p1))
+    out = F.regexp_replace(out, "(.[^aeiouy])[yY]$", "$1i")
+    out = _let(out, lambda x: _on_ending(x, STEP2, _derived(STEP2, in_r1_step2)))
+    out = _let(out, lambda x: _on_ending(x, STEP3, _derived(STEP3, in_r1_step3)))
+    out = _let(out, lambda x: _on_ending(x, STEP4, _derived({k: "" for k in STEP4}, in_r2)))
+    return _let(out, lambda x: _on_ending(x, ["e", "l"], _last_letter(p1, p2)))
+
+
+def _regular(w: Column) -> Column:
+    """Stem of a prepared word: find where R1 and R2 start, then cut from the end."""
+
+    def with_regions(p1: Column, p2: Column) -> Column:
+        bare = _on_ending(w, ["'s'", "'s", "'"], lambda x, e, base: base)
+        plain = _let(bare, lambda x: _on_ending(x, ["sses", "ied", "ies", "us", "ss", "s"], _plural))
+        return _let(plain, lambda x: F.when(x.isin(*STOP_AFTER_PLURAL), x).otherwise(_suffixes(x, p1, p2)))
+
+    head = F.regexp_extract(w, f"^(gener|commun|arsen|{REGION})", 1)
+    r1 = F.when(head == "", F.length(w)).otherwise(F.length(head))
+
+    def from_r1(p1: Column) -> Column:
+        more = F.regexp_extract(F.substring(w, p1 + 1, F.length(w)), f"^({REGION})", 1)
+        return _let(F.when(more == "", F.length(w)).otherwise(p1 + F.length(more)), lambda p2: with_regions(p1, p2))
+
+    return _let(r1, from_r1)
+
+
+def stem(col: str | Column) -> Column:
+    """Stem of one word."""
+    lower = F.lower(F.col(col) if isinstance(col, str) else col)
+
+    def body(word: Column) -> Column:
+        # a y that opens the word or follows a vowel is a consonant, written Y
+        marked = F.regexp_replace(F.regexp_replace(F.regexp_replace(word, "^'", ""), "^y", "Y"), "([aeiouy])y", "$1Y")
+        return (
+            F.when(F.length(word) <= 2, word)
+            .when(word.isin(*WHOLE), _lookup(word, WHOLE))
+            .otherwise(F.lower(_let(marked, _regular)))
+        )
+
+    return _let(lower, body)
+
+
+def with_stem(df: DataFrame, term: str, out: str = "stem") -> DataFrame:
+    """Add the stem of each term. Meant for a table of distinct terms."""
+    return df.withColumn(out, stem(term))
 
 
 def stem_terms(df: DataFrame, term: str = "term", out: str = "stem") -> DataFrame:
