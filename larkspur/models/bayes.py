@@ -8,6 +8,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from larkspur.session import settle
+
 CLASS_LIMIT = 1000
 
 
@@ -74,7 +76,7 @@ def fit_categorical_nb(df: DataFrame, cols: Sequence[str], label: str, alpha: fl
         for i, k in enumerate(classes)
     ]
     table = counts.join(widths, "column").join(present, "column").select("column", "value", F.inline(F.array(*cells)))
-    return NaiveBayes(classes, sizes, alpha, table, list(cols))
+    return NaiveBayes(classes, sizes, alpha, settle(table), list(cols))
 
 
 def predict_categorical_nb(df: DataFrame, model: NaiveBayes, out: str = "prediction", scores: str | None = None) -> DataFrame:
@@ -130,7 +132,7 @@ def fit_multinomial_nb(terms: DataFrame, labels: DataFrame, key: str, label: str
         )
         for i, k in enumerate(classes)
     ]
-    return NaiveBayes(classes, sizes, alpha, sums.select("term", F.inline(F.array(*cells))))
+    return NaiveBayes(classes, sizes, alpha, settle(sums.select("term", F.inline(F.array(*cells)))))
 
 
 def predict_multinomial_nb(terms: DataFrame, docs: DataFrame, key: str, model: NaiveBayes, weight: str = "tf", out: str = "prediction") -> DataFrame:

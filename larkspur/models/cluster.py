@@ -17,6 +17,8 @@ from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _dista
 from larkspur.operators.ordered import position
 from larkspur.session import settle
 
+SMALL_GRAPH = 1_000_000  # edges that one task may resolve
+
 
 def as_vectors(df: DataFrame, col: str, out: str = "features") -> DataFrame:
     """An array column as an ml vector."""
@@ -38,14 +40,39 @@ def add_cluster_feature(df: DataFrame, model: PipelineModel, feats: str, cluster
     return VectorAssembler(inputCols=[feats, cluster], outputCol=out).transform(model.transform(df))
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest node of each component of n nodes: hang roots on smaller roots, then cut paths short."""
+    root = np.arange(n)
+    while True:
+        before = root.copy()
+        low = np.minimum(root[a], root[b])
+        np.minimum.at(root, before[a], low)
+        np.minimum.at(root, before[b], low)
+        while (root[root] != root).any():
+            root = root[root]
+        if (root == before).all():
+            return root
+
+
+def components(edges: DataFrame, max_rounds: int = 100, small: int = SMALL_GRAPH) -> DataFrame:
     """(node, root): the smallest node of each connected component, from edges (a, b).
 
-    Alternates two star steps: hang larger neighbours on the smallest neighbour, then smaller ones. The
+    The edges are counted first: a graph of at most `small` of them is one task's work. A larger one
+    alternates two star steps: hang larger neighbours on the smallest neighbour, then smaller ones. The
     graph shrinks to stars in about log rounds, whatever its diameter; hot nodes only ever take a minimum,
     which combines before the shuffle. Each round is checkpointed.
     """
     cur = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    if cur.count() <= small:
+        kind = cur.schema["a"].dataType.simpleString()
+
+        def solve(pairs: pd.DataFrame) -> pd.DataFrame:
+            names, at = np.unique(np.concatenate([pairs["a"].to_numpy(), pairs["b"].to_numpy()]), return_inverse=True)
+            root = _roots(len(names), at[: len(pairs)], at[len(pairs):])
+            moved = root != np.arange(len(names))
+            return pd.DataFrame({"node": names[moved], "root": names[root[moved]]})
+
+        return cur.groupBy().applyInPandas(solve, f"node {kind}, root {kind}")
     seen = None
     for _ in range(max_rounds):
         both = cur.union(cur.select("b", "a"))
@@ -78,8 +105,7 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
     pts = points(df, key, feats)
     reps = settle(pts.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight")))
     id_type = reps.schema["id"].dataType.simpleString()
-    placed, cells = build_cells(reps.select("id", "v"), 0)
-    placed = settle(placed.join(reps.select("id", "weight"), "id"))
+    placed, cells = build_cells(reps, 0)
 
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
@@ -95,19 +121,21 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []})
         near = _distances(_matrix(a["v"]), _matrix(b["v"])) <= eps
-        ids = np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()])
-        order = np.unique(ids, return_inverse=True)[1]
-        la, lb = order[: len(a)].copy(), order[len(a):].copy()
-        far = len(ids) + 1
-        while True:  # smallest label over the neighbours, until nothing moves
-            nb = np.minimum(lb, np.where(near, la[:, None], far).min(0))
-            na = np.minimum(la, np.where(near, nb[None, :], far).min(1))
-            if (na == la).all() and (nb == lb).all():
+        names, at = np.unique(np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()]), return_inverse=True)
+        ia, ib = at[: len(a)], at[len(a):]
+        root, far = np.arange(len(names)), len(names)
+        while True:  # smallest root over the neighbours, hung on the old root, then paths cut short
+            before = root.copy()
+            low = np.where(near, root[ia][:, None], far).min(0)
+            np.minimum.at(root, root[ib], np.minimum(low, root[ib]))
+            low = np.where(near, root[ib][None, :], far).min(1)
+            np.minimum.at(root, root[ia], np.minimum(low, root[ia]))
+            while (root[root] != root).any():
+                root = root[root]
+            if (root == before).all():
                 break
-            la, lb = na, nb
-        names = np.unique(ids)
-        edges = pd.DataFrame({"a": ids, "b": names[np.concatenate([la, lb])]})
-        return edges[edges["a"] != edges["b"]]
+        moved = root != np.arange(len(names))
+        return pd.DataFrame({"a": names[moved], "b": names[root[moved]]})
 
     edges = _within(core.select("id", "v"), core.drop("weight"), cells, eps, forest, f"a {id_type}, b {id_type}")
     roots = components(edges)

@@ -59,7 +59,7 @@ def _choose_pivots(pts: DataFrame, n: int) -> np.ndarray:
 
 
 def build_cells(pts: DataFrame, k: int) -> tuple[DataFrame, Cells]:
-    """Points with cell and distance to its pivot, and the bounds per cell."""
+    """Points (with any further columns) with cell and distance to its pivot, and the bounds per cell."""
     pivots = _choose_pivots(pts, pts.count())
     shared = pts.sparkSession.sparkContext.broadcast(pivots)
 
@@ -70,8 +70,8 @@ def build_cells(pts: DataFrame, k: int) -> tuple[DataFrame, Cells]:
                 c = d.argmin(1)
                 yield b.assign(cell=c.astype("int32"), dist=d[np.arange(len(b)), c])
 
-    id_type = pts.schema["id"].dataType.simpleString()
-    placed = settle(pts.mapInPandas(assign, f"id {id_type}, v array<double>, cell int, dist double"))
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pts.schema.fields)
+    placed = settle(pts.mapInPandas(assign, f"{columns}, cell int, dist double"))
     m = len(pivots)
     size, radius = np.zeros(m), np.zeros(m)
     closest = np.full((m, max(k, 1)), np.inf)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 RANK_BITS = 12
 MAX_BINS = 1024
+QUANTILE_BINS = 256
 # `percentile` keeps every distinct value of a group in one buffer; beyond this many
 # distinct values the bin-narrowing form takes over.
 DISTINCT_LIMIT = 200_000
@@ -173,7 +174,7 @@ def exact_quantiles(
     bin of every wanted rank, then order only the rows of those bins.
     """
     by, cols, probs = list(by), list(cols), list(probs)
-    borders, distinct = value_borders(df, cols, bins or bin_count(df))
+    borders, distinct = value_borders(df, cols, bins or max(QUANTILE_BINS, bin_count(df)))
     if distinct <= distinct_limit:
         aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]
         wide = df.groupBy(*by).agg(*aggs)

@@ -7,6 +7,7 @@ from larkspur.models import classifiers, cluster, ensemble, linear, semi, tune
 from larkspur.operators import evaluate, split, text
 from larkspur.plans.registry import load, query
 from larkspur.plans.text import labelled_tokens
+from larkspur.session import spread
 
 PART_FEATS = ["o_custkey", "month", "year", "urgent"]
 
@@ -22,13 +23,11 @@ def order_features(spark, sf):
         F.log1p("o_totalprice").alias("y"),
         (F.col("o_orderstatus") == "F").cast("double").alias("label"),
     )
-    return split.split(o, "o_orderkey", 0.8)
+    return split.split(spread(o, "o_orderkey"), "o_orderkey", 0.8)
 
 
 def line_features(spark, sf):
-    return load(spark, sf, "lineitem").select(
-        "l_quantity", "l_discount", "l_tax", F.col("l_extendedprice").alias("y")
-    )
+    return load(spark, sf, "lineitem").select("l_quantity", "l_discount", "l_tax", F.col("l_extendedprice").alias("y"))
 
 
 LINE_FEATS = ["l_quantity", "l_discount", "l_tax"]
@@ -70,7 +69,18 @@ def _(spark, sf):
     return m.select(F.round("slope", 6).alias("slope"), F.round("intercept", 4).alias("intercept"), F.round("r2", 9).alias("r2"))
 
 
-@query("mdl1_ols")
+# the normal equations of three centred features, solved by determinants
+OLS_SQL = """WITH m AS (SELECT covar_pop(l_quantity, l_quantity) AS a, covar_pop(l_quantity, l_discount) AS b, covar_pop(l_quantity, l_tax) AS c, covar_pop(l_discount, l_discount) AS d,
+   covar_pop(l_discount, l_tax) AS e, covar_pop(l_tax, l_tax) AS f, covar_pop(l_quantity, l_extendedprice) AS p, covar_pop(l_discount, l_extendedprice) AS q, covar_pop(l_tax, l_extendedprice) AS r,
+   avg(l_quantity) AS mq, avg(l_discount) AS md, avg(l_tax) AS mt, avg(l_extendedprice) AS my FROM lineitem),
+   t AS (SELECT *, a * (d * f - e * e) - b * (b * f - e * c) + c * (b * e - d * c) AS det FROM m),
+   w AS (SELECT *, (p * (d * f - e * e) - b * (q * f - e * r) + c * (q * e - d * r)) / det AS w1, (a * (q * f - e * r) - p * (b * f - e * c) + c * (b * r - q * c)) / det AS w2,
+   (a * (d * r - q * e) - b * (b * r - q * c) + p * (b * e - d * c)) / det AS w3 FROM t)
+   SELECT 'l_quantity' AS feature, round(w1, 4) AS coefficient FROM w UNION ALL SELECT 'l_discount', round(w2, 4) FROM w UNION ALL SELECT 'l_tax', round(w3, 4) FROM w
+   UNION ALL SELECT 'intercept', round(my - w1 * mq - w2 * md - w3 * mt, 4) FROM w"""
+
+
+@query("mdl1_ols", OLS_SQL)
 def _(spark, sf):
     return _coefs(linear.fit_ols(line_features(spark, sf), LINE_FEATS, "y"), LINE_FEATS)
 
@@ -235,11 +245,18 @@ def _(spark, sf):
     return cluster.sweep_dbscan(load(spark, sf, "customer"), "c_custkey", ["c_acctbal"], [5.5, 9.5], [3])
 
 
-@query("mdl23_dbscan_vectors")
+@query(
+    "mdl23_dbscan_vectors",
+    """WITH RECURSIVE e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+       p AS (SELECT a.id AS a, b.id AS b FROM e a, e b WHERE list_distance(a.v, b.v) <= 1.12), c AS (SELECT a AS id FROM p GROUP BY 1 HAVING count(*) >= 4),
+       k AS (SELECT a, b FROM p WHERE a IN (FROM c) AND b IN (FROM c)), w AS (SELECT id AS a, id AS b FROM c UNION SELECT w.a, k.b FROM w JOIN k ON w.b = k.a),
+       r AS (SELECT a AS id, min(b) AS root FROM w GROUP BY 1),
+       l AS (SELECT e.id, coalesce(any_value(me.root), min(r.root)) AS root FROM e LEFT JOIN r me ON me.id = e.id LEFT JOIN p ON p.a = e.id LEFT JOIN r ON r.id = p.b GROUP BY 1),
+       n AS (SELECT root, dense_rank() OVER (ORDER BY root) - 1 AS num FROM (SELECT DISTINCT root FROM l WHERE root IS NOT NULL))
+       SELECT id AS vec_id, CAST(coalesce(num, -1) AS BIGINT) AS cluster FROM l LEFT JOIN n USING (root)""",
+)
 def _(spark, sf):
-    e = load(spark, sf, "embeddings")
-    found = cluster.dbscan(e, "vec_id", "embedding", 1.0, 3)
-    return evaluate.cluster_sizes(found, "cluster")
+    return cluster.dbscan(load(spark, sf, "embeddings"), "vec_id", "embedding", 1.12, 4)
 
 
 @query("mdl24_hierarchical")

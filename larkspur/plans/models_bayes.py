@@ -133,7 +133,19 @@ def _(spark, sf):
     return knn_classify(e.where("part = 'train'"), e.where("part = 'test'"), "vec_id", "embedding", "label", 5)
 
 
-@query("spl9_smote")
+SMOTE_SQL = f"""WITH e AS (SELECT vec_id AS id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+   s AS (SELECT label, count(*) AS n, max(count(*)) OVER () - count(*) AS extra FROM e GROUP BY 1),
+   near AS (SELECT a.id, b.id AS neighbor, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS rk FROM e a JOIN e b ON a.label = b.label AND a.id <> b.id),
+   r AS (SELECT id, label, n, extra, row_number() OVER (PARTITION BY label ORDER BY {H.format('id', '42base')}, id) - 1 AS i FROM e JOIN s USING (label) WHERE extra > 0),
+   c AS (SELECT id, label, n, unnest(range(1, 1 + CAST(extra // n + CASE WHEN i < extra % n THEN 1 ELSE 0 END AS BIGINT))) AS copy FROM r),
+   d AS (SELECT id, label, copy, {H.format("(id || '/' || copy)", '42pick')} % least(5, n - 1) + 1 AS rk, {H.format("(id || '/' || copy)", '42u')} / 4294967296.0 AS u FROM c),
+   m AS (SELECT d.label, d.id AS base, near.neighbor, d.copy, list_sum(list_transform(list_zip(x.v, w.v), lambda p: p[1] + u * (p[2] - p[1]))) AS checksum
+         FROM d JOIN near ON near.id = d.id AND near.rk = d.rk JOIN e x ON x.id = d.id JOIN e w ON w.id = near.neighbor)
+   SELECT label, base, neighbor, copy, round(checksum, 6) AS checksum FROM m
+   UNION ALL SELECT label, id, NULL, 0, round(list_sum(v), 6) FROM e"""
+
+
+@query("spl9_smote", SMOTE_SQL)
 def _(spark, sf):
     made = resample.smote(load(spark, sf, "embeddings"), "vec_id", "embedding", "label")
     return made.select("label", "base", "neighbor", "copy", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("checksum"))

@@ -67,10 +67,11 @@ def test_dbscan_all_noise(spark):
     assert {r["cluster"] for r in got.collect()} == {-1}
 
 
-def test_components_of_a_long_chain(spark):
+@pytest.mark.parametrize("small", [0, 10_000])
+def test_components_of_a_long_chain(spark, small):
     chain = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     other = spark.range(1000, 1010).select(F.lit(1000).cast("bigint").alias("a"), F.col("id").alias("b"))
-    roots = {r["node"]: r["root"] for r in cluster.components(chain.union(other)).collect()}
+    roots = {r["node"]: r["root"] for r in cluster.components(chain.union(other), small=small).collect()}
     assert all(roots[i] == 0 for i in range(1, 301)) and all(roots[i] == 1000 for i in range(1001, 1010))
 
 
