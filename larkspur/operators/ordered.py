@@ -15,6 +15,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 RANK_BITS = 12
+MAX_RANK_BITS = 18
 MAX_BINS = 1024
 QUANTILE_BINS = 256
 # `percentile` keeps every distinct value of a group in one buffer; beyond this many
@@ -50,10 +51,13 @@ def hash_rank(
     within: Sequence[str] = (),
     out: str = "rank",
     size: str | None = None,
-    bits: int = RANK_BITS,
+    bits: int | None = None,
 ) -> DataFrame:
     """0-based rank of each row by hash of its unique key, per `within` group. `size` names a column for
     the row count of the group, which falls out of the same small table."""
+    if bits is None:  # a few bins per shuffle partition
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        bits = max(RANK_BITS, min(MAX_RANK_BITS, width.bit_length() + 2))
     rows = df.withColumn("_h", hash_order(key, seed)).withColumn("_bin", F.shiftright("_h", 32 - bits))
     return _rank_in_bins(rows, list(within), [F.col("_h"), F.col(key)], out, size).drop("_h", "_bin")
 

@@ -1,5 +1,10 @@
 """Source, sink and streaming queries. Files are written by Spark from the given tables."""
 
+import uuid
+import zipfile
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import functions as F
 
 from larkspur.functions.text_cols import collapse
@@ -62,14 +67,61 @@ def messages(spark, sf):
     return d.select(F.concat(F.lit("/mail/"), folder, F.lit("/"), "doc_id").alias("path"), F.encode(raw, "UTF-8").alias("content"))
 
 
-@query(
-    "txt1_parse_mail",
-    r"""SELECT '/mail/' || CASE WHEN doc_id % 3 = 0 THEN 'spam_2' ELSE 'easy_ham' END || '/' || doc_id AS path, CAST(doc_id % 3 = 0 AS INT) AS label, 'note ' || doc_id AS subject,
-       source || '.example.org' AS sender_domain, 'text/plain,text/html,image/png' AS content_types, md5(trim(regexp_replace(text, '\s+', ' ', 'g')) || ' <p>n=3D' || doc_id || '</p>') AS text FROM documents""",
-)
+MAIL_SQL = r"""SELECT CASE WHEN doc_id % 3 = 0 THEN 'spam_2' ELSE 'easy_ham' END || '/' || doc_id AS path, CAST(doc_id % 3 = 0 AS INT) AS label, 'note ' || doc_id AS subject,
+   source || '.example.org' AS sender_domain, 'text/plain,text/html,image/png' AS content_types, md5(trim(regexp_replace(text, '\s+', ' ', 'g')) || ' <p>n=3D' || doc_id || '</p>') AS text FROM documents"""
+
+
+def _mail_rows(m):
+    return m.select(
+        F.regexp_extract("path", "([^/]+/[^/]+)$", 1).alias("path"),
+        "label",
+        "subject",
+        "sender_domain",
+        F.array_join("content_types", ",").alias("content_types"),
+        F.md5(collapse("text")).alias("text"),
+    )
+
+
+@query("txt1_parse_mail", MAIL_SQL)
+def _(spark, sf):
+    return _mail_rows(mail.with_mail_columns(mail.parse_mail(messages(spark, sf))))
+
+
+def _store(root, zipped):
+    """Task-side writer of messages: one file each, or one archive per batch."""
+
+    def run(batches):
+        for b in batches:
+            system, base = fs.FileSystem.from_uri(root)
+            if zipped:
+                system.create_dir(base, recursive=True)
+                with system.open_output_stream(f"{base}/{uuid.uuid4().hex}.zip") as f, zipfile.ZipFile(f, "w") as z:
+                    for path, raw in zip(b["path"], b["content"]):
+                        z.writestr(path.lstrip("/"), bytes(raw))
+            else:
+                for folder in {p.rsplit("/", 1)[0] for p in b["path"]}:
+                    system.create_dir(base + folder, recursive=True)
+                for path, raw in zip(b["path"], b["content"]):
+                    with system.open_output_stream(base + path) as f:
+                        f.write(bytes(raw))
+            yield pd.DataFrame({"n": [len(b)]})
+
+    return run
+
+
+@query("src3_read_mail", MAIL_SQL)
+def _(spark, sf):
+    root = scratch_path(spark, "src3")
+    messages(spark, sf).mapInPandas(_store(root, False), "n bigint").agg(F.sum("n")).collect()
+    return _mail_rows(mail.read_mail(spark, root))
+
+
+@query("src4_read_mail_zip", MAIL_SQL)
 def _(spark, sf):
-    m = mail.with_mail_columns(mail.parse_mail(messages(spark, sf)))
-    return m.select("path", "label", "subject", "sender_domain", F.array_join("content_types", ",").alias("content_types"), F.md5(collapse("text")).alias("text"))
+    root = scratch_path(spark, "src4")
+    # a task that runs twice may leave a second archive of the same messages, hence the distinct
+    messages(spark, sf).mapInPandas(_store(root, True), "n bigint").agg(F.sum("n")).collect()
+    return _mail_rows(mail.read_mail_zip(spark, f"{root}/*.zip")).distinct()
 
 
 @query(

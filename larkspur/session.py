@@ -22,6 +22,7 @@ def get_session(app: str = "larkspur", master: str | None = None, partitions: in
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         b = b.master(master)
