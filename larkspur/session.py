@@ -26,6 +26,8 @@ def get_session(app: str = "larkspur", master: str | None = None, partitions: in
     )
     if master:
         b = b.master(master)
+        if master.startswith("local"):  # one JVM does all the work; the default heap is 1 GB
+            b = b.config("spark.driver.memory", "8g")
     if partitions:
         b = b.config("spark.sql.shuffle.partitions", str(partitions))
     return b.getOrCreate()
