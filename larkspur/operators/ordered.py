@@ -154,14 +154,14 @@ def running_sums(
     return joined.drop("_bin", "_slot_key", *[f"_o_{c}" for c in sums], *[f"_s_{c}" for c in sums])
 
 
-def value_borders(df: DataFrame, cols: Sequence[str], bins: int) -> tuple[dict[str, list], int]:
-    """Approximate quantiles per column as bin borders, and the largest approximate distinct count."""
+def value_borders(df: DataFrame, cols: Sequence[str], bins: int) -> tuple[dict[str, list], dict[str, int]]:
+    """Approximate quantiles per column as bin borders, and the approximate distinct count per column."""
     probs = [i / bins for i in range(1, bins)]
-    aggs = [F.percentile_approx(F.col(c).cast("double"), probs, 10 * bins).alias(f"b{i}") for i, c in enumerate(cols)]
+    aggs = [F.percentile_approx(F.col(c).cast("double"), probs, 4 * bins).alias(f"b{i}") for i, c in enumerate(cols)]
     aggs += [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs).first()
     borders = {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(cols)}
-    return borders, max((row[f"d{i}"] for i in range(len(cols))), default=0)
+    return borders, {c: row[f"d{i}"] for i, c in enumerate(cols)}
 
 
 def exact_quantiles(
@@ -174,17 +174,22 @@ def exact_quantiles(
 ) -> DataFrame:
     """Linear-interpolated exact quantiles, one row per group and column, quantiles in array `q`.
 
-    Few distinct values: the built-in `percentile`. Else three steps: count rows per bin, find the
-    bin of every wanted rank, then order only the rows of those bins.
+    Columns of few distinct values: the built-in `percentile`. The others take three steps: count rows
+    per bin, find the bin of every wanted rank, then order only the rows of those bins.
     """
     by, cols, probs = list(by), list(cols), list(probs)
     borders, distinct = value_borders(df, cols, bins or max(QUANTILE_BINS, bin_count(df)))
-    if distinct <= distinct_limit:
-        aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c) for c in cols]
-        wide = df.groupBy(*by).agg(*aggs)
-        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in cols])
-        return wide.select(*by, F.inline(cells))
-    return _narrowed_quantiles(df, cols, probs, by, borders)
+    few = [c for c in cols if distinct[c] <= distinct_limit]
+    many = [c for c in cols if distinct[c] > distinct_limit]
+    out = None
+    if few:
+        aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c) for c in few]
+        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in few])
+        out = df.groupBy(*by).agg(*aggs).select(*by, F.inline(cells))
+    if many:
+        wide = _narrowed_quantiles(df, many, probs, by, {c: borders[c] for c in many})
+        out = wide if out is None else out.unionByName(wide)
+    return out
 
 
 def _narrowed_quantiles(df: DataFrame, cols: list, probs: list, by: list, borders: dict) -> DataFrame:
