@@ -17,8 +17,6 @@ from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _dista
 from larkspur.operators.ordered import position
 from larkspur.session import settle
 
-SMALL_GRAPH = 1_000_000  # edges that one task may resolve
-
 
 def as_vectors(df: DataFrame, col: str, out: str = "features") -> DataFrame:
     """An array column as an ml vector."""
@@ -40,39 +38,14 @@ def add_cluster_feature(df: DataFrame, model: PipelineModel, feats: str, cluster
     return VectorAssembler(inputCols=[feats, cluster], outputCol=out).transform(model.transform(df))
 
 
-def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest node of each component of n nodes: hang roots on smaller roots, then cut paths short."""
-    root = np.arange(n)
-    while True:
-        before = root.copy()
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, before[a], low)
-        np.minimum.at(root, before[b], low)
-        while (root[root] != root).any():
-            root = root[root]
-        if (root == before).all():
-            return root
-
-
-def components(edges: DataFrame, max_rounds: int = 100, small: int = SMALL_GRAPH) -> DataFrame:
+def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """(node, root): the smallest node of each connected component, from edges (a, b).
 
-    The edges are counted first: a graph of at most `small` of them is one task's work. A larger one
-    alternates two star steps: hang larger neighbours on the smallest neighbour, then smaller ones. The
+    Two star steps alternate: hang larger neighbours on the smallest neighbour, then smaller ones. The
     graph shrinks to stars in about log rounds, whatever its diameter; hot nodes only ever take a minimum,
     which combines before the shuffle. Each round is checkpointed.
     """
     cur = settle(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    if cur.count() <= small:
-        kind = cur.schema["a"].dataType.simpleString()
-
-        def solve(pairs: pd.DataFrame) -> pd.DataFrame:
-            names, at = np.unique(np.concatenate([pairs["a"].to_numpy(), pairs["b"].to_numpy()]), return_inverse=True)
-            root = _roots(len(names), at[: len(pairs)], at[len(pairs):])
-            moved = root != np.arange(len(names))
-            return pd.DataFrame({"node": names[moved], "root": names[root[moved]]})
-
-        return cur.groupBy().applyInPandas(solve, f"node {kind}, root {kind}")
     seen = None
     for _ in range(max_rounds):
         both = cur.union(cur.select("b", "a"))
