@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import decontaminate, simhash
+from larkspur.llm import decontaminate, repeats, simhash
 from larkspur.plans.registry import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,16 @@ def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(load(spark, sf_dir, "documents"), words=4, max_bits=4)
 
 
+@query("op5_repeats")
+def op5_repeats(spark, sf_dir):
+    out = repeats.remove_repeats(load(spark, sf_dir, "documents"), size=400)
+    n_removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return out.select(
+        "doc_id", (F.octet_length("kept") + n_removed).alias("n_bytes"), n_removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query("op10_decontaminate")
 def op10_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), window=10)
