@@ -107,7 +107,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     Other columns are not read.
     """
     spark = docs.sparkSession
-    src = id_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
+    src = id_text(docs, id_col, text_col)
     items = benchmark.select(benchmark[item_col].cast("string").alias("item_id"), benchmark[item_text].cast("string").alias("text"))
     span = pa.list_(pa.struct([("from", pa.int64()), ("to", pa.int64())]))
     found = [("n_words", pa.int64()), ("spans", span), ("items", pa.list_(pa.string()))]
@@ -116,12 +116,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_co
     def search(part: list[tuple[str, bytes]], rows: DataFrame) -> DataFrame:
         sent = spark.sparkContext.broadcast(part)
         key, kind = rows.dtypes[0]
-        schema = pa.schema([(key, pa.string() if kind == "string" else pa.int64()), *found])
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = [x for x, _ in sent.value]
             find = Search((w, i) for i, (_, text) in enumerate(sent.value) for w in windows(text, window))
             for b in batches:
+                schema = pa.schema([b.schema.field(0), *found])
                 cols: list[list] = [[], [], []]
                 for text in raw(b.column(1)):
                     w = words_of(text)

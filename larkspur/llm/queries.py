@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import decontaminate, repeats, simhash
+from larkspur.llm import bpe, decontaminate, quality, repeats, simhash
 from larkspur.plans.registry import load
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,18 @@ def op5_repeats(spark, sf_dir):
     )
 
 
+@query("op6_bpe")
+def op6_bpe(spark, sf_dir):
+    out = bpe.encode(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return bpe.digests(out).drop("ids", "decoded")
+
+
+@query("op8_quality")
+def op8_quality(spark, sf_dir):
+    docs = load(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.fit(docs, load(spark, sf_dir, "labels")), threshold=0.7)
+
+
 @query("op10_decontaminate")
 def op10_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), window=10)

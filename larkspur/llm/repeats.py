@@ -25,7 +25,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.llm.common import bucket_of, id_text, raw, to_batches
 from larkspur.session import settle
@@ -205,6 +205,42 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", ru
     return found.groupBy("dk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
 
+def with_kept(docs: DataFrame, size: int = SIZE, text_col: str = "text", runs: int = RUNS, hot: int = HOT) -> DataFrame:
+    """(row struct of all columns of `docs`, kept binary, spans): see `remove_repeats`."""
+    found = repeated_spans(docs, size, text_col, runs, hot)
+    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+    both = pa.struct([("kept", pa.binary()), ("spans", span)])
+
+    @F.arrow_udf("struct<kept:binary,spans:array<struct<start:int,end:int>>>")
+    def strip(texts: pa.Array, found: pa.Array) -> pa.Array:
+        kept, gone = [], []
+        for text, some in zip(raw(texts), found.to_pylist()):
+            merged: list[dict[str, int]] = []
+            for s in sorted(some or [], key=lambda s: s["start"]):
+                if merged and s["start"] <= merged[-1]["end"]:
+                    merged[-1]["end"] = max(merged[-1]["end"], s["end"])
+                else:
+                    merged.append(dict(s))
+            ends = [0, *(s["end"] for s in merged)]
+            kept.append(b"".join(text[a: s["start"]] for a, s in zip(ends, merged)) + text[ends[-1]:])
+            gone.append(merged)
+        return pa.StructArray.from_arrays([pa.array(kept, pa.binary()), pa.array(gone, span)], fields=list(both))
+
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].cast("string").alias("text"))
+    keyed = rows.withColumn("dk", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
+    return keyed.join(found, "dk", "left").select("row", strip("text", "spans").alias("out")).select("row", "out.*")
+
+
+def readable(kept: Column) -> Column:
+    """Kept bytes as text; what is left of a character that was cut in two goes too."""
+
+    @F.arrow_udf("string")
+    def run(kept: pa.Array) -> pa.Array:
+        return pa.array([x.decode("utf-8", "ignore") for x in kept.to_pylist()], pa.string())
+
+    return run(kept)
+
+
 def remove_repeats(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", text_col: str = "text", runs: int = RUNS, hot: int = HOT) -> DataFrame:
     """(doc_id, kept binary, spans array<struct<start,end>>) for every row of `docs`.
 
@@ -213,25 +249,5 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, id_col: str = "doc_id", te
     texts and repeated rows are repeats of one another. `spans` are the maximal removed ranges in input bytes.
     Null ids are kept; an empty table gives an empty result; other columns are not read.
     """
-    spans = repeated_spans(docs, size, text_col, runs, hot)
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    schema = pa.schema([("doc_id", pa.int64()), ("kept", pa.binary()), ("spans", span)])
-
-    def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            kept, gone = [], []
-            for text, found in zip(raw(b.column(1)), b.column(2).to_pylist()):
-                merged: list[dict[str, int]] = []
-                for s in sorted(found or [], key=lambda s: s["start"]):
-                    if merged and s["start"] <= merged[-1]["end"]:
-                        merged[-1]["end"] = max(merged[-1]["end"], s["end"])
-                    else:
-                        merged.append(dict(s))
-                ends = [0, *(s["end"] for s in merged)]
-                kept.append(b"".join(text[a: s["start"]] for a, s in zip(ends, merged)) + text[ends[-1]:])
-                gone.append(merged)
-            yield from to_batches(schema, [[b.column(0), kept, gone]])
-
-    src = id_text(docs, id_col, text_col).withColumn("doc_id", F.col("doc_id").cast("long"))
-    keyed = src.withColumn("dk", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))))
-    return keyed.join(spans, "dk", "left").select("doc_id", "text", "spans").mapInArrow(strip, "doc_id long, kept binary, spans array<struct<start:int,end:int>>")
+    src = id_text(docs, id_col, text_col)
+    return with_kept(src, size, "text", runs, hot).select("row.doc_id", "kept", "spans")
