@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import bpe, decontaminate, quality, repeats, simhash
+from larkspur.llm import bpe, decontaminate, idfiles, lengths, licences, lm, quality, repeats, simhash, topk
 from larkspur.plans.registry import load
+from larkspur.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,11 +25,33 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+@query("op1_license_scan", licences.oracle())
+def op1_license_scan(spark, sf_dir):
+    """Documents as files source/lang/doc_id; those of at most 300 characters are the licence files."""
+    docs = load(spark, sf_dir, "documents")
+    files = docs.select(F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string")).alias("path"), "text")
+    found = licences.scan(files, licence_file=F.length("text") <= 300, threshold=0.7)
+    return found.withColumn("score", F.round("score", 6))
+
+
+@query("op2_token_counts")
+def op2_token_counts(spark, sf_dir):
+    found = lengths.token_lengths(load(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return lengths.suffix_sums(lengths.histogram(found))
+
+
 @query("op3_simhash")
 def op3_simhash(spark, sf_dir):
     return simhash.near_duplicates(load(spark, sf_dir, "documents"), words=4, max_bits=4)
 
 
+@query("op4_id_files")
+def op4_id_files(spark, sf_dir):
+    path = scratch_path(spark, "ids")
+    idfiles.write_ids(load(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), path)
+    return idfiles.read_digests(spark, path).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 @query("op5_repeats")
 def op5_repeats(spark, sf_dir):
     out = repeats.remove_repeats(load(spark, sf_dir, "documents"), size=400)
@@ -45,12 +68,39 @@ def op6_bpe(spark, sf_dir):
     return bpe.digests(out).drop("ids", "decoded")
 
 
+@query(
+    "op7_topk",
+    """
+    WITH v AS (
+        SELECT vec_id, [floor(256 * x::DOUBLE) for x in embedding] AS e FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    ), s AS (
+        SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+        FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+    )
+    SELECT query_id, rank, vec_id, score FROM (
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM s
+    ) WHERE rank <= 5""",
+)
+def op7_topk(spark, sf_dir):
+    whole = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
+    v = load(spark, sf_dir, "embeddings")
+    usable = "embedding is not null and not exists(embedding, x -> x is null or isnan(x) or abs(x) = double('infinity'))"
+    v = v.where(usable).select("vec_id", whole.alias("embedding"))
+    return topk.top_k(v, v.where("vec_id % 50 = 0"), k=5)
+
+
 @query("op8_quality")
 def op8_quality(spark, sf_dir):
     docs = load(spark, sf_dir, "documents")
     return quality.classify(docs, quality.fit(docs, load(spark, sf_dir, "labels")), threshold=0.7)
 
 
+@query("op9_lm_score")
+def op9_lm_score(spark, sf_dir):
+    return lm.lm_scores(load(spark, sf_dir, "documents"))
+
+
 @query("op10_decontaminate")
 def op10_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"), window=10)
