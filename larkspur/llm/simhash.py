@@ -82,7 +82,9 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     shift = np.uint64(64 - bits)
     ranges = -(-n * len(masks) // KEYS)
     borders = np.array([(b << bits) // ranges for b in range(ranges)], np.uint64)
-    chunks = settle(prints.groupBy(bucket_of(F.col("fp"), -(-n // CHUNK)).alias("chunk")).agg(F.collect_list("fp").alias("fps")))
+    lots = -(-n // CHUNK)
+    chunks = prints.withColumn("chunk", bucket_of(F.col("fp"), lots)).repartition(lots, "chunk")  # small rows, long work: a task for each
+    chunks = settle(chunks.groupBy("chunk").agg(F.collect_list("fp").alias("fps")))
 
     packed = pa.schema([("chunk", pa.int32()), ("range", pa.int32()), ("keys", pa.binary())])
 
