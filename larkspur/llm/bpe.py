@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +22,8 @@ from tokenizers import Tokenizer
 
 from larkspur.llm.common import id_text, raw, to_batches
 
-CACHE_BYTES = 48 << 20  # chunk text that a worker remembers
-ROWS = 1000  # rows of one output batch
+CACHE_BYTES = 16 << 20  # chunk text that a worker remembers
+ROWS = 250  # rows of one output batch
 K = np.uint64(0x9E3779B97F4A7C15)
 #: Fixed value: how the vocabulary's byte-level pre-tokenizer splits a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -52,9 +52,7 @@ class Codec:
         order = [vocab[a + b] for a, b in merges]
         if order != sorted(order) or spec["normalizer"] is not None:
             raise ValueError("not a byte-level vocabulary whose ids follow its merges")
-        self.whole = Tokenizer.from_file(path)
-        self.whole.no_truncation()
-        self.whole.no_padding()
+        self.path = path
         self.fast = tiktoken.Encoding("chunks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         size = max([*vocab.values(), *special.values()]) + 1
         self.token = [b""] * size
@@ -64,6 +62,13 @@ class Codec:
         self.memory: dict[bytes, np.ndarray] = {}
         self.held = 0
 
+    @cached_property
+    def whole(self) -> Tokenizer:
+        t = Tokenizer.from_file(self.path)
+        t.no_truncation()
+        t.no_padding()
+        return t
+
     def chunk(self, text: bytes) -> np.ndarray:
         """Ids of one chunk, from memory if it was met before."""
         ids = self.memory.get(text)

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 WHITE = rb"[\x20\x09-\x0D]"
 
@@ -16,6 +16,13 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].cast("string").alias("text"))
 
 
+def lean(spark: SparkSession) -> SparkSession:
+    """The session, with batches to Python workers cut to 1,000 rows: texts are long, and ten thousand of
+    them at once are held three times over (JVM, Arrow, worker)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """A string column's values as UTF-8; null reads as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

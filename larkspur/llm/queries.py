@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.llm import bpe, decontaminate, idfiles, lengths, licences, lm, quality, repeats, simhash, topk
-from larkspur.plans.registry import load
+from larkspur.llm.common import lean
+from larkspur.plans import registry
 from larkspur.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return registry.load(lean(spark), sf_dir, name)
+
+
 def query(name: str, sql: str | None = None):
     def wrap(fn):
         QUERIES[name] = fn

@@ -140,14 +140,12 @@ def _settle_runs(fine: DataFrame, size: int, runs: int) -> DataFrame:
     def solve(t: pa.Table) -> pa.Table:
         g, s0, s1, p = (t[c].to_numpy() for c in ("g", "s0", "s1", "p"))
         dk, ask = t["dk"].to_pylist(), t["ask"].to_numpy()
-        found: dict[int, list[int]] = {}
+        found = np.zeros((len(g), SPAN), bool)  # by offset before the anchor
         for o, who, twin in columns(g, p - s0, t["bytes"].to_pylist(), size):
-            hit = who[twin & ask[who] & (p[who] - o <= s1[who])]
-            for i in hit.tolist():
-                found.setdefault(i, []).append(o)
+            found[who[twin & ask[who] & (p[who] - o <= s1[who])], o] = True
         out: list[list] = [[], [], []]
-        for i, os in found.items():
-            a, b = spans_of(np.sort(p[i] - np.array(os)), size)
+        for i in np.flatnonzero(found.any(axis=1)).tolist():
+            a, b = spans_of(np.sort(p[i] - np.flatnonzero(found[i])), size)
             out[0] += [dk[i]] * len(a)
             out[1] += a.tolist()
             out[2] += b.tolist()
