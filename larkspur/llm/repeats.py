@@ -181,9 +181,6 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", ru
     kept = settle(marks.join(shared.select("g", "whole"), "g"))
     mixed = kept.where("not whole")
     same = mixed.groupBy("g", "h").agg(F.count("*").alias("n"), F.min(F.struct("dk", "p", "s0", "s1")).alias("one"))
-    sure = kept.where("whole").select("dk", "s0", "s1").union(
-        mixed.join(same.where("n > 1").select("g", "h"), ["g", "h"]).select("dk", "s0", "s1")
-    ).select("dk", F.col("s0").alias("start"), (F.col("s1") + size).alias("end"))
     fine = same.select("g", (F.col("n") == 1).alias("ask"), "one.*")
     many = fine.groupBy("g").agg(F.count("*").alias("many"))
     fine = fine.join(many, "g").withColumn("many", F.col("many") > hot)
@@ -199,8 +196,13 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", ru
 
     by_digest = texts.where(F.octet_length("text") >= size).select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("dk"), "text")
     segments = settle(by_digest.join(wanted, "dk").select("dk", "text", "runs").mapInArrow(take, "g long, ask boolean, dk binary, p int, s0 int, s1 int, many boolean, bytes binary"))
-    found = sure.union(_settle_runs(segments.where("not many"), size, runs)).union(_single_windows(segments.where("many"), size))
-    return found.groupBy("dk").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    windows = _settle_runs(segments.where("not many"), size, runs).union(_single_windows(segments.where("many"), size))
+    # a text's runs repeat as a whole but for those that stand alone in a mixed group: these are taken off again
+    # where the text's rows meet, so that no join gives each copy of a hot run its count
+    rows = kept.select("dk", F.col("s0").alias("start"), (F.col("s1") + size).alias("end"), F.lit("run").alias("kind"))
+    rows = rows.union(fine.where("ask").select("dk", "s0", F.col("s1") + size, F.lit("alone"))).union(windows.select("*", F.lit("window")))
+    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.struct("start", "end")))
+    return rows.groupBy("dk").agg(of("run").alias("a"), of("alone").alias("b"), of("window").alias("c")).select("dk", F.array_union(F.array_except("a", "b"), "c").alias("spans")).where(F.size("spans") > 0)
 
 
 def with_kept(docs: DataFrame, size: int = SIZE, text_col: str = "text", runs: int = RUNS, hot: int = HOT) -> DataFrame:
