@@ -3,7 +3,7 @@
 Rows are dealt into blocks of vectors, and a block keeps, for each component, its rows in ascending order of
 that component: read forwards or backwards, that is the list sorted by a query's product there. Query blocks
 meet row blocks by an equi-join on the block number. In a pair, each query reads all lists side by side, in
-rounds that double the depth. What a row has shown so far bounds its score: unseen products lie between the
+rounds that double the depth (or, where the bounds still rule little out, go to the end). What a row has shown so far bounds its score: unseen products lie between the
 list's last value and the value last read. When no more than k rows can reach the k-th best lower bound the
 rest is out; lists are read on until the rows left are seen in full, as no list is ever looked up by row.
 """
@@ -37,13 +37,12 @@ def best(order: np.ndarray, value: np.ndarray, query: np.ndarray, k: int) -> tup
         edge = np.where(back, seen[:, -1], seen[:, 0])  # the value last read of each list
         low = np.bincount(ids, (seen - least[:, None]).ravel(), n) + least.sum()
         high = np.bincount(ids, (seen - edge[:, None]).ravel(), n) + edge.sum()
-        full = np.bincount(ids, minlength=n) == d
         bar = np.partition(low, n - k)[n - k]
         inside = high >= bar
-        if full[inside].all():  # outsiders cannot qualify, and those inside have been read to the end
+        if 4 * np.count_nonzero(inside) < n and (np.bincount(ids, minlength=n)[inside] == d).all():  # outsiders cannot qualify, and those inside have been read to the end
             at = np.flatnonzero(inside)
             return at, np.rint(low[at])
-        depth *= 2
+        depth = 2 * depth if 4 * np.count_nonzero(inside) < n else n  # bounds that rule little out won't soon
     score = np.bincount(order.ravel(), product.ravel(), n)
     bar = np.partition(score, n - k)[n - k] if n > k else -np.inf
     at = np.flatnonzero(score >= bar)
