@@ -201,8 +201,13 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", ru
     # where the text's rows meet, so that no join gives each copy of a hot run its count
     rows = kept.select("dk", F.col("s0").alias("start"), (F.col("s1") + size).alias("end"), F.lit("run").alias("kind"))
     rows = rows.union(fine.where("ask").select("dk", "s0", F.col("s1") + size, F.lit("alone"))).union(windows.select("*", F.lit("window")))
-    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, F.struct("start", "end")))
-    return rows.groupBy("dk").agg(of("run").alias("a"), of("alone").alias("b"), of("window").alias("c")).select("dk", F.array_union(F.array_except("a", "b"), "c").alias("spans")).where(F.size("spans") > 0)
+    # one number for each range: set operations on arrays of structs compare all with all
+    code = F.shiftleft(F.col("start").cast("long"), 32) + F.col("end")
+    of = lambda kind: F.collect_set(F.when(F.col("kind") == kind, code))
+    sets = rows.groupBy("dk").agg(of("run").alias("a"), of("alone").alias("b"), of("window").alias("c"))
+    codes = sets.select("dk", F.array_union(F.array_except("a", "b"), "c").alias("codes")).where(F.size("codes") > 0)
+    span = lambda x: F.struct(F.shiftright(x, 32).cast("int").alias("start"), x.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("end"))
+    return codes.select("dk", F.transform("codes", span).alias("spans"))
 
 
 def with_kept(docs: DataFrame, size: int = SIZE, text_col: str = "text", runs: int = RUNS, hot: int = HOT) -> DataFrame:
