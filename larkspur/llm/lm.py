@@ -32,7 +32,7 @@ from larkspur.llm.quality import held_out
 from larkspur.session import settle
 
 CHUNK_DOCS = 4096
-RANGE_BYTES = 64 << 20  # corpus text for each range of keys
+RANGE_BYTES = 16 << 20  # corpus text for each range of keys
 FILTER_BYTES = 64 << 20  # bound of the filter, and so of the broadcast
 WIDE = 16  # a word in more documents of a chunk than this waits for its total
 PROBES = 2
@@ -103,9 +103,9 @@ def middle(level: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    def __init__(self, segments: list[bytes]):
-        self.n, self.bits = len(segments), 8 * len(segments[0])
-        self.bytes = np.frombuffer(b"".join(segments), np.uint8)
+    def __init__(self, segments: bytes, n: int):
+        self.n, self.bits = n, 8 * len(segments) // n
+        self.bytes = np.frombuffer(segments, np.uint8)
 
     def level(self, keys: np.ndarray) -> np.ndarray:
         """The highest level up to which every entry of each key is there."""
@@ -209,8 +209,10 @@ def _count(bits: int):
         segment = np.zeros(bits // 8, np.uint8)
         if pairs:
             keys, counts = np.concatenate([unpack_sorted(x[0]) for _, x in pairs]), np.concatenate([x[1] for _, x in pairs])
+            pairs.clear()
             order = np.argsort(keys)
             keys, counts = keys[order], counts[order].astype(np.int64)
+            del order
             first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
             set_bits(keys[first], np.add.reduceat(counts, first), bits, segment)
         n = v = 0
@@ -300,7 +302,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     n, v = sum(x for x, _ in told), sum(x for _, x in told)
     found = {r["chunk"]: bytes(r["data"]) for r in counted.where(F.col("kind") == SEGMENT).select("chunk", "data").collect()}
     none = bytes(bits // 8)
-    grams = spark.sparkContext.broadcast([found.get(r, none) for r in range(ranges)])
+    grams = spark.sparkContext.broadcast(b"".join(found.get(r, none) for r in range(ranges)))
     base = counted.where(F.col("kind").isin(WORDS, PLACES)).groupBy("chunk").applyInArrow(_base(n, v), BASE_DDL)
 
     schema = pa.schema([("digest", pa.binary()), ("score", pa.float64())])
@@ -308,7 +310,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ready = None
         for b in batches:
-            ready = ready or Filter(grams.value)
+            ready = ready or Filter(grams.value, ranges)
             for i in range(0, b.num_rows, CHUNK_DOCS):
                 texts = raw(b.column(0).slice(i, CHUNK_DOCS))
                 yield from to_batches(schema, [[[hashlib.md5(t).digest() for t in texts], score_texts(texts, ready, n, v, mix)]])

@@ -61,7 +61,7 @@ def test_filter_levels():
     bits = 1 << 20
     part = np.zeros(bits // 8, np.uint8)
     lm.set_bits(keys, counts, bits, part)
-    f = lm.Filter([part.tobytes()])
+    f = lm.Filter(part.tobytes(), 1)
     level = f.level(keys)
     true = lm.levels_of(counts)
     assert (level >= true).all() and (level == true).mean() > 0.97
