@@ -31,6 +31,14 @@ def collapse(col: str | Column) -> Column:
     return F.trim(F.regexp_replace(_c(col), r"\s+", " "))
 
 
+def _character(n: Column) -> Column:
+    """The character of a code in decimals or, after an x, in hex digits; a code that is none stays as it was written."""
+    code = F.when(F.lower(n).startswith("x"), F.conv(F.substring(n, 2, 6), 16, 10)).otherwise(n).cast("bigint")
+    real = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(real, code)), 8, "0")), "UTF-32")
+    return F.coalesce(char, F.concat(F.lit("&#"), n, F.lit(";")))
+
+
 def html_text(col: str | Column) -> Column:
     """Text of a page: no script, style or comment, tags read as a blank, entities decoded, blanks collapsed."""
     out = _c(col)
@@ -40,14 +48,8 @@ def html_text(col: str | Column) -> Column:
     out = F.regexp_replace(out, r"<[^>]*>", " ")
     for entity, char in ENTITIES.items():
         out = F.replace(out, F.lit(entity), F.lit(char))
-    numbers = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&#([0-9]{1,7});"), F.lit(1)))
-    out = F.aggregate(
-        numbers,
-        out,
-        lambda text, n: F.replace(
-            text, F.concat(F.lit("&#"), n, F.lit(";")), F.decode(F.unhex(F.lpad(F.hex(n.cast("bigint")), 8, "0")), "UTF-32")
-        ),
-    )
+    numbers = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1)))
+    out = F.aggregate(numbers, out, lambda text, n: F.replace(text, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
     out = F.replace(out, F.lit("&amp;"), F.lit("&"))
     return collapse(out)
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.linear import with_features
 from larkspur.operators import evaluate
-from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _distances, _matrix, _visits, build_cells, points
+from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _matrix, _visits, build_cells, points, within
 from larkspur.operators.ordered import position
 from larkspur.session import settle
 
@@ -83,7 +83,7 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "n": []})
-        near = _distances(_matrix(a["v"]), _matrix(b["v"])) <= eps
+        near = within(_matrix(a["v"]), _matrix(b["v"]), eps)
         return pd.DataFrame({"id": a["id"], "n": near @ b["weight"].to_numpy()})
 
     counts = _within(reps.select("id", "v"), placed, cells, eps, count, f"id {id_type}, n bigint")
@@ -93,7 +93,7 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
     def forest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []})
-        near = _distances(_matrix(a["v"]), _matrix(b["v"])) <= eps
+        near = within(_matrix(a["v"]), _matrix(b["v"]), eps)
         names, at = np.unique(np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()]), return_inverse=True)
         ia, ib = at[: len(a)], at[len(a):]
         root, far = np.arange(len(names)), len(names)
@@ -119,7 +119,7 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
     def reach(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "root": []})
-        near = _distances(_matrix(a["v"]), _matrix(b["v"])) <= eps
+        near = within(_matrix(a["v"]), _matrix(b["v"]), eps)
         order = np.argsort(b["root"].to_numpy(), kind="stable")
         hit = near[:, order]
         any_hit = hit.any(1)

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from larkspur.operators.ordered import null_safe_join, position
 
 CATEGORY_LIMIT = 1000  # wide one-hot columns per input column
-PAIRWISE_COLUMNS = 16  # above this many columns the correlation matrix comes from ml.stat
 
 
 def fit_categories(df: DataFrame, cols: Sequence[str], limit: int = CATEGORY_LIMIT) -> dict[str, list]:
@@ -114,22 +113,22 @@ def apply_yeo_johnson(df: DataFrame, col: str, lam: float, out: str) -> DataFram
     return apply_scaler(df, fit_scaler(df, [out]))
 
 
+def _corr(a: str, b: str) -> Column:
+    """Pearson correlation over rows with both values, null where one of the columns has no variance."""
+    x, y = F.col(a).cast("double"), F.col(b).cast("double")
+    spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+
+
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation in long form, one row per pair a < b in column order, with positions."""
+    """Pearson correlation in long form, one row per pair a < b in column order, with positions. Each pair
+    counts the rows that have both values; a column without variance there gives null."""
     cols = list(cols)
-    if len(cols) <= PAIRWISE_COLUMNS:
-        cells = [
-            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(cols.index(b)).alias("pos_b"), F.corr(a, b).alias("r"))
-            for a, b in combinations(cols, 2)
-        ]
-        return df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*cols))
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    rows = [(cols[i], cols[j], j, float(m[i, j])) for i, j in combinations(range(len(cols)), 2)]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, pos_b int, r double")
+    cells = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(cols.index(b)).alias("pos_b"), _corr(a, b).alias("r"))
+        for a, b in combinations(cols, 2)
+    ]
+    return df.agg(F.array(*cells).alias("c")).select(F.inline("c"))
 
 
 def prune_correlated(corr: DataFrame, threshold: float = 0.95, how: str = "later") -> DataFrame:
@@ -142,7 +141,7 @@ def prune_correlated(corr: DataFrame, threshold: float = 0.95, how: str = "later
 
 
 def select_by_target_corr(df: DataFrame, cols: Sequence[str], target: str, threshold: float = 0.2) -> DataFrame:
-    cells = [F.struct(F.lit(c).alias("column"), F.corr(c, target).alias("r")) for c in cols]
+    cells = [F.struct(F.lit(c).alias("column"), _corr(c, target).alias("r")) for c in cols]
     return df.agg(F.array(*cells).alias("c")).select(F.inline("c")).where(F.abs("r") > threshold)
 
 

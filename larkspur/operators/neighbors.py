@@ -44,8 +44,30 @@ def points(df: DataFrame, key: str, feats: str | list) -> DataFrame:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    sq = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
-    return np.sqrt(np.maximum(sq, 0.0))
+    """All distances, to a relative error of 1e-10: by differences in few dimensions, else by products around
+    a shared centre, where the pairs that lose digits that way are worked out by differences."""
+    if a.shape[1] <= 4:
+        return np.sqrt(sum(np.subtract.outer(a[:, j], b[:, j]) ** 2 for j in range(a.shape[1])))
+    centre = b.mean(0)
+    x, y = a - centre, b - centre
+    norms = (x * x).sum(1)[:, None] + (y * y).sum(1)[None, :]
+    sq = norms - 2.0 * (x @ y.T)
+    lost = sq < 1e-3 * norms + 1e-20 * (centre @ centre)
+    for i in np.flatnonzero(lost.any(1)):
+        j = np.flatnonzero(lost[i])
+        sq[i, j] = ((a[i] - b[j]) ** 2).sum(1)
+    return np.sqrt(sq)
+
+
+def within(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
+    """Which pairs are at most `eps` apart; those near the border are decided on their differences."""
+    d = _distances(a, b)
+    near = d <= eps
+    i, j = np.nonzero(np.abs(d - eps) <= 1e-9 * eps)
+    for at in range(0, len(i), 1 << 16):
+        s = slice(at, at + (1 << 16))
+        near[i[s], j[s]] = np.sqrt(((a[i[s]] - b[j[s]]) ** 2).sum(1)) <= eps
+    return near
 
 
 def _matrix(col: pd.Series) -> np.ndarray:
@@ -97,12 +119,14 @@ def _visits(pts: DataFrame, cells: Cells, reach: Callable[[np.ndarray], np.ndarr
             if not len(b):
                 continue
             d = _distances(_matrix(b["v"]), c.pivots)
-            limit = reach(d)[:, None] * (1 + 1e-9) + 1e-9
+            slack = 1e-9 + 1e-12 * np.abs(c.pivots).max()
+            limit = reach(d)[:, None] * (1 + 1e-9) + slack
             own = d.argmin(1)
             # farther pivot's half-space: how deep the cell border lies at least
             gap = between[own]
-            border = np.divide(d**2 - d.min(1)[:, None] ** 2, 2 * gap, out=np.zeros_like(d), where=gap > 0)
-            near = (c.size > 0) & (d - c.radius[None, :] <= limit) & (border <= limit + 1e-7)
+            depth = d**2 * (1 - 1e-9) - d.min(1)[:, None] ** 2 * (1 + 1e-9)
+            border = np.divide(depth, 2 * gap, out=np.zeros_like(d), where=gap > 0)
+            near = (c.size > 0) & (d * (1 - 1e-9) - c.radius[None, :] * (1 + 1e-9) <= limit) & (border <= limit + 1e-7)
             row, cell = np.nonzero(near)
             yield pd.DataFrame({"id": b["id"].to_numpy()[row], "v": b["v"].to_numpy()[row], "cell": cell.astype("int32")})
 
@@ -153,18 +177,18 @@ def nearest(
         qv, dv = _matrix(a["v"]), _matrix(b["v"])
         ids = b["id"].to_numpy()
         rough = _distances(qv, dv)
-        keep = min(len(ids), take + 4)
-        pick = np.argpartition(rough, keep - 1, axis=1)[:, :keep]
-        exact = np.sqrt(((qv[:, None, :] - dv[pick]) ** 2).sum(2))
+        last = min(len(ids), take) - 1
+        bound = np.partition(rough, last, axis=1)[:, last] * (1 + 1e-9)
         out_q, out_n, out_d = [], [], []
         for i, q in enumerate(a["id"].to_numpy()):
-            order = np.lexsort((ids[pick[i]], exact[i]))
+            pick = np.flatnonzero(rough[i] <= bound[i])  # every row that may be among the first, ties included
             if exclude_self:
-                order = order[ids[pick[i]][order] != q]
-            order = order[:k]
+                pick = pick[ids[pick] != q]
+            exact = np.sqrt(((qv[i] - dv[pick]) ** 2).sum(1))
+            order = np.lexsort((ids[pick], exact))[:k]
             out_q.append(np.repeat(q, len(order)))
-            out_n.append(ids[pick[i]][order])
-            out_d.append(exact[i][order])
+            out_n.append(ids[pick][order])
+            out_d.append(exact[order])
         return pd.DataFrame({"id": np.concatenate(out_q), "neighbor": np.concatenate(out_n), "distance": np.concatenate(out_d)})
 
     found = _compare(left, right, top, f"id {id_type}, neighbor {id_type}, distance double")

@@ -14,20 +14,26 @@ def group_size(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
 
 
-def crosstab(df: DataFrame, a: str, b: str, values: Sequence, margins: bool = False) -> DataFrame:
-    """Counts of `a` against the listed values of `b`; with margins an `All` row and column."""
-    src = df.select(F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b))
-    names = [str(v) for v in values]
+def crosstab(df: DataFrame, a: str, b: str, values: Sequence | None = None, margins: bool = False) -> DataFrame:
+    """Counts of `a` against the values of `b`; with margins an `All` row and column.
+
+    The values are found in the data, or listed: then any other value is an error when the rows are read.
+    Rows with a null in either column take no part, in the margins neither. A row category called `All`
+    stays a row of its own; such a column category is refused with margins."""
+    src = df.select(F.col(a).cast("string").alias(a), F.col(b).cast("string").alias(b)).dropna()
+    names = None if values is None else [str(v) for v in values]
+    if names is not None:
+        other = F.raise_error(F.concat(F.lit(f"{b} holds a value that is not listed: "), F.col(b)))
+        src = src.withColumn(b, F.when(F.col(b).isin(names), F.col(b)).otherwise(other))
+    wide = src.groupBy(a).pivot(b, names).agg(F.count(F.lit(1)))
+    cols = [F.coalesce(F.col(f"`{c.replace('`', '``')}`"), F.lit(0).cast("bigint")).alias(c) for c in wide.columns[1:]]
+    wide = wide.select(a, *cols)
     if not margins:
-        wide = src.groupBy(a).pivot(b, names).agg(F.count(F.lit(1)))
-        return wide.na.fill(0).orderBy(a)
-    cube = src.cube(a, b).agg(F.count("*").alias("n"), F.grouping(a).alias("ga"), F.grouping(b).alias("gb"))
-    cube = cube.select(
-        F.when(F.col("ga") == 1, F.lit("All")).otherwise(F.col(a)).alias(a),
-        F.when(F.col("gb") == 1, F.lit("All")).otherwise(F.col(b)).alias(b),
-        "n",
-    )
-    return cube.groupBy(a).pivot(b, [*names, "All"]).agg(F.sum("n")).na.fill(0)
+        return wide.orderBy(a)
+    if "All" in wide.columns[1:]:
+        raise ValueError(f"{b} holds the category All, which is the name of the margin")
+    total = wide.agg(F.lit("All").alias(a), *[F.coalesce(F.sum(c), F.lit(0)).alias(n) for c, n in zip(cols, wide.columns[1:])])
+    return wide.union(total).select(a, *cols, sum(cols, F.lit(0).cast("bigint")).alias("All"))
 
 
 def rate_by_group(df: DataFrame, group: str, label: str, k: int, min_count: int = 0) -> DataFrame:
@@ -52,12 +58,14 @@ def chi_square(df: DataFrame, a: str, b: str, yates: bool | None = None) -> Data
     total = cells.agg(F.sum("n")).scalar()
     n_rows = rows.agg(F.count("*")).scalar()
     n_cols = cols.agg(F.count("*")).scalar()
+    inverse = rows.agg(F.sum(1 / F.col("ra"))).scalar() * cols.agg(F.sum(1 / F.col("cb"))).scalar()
     # Empty cells hold expected mass but no row: their share is the total expected mass minus that of
-    # the cells seen, as (0 - e)^2 / e = e. With the correction the table is 2x2 and usually full.
+    # the cells seen, as (0 - e)^2 / e = e. In a 2x2 table |n - e| is the same in all four cells, so the
+    # corrected statistic needs one of them and the sum of 1 / e, which is total * sum(1/ra) * sum(1/cb).
     seen = null_safe_join(null_safe_join(cells, rows, [a]), cols, [b]).withColumn("e", F.col("ra") * F.col("cb") / total)
     agg = seen.agg(
         F.sum(F.pow(F.col("n") - F.col("e"), 2) / F.col("e")).alias("plain"),
-        F.sum(F.pow(F.greatest(F.abs(F.col("n") - F.col("e")) - 0.5, F.lit(0.0)), 2) / F.col("e")).alias("fixed"),
+        (F.pow(F.greatest(F.max(F.abs(F.col("n") - F.col("e"))) - 0.5, F.lit(0.0)), 2) * total * inverse).alias("fixed"),
         (total - F.sum("e")).alias("empty"),
     )
     dof = ((n_rows - 1) * (n_cols - 1)).cast("bigint")

@@ -149,3 +149,27 @@ def test_knn_votes(spark):
         near = sorted(ids, key=lambda j: (np.linalg.norm(x[j] - x[i]), j))[:5]
         votes = np.bincount(y[near], minlength=3)
         assert got[i] == votes.argmax()
+
+
+def test_ties_and_far_values(spark):
+    same = spark.createDataFrame([((i * 7919) % 400, 1.0, 2.0) for i in range(400)], "id int, x double, y double")
+    got = neighbors.nearest(same, same, "id", ["x", "y"], 3, exclude_self=True).collect()
+    for i in (0, 1, 250):
+        assert [r["neighbor"] for r in sorted(got, key=lambda r: r["rank"]) if r["id"] == i] == [j for j in range(4) if j != i][:3]
+    line = spark.createDataFrame([(i, 1e8 + i / 4) for i in range(200)], "id int, x double")
+    got = {(r["id"], r["rank"]): r["neighbor"] for r in neighbors.nearest(line, line, "id", ["x"], 2, exclude_self=True).collect()}
+    assert all({got[i, 1], got[i, 2]} == {i - 1, i + 1} for i in range(1, 199)) and got[0, 2] == 2
+    apart = spark.createDataFrame([(i, 1e8 + i) for i in range(100)], "id int, x double")
+    assert {r["cluster"] for r in cluster.dbscan(apart, "id", ["x"], 0.9, 2).collect()} == {-1}
+    assert {r["cluster"] for r in cluster.dbscan(apart, "id", ["x"], 1.0, 2).collect()} == {0}
+
+
+def test_distances_far_from_the_origin():
+    rng = np.random.default_rng(5)
+    a, b = 1e6 + rng.normal(size=(40, 12)), 1e6 + rng.normal(size=(50, 12))
+    b[0] = a[0]
+    b[1] = a[1] + 1e-6
+    right = np.sqrt(((a[:, None, :] - b[None, :, :]) ** 2).sum(2))
+    assert np.allclose(neighbors._distances(a, b), right, rtol=1e-8, atol=0)
+    eps = right[3, 4]
+    assert (neighbors.within(a, b, eps) == (right <= eps)).all()

@@ -73,15 +73,40 @@ def test_bootstrap_columns_stay_in_order():
     assert len(got) == 32 and got == sorted(got, key=cols.index)
 
 
-def test_correlation_forms_agree(spark, sf):
-    t = spark.read.parquet(f"{sf}/lineitem.parquet").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    small = {(r["a"], r["b"]): r["r"] for r in encode.corr_matrix(t, t.columns).collect()}
-    limit, encode.PAIRWISE_COLUMNS = encode.PAIRWISE_COLUMNS, 1
-    try:
-        big = {(r["a"], r["b"]): r["r"] for r in encode.corr_matrix(t, t.columns).collect()}
-    finally:
-        encode.PAIRWISE_COLUMNS = limit
-    assert small.keys() == big.keys() and all(abs(small[k] - big[k]) < 1e-9 for k in small)
+def test_correlation_counts_pairs_at_any_width(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    m = rng.normal(size=(60, 20))
+    m[:, 5] += m[:, 4]
+    m[:, 19] = 2.5  # no variance
+    hole = rng.random(m.shape) < 0.2
+    cols = [f"c{i}" for i in range(20)]
+    rows = [[None if h else float(x) for x, h in zip(r, g)] for r, g in zip(m, hole)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    got = {(r["a"], r["b"]): r["r"] for r in encode.corr_matrix(df, cols).collect()}
+    assert len(got) == 190
+    for i in range(20):
+        for j in range(i + 1, 20):
+            both = ~hole[:, i] & ~hole[:, j]
+            r = got[f"c{i}", f"c{j}"]
+            assert (r is None) if j == 19 else abs(r - np.corrcoef(m[both, i], m[both, j])[0, 1]) < 1e-9
+    few = {(r["a"], r["b"]): r["r"] for r in encode.corr_matrix(df, cols[:4]).collect()}
+    assert all(abs(got[k] - few[k]) < 1e-12 for k in few)
+    assert {r["column"] for r in encode.select_by_target_corr(df, ["c4", "c19"], "c5").collect()} == {"c4"}
+
+
+def test_crosstab_finds_or_refuses_values(spark):
+    rows = [("p", "x")] * 3 + [("p", "y")] * 4 + [("All", "x")] * 2 + [("q", None), (None, "x")]
+    df = spark.createDataFrame(rows, "a string, b string")
+    assert [tuple(r) for r in stats.crosstab(df, "a", "b").collect()] == [("All", 2, 0), ("p", 3, 4)]
+    wide = stats.crosstab(df, "a", "b", margins=True)
+    assert wide.columns == ["a", "x", "y", "All"]
+    assert sorted(tuple(r) for r in wide.collect()) == [("All", 2, 0, 2), ("All", 5, 4, 9), ("p", 3, 4, 7)]
+    with pytest.raises(Exception, match="not listed: y"):
+        stats.crosstab(df, "a", "b", ["x"]).collect()
+    with pytest.raises(ValueError):
+        stats.crosstab(df, "b", "a", margins=True)
 
 
 def test_yeo_johnson_finds_the_log(spark):
@@ -117,6 +142,10 @@ def test_chi_square_counts_empty_cells(spark):
     df = spark.createDataFrame([("a", "x")] * 10 + [("b", "y")] * 5 + [("c", "x")] * 5, "a string, b string")
     r = stats.chi_square(df, "a", "b").first()
     assert abs(r["statistic"] - 20.0) < 1e-9 and r["dof"] == 2
+    # 2x2 with an empty cell: expected 2.8, 4.2, 1.2, 1.8 and |n - e| = 1.2 everywhere
+    df = spark.createDataFrame([("a", "x")] * 4 + [("a", "y")] * 3 + [("b", "y")] * 3, "a string, b string")
+    right = sum(0.7**2 / e for e in (2.8, 4.2, 1.2, 1.8))
+    assert abs(stats.chi_square(df, "a", "b").first()["statistic"] - right) < 1e-9
 
 
 def test_columns_of(spark):

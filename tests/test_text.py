@@ -78,3 +78,9 @@ def test_synthesize_fills_all_slots(spark, n):
     got = text.synthesize(spark.range(n), "id", ["{a} and {b}", "only {b}"], {"a": ["x", "y"], "b": ["1", "2", "3"]}).collect()
     assert len(got) == n and not any("{" in r["message"] for r in got)
     assert len({r["message"] for r in got}) > 3
+
+
+def test_html_codes_that_are_no_character_stay(spark):
+    html = "a&#1114112;b&#55296;c&#x27;d&#xE9;e&#0;f&#8364;g&#X1F600;&#xD800;"
+    got = spark.createDataFrame([(html,)], "h string").select(tc.html_text("h")).first()[0]
+    assert got == "a&#1114112;b&#55296;c'd\u00e9e&#0;f\u20acg\U0001f600&#xD800;"
