@@ -27,7 +27,9 @@ def token_lengths(docs: DataFrame, tokenizer: str, text_col: str = "text", id_co
         c = bpe.codec(tokenizer)
         return pa.array([len(c.encode(t)) for t in raw(texts)], pa.int64())
 
-    return id_text(docs, id_col, text_col).select("doc_id", count("text").alias("length"))
+    # not deterministic, for the optimizer: it would repeat the encoding in a filter on the length
+    once = count.asNondeterministic()
+    return id_text(docs, id_col, text_col).select("doc_id", once("text").alias("length"))
 
 
 def histogram(lengths: DataFrame, col: str = "length") -> DataFrame:
