@@ -134,7 +134,8 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
 
 
 def sweep_k(df: DataFrame, feats: str, ks: Sequence[int], seed: int = 42) -> DataFrame:
-    """(k, silhouette, inertia), one row per k. The table is read once into memory for all fits."""
+    """(k, silhouette, inertia, best), one row per k; the highest silhouette is best, the smaller k among equals.
+    The table is read once into memory for all fits."""
     df = df.cache()
     out = None
     for k in ks:
@@ -144,7 +145,8 @@ def sweep_k(df: DataFrame, feats: str, ks: Sequence[int], seed: int = 42) -> Dat
             F.lit(k).alias("k"), "silhouette", F.lit(float(model.stages[-1].summary.trainingCost)).alias("inertia")
         )
         out = row if out is None else out.unionByName(row)
-    return out
+    top = out.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("_k"))
+    return out.join(top, F.col("k") == F.col("_k"), "left").withColumn("best", F.col("_k").isNotNull()).drop("_k")
 
 
 def sweep_dbscan(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], label: str | None = None) -> DataFrame:

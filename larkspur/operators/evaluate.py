@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larkspur.operators.ordered import null_safe_join, running_sums, value_borders, bin_count
+from larkspur.operators.ordered import running_sums, value_borders, bin_count
 
 CLUSTER_LIMIT = 10_000
 
@@ -22,14 +22,19 @@ def _cells(pred: DataFrame, label: str, prediction: str) -> DataFrame:
 
 
 def accuracy(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """Share of rows predicted right, of those with both a label and a prediction."""
     return pred.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
 
 
-def confusion(pred: DataFrame, classes: Sequence, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """A row for every pair of classes, zeros kept."""
-    pairs = pred.sparkSession.createDataFrame([(a, b) for a in classes for b in classes], ["label", "prediction"])
-    cells = null_safe_join(pairs, _cells(pred, label, prediction), ["label", "prediction"], "left")
-    return cells.withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+def confusion(pred: DataFrame, classes: Sequence = (), label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """A row for every pair of classes, zeros kept. The classes are those of the data, as label or as prediction,
+    and any listed in `classes`; a null label or prediction is counted where it occurs, but not paired at zero."""
+    cells = _cells(pred, label, prediction)
+    seen = cells.agg(F.array_union(F.collect_set("label"), F.collect_set("prediction")).alias("all"))
+    if classes:
+        seen = seen.select(F.array_union("all", F.array(*[F.lit(c) for c in classes])).alias("all"))
+    pairs = seen.select("all", F.explode("all").alias("label")).select("label", F.explode("all").alias("prediction"), F.lit(0).cast("bigint").alias("n"))
+    return pairs.unionByName(cells).groupBy("label", "prediction").agg(F.sum("n").alias("n"))
 
 
 def _per_class(pred: DataFrame, label: str, prediction: str) -> DataFrame:

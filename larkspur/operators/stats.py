@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.operators.ordered import exact_quantiles, null_safe_join
@@ -74,6 +75,16 @@ def chi_square(df: DataFrame, a: str, b: str, yates: bool | None = None) -> Data
     return agg.select(stat.alias("statistic"), dof.alias("dof"))
 
 
+def with_p_value(tests: DataFrame) -> DataFrame:
+    """`chi_square`'s rows with `p_value`; null where there are no degrees of freedom."""
+
+    @F.pandas_udf("double")
+    def tail(statistic: pd.Series, dof: pd.Series) -> pd.Series:
+        return pd.Series([chi_square_p(s, int(d)) if d > 0 else None for s, d in zip(statistic, dof)], dtype="float64")
+
+    return tests.withColumn("p_value", tail("statistic", "dof"))
+
+
 def chi_square_p(statistic: float, dof: int) -> float:
     """Upper tail of the chi-square distribution, by the series or continued fraction of the gamma integral."""
     a, x = dof / 2.0, statistic / 2.0

@@ -10,8 +10,6 @@ from larkspur.functions import text_cols as tc
 from larkspur.functions.words import STOP_WORDS
 from larkspur.operators.ordered import hash_order
 
-VOCABULARY_LIMIT = 200_000  # terms in a vocabulary that may be sent to every task
-
 
 def clean_tokens(col: str | Column, digits: bool = True, words: Sequence[str] = STOP_WORDS) -> Column:
     """Normalize, split, drop stop words."""
@@ -57,15 +55,9 @@ def fit_vocabulary(
         vocab = vocab.orderBy(F.desc("total"), "term").limit(max_terms)
     return vocab.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
 
-
-def apply_tfidf(
-    terms: DataFrame, vocab: DataFrame, key: str, sublinear: bool = False, norm: bool = True, bound: int | None = None
-) -> DataFrame:
-    """(key, term, weight) with unit length per key. `bound` is the size limit the vocabulary was cut
-    to; only a vocabulary bounded that way is broadcast, else Spark decides by size."""
+def apply_tfidf(terms: DataFrame, vocab: DataFrame, key: str, sublinear: bool = False, norm: bool = True) -> DataFrame:
+    """(key, term, weight) with unit length per key. Spark picks the join by the vocabulary's size."""
     table = vocab.select("term", "idf")
-    if bound and bound <= VOCABULARY_LIMIT:
-        table = F.broadcast(table)
     tf = F.log("tf") + 1 if sublinear else F.col("tf")
     long = terms.join(table, "term").select(key, "term", (tf * F.col("idf")).alias("weight"))
     if not norm:
@@ -88,7 +80,7 @@ def tfidf(
     """Fit on `df` and weigh `df`; for a train/test split call the two steps apart."""
     terms = term_counts(df, key, tokens, ngrams)
     vocab = fit_vocabulary(terms, df.agg(F.count("*")).scalar(), max_terms, min_df, max_df)
-    return apply_tfidf(terms, vocab, key, sublinear, bound=max_terms)
+    return apply_tfidf(terms, vocab, key, sublinear)
 
 
 def tfidf_vectors(train: DataFrame, tokens: str, max_terms: int = 5000, ngrams: int = 1, min_df: int = 1, max_df: float = 1.0):

@@ -148,8 +148,8 @@ def _(spark, sf):
 
 @query("txt10_stem")
 def _(spark, sf):
-    english = docs(spark, sf).where("lang = 'en'").select("doc_id", text.clean_tokens("text").alias("tokens"))
-    terms = stem.stem_terms(text.term_counts(english, "doc_id", "tokens"))
+    tokens = docs(spark, sf).select("doc_id", text.clean_tokens("text").alias("tokens"))
+    terms = stem.stem_terms(text.term_counts(tokens, "doc_id", "tokens"))
     return terms.groupBy("stem").agg(F.sum("tf").alias("n"), F.count_distinct("term").alias("forms"))
 
 
@@ -205,21 +205,21 @@ TERMS = "tc AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(
 
 @query(
     "txt15_vocabulary",
-    f"""WITH {DOCS}, {TERMS} SELECT term, CAST(sum(tf) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS df FROM tc GROUP BY 1 HAVING count(*) >= 2 ORDER BY sum(tf) DESC, term LIMIT 500""",
+    f"""WITH {DOCS}, {TERMS} SELECT term, CAST(sum(tf) AS BIGINT) AS total, CAST(count(*) AS BIGINT) AS df FROM tc GROUP BY 1 HAVING count(*) >= 2""",
 )
 def _(spark, sf):
     labelled = labelled_tokens(spark, sf)
-    return text.fit_vocabulary(text.term_counts(labelled, "doc_id", "tokens"), 1, 500, min_df=2, max_df=10**9).drop("idf")
+    return text.fit_vocabulary(text.term_counts(labelled, "doc_id", "tokens"), 1, min_df=2, max_df=10**9).drop("idf")
 
 
 VOCAB = """n AS (SELECT count(*) AS n FROM d),
-   v AS (SELECT term, ln((1 + any_value(n)) / (1 + count(*))) + 1 AS idf FROM {0}, n GROUP BY term HAVING count(*) >= {1} AND count(*) <= any_value(n) * {2} ORDER BY sum(tf) DESC, term LIMIT {3}),
-   w AS (SELECT doc_id, term, {4} * idf AS x FROM {0} JOIN v USING (term)), tfidf AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS weight FROM w)"""
+   v AS (SELECT term, ln((1 + any_value(n)) / (1 + count(*))) + 1 AS idf FROM {0}, n GROUP BY term HAVING count(*) >= {1} AND count(*) <= any_value(n) * {2}),
+   w AS (SELECT doc_id, term, {3} * idf AS x FROM {0} JOIN v USING (term)), tfidf AS (SELECT doc_id, term, x / sqrt(sum(x * x) OVER (PARTITION BY doc_id)) AS weight FROM w)"""
 
 
-@query("txt16_tfidf", f"WITH {DOCS}, {TERMS}, {VOCAB.format('tc', 1, 1, 1000, 'tf')} SELECT doc_id, term, round(weight, 6) AS weight FROM tfidf")
+@query("txt16_tfidf", f"WITH {DOCS}, {TERMS}, {VOCAB.format('tc', 1, 1, 'tf')} SELECT doc_id, term, round(weight, 6) AS weight FROM tfidf")
 def _(spark, sf):
-    return text.tfidf(labelled_tokens(spark, sf), "doc_id", "tokens", max_terms=1000).withColumn("weight", F.round("weight", 6))
+    return text.tfidf(labelled_tokens(spark, sf), "doc_id", "tokens").withColumn("weight", F.round("weight", 6))
 
 
 @query(
@@ -227,11 +227,11 @@ def _(spark, sf):
     f"""WITH {DOCS}, p AS (SELECT doc_id, unnest(tokens) AS t, generate_subscripts(tokens, 1) AS i FROM d),
        l AS (SELECT doc_id, t, lead(t, 1) OVER (PARTITION BY doc_id ORDER BY i) AS t2, lead(t, 2) OVER (PARTITION BY doc_id ORDER BY i) AS t3 FROM p),
        g AS (SELECT doc_id, t AS term FROM l UNION ALL SELECT doc_id, t || ' ' || t2 FROM l WHERE t2 IS NOT NULL UNION ALL SELECT doc_id, t || ' ' || t2 || ' ' || t3 FROM l WHERE t3 IS NOT NULL),
-       gc AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2), {VOCAB.format('gc', 2, 0.95, 2000, '(1 + ln(tf))')}
+       gc AS (SELECT doc_id, term, count(*) AS tf FROM g GROUP BY 1, 2), {VOCAB.format('gc', 2, 0.95, '(1 + ln(tf))')}
        SELECT doc_id, term, round(weight, 6) AS weight FROM tfidf""",
 )
 def _(spark, sf):
-    w = text.tfidf(labelled_tokens(spark, sf), "doc_id", "tokens", 2000, (1, 3), sublinear=True, min_df=2, max_df=0.95)
+    w = text.tfidf(labelled_tokens(spark, sf), "doc_id", "tokens", ngrams=(1, 3), sublinear=True, min_df=2, max_df=0.95)
     return w.withColumn("weight", F.round("weight", 6))
 
 
@@ -251,12 +251,12 @@ def _(spark, sf):
 
 @query(
     "txt20_mean_tfidf",
-    f"""WITH {DOCS}, {TERMS}, {VOCAB.format('tc', 1, 1, 300, 'tf')}, s AS (SELECT source, count(*) AS docs FROM d GROUP BY 1)
+    f"""WITH {DOCS}, {TERMS}, {VOCAB.format('tc', 1, 1, 'tf')}, s AS (SELECT source, count(*) AS docs FROM d GROUP BY 1)
        SELECT source, term, round(sum(weight) / any_value(docs), 6) AS mean_weight FROM tfidf JOIN d USING (doc_id) JOIN s USING (source) GROUP BY 1, 2""",
 )
 def _(spark, sf):
     labelled = labelled_tokens(spark, sf)
-    w = text.tfidf(labelled, "doc_id", "tokens", max_terms=300)
+    w = text.tfidf(labelled, "doc_id", "tokens")
     return text.mean_tfidf(w, labelled, "doc_id", "source").withColumn("mean_weight", F.round("mean_weight", 6))
 
 
@@ -283,7 +283,7 @@ for _slot, _values in SLOTS.items():
     _MESSAGE = f"replace({_MESSAGE}, '{{{_slot}}}', {_pick_sql(_values, _slot)})"
 
 
-@query("txt22_synthesize", f"SELECT doc_id, {_MESSAGE} AS message FROM labels WHERE toxic = 1")
+@query("txt22_synthesize", f"SELECT doc_id, {_MESSAGE} AS message FROM labels")
 def _(spark, sf):
-    t = load(spark, sf, "labels").where("toxic = 1").select("doc_id")
+    t = load(spark, sf, "labels").select("doc_id")
     return text.synthesize(t, "doc_id", TEMPLATES, SLOTS)

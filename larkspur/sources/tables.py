@@ -8,10 +8,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from larkspur.operators.clean import recode, tokens_to_null
+from larkspur.operators.ordered import sample_borders, with_bins
 from larkspur.operators.profile import columns_of
 
-LOOKUP_ROWS = 100_000  # a stacked lookup file is ordered in one task, so it must be small
-
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str, null_tokens: Sequence[str] = ()) -> DataFrame:
     """Headed CSV with a fixed schema; the first null token is read as null by the parser, any others after it."""
@@ -35,12 +34,18 @@ def read_labelled_text(
 
 def split_stacked_lookup(df: DataFrame, key: str, text: str, order: str, first: str) -> dict[str, DataFrame]:
     """Lookup tables stacked in one file: a key that is no number opens the next section and names it;
-    `first` names the section under the file's own header. Blank rows are dropped."""
-    if df.limit(LOOKUP_ROWS + 1).count() > LOOKUP_ROWS:
-        raise ValueError("a stacked lookup must be a small file")
+    `first` names the section under the file's own header. Blank rows are dropped.
+
+    Rows fall into bins of `order`, a unique key. A row's section is the last one opened before it in its
+    bin, else the last one opened in the bins before, which are a small table."""
     named = F.col(key).isNotNull() & F.col(key).try_cast("bigint").isNull()
-    w = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = df.withColumn("section", F.coalesce(F.last(F.when(named, F.col(key)), ignorenulls=True).over(w), F.lit(first)))
+    rows = with_bins(df, {order: sample_borders(df, order)}, {order: "_bin"}).withColumn("_opens", F.when(named, F.col(key)))
+    ends = rows.groupBy("_bin").agg(F.max_by("_opens", F.when(named, F.col(order))).alias("_end"))
+    before = Window.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("_bin", F.last("_end", ignorenulls=True).over(before).alias("_before"))
+    inside = Window.partitionBy("_bin").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_inside", F.last("_opens", ignorenulls=True).over(inside)).join(ends, "_bin")
+    rows = rows.withColumn("section", F.coalesce("_inside", "_before", F.lit(first)))
     rows = rows.where(~named & F.col(key).isNotNull()).select(
         "section", F.col(key).try_cast("bigint").alias("id"), F.trim(text).alias(text)
     )

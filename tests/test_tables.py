@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from larkspur.operators import clean, encode, joins, profile, split, stats
+from larkspur.operators import clean, encode, evaluate, joins, profile, split, stats
 from larkspur.session import scratch_path
 from larkspur.sources import tables
 
@@ -160,3 +160,37 @@ def test_csv_round_trip(spark, sf):
     tables.write_table(t, path, "csv")
     again = tables.read_table(spark, path, t.schema)
     assert again.exceptAll(t).isEmpty() and t.exceptAll(again).isEmpty()
+
+
+def test_chi_square_p_column(spark):
+    df = spark.createDataFrame([("a", "x")] * 30 + [("a", "y")] * 10 + [("b", "x")] * 10 + [("b", "y")] * 30, "a string, b string")
+    r = stats.with_p_value(stats.chi_square(df, "a", "b", yates=False)).first()
+    assert abs(r["statistic"] - 20.0) < 1e-9 and abs(r["p_value"] - math.erfc(math.sqrt(10.0))) < 1e-12
+    one = stats.with_p_value(stats.chi_square(df.where("a = 'a'"), "a", "b")).first()
+    assert one["dof"] == 0 and one["p_value"] is None
+
+
+def test_stacked_lookup_of_many_rows(spark):
+    """Sections that open in one bin and end many bins on, one without rows, blank rows between."""
+    opens = {0: "one", 1: "two", 700: "three", 5000: "four", 5001: "five"}
+    line = F.col("id").cast("int")
+    names = F.create_map(*[F.lit(x) for kv in opens.items() for x in kv])
+    key = F.when(F.pmod("id", F.lit(10)) == 9, None).otherwise(F.coalesce(F.try_element_at(names, line), F.col("id").cast("string")))
+    df = spark.range(-3, 20_000, 1, 8).select(line.alias("line"), key.alias("id"), F.lit("x").alias("description"))
+    parts = tables.split_stacked_lookup(df, "id", "description", "line", "zero")
+    want, name = {}, "zero"
+    for i in range(-3, 20_000):
+        if i in opens:
+            name = opens[i]
+        elif i % 10 != 9:
+            want.setdefault(name, set()).add(i)
+    assert {k: {r["id"] for r in v.collect()} for k, v in parts.items()} == want
+
+
+def test_confusion_takes_the_classes_of_the_data(spark):
+    rows = [("a", "a"), ("a", "b"), ("c", "a"), (None, "a"), (None, "a"), ("b", None)]
+    pred = spark.createDataFrame(rows, "label string, prediction string")
+    got = {(r["label"], r["prediction"]): r["n"] for r in evaluate.confusion(pred, ["d"]).collect()}
+    assert {k: n for k, n in got.items() if n} == {("a", "a"): 1, ("a", "b"): 1, ("c", "a"): 1, (None, "a"): 2, ("b", None): 1}
+    assert {k for k in got if None not in k} == {(x, y) for x in "abcd" for y in "abcd"}
+    assert evaluate.confusion(pred.limit(0)).count() == 0
