@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.llm.common import raw, to_batches
 from larkspur.llm.decontaminate import words_of
+from larkspur.session import settle
 
 #: Notices by which files name these licences.
 TEMPLATES: dict[str, list[str]] = {
@@ -92,7 +93,7 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", licen
     """
     if licence_file is None:
         licence_file = F.regexp_extract(files[path_col], r"([^/]*)$", 1).rlike(r"(?i)^(licen[sc]e|copying|notice)([.\-].*)?$")
-    own = own_licences(files, path_col, text_col, licence_file, threshold, templates)
+    own = settle(own_licences(files, path_col, text_col, licence_file, threshold, templates))  # read three times below; holds no text
     own = own.withColumn("dir", F.when(F.col("path").contains("/"), F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.when(F.col("path").isNotNull(), "")))
     said = own.where("whole and licence is not null and dir is not null").groupBy("dir").agg(F.max(F.struct(F.round("score", 9).alias("s"))).alias("s"), F.collect_set(F.struct(F.round("score", 9).alias("s"), "licence")).alias("all"))
     said = said.select(F.col("dir").alias("from"), F.array_min(F.transform(F.filter("all", lambda x: x["s"] == F.col("s.s")), lambda x: x["licence"])).alias("inherited"))
