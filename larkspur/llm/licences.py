@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from larkspur.llm.common import raw, to_batches
 from larkspur.llm.decontaminate import words_of
-from larkspur.session import settle
+from larkspur.session import scratch_path, settle
 
 #: Notices by which files name these licences.
 TEMPLATES: dict[str, list[str]] = {
@@ -101,7 +101,11 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", licen
     above = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda i: F.array_join(F.slice(parts, 1, i), "/"))
     dirs = own.where("dir is not null").select("dir").distinct().select("dir", F.explode(F.array_distinct(above)).alias("from"))
     near = dirs.join(said, "from").groupBy("dir").agg(F.max_by(F.struct("inherited", "from"), F.length("from")).alias("near"))
-    out = own.join(near, "dir", "left")
+    # read from a file, whose size Spark knows: small, it is broadcast and the files stay where they are; large, its
+    # side of the join is a plain shuffle, so that Spark can split a directory of very many files
+    stored = scratch_path(files.sparkSession, "licences")
+    near.write.parquet(stored)
+    out = own.join(files.sparkSession.read.parquet(stored), "dir", "left")
     gap = F.col("licence").isNull()
     return out.select("path", "licence", "score", F.when(gap, F.col("near.inherited")).alias("inherited"), F.when(gap, F.col("near.from")).alias("inherited_from"))
 
