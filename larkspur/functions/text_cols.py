@@ -7,13 +7,15 @@ only to Java.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
 from larkspur.functions.words import CATEGORY_LABELS, HEADER_LINES, SPAM_PHRASES, STOP_WORDS, TRIGGER_WORDS
 
 WORD = r"[\p{L}\p{N}_]"
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": " "}
+# every named entity of HTML; a hard blank reads as a blank, and `amp` is left for the end
+ENTITIES = {n: chr(c) for n, c in name2codepoint.items() if n != "amp"} | {"apos": "'", "nbsp": " "}
 
 
 def _c(col: str | Column) -> Column:
@@ -46,8 +48,10 @@ def html_text(col: str | Column) -> Column:
         out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?</{tag}\s*>", " ")
     out = F.regexp_replace(out, r"(?s)<!--.*?-->", " ")
     out = F.regexp_replace(out, r"<[^>]*>", " ")
-    for entity, char in ENTITIES.items():
-        out = F.replace(out, F.lit(entity), F.lit(char))
+    known = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    names = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&([a-zA-Z][a-zA-Z0-9]{1,8});"), F.lit(1)))
+    names = F.filter(names, lambda n: F.map_contains_key(known, n))
+    out = F.aggregate(names, out, lambda text, n: F.replace(text, F.concat(F.lit("&"), n, F.lit(";")), F.try_element_at(known, n)))
     numbers = F.array_distinct(F.regexp_extract_all(out, F.lit(r"&#([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"), F.lit(1)))
     out = F.aggregate(numbers, out, lambda text, n: F.replace(text, F.concat(F.lit("&#"), n, F.lit(";")), _character(n)))
     out = F.replace(out, F.lit("&amp;"), F.lit("&"))

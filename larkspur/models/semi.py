@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -15,7 +16,7 @@ def self_train(
     fit: Callable[[DataFrame], object], labelled: DataFrame, unlabelled: DataFrame, label: str, threshold: float = 0.95, rounds: int = 10
 ):
     """(model, training rows): fit, add the rows predicted with a probability of at least the threshold
-    under their predicted label, refit; stops when no row is added."""
+    under their predicted label, refit; stops when no row is added, and warns if `rounds` ends it before."""
     train, open_rows = labelled, unlabelled
     model = fit(train)
     for _ in range(rounds):
@@ -28,6 +29,8 @@ def self_train(
         train = settle(train.unionByName(added))
         open_rows = scored.where(~sure).select(*open_rows.columns)
         model = fit(train)
+    else:
+        warnings.warn(f"self-training still added rows in round {rounds}", stacklevel=2)
     return model, train
 
 
@@ -36,7 +39,8 @@ def spread_labels(
 ) -> DataFrame:
     """(key, prediction, score): labels flow along the k-nearest-neighbour graph with weights
     exp(-gamma d^2), F <- alpha S F + (1 - alpha) Y. Null labels are the open ones. The graph holds
-    k edges per row instead of all n x n weights; each round is a join and a sum, then a checkpoint."""
+    k edges per row instead of all n x n weights; each round is a join and a sum, then a checkpoint.
+    Warns if `rounds` ends it before the labels move by less than `tol` in all."""
     classes = sorted(r[0] for r in df.where(F.col(label).isNotNull()).select(label).distinct().collect())
     near = nearest(df, df, key, feats, k, exclude_self=True)
     half = near.select(F.col(key).alias("a"), F.col("neighbor").alias("b"), F.exp(-gamma * F.col("distance") * F.col("distance")).alias("w"))
@@ -57,8 +61,10 @@ def spread_labels(
         step = settle(joined.select("a", *names, *new))
         moved = step.agg(F.sum(sum((F.abs(F.col(f"n_{n}") - F.col(n)) for n in names), F.lit(0.0)))).first()[0]
         cur = step.select("a", *[F.col(f"n_{n}").alias(n) for n in names])
-        if moved is not None and moved < tol:
+        if moved is None or moved < tol:
             break
+    else:
+        warnings.warn(f"labels still moved by {moved} in round {rounds}", stacklevel=2)
     total = sum((F.col(n) for n in names), F.lit(0.0))
     top = F.greatest(*names) if len(names) > 1 else F.col(names[0])
     pick = F

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
@@ -92,9 +93,9 @@ def sweep_forest(train: DataFrame, test: DataFrame, feats, label: str, sizes: Se
 
 def gram(df: DataFrame, feats: Sequence[str], y: str, fold: str) -> dict[int, np.ndarray]:
     """Per fold the matrix Z'Z of Z = (1, x, y). Every task adds up its rows in numpy and sends one
-    matrix per fold; p columns cost (p + 2)^2 numbers, whatever the row count."""
+    matrix per fold; p columns cost (p + 2)^2 numbers, whatever the row count. Rows with a null or NaN are left out."""
     width = len(feats) + 2
-    src = df.select(F.col(fold).cast("int").alias("fold"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(feats)], F.col(y).cast("double").alias("y"))
+    src = df.select(F.col(fold).cast("int").alias("fold"), *[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(feats)], F.col(y).cast("double").alias("y")).dropna()
 
     def add(batches):
         sums = {}
@@ -127,6 +128,8 @@ def _descend(xx: np.ndarray, xy: np.ndarray, alpha: float, l1: float, w: np.ndar
             w[j] = np.sign(rho) * max(abs(rho) - alpha * l1, 0.0) / (xx[j, j] + alpha * (1 - l1)) if xx[j, j] + alpha * (1 - l1) else 0.0
         if np.abs(w - before).max() <= tol * max(1.0, np.abs(w).max()):
             break
+    else:
+        warnings.warn(f"coordinate descent hadn't settled after {rounds} rounds (alpha {alpha}, l1 {l1})", stacklevel=2)
     return w
 
 

@@ -196,7 +196,7 @@ def _(spark, sf):
     hidden = split.mask_labels(train, "vec_id", "label", 0.5, seed=7)
     known = hidden.where("masked is not null").select("vec_id", "features", "label")
     open_rows = hidden.where("masked is null").select("vec_id", "features")
-    model, rows = semi.self_train(lambda d: linear.fit_logistic(d, "features", "label", C=10.0), known, open_rows, "label", 0.95, rounds=3)
+    model, rows = semi.self_train(lambda d: linear.fit_logistic(d, "features", "label", C=10.0), known, open_rows, "label", 0.95)
     return _scores(model.transform(test)).withColumn("train_rows", rows.agg(F.count("*")).scalar())
 
 
@@ -204,7 +204,7 @@ def _(spark, sf):
 def _(spark, sf):
     e = load(spark, sf, "embeddings")
     hidden = split.mask_labels(e, "vec_id", "label", 0.3)
-    found = semi.spread_labels(hidden, "vec_id", "embedding", "masked", k=7, gamma=2.0, rounds=5)
+    found = semi.spread_labels(hidden, "vec_id", "embedding", "masked", k=7, gamma=2.0)
     return _scores(hidden.where("masked is null").select("vec_id", F.col("label").cast("double").alias("label")).join(found, "vec_id"))
 
 

@@ -65,10 +65,10 @@ def _(spark, sf):
 
 @query(
     "txt3_html_text",
-    r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(
+    r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(replace(
        regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script\s*>', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g'),
        '(?s)<!--.*?-->', ' ', 'g'), '<[^>]*>', ' ', 'g'),
-       '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&nbsp;', ' '), '&#39;', ''''), '&#8211;', chr(8211)), '&amp;', '&'), '\s+', ' ', 'g')) AS body FROM pages""",
+       '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', ''''), '&nbsp;', ' '), '&copy;', chr(169)), '&middot;', chr(183)), '&#39;', ''''), '&#8211;', chr(8211)), '&amp;', '&'), '\s+', ' ', 'g')) AS body FROM pages""",
 )
 def _(spark, sf):
     return spread(load(spark, sf, "pages"), "page_id").select("page_id", tc.html_text("html").alias("body"))

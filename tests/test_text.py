@@ -84,3 +84,10 @@ def test_html_codes_that_are_no_character_stay(spark):
     html = "a&#1114112;b&#55296;c&#x27;d&#xE9;e&#0;f&#8364;g&#X1F600;&#xD800;"
     got = spark.createDataFrame([(html,)], "h string").select(tc.html_text("h")).first()[0]
     assert got == "a&#1114112;b&#55296;c'd\u00e9e&#0;f\u20acg\U0001f600&#xD800;"
+
+
+def test_html_text_decodes_every_entity(spark):
+    pages = ["caf&eacute; &copy; 2020&nbsp;&hellip; &lt;b&gt;", "a &amp;lt; b &nosuch; &Alpha;&alpha; &#x27;x&#39;", "", None]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
+    got = [r["t"] for r in df.select("i", tc.html_text("html").alias("t")).orderBy("i").collect()]
+    assert got == ["café © 2020 … <b>", "a &lt; b &nosuch; Αα 'x'", "", None]
