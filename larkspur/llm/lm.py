@@ -2,22 +2,22 @@
 
 Every word and every pair of neighbouring words of the training texts is counted over the whole corpus. A
 count c is kept as its level 1 + floor(log2 c), and the filter holds the entries (n-gram, 1) to (n-gram,
-level); a scorer asks for level after level until one is missing. The filter has a stated size, cut into one
-segment per range of n-gram keys: the task that counts a range sets its segment's bits, the driver only joins
-the segments, and workers get the whole by broadcast. With mid-level counts c,
+level); a scorer asks for level after level until one is missing. The filter is cut into one segment per range
+of n-gram keys. The task that counts a range knows its entries and gives each ENTRY_BITS, so the filter grows
+with the corpus and its false hits do not. No segment leaves its task: the n-grams of the texts come to it.
+With mid-level counts c,
 
     P(w | v) = mix * min(1, c(v w) / c(v)) + (1 - mix) * (c(w) + 1) / (N + V + 1),
 
 the second part alone where v was not seen. Counting moves packed arrays, not rows: a chunk of documents
-sends each key range its distinct words with their training counts and where they stand. The range's task
-knows the totals and sends back one partial sum per document of the chunk; words in many documents of a chunk
-get their total back instead, and the chunk's own places for them wait at home, so no range collects the
-places of a frequent word.
+sends each key range its distinct words and pairs with their training counts. The range's task knows the
+totals and sends each chunk, in the order it asked, the totals of its words and the filter's levels of its
+words and pairs; the chunk's tokens wait at home for them. Every range hears from every chunk and replies to
+it, if only with its share of N and V.
 """
 
 from __future__ import annotations
 
-import hashlib
 import pickle
 from collections.abc import Iterator
 
@@ -29,20 +29,20 @@ from pyspark.sql import DataFrame, functions as F
 
 from larkspur.llm.common import id_text, pack_sorted, raw, to_batches, unpack_sorted
 from larkspur.llm.quality import held_out
-from larkspur.session import settle
 
 CHUNK_DOCS = 4096
 RANGE_BYTES = 16 << 20  # corpus text for each range of keys
-FILTER_BYTES = 64 << 20  # bound of the filter, and so of the broadcast
-WIDE = 16  # a word in more documents of a chunk than this waits for its total
+FILTER_BYTES = 64 << 20  # bound of one range's segment
+WIDE = 16  # no longer read; a test sets it
 PROBES = 2
+ENTRY_BITS = 12  # with 2 probes 15% of the bits are set, and 2.4% of the entries asked for are false hits
 LEVELS = 48
 MIX = 0.3
 END = b"\n"  # no word holds white space
 KEY_BITS = 42
 U = np.uint64
 K1, K2, K3 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9)
-WORDS, PAIRS, PLACES, TOTALS, SEGMENT = range(5)
+WORDS, PAIRS, TOKENS, REPLY = range(4)
 DDL = "range int, kind int, chunk long, data binary"
 SCHEMA = pa.schema([("range", pa.int32()), ("kind", pa.int32()), ("chunk", pa.int64()), ("data", pa.binary())])
 
@@ -131,10 +131,41 @@ def set_bits(keys: np.ndarray, counts: np.ndarray, bits: int, into: np.ndarray)
             np.bitwise_or.at(into, place >> 3, (1 << (place & 7)).astype(np.uint8))
 
 
-def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys = np.sort(keys)
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, np.int64)
-    return keys[first], np.diff(np.append(first, len(keys)))
+def segment_of(keys: np.ndarray, counts: np.ndarray, most: int) -> Filter:
+    """A range's n-grams, ENTRY_BITS for each (n-gram, level)."""
+    size = max(1, -(-int(levels_of(counts).sum()) * ENTRY_BITS // 8))
+    if size > most:
+        raise ValueError(f"a key range needs a segment of {size} bytes, filter_bytes is {most}: use a smaller range_bytes")
+    out = np.zeros(size, np.uint8)
+    set_bits(keys, counts, 8 * size, out)
+    return Filter(out.tobytes(), 1)
+
+
+def _pack(x: tuple) -> bytes:
+    data = pickle.dumps(x)
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpack(data: bytes) -> tuple:
+    return pickle.loads(pa.decompress(data[8:], int.from_bytes(data[:8], "little"), "zstd", asbytes=True))
+
+
+def _narrow(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.min_scalar_type(int(x.max(initial=0))))
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers below 2^32 as four planes of bytes, which compress better than the numbers."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unplanes(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
+
+
+def _word_order(hashes: np.ndarray, ranges: int) -> np.ndarray:
+    """A chunk's words by range, then hash: the order in which they are sent and replied to."""
+    return np.lexsort((hashes, range_of(word_keys(hashes), ranges)))
 
 
 def _send(ranges: int):
@@ -147,140 +178,97 @@ def _send(ranges: int):
                 part = b.slice(i, CHUNK_DOCS)
                 texts, out = raw(part.column(1)), part.column(2).to_numpy(zero_copy_only=False).astype(bool)
                 hashes, place, count = tokens(texts)
-                n = len(texts)
-                doc = np.repeat(np.arange(n), count)
-                train = ~out[doc]
-                rows = [(int(r), PAIRS, pickle.dumps((pack_sorted(k), c.astype(np.uint32)))) for r, k, c in _cut(*_counted(pair_keys(hashes, place, count)[train]), ranges)]
-                # words in the order of their keys, and of their hashes where keys are equal
-                keys = word_keys(hashes)
-                order = np.lexsort((hashes, keys))
-                rank = np.empty_like(order)
-                rank[order] = np.arange(len(order))
-                seen = np.bincount(rank[place], train, len(order)).astype(np.uint32)
-                at, tf = _counted((rank[place] * n + doc).astype(U))
-                word, where = (at // U(n)).astype(np.int64), (at % U(n)).astype(np.uint16)
-                many = np.bincount(word, minlength=len(order))
-                wide = many > WIDE
-                hashes, keys = hashes[order], keys[order]
-                home = wide[word]
-                digest = [hashlib.md5(t).digest() for t in texts]
-                stay = (part.column(0).to_pylist(), out, count, digest, hashes[wide], many[wide], where[home], tf[home].astype(np.uint32))
-                rows.append((chunk % ranges, PLACES, pickle.dumps(stay)))
-                word, where, tf, sent = word[~home], where[~home], tf[~home].astype(np.uint32), np.where(wide, 0, many).astype(np.uint16)
-                first = np.concatenate([[0], np.cumsum(sent, dtype=np.int64)])
-                cut = np.searchsorted(range_of(keys, ranges), np.arange(ranges + 1))
-                for r in range(ranges):
-                    a, z = cut[r], cut[r + 1]
-                    if z > a:
-                        h = np.argsort(hashes[a:z], kind="stable")  # packed by hash; places follow their words
-                        take = _ragged(first[a:z][h], sent[a:z][h])
-                        rows.append((r, WORDS, pickle.dumps((n, pack_sorted(hashes[a:z][h]), seen[a:z][h], sent[a:z][h], where[take], tf[take]))))
+                train = np.repeat(~out, count)
+                pairs, at = np.unique(pair_keys(hashes, place, count), return_inverse=True)
+                order = _word_order(hashes, ranges)
+                words = hashes[order]
+                rows = [(chunk % ranges, TOKENS, _pack((part.column(0).to_pylist(), out, count, hashes, _planes(place))))]
+                for kind, asked, r, seen in (
+                    (WORDS, words, range_of(word_keys(words), ranges), np.bincount(place, train, len(hashes))[order]),
+                    (PAIRS, pairs, range_of(pairs, ranges), np.bincount(at, train, len(pairs))),
+                ):
+                    ends = np.searchsorted(r, np.arange(ranges + 1))
+                    for k in range(ranges) if kind == WORDS else np.flatnonzero(np.diff(ends)).tolist():
+                        a, z = ends[k], ends[k + 1]
+                        rows.append((k, kind, _pack((pack_sorted(asked[a:z]), _narrow(seen[a:z].astype(np.int64))))))
                 yield from to_batches(SCHEMA, [[[r for r, _, _ in rows], [k for _, k, _ in rows], [chunk] * len(rows), [d for _, _, d in rows]]])
                 chunk += 1
 
     return run
 
 
-def _ragged(first: np.ndarray, many: np.ndarray) -> np.ndarray:
-    """first[0], first[0] + 1, ... many[0] of them, then the same from first[1], and so on."""
-    many = many.astype(np.int64)
-    ends = np.cumsum(many)
-    return np.repeat(first - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)
-
+def _totals(told: list[tuple[int, tuple]]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, np.ndarray]]]:
+    """What chunks told as distinct n-grams, their totals, and where each chunk's own are among them."""
+    asked = [unpack_sorted(x[0]) for _, x in told]
+    every, at = np.unique(np.concatenate(asked or [np.empty(0, U)]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([x[1] for _, x in told] or [np.empty(0)]), len(every)).astype(np.int64)
+    return every, total, list(zip([chunk for chunk, _ in told], np.split(at, np.cumsum([len(x) for x in asked])[:-1])))
 
-def _cut(keys: np.ndarray, counts: np.ndarray, ranges: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    at = np.searchsorted(range_of(keys, ranges), np.arange(ranges + 1))
-    for r in range(ranges):
-        if at[r + 1] > at[r]:
-            yield r, keys[at[r]: at[r + 1]], counts[at[r]: at[r + 1]]
 
-
-def _count(bits: int):
-    """One range: totals, the filter's segment, and each chunk's partial sums."""
+def _count(most: int):
+    """One range: totals, the filter's segment, and each chunk's reply."""
 
     def run(t: pa.Table) -> pa.Table:
         r = t["range"][0].as_py()
-        words, pairs, rows = [], [], []
+        told: dict[int, list] = {WORDS: [], PAIRS: []}
+        rows = []
         for kind, chunk, data in zip(*(t[c].to_pylist() for c in ("kind", "chunk", "data"))):
-            if kind == PLACES:
+            if kind == TOKENS:
                 rows.append((kind, chunk, data))
             else:
-                (words if kind == WORDS else pairs).append((chunk, pickle.loads(data)))
-        segment = np.zeros(bits // 8, np.uint8)
-        if pairs:
-            keys, counts = np.concatenate([unpack_sorted(x[0]) for _, x in pairs]), np.concatenate([x[1] for _, x in pairs])
-            pairs.clear()
-            order = np.argsort(keys)
-            keys, counts = keys[order], counts[order].astype(np.int64)
-            del order
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            set_bits(keys[first], np.add.reduceat(counts, first), bits, segment)
-        n = v = 0
-        if words:
-            hashes = [unpack_sorted(x[1]) for _, x in words]
-            every, place = np.unique(np.concatenate(hashes), return_inverse=True)
-            total = np.bincount(place, np.concatenate([x[2] for _, x in words]), len(every)).astype(np.int64)
-            n, v = int(total.sum()), int(np.count_nonzero(total))
-            key, some = word_keys(every), total > 0
-            set_bits(key[some], total[some], bits, segment)
-            log, done = np.log10(total + 1.0), 0
-            for (chunk, (docs, _, _, sent, where, tf)), own in zip(words, hashes):
-                mine = place[done: done + len(own)]
-                done += len(own)
-                each = np.repeat(mine, sent)
-                base = np.bincount(where, tf * log[each], docs)
-                known = np.bincount(where, tf * (total[each] > 0), docs).astype(np.uint32)
-                wide = sent == 0
-                rows.append((WORDS, chunk, pickle.dumps((base, known, own[wide], total[mine[wide]]))))
-        rows.append((TOTALS, 0, pickle.dumps((n, v))))
-        rows.append((SEGMENT, r, segment.tobytes()))
+                told[kind].append((chunk, _unpack(data)))
+        words, total, by_word = _totals(told.pop(WORDS))
+        pairs, pair_total, by_pair = _totals(told.pop(PAIRS))
+        keys = np.concatenate([word_keys(words), pairs])
+        counts = np.concatenate([total, pair_total])
+        level = segment_of(keys[counts > 0], counts[counts > 0], most).level(keys).astype(np.uint8)
+        n, v, mine_pair, none = int(total.sum()), int(np.count_nonzero(total)), dict(by_pair), np.empty(0, np.int64)
+        for chunk, w in by_word:
+            rows.append((REPLY, chunk, _pack((n, v, _narrow(total[w]), level[w], level[len(words) + mine_pair.get(chunk, none)]))))
         kind, chunk, data = zip(*rows)
         return pa.table([[r] * len(rows), kind, chunk, data], schema=SCHEMA)
 
     return run
 
 
-BASE_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, digest binary"
+OUT_DDL = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
-def _base(n: int, v: int):
-    """One chunk: partial sums and totals of wide words to the documents' base scores."""
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("digest", pa.binary())])
+def _scores(ranges: int, mix: float):
+    """One chunk: its tokens and the replies to its documents' scores."""
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
     def run(t: pa.Table) -> pa.Table:
-        parts, stay = [], None
-        for kind, data in zip(t["kind"].to_pylist(), t["data"].to_pylist()):
-            if kind == PLACES:
-                stay = pickle.loads(data)
+        replies, home = [], None
+        for r, kind, data in zip(*(t[c].to_pylist() for c in ("range", "kind", "data"))):
+            if kind == TOKENS:
+                home = _unpack(data)
             else:
-                parts.append(pickle.loads(data))
-        ids, out, count, digest, wide, many, where, tf = stay
-        hashes, totals = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
-        order = np.argsort(hashes)
-        total = totals[order][np.searchsorted(hashes[order], wide)]
-        each = np.repeat(total, many)
-        base = sum(p[0] for p in parts) + np.bincount(where, tf * np.log10(each + 1.0), len(ids)) - count * np.log10(n + v + 1.0)
-        known = sum(p[1].astype(np.int64) for p in parts) + np.bincount(where, tf * (each > 0), len(ids)).astype(np.int64)
-        return pa.table([ids, out, count, known, np.full(len(ids), n), base, digest], schema=schema)
+                replies.append((r, _unpack(data)))
+        ids, out, count, hashes, place = home
+        place = _unplanes(place)
+        ns, vs, *mine = zip(*(x for _, x in sorted(replies, key=lambda x: x[0])))
+        n, v, (total, one, two) = sum(ns), sum(vs), map(np.concatenate, mine)
+        rank = np.argsort(_word_order(hashes, ranges))
+        total, one = total[rank].astype(np.int64), middle(one[rank])
+        _, at = np.unique(pair_keys(hashes, place, count), return_inverse=True)
+        start = np.cumsum(count) - count
+        base = np.add.reduceat(np.log10(total + 1.0)[place], start) - count * np.log10(n + v + 1.0)
+        known = np.add.reduceat((total > 0)[place].astype(np.int64), start)
+        score = np.add.reduceat(np.log10(token_chances(place, start, one, middle(two)[at], n, v, mix)), start)
+        return pa.table([ids, out, count, known, np.full(len(ids), n), base, score], schema=schema)
 
     return run
 
 
-def score_texts(texts: list[bytes], grams: Filter, n: int, v: int, mix: float = MIX) -> np.ndarray:
-    """The model's log10 probability of each text, its end included."""
-    hashes, place, count = tokens(texts)
-    if not len(texts):
-        return np.empty(0)
-    one = middle(grams.level(word_keys(hashes)))
-    two = middle(grams.level(pair_keys(hashes, place, count)))
+def token_chances(place: np.ndarray, start: np.ndarray, one: np.ndarray, two: np.ndarray, n: int, v: int, mix: float = MIX) -> np.ndarray:
+    """The model's P of each token, from mid-level counts of the distinct words and of each token's pair."""
     before = np.empty_like(place)
     before[1:] = place[:-1]
-    start = np.cumsum(count) - count
-    before[start] = 0
+    before[start] = 0  # END's place
     low = (one[place] + 1) / (n + v + 1)
     seen = one[before]
-    p = np.where(seen > 0, mix * np.minimum(1.0, two / np.maximum(seen, 1.0)) + (1 - mix) * low, low)
-    return np.add.reduceat(np.log10(p), start)
+    return np.where(seen > 0, mix * np.minimum(1.0, two / np.maximum(seen, 1.0)) + (1 - mix) * low, low)
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7, fold: int = 2, filter_bytes: int = FILTER_BYTES, range_bytes: int = RANGE_BYTES, mix: float = MIX) -> DataFrame:
@@ -288,32 +276,12 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", f
 
     Words are split at ASCII white space after lower-casing A-Z; each text ends in one end token; null reads
     as empty. Rows whose crc32(id as text) mod `folds` is `fold` are held out of training; null ids train.
-    base_score and the counts are exact, score comes from the filter, whose size is `filter_bytes` whatever
-    the corpus. Repeated rows count as often as they stand and score alike. Without training texts nothing is
+    base_score and the counts are exact, score comes from the filter, whose size goes by its entries. A key
+    range holds `range_bytes` of corpus text; one whose segment would pass `filter_bytes` raises. Repeated rows count as often as they stand and score alike. Without training texts nothing is
     known and both scores are 0. An empty table gives an empty result; other columns are not read.
     """
-    spark = docs.sparkSession
     src = id_text(docs, id_col, text_col).select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out(F.col("doc_id"), folds, fold).alias("out"))
     size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(1, -(-size // range_bytes))
-    bits = max(8, filter_bytes // ranges * 8)
-    counted = settle(src.mapInArrow(_send(ranges), DDL).groupBy("range").applyInArrow(_count(bits), DDL))
-    told = [pickle.loads(r["data"]) for r in counted.where(F.col("kind") == TOTALS).select("data").collect()]
-    n, v = sum(x for x, _ in told), sum(x for _, x in told)
-    found = {r["chunk"]: bytes(r["data"]) for r in counted.where(F.col("kind") == SEGMENT).select("chunk", "data").collect()}
-    none = bytes(bits // 8)
-    grams = spark.sparkContext.broadcast(b"".join(found.get(r, none) for r in range(ranges)))
-    base = counted.where(F.col("kind").isin(WORDS, PLACES)).groupBy("chunk").applyInArrow(_base(n, v), BASE_DDL)
-
-    schema = pa.schema([("digest", pa.binary()), ("score", pa.float64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ready = None
-        for b in batches:
-            ready = ready or Filter(grams.value, ranges)
-            for i in range(0, b.num_rows, CHUNK_DOCS):
-                texts = raw(b.column(0).slice(i, CHUNK_DOCS))
-                yield from to_batches(schema, [[[hashlib.md5(t).digest() for t in texts], score_texts(texts, ready, n, v, mix)]])
-
-    scores = src.select("text").mapInArrow(run, "digest binary, score double").groupBy("digest").agg(F.max("score").alias("score"))
-    return base.join(scores, "digest").drop("digest")
+    counted = src.mapInArrow(_send(ranges), DDL).groupBy("range").applyInArrow(_count(filter_bytes), DDL)
+    return counted.groupBy("chunk").applyInArrow(_scores(ranges, mix), OUT_DDL)

@@ -68,3 +68,32 @@ def test_filter_levels():
     other = rng.integers(0, 1 << lm.KEY_BITS, 20_000, dtype=np.uint64)
     assert (f.level(other) > 0).mean() < 0.03
     assert lm.levels_of(np.array([1, 2, 3, 4, 7, 8])).tolist() == [1, 2, 2, 3, 3, 4] and lm.middle(np.array([0, 1, 2])).tolist() == [0, 1, 2.5]
+
+
+def levels_score(rows):
+    """{text: score} from plain level counts, without a filter."""
+    cut = lambda t: t.encode().lower().split() + [b"\n"]
+    train = [cut(t) for d, t in rows if zlib.crc32(str(d).encode()) % 7 != 2]
+    one, two = Counter(w for ws in train for w in ws), Counter(p for ws in train for p in zip([b"\n", *ws], ws))
+    n, v = sum(one.values()), len(one)
+    mid = lambda c: (1.5 * 2 ** c.bit_length() - 1) / 2 if c else 0.0
+
+    def p(a, b):
+        low = (mid(one[b]) + 1) / (n + v + 1)
+        return lm.MIX * min(1.0, mid(two[a, b]) / mid(one[a])) + (1 - lm.MIX) * low if one[a] else low
+
+    return {t: sum(math.log10(p(a, b)) for a, b in zip([b"\n", *cut(t)], cut(t))) for _, t in rows}
+
+
+def test_score_near_plain_levels(spark):
+    """The filter grows with its entries, past what the bound of one segment holds."""
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.zipf(1.3, 40) % 3000)) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, text = levels_score(rows), dict(rows)
+    out = lm.lm_scores(df, filter_bytes=4_000, range_bytes=10_000).collect()
+    assert len(out) == len(rows)
+    off = np.array([r["score"] - want[text[r["doc_id"]]] for r in out])
+    assert abs(off.mean()) < 0.01 * abs(np.mean(list(want.values()))) and np.median(abs(off)) < 0.5
+    with pytest.raises(Exception, match="range_bytes"):
+        lm.lm_scores(df, filter_bytes=100, range_bytes=10_000).count()
