@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Estimator
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, functions as F
 
@@ -77,15 +78,37 @@ def sweep(fit: Callable[[object], object], test: DataFrame, values: Sequence, me
 
 
 def sweep_forest(train: DataFrame, test: DataFrame, feats, label: str, sizes: Sequence[int], strategies: Sequence[str], depth: int = 5, seed: int = 42) -> DataFrame:
-    """(strategy, trees, error) on held-out rows, as Spark keeps no out-of-bag score."""
+    """(strategy, trees, error) on held-out rows, as Spark keeps no out-of-bag score. One forest of the largest
+    size is fitted per strategy; a smaller size is its first trees."""
     from larkspur.models.classifiers import fit_forest
 
-    ev, rows = evaluator("accuracy", label), []
+    out, want = None, sorted(set(sizes))
     train, test = train.cache(), test.cache()
+
+    def score(batches):
+        for b in batches:
+            votes = np.cumsum(np.stack([np.stack(x) for x in b["votes"]]), axis=1)[:, np.array(want) - 1]
+            miss = (np.argmax(votes, axis=2) != b["y"].to_numpy()[:, None]).sum(axis=0)
+            yield pd.DataFrame({"trees": want, "miss": miss, "rows": len(b)})
+
     for s in strategies:
-        for n in sizes:
-            rows.append((s, n, 1.0 - float(ev.evaluate(fit_forest(train, feats, label, n, depth, s, seed=seed).transform(test)))))
-    return train.sparkSession.createDataFrame(rows, "strategy string, trees int, error double")
+        model = fit_forest(train, feats, label, want[-1], depth, s, seed=seed)
+        votes = _tree_votes(model, test).select(F.col(label).cast("double").alias("y"), "votes")
+        sums = votes.mapInPandas(score, "trees int, miss long, rows long").groupBy("trees").agg((F.sum("miss") / F.sum("rows")).alias("error"))
+        part = sums.select(F.lit(s).alias("strategy"), "trees", "error")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _tree_votes(model, df: DataFrame) -> DataFrame:
+    """`df` and, per row, the class shares that each tree of the forest votes with."""
+    *before, forest = model.stages
+    for m in before:
+        df = m.transform(df)
+    names = [f"_t{i}" for i in range(forest.getNumTrees)]
+    for name, tree in zip(names, forest.trees):
+        df = tree.setFeaturesCol(forest.getFeaturesCol()).setProbabilityCol(name).setRawPredictionCol("").setPredictionCol("").transform(df)
+    return df.withColumn("votes", F.array(*[vector_to_array(n) for n in names])).drop(*names)
 
 
 # ---- elastic-net path from one pass over the rows ----

@@ -134,26 +134,26 @@ def _(spark, sf):
 @query("mdl11_forest")
 def _(spark, sf):
     train, test = _parts(split.class_weights(vectors(spark, sf), "label"))
-    return _scores(classifiers.fit_forest(train, "features", "label", trees=20, weight="weight").transform(test))
+    return _scores(classifiers.fit_forest(train, "features", "label", trees=85, weight="weight").transform(test))
 
 
 @query("mdl12_extra_trees")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
-    return _scores(classifiers.fit_extra_trees(train, "features", "label", trees=20).transform(test))
+    return _scores(classifiers.fit_extra_trees(train, "features", "label", trees=85).transform(test))
 
 
 @query("mdl13_boosted")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
-    return _scores(classifiers.fit_boosted(train, "features", "low", depth=3, rounds=10).transform(test), "low")
+    return _scores(classifiers.fit_boosted(train, "features", "low", depth=3, rounds=200).transform(test), "low")
 
 
 @query("mdl13_boosted_multiclass")
 def _(spark, sf):
     three = vectors(spark, sf).withColumn("label", F.col("label") % 3)
     train, test = _parts(three)
-    return _scores(classifiers.fit_boosted(train, "features", "label", depth=2, rounds=4, classes=3).transform(test))
+    return _scores(classifiers.fit_boosted(train, "features", "label", depth=2, rounds=200, classes=3).transform(test))
 
 
 def mail_vectors(spark, sf):
@@ -169,25 +169,25 @@ def mail_vectors(spark, sf):
 @query("mdl14_svc")
 def _(spark, sf):
     train, test = mail_vectors(spark, sf)
-    return _scores(classifiers.fit_svc(train, "features", "label", C=1.0, rounds=25).transform(test))
+    return _scores(classifiers.fit_svc(train, "features", "label", C=1.0).transform(test))
 
 
 @query("mdl16_mlp")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
-    return _scores(classifiers.fit_mlp(train, "features", "label", [64, 100, 10], rounds=30).transform(test))
+    return _scores(classifiers.fit_mlp(train, "features", "label", [64, 100, 10], rounds=500).transform(test))
 
 
 @query("mdl17_adaboost_naive_bayes")
 def _(spark, sf):
     train, test = mail_vectors(spark, sf)
-    return _scores(ensemble.fit_adaboost(train, NaiveBayes(smoothing=0.1), "label", rounds=5).transform(test))
+    return _scores(ensemble.fit_adaboost(train, NaiveBayes(smoothing=0.1), "label", rounds=50).transform(test))
 
 
 @query("mdl17_adaboost_stumps")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
-    return _scores(ensemble.fit_adaboost(train, DecisionTreeClassifier(maxDepth=1), "low", rounds=5).transform(test), "low")
+    return _scores(ensemble.fit_adaboost(train, DecisionTreeClassifier(maxDepth=1), "low", rounds=50).transform(test), "low")
 
 
 @query("mdl18_self_train")
@@ -212,7 +212,7 @@ def _(spark, sf):
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
     bases = [LogisticRegression(labelCol="label", regParam=0.01, maxIter=25), DecisionTreeClassifier(labelCol="label", seed=1)]
-    stack = ensemble.fit_stack(train, bases, "label", "fold", 3, classifiers.forest("label", trees=10, seed=7))
+    stack = ensemble.fit_stack(train, bases, "label", "fold", 3, classifiers.forest("label", seed=7))
     return _scores(stack.transform(test))
 
 
@@ -344,7 +344,7 @@ def _(spark, sf):
 @query("tun8_sweep_forest")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
-    return tune.sweep_forest(train, test, "features", "label", [5, 10], ["sqrt", "log2", "all"])
+    return tune.sweep_forest(train, test, "features", "label", range(40, 176), ["sqrt", "log2", "all"])
 
 
 @query("tun9_grid_table")

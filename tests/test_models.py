@@ -188,3 +188,53 @@ def test_adaboost_takes_naive_bayes(data):
     df = va.transform(data[0].withColumn("p", F.abs("a")).withColumn("q", F.greatest("a", F.lit(0.0))))
     m = ensemble.fit_adaboost(df, MlNaiveBayes(), "c", 3)
     assert evaluate.accuracy(m.transform(df).withColumnRenamed("c", "label")).first()[0] > 0.7
+
+
+def test_forest_sweep_scores_prefixes_of_one_forest(data):
+    df = data[0]
+    train, test = df.where("id % 4 > 0"), df.where("id % 4 = 0")
+    got = {(r["strategy"], r["trees"]): r["error"] for r in tune.sweep_forest(train, test, FEATS, "c", [1, 2, 12], ["all", "sqrt"]).collect()}
+    assert sorted(got) == [(s, n) for s in ("all", "sqrt") for n in (1, 2, 12)]
+    for s in ("all", "sqrt"):
+        model = classifiers.fit_forest(train, FEATS, "c", 12, 5, s)
+        assert got[s, 12] == pytest.approx(1 - tune.evaluator("accuracy", "c").evaluate(model.transform(test)))
+        first = model.stages[-1].trees[0].setFeaturesCol("features")
+        one = first.transform(model.stages[0].transform(test)).where("prediction <> c").count()
+        assert got[s, 1] == pytest.approx(one / test.count())
+
+
+@pytest.mark.parametrize(
+    "name, owner, fit, figure, least",
+    [
+        ("mdl11_forest", "classifiers", "fit_forest", "trees", 85), ("mdl12_extra_trees", "classifiers", "fit_extra_trees", "trees", 85),
+        ("mdl13_boosted", "classifiers", "fit_boosted", "rounds", 200), ("mdl13_boosted_multiclass", "classifiers", "fit_boosted", "rounds", 200),
+        ("mdl14_svc", "classifiers", "fit_svc", "rounds", 100), ("mdl16_mlp", "classifiers", "fit_mlp", "rounds", 500),
+        ("mdl17_adaboost_naive_bayes", "ensemble", "fit_adaboost", "rounds", 50), ("mdl17_adaboost_stumps", "ensemble", "fit_adaboost", "rounds", 50),
+        ("mdl20_stack", "classifiers", "forest", "trees", 100), ("tun8_sweep_forest", "tune", "sweep_forest", "sizes", range(40, 176)),
+    ],
+)
+def test_model_queries_do_the_whole_work(spark, sf, monkeypatch, name, owner, fit, figure, least):
+    import inspect
+
+    from larkspur.plans import models
+
+    class Asked(Exception):
+        pass
+
+    sign = inspect.signature(getattr(getattr(models, owner), fit))
+
+    def ask(*args, **kwargs):
+        bound = sign.bind(*args, **kwargs)
+        bound.apply_defaults()
+        raise Asked(bound.arguments[figure])
+
+    monkeypatch.setattr(getattr(models, owner), fit, ask)
+    with pytest.raises(Asked) as asked:
+        models_query(name)(spark, sf)
+    assert asked.value.args[0] == least
+
+
+def models_query(name):
+    import __spark_entry__
+
+    return __spark_entry__.queries()[name]
