@@ -100,7 +100,7 @@ def columns(group: np.ndarray, p: np.ndarray, segments: list[bytes], size: int)
     _, group = np.unique(group, return_inverse=True)
     order = np.argsort(group, kind="stable")  # the empty suffixes: by group, nothing in common
     shared = np.zeros(n, np.int64)  # common prefix with the one before
-    key = group * 256
+    key = group * 257  # no symbol yet, or a byte
     last = length - p  # offset after the segment's last byte
     for o in range(ahead - 1, -behind - 1, -1):
         old = order
@@ -110,7 +110,7 @@ def columns(group: np.ndarray, p: np.ndarray, segments: list[bytes], size: int)
         place = np.flatnonzero(stay)
         mine = old[place]
         live = known[place]
-        k = key[mine] + np.where(live, board[behind + o][mine], 0)
+        k = key[mine] + np.where(live, board[behind + o][mine] + np.int64(1), 0)
         move = np.argsort(k, kind="stable")
         order, at, k, live = mine[move], place[move], k[move], live[move]
         new = np.zeros(len(order), np.int64)

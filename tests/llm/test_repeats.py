@@ -70,3 +70,26 @@ def test_long_texts_are_cut_in_pieces(spark, monkeypatch):
     x = repeats.np.random.default_rng(1).integers(0, 4, 3000).astype("u1")
     p, s0, s1 = repeats.anchor_runs(x)
     assert s0[0] == 0 and s1[-1] == 2600 and (s0[1:] == s1[:-1] + 1).all() and ((p >= s1) & (p < s0 + 256)).all()
+
+
+def twins(group, p, segments, size):
+    """{(offset, run): whether its window equals another's of its group}, by comparing all."""
+    at = {(o, i): s[p[i] - o: p[i] - o + size] for i, s in enumerate(segments) for o in range(p[i] + 1) if len(s) >= p[i] - o + size}
+    return {(o, i): any(k != i and q == o and group[k] == group[i] and other == w for (q, k), other in at.items()) for (o, i), w in at.items()}
+
+
+def found_twins(group, p, segments, size):
+    return {(o, i): bool(t) for o, who, twin in repeats.columns(repeats.np.array(group), repeats.np.array(p), segments, size) for i, t in zip(who.tolist(), twin.tolist())}
+
+
+def test_nul_bytes_at_passage_ends():
+    """A run that has not begun differs from one with byte 0: the middle run is a byte shorter than its neighbours."""
+    segments = [b"abcdefg\0", b"abcdefg", b"abcdefg\0"]
+    assert found_twins([0] * 3, [0] * 3, segments, 8) == {(0, 0): True, (0, 2): True}
+    rng = random.Random(4)
+    for _ in range(300):
+        n = rng.randint(2, 7)
+        p = [rng.randint(0, 3) for _ in range(n)]
+        segments = [bytes(rng.choice(b"\0\0a") for _ in range(p[i] + rng.randint(5, 9))) for i in range(n)]
+        group = [rng.randint(0, 1) for _ in range(n)]
+        assert found_twins(group, p, segments, 5) == twins(group, p, segments, 5)
