@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import bpe, decontaminate, idfiles, lengths, licences, lm, quality, repeats, simhash, topk
+from larkspur.llm import bpe, decontaminate, idfiles, lengths, licences, lm, middle, periods, quality, repeats, simhash, topk
 from larkspur.llm.common import lean
 from larkspur.plans import registry
 from larkspur.session import scratch_path
@@ -114,3 +115,38 @@ def op10_decontaminate(spark, sf_dir):
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
     )
+
+
+def looped(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """One document in ten repeats a stretch of its words to its end; the id says which, from where and how long.
+    A null id names none."""
+    if doc_id is None or not words:
+        return words
+    g, rest = divmod(zlib.crc32(str(doc_id).encode()), 10)
+    if rest:
+        return words
+    n = len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    found = periods.find_runs(load(spark, sf_dir, "documents"), edit=looped)
+    more = lambda best, r: best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"])
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, lambda best, r: F.when(more(best, r), r).otherwise(best))  # ties stay with the earlier run
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines = F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise("")
+    out = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return out.select("doc_id", "n_runs", "best.*", F.expr("1000 * best.length div best.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+@query("op12_fill_in_middle")
+def op12_fill_in_middle(spark, sf_dir):
+    out = middle.fill_in_middle(load(spark, sf_dir, "documents"), seed=42, rate=50, suffix_first=80)
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
