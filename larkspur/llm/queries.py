@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from larkspur.llm import bpe, decontaminate, idfiles, lengths, licences, lm, middle, periods, quality, repeats, simhash, topk
+from larkspur.llm import bpe, decontaminate, idfiles, lengths, licences, lm, middle, periods, quality, repeats, rules, simhash, topk
 from larkspur.llm.common import lean
 from larkspur.plans import registry
 from larkspur.session import scratch_path
@@ -150,3 +150,8 @@ def op12_fill_in_middle(spark, sf_dir):
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
         F.sha2(middle.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
     )
+
+
+@query("op13_quality_rules", rules.oracle())
+def op13_quality_rules(spark, sf_dir):
+    return rules.quality_rules(load(spark, sf_dir, "documents"))
