@@ -18,32 +18,30 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from larkspur.session import settle
 
-WHITE = "\t\n\u000b\f\r "
 SYMBOLS = "[#*$%&|<>]"
 # character classes in the order in which they are taken off a text; what is left at the end is the last class
 CLASSES = [r"\p{Ll}+", r"[\x20\x09-\x0D]+", r"\p{Lu}+", r"[.,;:!?'\"()-]+", r"\p{N}+"]
-COMMON = 32  # words of a language's histogram
+COMMON = 16  # words of a language's histogram
 MIN_WORDS = 50  # of a document that is judged by distance
 MIN_REFERENCE = 1000  # words of a language whose documents are
 CHAR_LIMIT = 0.25
-WORD_LIMIT = 0.42
+WORD_LIMIT = 0.36
 BROADCAST_BYTES = 16 << 20
 
 
 def split_words(text: Column) -> Column:
     """The stretches without ASCII white space."""
-    blank = F.translate(text, WHITE, " " * len(WHITE))
-    return F.array_remove(F.split(blank, " "), "")
+    return F.array_remove(F.split(text, r"[\x20\x09-\x0D]+"), "")
 
 
-def class_counts(text: Column) -> Column:
-    """Code points of each class, and of none, as an array."""
+def class_counts(text: Column) -> tuple[Column, Column]:
+    """Code points of each class, and of none, as an array; and the characters of none."""
     out, rest = [], text
     for pattern in CLASSES:
         less = F.regexp_replace(rest, pattern, "")
         out.append(F.length(rest) - F.length(less))
         rest = less
-    return F.array(*out, F.length(rest)).cast("array<bigint>")
+    return F.array(*out, F.length(rest)).cast("array<bigint>"), rest
 
 
 def js_distance(p: Column, q: Column) -> Column:
@@ -65,51 +63,61 @@ def shares(counts: Column) -> Column:
 def references(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", common: int = COMMON) -> DataFrame:
     """(lang, words, word_shares, class_shares, ref_words): one row for each language, null being one.
 
-    `words` are its most frequent words in lower case (ties by word), `word_shares` their shares of all its
+    `words` are its most frequent words (ties by word), `word_shares` their shares of all its
     words and, last, the share of the rest; `ref_words` counts them all.
     """
     src = docs.select(docs[lang_col].alias("lang"), F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"))
-    counts = src.select("lang", F.explode(split_words(F.lower("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    total = counts.groupBy(F.col("lang").alias("total_lang")).agg(F.sum("n").alias("ref_words"))
+    counts = src.select("lang", F.explode(split_words(F.col("text"))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
+    # how many words occur n times: a table so small that it can be sorted, which gives the least count worth ranking
+    sizes = counts.groupBy(F.col("lang").alias("l"), "n").agg(F.count("*").alias("m"))
+    sizes = sizes.withColumn("above", F.sum("m").over(Window.partitionBy("l").orderBy(F.desc("n"))))
+    least = sizes.groupBy("l").agg(F.sum(F.col("n") * F.col("m")).alias("ref_words"), F.max(F.when(F.col("above") >= common, F.col("n"))).alias("least"))
+    first = counts.join(least, F.col("lang").eqNullSafe(F.col("l")) & (F.col("n") >= F.coalesce("least", F.lit(1))))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
-    first = counts.withColumn("rank", rank).where(F.col("rank") <= common)
-    top = first.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"))
-    words = top.join(total, F.col("lang").eqNullSafe(F.col("total_lang"))).drop("total_lang")
+    first = first.withColumn("rank", rank).where(F.col("rank") <= common)
+    words = first.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "word", "n"))).alias("top"), F.max("ref_words").alias("ref_words"))
     in_top = F.aggregate("top.n", F.lit(0).cast("bigint"), lambda s, x: s + x)
+    lack = F.lit(common) - F.size("top")  # a language of few words: the empty word, which no text holds, fills up
     words = words.select(
-        "lang", "ref_words", F.col("top.word").alias("words"),
-        F.transform(F.concat("top.n", F.array(F.col("ref_words") - in_top)), lambda n: n / F.col("ref_words")).alias("word_shares"),
+        "lang", "ref_words", F.concat("top.word", F.array_repeat(F.lit(""), lack)).alias("words"),
+        F.transform(F.concat("top.n", F.array_repeat(F.lit(0).cast("bigint"), lack), F.array(F.col("ref_words") - in_top)), lambda n: n / F.col("ref_words")).alias("word_shares"),
     )
     k = range(len(CLASSES) + 1)
-    sums = src.select(F.col("lang").alias("class_lang"), class_counts(F.col("text")).alias("c"))
+    sums = src.select(F.col("lang").alias("class_lang"), class_counts(F.col("text"))[0].alias("c"))
     sums = sums.groupBy("class_lang").agg(*[F.sum(F.col("c")[i]).alias(f"c{i}") for i in k])
     classes = sums.select("class_lang", shares(F.array(*[F.col(f"c{i}") for i in k])).alias("class_shares"))
     return words.join(classes, F.col("lang").eqNullSafe(F.col("class_lang"))).drop("class_lang")
 
 
-def repeated_words(words: Column, windows: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more. `windows` holds the text of each window in order."""
-    placed = F.sort_array(F.transform(windows, lambda w, i: F.struct(w.alias("w"), i.alias("i"))))
-    n = F.size(windows)
+def repeated_words(words: Column, hashes: Column) -> Column:
+    """Words inside 3-word windows that occur twice or more. `hashes` has one of each window: texts whose hashes
+    all differ, which are most, have no such window, and only the others' are sorted; windows of one hash are
+    compared word by word."""
+    n = F.size(hashes)
+    placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    alike = lambda a, b: functools.reduce(lambda x, y: x & y, [F.get(words, a["i"] + d) == F.get(words, b["i"] + d) for d in range(3)])
     cover = lambda a, b: F.array(*[x["i"] + d for x in (a, b) for d in range(3)])
-    hits = F.zip_with(F.slice(placed, 1, n - 1), F.slice(placed, 2, n - 1), lambda a, b: F.when(a["w"] == b["w"], cover(a, b)).otherwise(F.array().cast("array<int>")))
-    # most texts have no such window, which a set of the windows shows without sorting them
-    alike = F.size(F.array_distinct(windows)) < n
-    return F.when(alike, F.size(F.array_distinct(F.flatten(hits)))).otherwise(0).cast("bigint")
+    pair = lambda a, b: F.when((a["h"] == b["h"]) & alike(a, b), cover(a, b))
+    # sorted once, under a name for the two places that read it
+    hits = F.transform(F.array(placed), lambda p: F.filter(F.zip_with(F.slice(p, 1, n - 1), F.slice(p, 2, n - 1), pair), lambda x: x.isNotNull()))
+    return F.when(F.size(F.array_distinct(hashes)) < n, F.size(F.array_distinct(F.flatten(F.flatten(hits))))).otherwise(0).cast("bigint")
 
 
 def measures(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with words, n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a string column without nulls."""
-    out = docs.withColumn("words", split_words(F.col(text))).withColumn("n_words", F.size("words").cast("bigint"))
-    window = lambda w, i: F.concat_ws(" ", w, F.get("words", i + 1), F.get("words", i + 2))
-    out = out.withColumn("windows", F.when(F.col("n_words") >= 3, F.transform(F.slice("words", F.lit(1), F.greatest(F.size("words") - 2, F.lit(0))), window)).otherwise(F.array().cast("array<string>")))
-    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
-    return out.withColumn("lines", lines).select(
-        *docs.columns, "words", "n_words",
-        F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"),
-        (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
+    """`docs` without its text (a string column without nulls) but with words, hashes of the 3-word windows, n_words,
+    word_chars, n_symbols, n_dup_lines and class counts."""
+    classes, rest = class_counts(F.col(text))
+    lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
+    keep = [c for c in docs.columns if c != text]
+    out = docs.select(*keep, split_words(F.col(text)).alias("words"), classes.alias("classes"), rest.alias("rest"), F.length(text).alias("n_chars"), lines.alias("lines"))
+    whole = F.slice("words", F.lit(1), F.greatest(F.size("words") - 2, F.lit(0)))
+    return out.select(
+        *keep, "words", "classes", F.size("words").cast("bigint").alias("n_words"),
+        (F.col("n_chars") - F.col("classes")[1]).cast("bigint").alias("word_chars"),
+        # symbols belong to no class, so what is left of the text holds them all
+        (F.length("rest") - F.length(F.regexp_replace("rest", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        repeated_words(F.col("words"), F.col("windows")).alias("n_repeat_words"),
+        F.transform(whole, lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))).alias("hashes"),
     )
 
 
@@ -131,14 +139,15 @@ def quality_rules(
     ref = settle(references(src, common=common).where(F.col("ref_words") >= min_reference).withColumnRenamed("lang", "ref_lang").withColumnRenamed("words", "ref"))
     held = ref.agg(F.sum(F.octet_length(F.array_join("ref", "")) + 16 * F.size("ref") + 200).alias("n")).first()["n"] or 0
     joined = src.join(F.broadcast(ref) if held <= BROADCAST_BYTES else ref, F.col("lang").eqNullSafe(F.col("ref_lang")), "left")
-    found = measures(joined).withColumn("long", F.col("n_words") >= min_words)
-    lowered = F.transform("words", lambda w: F.lower(w))
-    found = found.withColumn("common", F.when(F.col("long"), F.filter(lowered, lambda w: F.array_contains("ref", w))))
-    counts = F.transform("ref", lambda r: (F.size("common") - F.size(F.array_remove("common", r))).cast("bigint"))
-    found = found.withColumn("counts", F.concat(counts, F.array(F.col("n_words") - F.size("common"))))
-    found = found.withColumn("classes", F.when(F.col("long"), class_counts(F.col("text"))))
-    found = found.withColumn("char_distance", F.round(js_distance(shares(F.col("classes")), F.col("class_shares")), 6))
-    found = found.withColumn("word_distance", F.round(js_distance(shares(F.col("counts")), F.col("word_shares")), 6))
+    found = measures(joined.drop("lang", "ref_lang", "ref_words"))
+    # the words that are left when a common one is taken away tell how often it occurs
+    counts = [(F.size("words") - F.size(F.array_remove("words", F.get("ref", F.lit(k))))).cast("bigint") for k in range(common)]
+    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines"]
+    found = found.select(*base, "classes", "word_shares", "class_shares", repeated_words(F.col("words"), F.col("hashes")).alias("n_repeat_words"), F.array(*counts).alias("counts"))
+    held_words = F.aggregate("counts", F.lit(0).cast("bigint"), lambda s, x: s + x)
+    found = found.withColumn("counts", F.concat("counts", F.array(F.col("n_words") - held_words)))
+    distance = lambda c, ref: F.when(F.col("n_words") >= min_words, F.round(js_distance(shares(F.col(c)), F.col(ref)), 6))
+    found = found.select(*base, "n_repeat_words", distance("classes", "class_shares").alias("char_distance"), distance("counts", "word_shares").alias("word_distance"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     far = functools.reduce(lambda a, b: a | b, [F.coalesce(F.col(c) > limit, F.lit(False)) for c, limit in (("char_distance", char_limit), ("word_distance", word_limit))])
     return found.select(
@@ -169,10 +178,10 @@ def oracle() -> str:
     base AS (SELECT doc_id, lang, len(words)::BIGINT AS n_words, length(list_aggregate(words, 'string_agg', ''))::BIGINT AS chars,
         (length(text) - length(regexp_replace(text, '{SYMBOLS}', '', 'g')))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
         coalesce(n, 0)::BIGINT AS n_repeat_words, {', '.join(names)} FROM t LEFT JOIN rep USING (doc_id)),
-    c AS (SELECT lang, lower(w) AS w, count(*) AS n FROM u GROUP BY ALL),
+    c AS (SELECT lang, w, count(*) AS n FROM u GROUP BY ALL),
     total AS (SELECT lang AS l, sum(n) AS n_ref FROM c GROUP BY ALL HAVING sum(n) >= {MIN_REFERENCE}),
     top AS (SELECT lang, w, n / n_ref AS q FROM (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, w) <= {COMMON}) JOIN total ON lang IS NOT DISTINCT FROM l),
-    own AS (SELECT doc_id, lower(w) AS w, count(*) AS n FROM u GROUP BY ALL),
+    own AS (SELECT doc_id, w, count(*) AS n FROM u GROUP BY ALL),
     p AS (SELECT b.doc_id, b.n_words, top.q, coalesce(own.n, 0) / b.n_words AS p FROM base b JOIN top ON b.lang IS NOT DISTINCT FROM top.lang LEFT JOIN own ON own.doc_id = b.doc_id AND own.w = top.w WHERE n_words >= {MIN_WORDS}),
     p2 AS (SELECT doc_id, p, q FROM p UNION ALL SELECT doc_id, 1 - sum(p), 1 - sum(q) FROM p GROUP BY 1),
     wd AS (SELECT doc_id, round(sqrt(greatest(sum({js('p', 'q')}), 0)), 6) AS word_distance FROM p2 GROUP BY 1),

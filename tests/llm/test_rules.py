@@ -38,11 +38,11 @@ def distance(p, q):
     return math.sqrt(max(0.0, half(p, q) + half(q, p)))
 
 
-def plain(rows, common=32, min_words=50, least=1000):
+def plain(rows, common=16, min_words=50, least=1000):
     """The contract and the method over (doc_id, lang, text) rows, in plain Python."""
     by, chars = {}, {}
     for _, lang, text in rows:
-        by.setdefault(lang, Counter()).update(w.lower() for w in words_of(text))
+        by.setdefault(lang, Counter()).update(words_of(text))
         chars[lang] = [a + b for a, b in zip(chars.get(lang, [0] * 6), classes(text))]
     out = []
     for d, lang, text in rows:
@@ -52,7 +52,7 @@ def plain(rows, common=32, min_words=50, least=1000):
         ref = by[lang]
         if n >= min_words and sum(ref.values()) >= least:
             top = sorted(ref, key=lambda w: (-ref[w], w.encode()))[:common]
-            own = Counter(w.lower() for w in words_of(text))
+            own = Counter(words_of(text))
             wd = distance([own[w] for w in top] + [n - sum(own[w] for w in top)], [ref[w] for w in top] + [sum(ref.values()) - sum(ref[w] for w in top)])
             cd = distance(classes(text), chars[lang])
         kept = not failed and not (cd or 0) > rules.CHAR_LIMIT and not (wd or 0) > rules.WORD_LIMIT
