@@ -1,7 +1,7 @@
 """Repeated byte strings across documents, by column-wise construction of a collection's suffix order.
 
 A string of `size` bytes repeats if it starts at two places. Content decides where to look: among the first
-`SPAN` 8-byte words of every window the one of least hash is the window's anchor, so equal windows have equal
+`span_of(size)` 8-byte words of every window the one of least hash is the window's anchor, so equal windows have equal
 anchors at equal offsets, and the windows of one anchor are a run of starts. Runs whose anchor string occurs
 once have no repeat; runs that are equal as a whole repeat as a whole, however many copies there are. What
 is left, mostly the edges of passages, is settled by the column-wise method:
@@ -31,18 +31,23 @@ from larkspur.llm.common import bucket_of, id_text, raw, to_batches
 from larkspur.session import settle
 
 SIZE = 400
-SPAN = 256  # start words among which a window's anchor is found; a power of two
 WORD = 8
 PIECE = 1 << 22  # window starts handled at a time
+LEAST = 64  # shorter strings would be told apart by anchors of a few bytes
 RUNS = 20_000  # runs of one task's collection
 HOT = 200_000  # an anchor string with more unsettled runs is settled by counting single windows
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 MARK = "g long, h long, dk binary, p int, s0 int, s1 int"
 
 
+def span_of(size: int) -> int:
+    """Start words among which a window's anchor is found: the largest power of two that leaves a whole word."""
+    return 1 << ((size - WORD).bit_length() - 1)
+
+
 def anchor_runs(x: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(p, s0, s1): windows that start in [s0, s1] have their anchor at p."""
-    n, out = len(x), []
+    n, out, span = len(x), [], span_of(size)
     for i in range(0, n - size + 1, PIECE):
         y = x[i: i + PIECE + size - 1]
         v = np.lib.stride_tricks.sliding_window_view(y, WORD).copy().view("<u8").ravel()
@@ -53,7 +58,7 @@ def anchor_runs(x: np.ndarray, size: int = SIZE) -> tuple[np.ndarray, np.ndarray
         v <<= np.uint64(24)
         v |= np.arange(len(v), dtype=np.uint64)
         step = 1
-        while step < SPAN:
+        while step < span:
             v = np.minimum(v[:-step], v[step:])
             step *= 2
         p = (v[: len(y) - size + 1] & np.uint64((1 << 24) - 1)).astype(np.int64)
@@ -68,7 +73,8 @@ def _marks(texts: DataFrame, size: int) -> DataFrame:
     """A row for each run of each text: g and h are hashes of the anchor string and of the run as a whole,
     dk is the text's digest."""
     schema = pa.schema([("g", pa.int64()), ("h", pa.int64()), ("dk", pa.binary()), ("p", pa.int32()), ("s0", pa.int32()), ("s1", pa.int32())])
-    least = size - SPAN + 1  # bytes from the anchor on that all windows of a run hold
+    span = span_of(size)
+    least = size - span + 1  # bytes from the anchor on that all windows of a run hold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h64 = xxhash.xxh3_64_intdigest
@@ -79,7 +85,7 @@ def _marks(texts: DataFrame, size: int) -> DataFrame:
                 p, s0, s1 = anchor_runs(np.frombuffer(text, np.uint8), size)
                 at = list(zip(p.tolist(), s0.tolist(), s1.tolist()))
                 g = np.array([h64(text[a: a + least]) for a, _, _ in at], np.uint64).view(np.int64)
-                h = np.array([h64(text[b0: b1 + size], (a - b0) * SPAN + a - b1) for a, b0, b1 in at], np.uint64).view(np.int64)
+                h = np.array([h64(text[b0: b1 + size], (a - b0) * span + a - b1) for a, b0, b1 in at], np.uint64).view(np.int64)
                 dk = pa.array([hashlib.md5(text).digest()] * len(p), pa.binary())
                 yield from to_batches(schema, [[g, h, dk, p.astype(np.int32), s0.astype(np.int32), s1.astype(np.int32)]])
 
@@ -140,7 +146,7 @@ def _settle_runs(fine: DataFrame, size: int, runs: int) -> DataFrame:
     def solve(t: pa.Table) -> pa.Table:
         g, s0, s1, p = (t[c].to_numpy() for c in ("g", "s0", "s1", "p"))
         dk, ask = t["dk"].to_pylist(), t["ask"].to_numpy()
-        found = np.zeros((len(g), SPAN), bool)  # by offset before the anchor
+        found = np.zeros((len(g), span_of(size)), bool)  # by offset before the anchor
         for o, who, twin in columns(g, p - s0, t["bytes"].to_pylist(), size):
             found[who[twin & ask[who] & (p[who] - o <= s1[who])], o] = True
         out: list[list] = [[], [], []]
@@ -173,8 +179,8 @@ def _single_windows(hot: DataFrame, size: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", runs: int = RUNS, hot: int = HOT) -> DataFrame:
     """(dk, spans): for each text (by MD5 digest) that holds repeated windows, their ranges [start, end)."""
-    if size < SPAN + WORD:
-        raise ValueError(f"size must be at least {SPAN + WORD}")
+    if size < LEAST:
+        raise ValueError(f"size must be at least {LEAST}")
     texts = docs.select(docs[text_col].cast("string").alias("text"))
     marks = _marks(texts, size)
     shared = settle(marks.groupBy("g").agg(F.count("*").alias("n"), (F.min("h") == F.max("h")).alias("whole")).where("n > 1"))
@@ -195,6 +201,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", ru
                 yield from to_batches(cut, [[k[0], k[1], [dk] * len(rows), k[2], k[3], k[4], k[5], [text[r["s0"]: r["s1"] + size] for r in rows]]])
 
     by_digest = texts.where(F.octet_length("text") >= size).select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("dk"), "text")
+    by_digest = by_digest.groupBy("dk").agg(F.any_value("text").alias("text"))  # copies would cut the same runs again
     segments = settle(by_digest.join(wanted, "dk").select("dk", "text", "runs").mapInArrow(take, "g long, ask boolean, dk binary, p int, s0 int, s1 int, many boolean, bytes binary"))
     windows = _settle_runs(segments.where("not many"), size, runs).union(_single_windows(segments.where("many"), size))
     # a text's runs repeat as a whole but for those that stand alone in a mixed group: these are taken off again

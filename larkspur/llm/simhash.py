@@ -25,8 +25,8 @@ from larkspur.llm.common import bucket_of, id_text, pack_sorted, raw, smallest_r
 from larkspur.models.cluster import components
 from larkspur.session import settle
 
-CHUNK = 8192  # fingerprints whose variants one task holds at a time
-KEYS = 4_000_000  # variants of one range of keys
+CHUNK = 4096  # fingerprints whose variants one task holds at a time
+KEYS = 2_000_000  # variants of one range of keys
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEED = 42
 SLICE = 65536  # shingles whose bits are counted at a time

@@ -51,6 +51,22 @@ def test_passages(spark, hot):
     check(spark, passages(1, "abcdefgh é"), hot=hot, runs=100)
 
 
+@pytest.mark.parametrize("size", [64, 240, 264])
+def test_other_sizes(spark, size):
+    check(spark, passages(6, "abcdefgh é"), size=size, runs=200)
+
+
+def test_copies_are_cut_once(spark, monkeypatch):
+    """Segments of a text that many rows hold reach the column-wise step once."""
+    rng = random.Random(9)
+    x, y = ("".join(rng.choice("abcdef ") for _ in range(1500)) for _ in range(2))
+    settled = []
+    monkeypatch.setattr(repeats, "settle", lambda df: settled.append(out := df.cache()) or out)
+    check(spark, [x] * 40 + [x[:700] + "Q" + x[700:], y])
+    segments = next(d for d in settled if "bytes" in d.columns)
+    assert segments.count() == segments.distinct().count()
+
+
 def test_few_symbols(spark):
     check(spark, passages(2, "ab"), size=300)
 
