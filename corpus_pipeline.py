@@ -9,6 +9,8 @@ from larkspur.llm import bpe, decontaminate, quality, repeats, simhash
 from larkspur.llm.common import lean
 from larkspur.session import scratch_path
 
+REPEAT_BYTES = 240  # a passage of over 50 words: a word and its blank take five bytes or so
+
 ORACLE_SQL = None  # no stage can be put in SQL
 
 
@@ -30,10 +32,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut every 400-byte string that occurs twice out of the texts; a character cut in two goes as a whole.
-    Every row stays, even with an empty text."""
+    """Cut every string of `REPEAT_BYTES` bytes that occurs twice out of the texts; a character cut in two goes as a
+    whole. Every row stays, even with an empty text."""
     lean(spark)
-    out = repeats.with_kept(docs, size=400).select("row", repeats.readable(F.col("kept")).alias("text"))
+    out = repeats.with_kept(docs, size=REPEAT_BYTES).select("row", repeats.readable(F.col("kept")).alias("text"))
     return out.select(*[F.col("text") if c == "text" else F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(f"row.{c}") for c in docs.columns])
 
 
