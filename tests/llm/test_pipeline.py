@@ -22,7 +22,7 @@ def test_every_stage_against_plain_versions(spark, sf, tmp_path):
             groups = brute.simhash(now.items())
             want = {d: t for d, t in now.items() if groups[d][1] == d}
         elif name == "repeats":
-            want = {d: k.decode("utf-8", "ignore") for d, (k, _, _) in zip(now, brute.repeats(now.values(), 400))}
+            want = {d: k.decode("utf-8", "ignore") for d, (k, _, _) in zip(now, brute.repeats(now.values(), pipeline.REPEAT_BYTES))}
             assert want != now and all(r["n_chars"] == len(r["text"]) for r in got.values())
         elif name == "decontaminate":
             hit = brute.contamination(now.items(), items)
