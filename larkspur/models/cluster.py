@@ -147,22 +147,3 @@ def sweep_k(df: DataFrame, feats: str, ks: Sequence[int], seed: int = 42) -> Dat
         out = row if out is None else out.unionByName(row)
     top = out.agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("_k"))
     return out.join(top, F.col("k") == F.col("_k"), "left").withColumn("best", F.col("_k").isNotNull()).drop("_k")
-
-
-def sweep_dbscan(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], label: str | None = None) -> DataFrame:
-    """(eps, min_samples, clusters, noise[, ari]) for every pair of parameters."""
-    out = None
-    for eps in epss:
-        for m in ms:
-            found = dbscan(df, key, feats, eps, m)
-            row = found.agg(
-                F.lit(float(eps)).alias("eps"),
-                F.lit(m).alias("min_samples"),
-                F.count_distinct(F.when(F.col("cluster") >= 0, F.col("cluster"))).alias("clusters"),
-                F.count_if(F.col("cluster") < 0).alias("noise"),
-            )
-            if label:
-                ari = evaluate.adjusted_rand(found.join(df.select(key, label), key), label, "cluster")
-                row = row.withColumn("ari", ari.scalar())
-            out = row if out is None else out.unionByName(row)
-    return out

@@ -3,7 +3,7 @@
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.sql import functions as F
 
-from larkspur.models import classifiers, cluster, ensemble, linear, semi, tune
+from larkspur.models import classifiers, cluster, density, ensemble, linear, semi, tune
 from larkspur.operators import evaluate, split, text
 from larkspur.plans.registry import load, query
 from larkspur.plans.text import labelled_tokens
@@ -245,16 +245,26 @@ def _(spark, sf):
     return cluster.dbscan(load(spark, sf, "customer"), "c_custkey", ["c_acctbal"], 9.5, 4)
 
 
+SWEEP_EPS, SWEEP_MIN = [round(1.005 + 2.1 * i, 3) for i in range(10)], [2, 3, 5, 10]
+
+
 @query(
     "tun7_sweep_dbscan",
     " UNION ALL ".join(
-        f"SELECT * FROM (WITH {DBSCAN_SQL.format(eps, m)} SELECT {eps}::DOUBLE AS eps, {m} AS min_samples, CAST(count(DISTINCT cluster) FILTER (cluster >= 0) AS BIGINT) AS clusters, CAST(count(*) FILTER (cluster < 0) AS BIGINT) AS noise FROM f)"
-        for eps in (5.5, 9.5)
-        for m in (3,)
+        f"""SELECT * FROM (WITH {DBSCAN_SQL.format(eps, m)} SELECT {eps}::DOUBLE AS eps, {m} AS min_samples, CAST(count(DISTINCT cluster) FILTER (cluster >= 0) AS BIGINT) AS clusters,
+            CAST(count(*) FILTER (cluster < 0) AS BIGINT) AS noise, (SELECT CAST(count(*) AS BIGINT) FROM k) AS core_rows FROM f)"""
+        for eps in SWEEP_EPS
+        for m in SWEEP_MIN
     ),
 )
 def _(spark, sf):
-    return cluster.sweep_dbscan(load(spark, sf, "customer"), "c_custkey", ["c_acctbal"], [5.5, 9.5], [3])
+    return density.sweep_dbscan(load(spark, sf, "customer"), "c_custkey", ["c_acctbal"], SWEEP_EPS, SWEEP_MIN)
+
+
+@query("tun7_sweep_dbscan_vectors")
+def _(spark, sf):
+    eps = [0.1 + 1.9 / 9 * i for i in range(10)]
+    return density.sweep_dbscan(load(spark, sf, "embeddings"), "vec_id", "embedding", eps, SWEEP_MIN, label="label")
 
 
 @query(
