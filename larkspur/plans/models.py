@@ -3,11 +3,11 @@
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.sql import functions as F
 
-from larkspur.models import classifiers, cluster, density, ensemble, linear, semi, tune
+from larkspur.models import classifiers, cluster, density, ensemble, linear, linkage, semi, tune
 from larkspur.operators import evaluate, split, text
 from larkspur.plans.registry import load, query
 from larkspur.plans.text import labelled_tokens
-from larkspur.session import spread
+from larkspur.session import settle, spread
 
 PART_FEATS = ["o_custkey", "month", "year", "urgent"]
 
@@ -281,7 +281,57 @@ def _(spark, sf):
     return cluster.dbscan(load(spark, sf, "embeddings"), "vec_id", "embedding", 1.12, 4)
 
 
+SUPPLIER_FEATS = ["s_acctbal", "region"]
+
+
+def supplier_points(spark, sf):
+    return load(spark, sf, "supplier").select("s_suppkey", F.col("s_acctbal").cast("double").alias("s_acctbal"), (F.col("s_nationkey") * 100).cast("double").alias("region"))
+
+
+# the cheapest pair of all clusters merges in each step; a step's clusters are one list
+WARD_SQL = """RECURSIVE s AS (
+   SELECT 0 AS i, (SELECT list({'id': s_suppkey, 'x': s_acctbal::DOUBLE, 'y': s_nationkey * 100.0::DOUBLE, 'n': 1.0::DOUBLE} ORDER BY s_suppkey) FROM supplier) AS c,
+      NULL::STRUCT(cost DOUBLE, a BIGINT, b BIGINT) AS m
+   UNION ALL
+   SELECT i + 1, [CASE WHEN t.id = m2.a THEN {'id': t.id, 'x': (t.n * t.x + o.n * o.x) / (t.n + o.n), 'y': (t.n * t.y + o.n * o.y) / (t.n + o.n), 'n': t.n + o.n} ELSE t END for t in c if t.id <> m2.b], m2
+   FROM (SELECT *, [t for t in c if t.id = m2.b][1] AS o FROM (
+      SELECT i, c, list_min(flatten([[{'cost': ((q.x - p.x) * (q.x - p.x) + (q.y - p.y) * (q.y - p.y)) * (p.n * q.n / (p.n + q.n)), 'a': p.id, 'b': q.id} for q in c if q.id > p.id] for p in c])) AS m2 FROM s WHERE len(c) > 1))),
+   merges AS (SELECT m.a AS a, m.b AS b, sqrt(2 * m.cost) AS height FROM s WHERE i > 0)"""
+
+
+@query("mdl24_ward_merges", f"WITH {WARD_SQL} SELECT a, b, round(height, 6) AS height FROM merges")
+def _(spark, sf):
+    merges = linkage.ward_merges(supplier_points(spark, sf), "s_suppkey", SUPPLIER_FEATS)
+    return merges.withColumn("height", F.round("height", 6))
+
+
+@query(
+    "mdl24_ward_cut",
+    f"""WITH {WARD_SQL}, ranked AS (SELECT *, row_number() OVER (ORDER BY height, a, b) AS r, count(*) OVER () AS n FROM merges), ks AS (SELECT unnest(range(2, 11)) AS k),
+       edges AS (SELECT k, a, b FROM ranked, ks WHERE r <= n + 1 - k), roots AS (SELECT k, s_suppkey AS id, s_suppkey AS root FROM supplier, ks
+       UNION SELECT roots.k, e.b, roots.root FROM roots JOIN edges e ON e.k = roots.k AND e.a = roots.id),
+       low AS (SELECT k, id, min(root) AS root FROM roots GROUP BY 1, 2)
+       SELECT id AS s_suppkey, k::INTEGER AS k, (dense_rank() OVER (PARTITION BY k ORDER BY root) - 1)::INTEGER AS cluster FROM low""",
+)
+def _(spark, sf):
+    rows = supplier_points(spark, sf)
+    return linkage.cut_tree(settle(linkage.ward_merges(rows, "s_suppkey", SUPPLIER_FEATS)), rows, "s_suppkey", range(2, 11))
+
+
 @query("mdl24_hierarchical")
+def _(spark, sf):
+    """Silhouette of each k from 2 to 10 clusters, all cut from one tree."""
+    e = vectors(spark, sf)
+    cut = settle(linkage.cut_tree(settle(linkage.ward_merges(e, "vec_id", "features")), e, "vec_id", range(2, 11)))
+    out = None
+    for k in range(2, 11):
+        found = e.join(cut.where(F.col("k") == k).select("vec_id", "cluster"), "vec_id")
+        row = evaluate.silhouette(found, "features", "cluster").withColumn("k", F.lit(k))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("mdl24_bisecting")
 def _(spark, sf):
     e = vectors(spark, sf)
     out = None
