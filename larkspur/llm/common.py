@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,6 +24,13 @@ def lean(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Ask the driver for a garbage collection: only then are the shuffle files of finished steps deleted, which
+    a job of many steps would otherwise keep on disk to its end."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def raw(column: pa.Array) -> list[bytes]:
     """A string column's values as UTF-8; null reads as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larkspur.llm.common import bucket_of, id_text, raw, to_batches
+from larkspur.llm.common import bucket_of, drop_shuffles, id_text, raw, to_batches
 from larkspur.session import settle
 
 SIZE = 400
@@ -185,6 +185,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", ru
     marks = _marks(texts, size)
     shared = settle(marks.groupBy("g").agg(F.count("*").alias("n"), (F.min("h") == F.max("h")).alias("whole")).where("n > 1"))
     kept = settle(marks.join(shared.select("g", "whole"), "g"))
+    drop_shuffles(docs.sparkSession)
     mixed = kept.where("not whole")
     same = mixed.groupBy("g", "h").agg(F.count("*").alias("n"), F.min(F.struct("dk", "p", "s0", "s1")).alias("one"))
     fine = same.select("g", (F.col("n") == 1).alias("ask"), "one.*")
@@ -203,6 +204,7 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, text_col: str = "text", ru
     by_digest = texts.where(F.octet_length("text") >= size).select(F.unhex(F.md5(F.col("text").cast("binary"))).alias("dk"), "text")
     by_digest = by_digest.groupBy("dk").agg(F.any_value("text").alias("text"))  # copies would cut the same runs again
     segments = settle(by_digest.join(wanted, "dk").select("dk", "text", "runs").mapInArrow(take, "g long, ask boolean, dk binary, p int, s0 int, s1 int, many boolean, bytes binary"))
+    drop_shuffles(docs.sparkSession)
     windows = _settle_runs(segments.where("not many"), size, runs).union(_single_windows(segments.where("many"), size))
     # a text's runs repeat as a whole but for those that stand alone in a mixed group: these are taken off again
     # where the text's rows meet, so that no join gives each copy of a hot run its count
