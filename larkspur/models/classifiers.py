@@ -32,15 +32,8 @@ def fit_forest(df: DataFrame, feats, label: str, trees: int = 100, depth: int =
     return with_features(feats, forest(label, trees, depth, strategy, weight, seed)).fit(df)
 
 
-def fit_extra_trees(df: DataFrame, feats, label: str, trees: int = 100, depth: int = 5, seed: int = 42) -> PipelineModel:
-    """Nearest kin of extremely randomized trees, not the same: no bootstrap, a random feature subset per
-    split and few, coarse cut points. Spark has no random cut points."""
-    rf = RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, bootstrap=False, maxBins=8, featureSubsetStrategy="sqrt", seed=seed)
-    return with_features(feats, rf).fit(df)
-
-
 def fit_boosted(df: DataFrame, feats, label: str, depth: int = 6, rate: float = 0.1, rounds: int = 100, classes: int = 2, seed: int = 42) -> PipelineModel:
-    """Gradient boosted trees; more than two classes go one against the rest."""
+    """Gradient boosted trees; more than two classes go one against the rest (one model for all: `boosting`)."""
     gbt = GBTClassifier(labelCol=label, maxDepth=depth, stepSize=rate, maxIter=rounds, seed=seed)
     return with_features(feats, gbt if classes == 2 else OneVsRest(labelCol=label, classifier=gbt)).fit(df)
 

@@ -3,7 +3,7 @@
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.sql import functions as F
 
-from larkspur.models import classifiers, cluster, density, ensemble, linear, linkage, semi, tune
+from larkspur.models import boosting, classifiers, cluster, density, ensemble, linear, linkage, semi, trees, tune
 from larkspur.operators import evaluate, split, text
 from larkspur.plans.registry import load, query
 from larkspur.plans.text import labelled_tokens
@@ -140,7 +140,7 @@ def _(spark, sf):
 @query("mdl12_extra_trees")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
-    return _scores(classifiers.fit_extra_trees(train, "features", "label", trees=85).transform(test))
+    return _scores(trees.fit_extra_trees(train, "vec_id", "features", "label", trees=85).transform(test))
 
 
 @query("mdl13_boosted")
@@ -153,7 +153,7 @@ def _(spark, sf):
 def _(spark, sf):
     three = vectors(spark, sf).withColumn("label", F.col("label") % 3)
     train, test = _parts(three)
-    return _scores(classifiers.fit_boosted(train, "features", "label", depth=2, rounds=200, classes=3).transform(test))
+    return _scores(boosting.fit_boosting(train, "features", "label", depth=2, rounds=200).transform(test))
 
 
 def mail_vectors(spark, sf):
@@ -402,6 +402,13 @@ def _(spark, sf):
 
 
 @query("tun8_sweep_forest")
+def _(spark, sf):
+    """Out-of-bag error of forests of 40 to 175 trees."""
+    train, _ = _parts(vectors(spark, sf))
+    return trees.sweep_forest(train, "vec_id", "features", "label", range(40, 176), ["sqrt", "log2", "all"])
+
+
+@query("tun8_sweep_forest_held_out")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
     return tune.sweep_forest(train, test, "features", "label", range(40, 176), ["sqrt", "log2", "all"])

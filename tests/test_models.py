@@ -206,11 +206,11 @@ def test_forest_sweep_scores_prefixes_of_one_forest(data):
 @pytest.mark.parametrize(
     "name, owner, fit, figure, least",
     [
-        ("mdl11_forest", "classifiers", "fit_forest", "trees", 85), ("mdl12_extra_trees", "classifiers", "fit_extra_trees", "trees", 85),
-        ("mdl13_boosted", "classifiers", "fit_boosted", "rounds", 200), ("mdl13_boosted_multiclass", "classifiers", "fit_boosted", "rounds", 200),
+        ("mdl11_forest", "classifiers", "fit_forest", "trees", 85), ("mdl12_extra_trees", "trees", "fit_extra_trees", "trees", 85),
+        ("mdl13_boosted", "classifiers", "fit_boosted", "rounds", 200), ("mdl13_boosted_multiclass", "boosting", "fit_boosting", "rounds", 200),
         ("mdl14_svc", "classifiers", "fit_svc", "rounds", 100), ("mdl16_mlp", "classifiers", "fit_mlp", "rounds", 500),
         ("mdl17_adaboost_naive_bayes", "ensemble", "fit_adaboost", "rounds", 50), ("mdl17_adaboost_stumps", "ensemble", "fit_adaboost", "rounds", 50),
-        ("mdl20_stack", "classifiers", "forest", "trees", 100), ("tun8_sweep_forest", "tune", "sweep_forest", "sizes", range(40, 176)),
+        ("mdl20_stack", "classifiers", "forest", "trees", 100), ("tun8_sweep_forest", "trees", "sweep_forest", "sizes", range(40, 176)), ("tun8_sweep_forest_held_out", "tune", "sweep_forest", "sizes", range(40, 176)),
     ],
 )
 def test_model_queries_do_the_whole_work(spark, sf, monkeypatch, name, owner, fit, figure, least):
