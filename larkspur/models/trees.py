@@ -120,11 +120,11 @@ def _rows(col: pa.Array) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1) if len(col) else np.empty((0, 0))
 
 
-def _sum_blobs(parts: DataFrame, buckets: int) -> DataFrame:
-    """(tree, node, blob): the sums of int64 arrays, in two steps."""
+def _sum_blobs(parts: DataFrame, buckets: int, kind: type = np.int64) -> DataFrame:
+    """(tree, node, blob): the sums of arrays of eight-byte numbers, in two steps."""
 
     def add(t: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(b, np.int64) for b in t["blob"].to_pylist())
+        total = sum(np.frombuffer(b, kind) for b in t["blob"].to_pylist())
         return pa.table({"tree": t["tree"].slice(0, 1), "node": t["node"].slice(0, 1), "blob": pa.array([total.tobytes()], pa.binary())})
 
     some = parts.groupBy("tree", "node", F.pmod(F.col("part"), F.lit(buckets)).alias("bucket")).applyInArrow(add, "tree int, node int, blob binary")

@@ -3,7 +3,7 @@
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.sql import functions as F
 
-from larkspur.models import boosting, classifiers, cluster, density, ensemble, linear, linkage, semi, trees, tune
+from larkspur.models import boosting, classifiers, cluster, committee, density, ensemble, linear, linkage, semi, trees, tune
 from larkspur.operators import evaluate, split, text
 from larkspur.plans.registry import load, query
 from larkspur.plans.text import labelled_tokens
@@ -218,13 +218,21 @@ def _(spark, sf):
 
 @query("mdl21_committee")
 def _(spark, sf):
+    """Thirty members, C by search, class weights 0.1 and 0.9."""
     train, test = _parts(order_features(spark, sf).cache())
-    base = LogisticRegression(regParam=0.01)
     fit_part, meta_part = _parts(split.split(train, "o_orderkey", 0.5, seed=11, out="part"))
-    c = ensemble.fit_committee(fit_part, "o_orderkey", PART_FEATS, "label", base, n=5, rows=8166, redraw=5444, holdout=meta_part)
+    c = committee.fit_committee(fit_part, "o_orderkey", PART_FEATS, "label", meta_part)
     return _scores(c.transform(test))
 
 
+@query("mdl21_committee_search")
+def _(spark, sf):
+    """The mean accuracy of each C over five folds."""
+    train, _ = _parts(order_features(spark, sf))
+    c = committee.fit_committee(train, "o_orderkey", PART_FEATS, "label", train, trees=1)
+    return spark.createDataFrame([(a, round(b, 9), a == c.C) for a, b in c.scores], "c double, accuracy double, best boolean")
+
+
 @query("mdl22_kmeans")
 def _(spark, sf):
     e = vectors(spark, sf)
