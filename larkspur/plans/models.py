@@ -3,7 +3,7 @@
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, NaiveBayes
 from pyspark.sql import functions as F
 
-from larkspur.models import boosting, classifiers, cluster, committee, density, ensemble, linear, linkage, semi, trees, tune
+from larkspur.models import boosting, classifiers, cluster, committee, density, ensemble, kernel, linear, linkage, semi, trees, tune
 from larkspur.operators import evaluate, split, text
 from larkspur.plans.registry import load, query
 from larkspur.plans.text import labelled_tokens
@@ -101,15 +101,18 @@ def _(spark, sf):
     return _coefs(linear.fit_ridge(line_features(spark, sf), LINE_FEATS, "y", 10.0), LINE_FEATS)
 
 
-# the solver stops at a relative change of 1e-9, which shows in the fourth decimal here and below
-@query("mdl3_lasso", net_sql("5.0", "0", 2))
+def _net(spark, sf, alpha, l1):
+    return tune.fit_elastic_net_moments(line_features(spark, sf), LINE_FEATS, "y", alpha, l1).withColumn("coefficient", F.round("coefficient", 4))
+
+
+@query("mdl3_lasso", net_sql("5.0", "0", 4))
 def _(spark, sf):
-    return _coefs(linear.fit_lasso(line_features(spark, sf), LINE_FEATS, "y", 5.0), LINE_FEATS, 2)
+    return _net(spark, sf, 5.0, 1.0)
 
 
-@query("mdl4_elastic_net", net_sql("0.2371 * 0.99", "0.2371 * 0.01", 2))
+@query("mdl4_elastic_net", net_sql("0.2371 * 0.99", "0.2371 * 0.01", 4))
 def _(spark, sf):
-    return _coefs(linear.fit_elastic_net(line_features(spark, sf), LINE_FEATS, "y", 0.2371, 0.99), LINE_FEATS, 2)
+    return _net(spark, sf, 0.2371, 0.99)
 
 
 @query("mdl5_logistic")
@@ -172,6 +175,12 @@ def _(spark, sf):
     return _scores(classifiers.fit_svc(train, "features", "label", C=1.0).transform(test))
 
 
+@query("mdl14_svc_rbf")
+def _(spark, sf):
+    train, test = _parts(vectors(spark, sf))
+    return _scores(kernel.fit_kernel_svc(train, "features", "low", C=1.0).transform(test), "low")
+
+
 @query("mdl16_mlp")
 def _(spark, sf):
     train, test = _parts(vectors(spark, sf))
@@ -353,7 +362,7 @@ def _(spark, sf):
 @query("mdl26_rank_features")
 def _(spark, sf):
     o = order_features(spark, sf)
-    return linear.rank_features(classifiers.fit_forest(o, PART_FEATS, "label", trees=10), PART_FEATS, 20)
+    return linear.rank_features(classifiers.fit_forest(o, PART_FEATS, "label", trees=100), PART_FEATS, 20)
 
 
 @query("mdl29_cluster_feature")
