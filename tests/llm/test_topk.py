@@ -58,3 +58,32 @@ def test_odd_rows(spark):
     got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id = 0"), 5).collect())
     assert got == [(0, 1, 5, 3), (0, 2, 6, -1)]
     assert topk.top_k(df.limit(0), df, 5).count() == 0 and topk.top_k(df, df.limit(0), 5).count() == 0
+
+
+def plain(rows, k):
+    """The contract over (id, vector) rows: distinct rows, own length only, ties to the smaller id."""
+    rows = sorted({(i, tuple(v)) for i, v in rows})
+    out = []
+    for q in sorted({i for i, _ in rows if i % 50 == 0}):
+        scored = [(-int(np.dot(a, v)), j) for i, a in rows if i == q for j, v in rows if j != q and len(v) == len(a)]
+        out += [(q, r, j, -s) for r, (s, j) in enumerate(sorted(scored)[:k], 1)]
+    return out
+
+
+def test_an_id_with_several_vectors(spark):
+    """The query's own rows, however many, take no other row's place."""
+    rng = np.random.default_rng(4)
+    rows = [(0, [9.0 + i, 9.0]) for i in range(4)] + [(i, rng.integers(-5, 6, 2).astype(float).tolist()) for i in range(1, 9)] + [(50, [1.0, -3.0]), (50, [-2.0, 7.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for block in (3, 8192):
+        got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), 5, rows=block).collect())
+        assert got == plain(rows, 5)
+
+
+def test_vectors_of_several_lengths(spark, monkeypatch):
+    monkeypatch.setattr(topk, "WAVE", 1)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-20, 20, 2 + i % 3).astype(float).tolist()) for i in range(300)]
+    df = spark.createDataFrame([*rows, (301, []), (350, [])], "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.top_k(df, df.where("vec_id % 50 = 0"), 5, rows=60, per=3).collect())
+    assert got == plain(rows, 5)
