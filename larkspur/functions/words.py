@@ -25,3 +25,32 @@ HEADER_LINES = ["Message-Id", "X-Loop", "Sender", "Errors-To"]
 
 # Folder of a mail and its label.
 CATEGORY_LABELS = {"easy_ham": 0, "easy_ham_2": 0, "hard_ham": 0, "spam": 1, "spam_2": 1}
+
+# Wording of made advertising messages.
+MESSAGE_TEMPLATES = [
+    "Congratulations! You've won a {prize}. Claim your reward now at {fake_link}.",
+    "Dear {name}, your account has been compromised. Reset your password here: {fake_link}",
+    "Limited time offer! Get a {discount}% discount on {product}. Buy now at {fake_link}",
+    "Earn {money} per week working from home! Sign up at {fake_link}",
+    "Urgent: Your bank account requires verification! Log in here: {fake_link}",
+    "Exclusive deal just for you, {name}! Click {fake_link} to get {offer}",
+    "Act now! Get {cashback}% cashback on all purchases. Offer expires soon!",
+    "You have an unclaimed reward of {reward_amount}. Claim it before it expires!",
+    "Get a FREE trial of {service}. No credit card required. Sign up today!",
+    "Don't miss this opportunity! Invest in {crypto} and double your money instantly!",
+]
+
+# What fills their slots; a pair of numbers is a range with both ends.
+MESSAGE_SLOTS = {
+    "name": ["John", "Jane", "Alex", "Chris"],
+    "prize": ["$1,000", "a free iPhone", "a vacation to Hawaii"],
+    "fake_link": ["http://scam.com", "http://fakepromo.com", "http://clickbait.com"],
+    "discount": (10, 90),
+    "product": ["a new laptop", "a premium membership", "a smart watch"],
+    "money": (500, 5000),
+    "offer": ["a VIP pass", "a free gift", "a limited-edition product"],
+    "cashback": (5, 50),
+    "reward_amount": ["$50", "$100", "a mystery gift"],
+    "service": ["VPN", "streaming service", "cloud storage"],
+    "crypto": ["Bitcoin", "Ethereum", "Dogecoin"],
+}

@@ -131,12 +131,16 @@ def mean_tfidf(weights: DataFrame, docs: DataFrame, key: str, group: str) -> Dat
     return sums.join(sizes, group).select(group, "term", (F.col("_w") / F.col("_docs")).alias("mean_weight"))
 
 
-def synthesize(df: DataFrame, key: str, templates: Sequence[str], slots: Mapping[str, Sequence[str]], seed: int = 42, out: str = "message") -> DataFrame:
-    """One message per key: template and slot values picked by hash."""
-
-    def pick(values: Sequence[str], salt: str) -> Column:
-        at = hash_order(key, f"{seed}{salt}") % len(values)
-        return F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int"))
+def synthesize(df: DataFrame, key: str, templates: Sequence[str], slots: Mapping[str, Sequence[str] | tuple[int, int]], seed: int = 42, out: str = "message") -> DataFrame:
+    """One message per key: template and slot values picked by hash. A slot takes one of a list of texts, or any whole
+    number of a pair (least, greatest)."""
+
+    def pick(values: Sequence, salt: str) -> Column:
+        drawn = hash_order(key, f"{seed}{salt}")
+        if isinstance(values, tuple):
+            least, greatest = values
+            return (F.lit(int(least)) + drawn % (greatest - least + 1)).cast("string")
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (drawn % len(values) + 1).cast("int"))
 
     text = pick(templates, "template")
     for name, values in slots.items():

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from larkspur.functions import text_cols as tc
+from larkspur.functions import text_cols as tc, words
 from larkspur.functions.words import MAIL_STOP_WORDS, SPAM_PHRASES, STOP_WORDS, TRIGGER_WORDS
 from larkspur.operators import stem, text
 from larkspur.plans.registry import load, query
@@ -260,30 +260,20 @@ def _(spark, sf):
     return text.mean_tfidf(w, labelled, "doc_id", "source").withColumn("mean_weight", F.round("mean_weight", 6))
 
 
-TEMPLATES = [
-    "Dear {name}, claim {prize} at {link} today.",
-    "Earn {money} per week from home, see {link}.",
-    "{name}, your account is locked. Log in at {link}.",
-]
-SLOTS = {
-    "name": ["Robin", "Sam", "Kim"],
-    "prize": ["a phone", "a trip"],
-    "money": ["500", "1200", "3000", "4500"],
-    "link": ["http://offers.example.com", "http://promo.example.net"],
-}
-
-
 def _pick_sql(values, salt):
-    items = ", ".join(f"'{v}'" for v in values)
-    return f"[{items}][1 + ('0x' || substr(md5(doc_id || '|42{salt}'), 1, 8))::BIGINT % {len(values)}]"
+    drawn = f"('0x' || substr(md5(doc_id || '|42{salt}'), 1, 8))::BIGINT"
+    if isinstance(values, tuple):
+        return f"({values[0]} + {drawn} % {values[1] - values[0] + 1})::VARCHAR"
+    items = ", ".join("'" + v.replace("'", "''") + "'" for v in values)
+    return f"[{items}][1 + {drawn} % {len(values)}]"
 
 
-_MESSAGE = _pick_sql(TEMPLATES, "template")
-for _slot, _values in SLOTS.items():
+_MESSAGE = _pick_sql(words.MESSAGE_TEMPLATES, "template")
+for _slot, _values in words.MESSAGE_SLOTS.items():
     _MESSAGE = f"replace({_MESSAGE}, '{{{_slot}}}', {_pick_sql(_values, _slot)})"
 
 
 @query("txt22_synthesize", f"SELECT doc_id, {_MESSAGE} AS message FROM labels")
 def _(spark, sf):
     t = load(spark, sf, "labels").select("doc_id")
-    return text.synthesize(t, "doc_id", TEMPLATES, SLOTS)
+    return text.synthesize(t, "doc_id", words.MESSAGE_TEMPLATES, words.MESSAGE_SLOTS)

@@ -73,6 +73,11 @@ def test_vectors_match_long_form(spark, sf):
     assert all(abs(got[k] - long[k]) < 1e-9 for k in got)
 
 
+def test_synthesize_draws_whole_ranges(spark):
+    got = [r["message"] for r in text.synthesize(spark.range(2000), "id", ["{n}% of {x}"], {"n": (5, 9), "x": ["all"]}).collect()]
+    assert set(got) == {f"{i}% of all" for i in range(5, 10)}
+
+
 @pytest.mark.parametrize("n", [20])
 def test_synthesize_fills_all_slots(spark, n):
     got = text.synthesize(spark.range(n), "id", ["{a} and {b}", "only {b}"], {"a": ["x", "y"], "b": ["1", "2", "3"]}).collect()
