@@ -6,9 +6,9 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from larkspur.operators.ordered import exact_quantiles, null_safe_join
+from larkspur.operators.ordered import exact_quantiles, hash_rank, null_safe_join, running_sums, sample_borders
 
 
 def group_size(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -121,6 +121,63 @@ def jarque_bera(df: DataFrame, col: str) -> DataFrame:
     return s.withColumn("p_value", F.exp(-F.col("statistic") / 2))
 
 
+# Published coefficients of a rational approximation of the normal quantile: middle and tails.
+QUANTILE_MIDDLE = (
+    (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02, -3.066479806614716e01, 2.506628277459239e00),
+    (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01, -1.328068155288572e01, 1.0),
+)
+QUANTILE_TAIL = (
+    (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00, 4.374664141464968e00, 2.938163982698783e00),
+    (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00, 1.0),
+)
+TAIL = 0.02425
+
+
+def normal_quantile(p: Column) -> Column:
+    """The normal value below which a share p lies, 0 < p < 1, to nine digits."""
+
+    def horner(c: Sequence[float], x: Column) -> Column:
+        out = F.lit(c[0])
+        for a in c[1:]:
+            out = out * x + F.lit(a)
+        return out
+
+    low = F.least(p, 1 - p)
+    q, t = low - 0.5, F.sqrt(-2 * F.log(low))
+    middle = horner(QUANTILE_MIDDLE[0], q * q) * q / horner(QUANTILE_MIDDLE[1], q * q)
+    value = F.when(low < TAIL, horner(QUANTILE_TAIL[0], t) / horner(QUANTILE_TAIL[1], t)).otherwise(middle)
+    return F.when(p > 0.5, -value).otherwise(value)
+
+
+def shapiro_francia(df: DataFrame, key: str, col: str) -> DataFrame:
+    """(n, statistic, z, p_value): normality by the squared correlation of the ordered values with normal scores.
+
+    Values are ranked in two levels, rows of equal value by hash of their unique key, so that no task orders the whole
+    column or all rows of one value. z is the normal deviate of log(1 - statistic), meant for 5 to 5,000 rows; p_value
+    its upper tail. Null values are left out; with fewer than 5 rows or one value all but n is null.
+    """
+    rows = df.select(F.col(key).alias("k"), F.col(col).cast("double").alias("x")).where("x is not null and not isnan(x)")
+    values = rows.groupBy("x").agg(F.count("*").alias("n"))
+    before = running_sums(values, [], "x", ["n"], sample_borders(values, "x")).select("x", (F.col("cum_n") - F.col("n")).alias("before"))
+    n, mean = rows.agg(F.count("*")).scalar(), rows.agg(F.avg("x")).scalar()
+    place = (F.col("before") + F.col("r") + 1 - 0.375) / (n + 0.25)
+    placed = hash_rank(rows, "k", within=["x"], out="r").join(before, "x").select((F.col("x") - mean).alias("d"), normal_quantile(place).alias("m"))
+    out = placed.agg(F.count("*").alias("n"), *[F.sum(F.col(a) * F.col(b)).alias(a + b) for a, b in (("m", "d"), ("m", "m"), ("d", "d"))])
+    usable = (F.col("n") >= 5) & (F.col("dd") > 0)
+    out = out.select("n", usable.alias("usable"), F.when(usable, F.col("md") * F.col("md") / (F.col("mm") * F.col("dd"))).alias("statistic"))
+    u, v = F.log("n"), F.log(F.log("n"))
+    z = (F.log(1 - F.col("statistic")) - (-1.2725 + 1.0521 * (v - u))) / (1.0308 - 0.26758 * (v + 2 / u))
+    return out.select("n", "statistic", F.when(F.col("usable"), z).alias("z")).withColumn("p_value", _upper_tail("z"))
+
+
+def _upper_tail(z: str) -> Column:
+    @F.pandas_udf("double")
+    def tail(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: 0.5 * math.erfc(x / math.sqrt(2)), na_action="ignore")
+
+    return tail(F.col(z))
+
+
 def score_table(scores: DataFrame, by: str, score: str = "score") -> DataFrame:
     """Count, mean, population std, min, quartiles and max per parameter value."""
     base = scores.groupBy(by).agg(

@@ -339,6 +339,30 @@ def _(spark, sf):
     return j.select("n", F.round("skew", 5).alias("skew"), F.round("kurt", 5).alias("kurt"), F.round("statistic", 3).alias("statistic"))
 
 
+def _horner(c, x):
+    out = str(c[0])
+    for a in c[1:]:
+        out = f"({out} * {x} + {a})"
+    return out
+
+
+_SCORE = f"""CASE WHEN low < {stats.TAIL} THEN {_horner(stats.QUANTILE_TAIL[0], 't')} / {_horner(stats.QUANTILE_TAIL[1], 't')}
+    ELSE {_horner(stats.QUANTILE_MIDDLE[0], 'q * q')} * q / {_horner(stats.QUANTILE_MIDDLE[1], 'q * q')} END"""
+
+
+@query(
+    "agg8_shapiro_francia",
+    f"""WITH r AS (SELECT c_acctbal::DOUBLE AS x, (row_number() OVER (ORDER BY c_acctbal) - 0.375::DOUBLE) / (count(*) OVER () + 0.25::DOUBLE) AS p FROM customer),
+       s AS (SELECT x, p, least(p, 1 - p) AS low, least(p, 1 - p) - 0.5 AS q, sqrt(-2 * ln(least(p, 1 - p))) AS t FROM r),
+       m AS (SELECT x, CASE WHEN p > 0.5 THEN -1 ELSE 1 END * ({_SCORE}) AS m FROM s),
+       w AS (SELECT count(*) AS n, pow(corr(x, m), 2) * (var_pop(m) / avg(m * m)) AS w FROM m)
+       SELECT n, round(w, 8) AS statistic, round((ln(1 - w) - (-1.2725 + 1.0521 * (ln(ln(n)) - ln(n)))) / (1.0308 - 0.26758 * (ln(ln(n)) + 2 / ln(n))), 5) AS z FROM w""",
+)
+def _(spark, sf):
+    found = stats.shapiro_francia(load(spark, sf, "customer"), "c_custkey", "c_acctbal")
+    return found.select("n", F.round("statistic", 8).alias("statistic"), F.round("z", 5).alias("z"))
+
+
 @query(
     "agg9_score_table",
     """SELECT event_type, CAST(count(value) AS BIGINT) AS n, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, min(value) AS "min", max(value) AS "max",

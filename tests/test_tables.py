@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -194,3 +195,21 @@ def test_confusion_takes_the_classes_of_the_data(spark):
     assert {k: n for k, n in got.items() if n} == {("a", "a"): 1, ("a", "b"): 1, ("c", "a"): 1, (None, "a"): 2, ("b", None): 1}
     assert {k for k in got if None not in k} == {(x, y) for x in "abcd" for y in "abcd"}
     assert evaluate.confusion(pred.limit(0)).count() == 0
+
+
+def test_shapiro_francia(spark):
+    """Against normal scores from the standard library, with a value that holds a third of the rows."""
+    from statistics import NormalDist
+
+    rng = np.random.default_rng(2)
+    for x in (rng.normal(size=300), rng.exponential(size=200), np.concatenate([np.full(100, 1.0), rng.normal(size=200)])):
+        df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)] + [(999, None)], "id long, x double")
+        got = stats.shapiro_francia(df, "id", "x").first()
+        n = len(x)
+        m = np.array([NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)])
+        d = np.sort(x) - x.mean()
+        want = (m @ d) ** 2 / ((m @ m) * (d @ d))
+        assert got["n"] == n and abs(got["statistic"] - want) < 1e-8
+        assert (got["p_value"] > 0.01) == (got["statistic"] > 0.98) and abs(got["p_value"] - (1 - NormalDist().cdf(got["z"]))) < 1e-9
+    few = spark.createDataFrame([(1, 2.0), (2, 3.0)], "id long, x double")
+    assert tuple(stats.shapiro_francia(few, "id", "x").first()) == (2, None, None, None)
