@@ -120,9 +120,9 @@ def ward_merges(df: DataFrame, key: str, feats, block: int = BLOCK, rounds: int
     """(a, b, height): one row for each merge, named by the smallest keys of the two clusters, a < b.
 
     height is sqrt(2 * cost): for two rows their distance. Heights never fall from a merge to the next one that holds
-    it. Rows of equal vectors merge at height 0; rows whose vector is null are left out.
+    it. Rows of equal vectors merge at height 0; rows whose vector is null or holds a null or NaN are left out.
     """
-    pts = points(df, key, feats).where("v is not null")
+    pts = points(df, key, feats).where("v is not null and not exists(v, x -> x is null or isnan(x))")
     clusters = settle(pts.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("n")).select("id", "v", "n"))
     kind = clusters.schema["id"].dataType.simpleString()
     same = pts.join(clusters.select("v", F.col("id").alias("a")), "v").where(F.col("id") > F.col("a"))

@@ -83,3 +83,5 @@ def test_one_row_and_none(spark):
     assert linkage.ward_merges(one, "id", "v").count() == 0
     assert [tuple(r) for r in linkage.cut_tree(linkage.ward_merges(one, "id", "v"), one, "id", [1, 2]).collect()] == [(0, 1, 0), (0, 2, 0)]
     assert linkage.ward_merges(one.limit(0), "id", "v").count() == 0
+    odd = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, None), (3, [None]), (4, [float("nan")])], "id long, v array<double>")
+    assert [tuple(r) for r in linkage.ward_merges(odd, "id", "v").collect()] == [(0, 1, 1.0)]
