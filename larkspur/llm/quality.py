@@ -5,12 +5,16 @@ logistic loss L and score g,
 
     q * mean_P L(g)  +  max(0, mean_U L(-g) - q * mean_P L(-g)).
 
-The second part is the risk on the negatives, which no label names; where it falls below zero the model has
-begun to fit the sample, and the step goes the other way. Scores are sigmoid(g).
+The second part is the risk on the negatives, which no label names; below zero the model would fit the sample, so
+steps end at zero and go on along that border. As L(g) - L(-g) = -g, the whole is -q * mean_P g + mean_U L(-g) where
+the second part counts, which is convex: Newton steps find its least value, and each needs one read of all unlabelled
+rows, summed where they lie. Scores are sigmoid(g).
 """
 
 from __future__ import annotations
 
+import warnings
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from operator import eq
 
@@ -18,9 +22,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from larkspur.llm.common import id_text, raw
+from larkspur.llm.common import id_text, raw, to_batches
+from larkspur.session import scratch_path
 
-FIT_ROWS = 20_000  # bound of the positives and of the unlabelled rows that a fit reads
+FIT_ROWS = 20_000  # bound of the positives, whose ids are broadcast
+DECAY = 1e-2  # set on training rows split once more: 1e-3 to 3e-2 do alike
+TOLERANCE = 1e-4
+BORDER = 10.0  # weight of a negative part below zero, against the risk, when a step is judged
+SUMS = pa.schema([("v", pa.list_(pa.float64()))])
 PUNCTUATION = [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]
 N_FEATURES = len(PUNCTUATION) + 10
 
@@ -70,29 +79,70 @@ class Model:
         return score(text.cast("string"))
 
 
-def nn_risk(g_pos: np.ndarray, g_unl: np.ndarray, prior: float) -> tuple[float, float]:
-    """The positive part and the negative part (which may be below zero) of the risk."""
-    loss = lambda z: np.logaddexp(0, -z)
-    return prior * loss(g_pos).mean(), loss(-g_unl).mean() - prior * loss(-g_pos).mean()
-
-
-def fit_nnpu(pos: np.ndarray, unl: np.ndarray, prior: float, steps: int = 400, rate: float = 0.05, decay: float = 1e-4) -> Model:
-    """The linear model of least non-negative risk, by Adam on whole batches; no draw is random."""
-    both = np.concatenate([pos, unl])
-    mean, scale = both.mean(0), both.std(0) + 0.01
-    pos, unl = (pos - mean) / scale, (unl - mean) / scale
-    w = np.zeros(pos.shape[1] + 1)
-    pos, unl = (np.hstack([x, np.ones((len(x), 1))]) for x in (pos, unl))
-    m, v = np.zeros_like(w), np.zeros_like(w)
-    up = lambda z: 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-    for t in range(1, steps + 1):
-        gp, gu = pos @ w, unl @ w
-        plus = -prior * (pos * up(-gp)[:, None]).mean(0)
-        minus = (unl * up(gu)[:, None]).mean(0) - prior * (pos * up(gp)[:, None]).mean(0)
-        grad = plus + minus + decay * w if nn_risk(gp, gu, prior)[1] >= 0 else -minus
-        m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad**2
-        w = w - rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return Model(mean, scale, w[:-1], float(w[-1]))
+def moments(x: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Rows, positives among them, and sums of x, of x squared and of the positives' x."""
+    return np.concatenate([[len(x), p.sum()], x.sum(0), (x * x).sum(0), p @ x])
+
+
+def risk_sums(x: np.ndarray, p: np.ndarray, w: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Sums of L(-g) over the rows and over the positives among them, the slopes of both, the curvature of the first."""
+    z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    g = z @ w
+    loss, up = np.logaddexp(0, g), 1 / (1 + np.exp(-np.clip(g, -500, 500)))
+    return np.concatenate([[loss.sum(), p @ loss], up @ z, (p * up) @ z, ((z * (up * (1 - up))[:, None]).T @ z).ravel()])
+
+
+def least_risk(sums: Callable[..., np.ndarray], prior: float, n: int, rounds: int = 60, tol: float = TOLERANCE) -> Model | None:
+    """The linear model of `n` features of least non-negative risk, to where a step lowers it by less than `tol`. `sums(f, *args)` adds up f(x, p, *args) over all
+    unlabelled rows, p being 1 for a positive. None if there are no rows or no positives."""
+    got = sums(moments)
+    if not len(got) or not got[1]:
+        return None
+    rows, known = got[:2]
+    mean = got[2 : 2 + n] / rows
+    scale = np.sqrt(np.maximum(got[2 + n : 2 + 2 * n] / rows - mean**2, 0)) + 0.01
+    pull = prior * np.append((got[2 + 2 * n :] / known - mean) / scale, 1.0)
+    w, share, best, small = np.zeros(n + 1), 1.0, None, DECAY * np.eye(n + 1)
+    for _ in range(rounds):
+        s = sums(risk_sums, w, mean, scale)
+        all_slope, known_slope = s[2 : 3 + n] / rows, s[3 + n : 4 + 2 * n] / known
+        negatives = s[0] / rows - prior * s[1] / known
+        risk = s[0] / rows - pull @ w + DECAY / 2 * w @ w + BORDER * max(0.0, -negatives)
+        if best is None or risk <= best[0]:
+            gain, best, share = np.inf if best is None else best[0] - risk, (risk, w), 1.0
+            curve, slope, edge = s[4 + 2 * n :].reshape(n + 1, n + 1) / rows + small, all_slope - pull + DECAY * w, all_slope - prior * known_slope
+            free, lift = np.linalg.solve(curve, np.stack([slope, edge], 1)).T
+            step = free - lift * max(0.0, (edge @ free - negatives) / max(edge @ lift, 1e-12))  # negatives - edge @ step >= 0
+            if gain < tol or step @ curve @ step < 1e-9:
+                break
+        else:
+            share /= 2
+            if share < 1e-3:
+                break
+        w = best[1] - share * step
+    else:
+        warnings.warn(f"the risk had not settled after {rounds} steps", stacklevel=2)
+    return Model(mean, scale, best[1][:-1], float(best[1][-1]))
+
+
+def _summed(rows: DataFrame) -> Callable[..., np.ndarray]:
+    """`sums` of `least_risk` over a table (p, x): a task adds up its own rows, then sums are added by place."""
+
+    def sums(f: Callable[..., np.ndarray], *args: np.ndarray) -> np.ndarray:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = None
+            for b in batches:
+                if b.num_rows:
+                    x = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+                    got = f(x, b.column(0).to_numpy(zero_copy_only=False).astype(np.float64), *args)
+                    total = got if total is None else total + got
+            if total is not None:
+                yield from to_batches(SUMS, [[[total.tolist()]]])
+
+        parts = rows.select("p", "x").mapInArrow(run, "v array<double>").select(F.posexplode("v").alias("i", "v"))
+        return np.array([v for _, v in sorted(map(tuple, parts.groupBy("i").agg(F.sum("v")).collect()))])  # a row a place
+
+    return sums
 
 
 def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
@@ -102,29 +152,27 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", fit_rows: int = FIT_ROWS) -> Model:
     """Learn from `labels` (id, label 0/1) on rows that aren't held out.
 
-    Positives are rows labelled 1, the class prior is the mean label, both over all labels given. The fit
-    reads the texts of at most `fit_rows` positives and `fit_rows` unlabelled rows, those of least id hash;
-    both id lists are broadcast and so bounded. Repeated labels count once per row, null labels and ids not
-    at all. Without positives or texts every score is the prior (one half if there are no labels).
+    Every row of `docs` that isn't held out is unlabelled, rows without an id too. Positives are those among them
+    whose id is labelled 1, of at most `fit_rows` such ids, those of least hash, which are broadcast; the class prior
+    is the mean label, over all labels given. Repeated labels count once per row in the prior, null labels and ids not
+    at all. The features go to the shared folder once. Without positives or texts every score is the prior (one
+    half if there are no labels).
     """
     src = id_text(docs, id_col, text_col)
     told = labels.select(labels[id_col].alias("doc_id"), labels[label_col].cast("int").alias("y")).where(F.col("doc_id").isNotNull() & F.col("y").isNotNull() & ~held_out(F.col("doc_id")))
-    least = lambda df: df.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-    pos = least(told.where("y = 1")).select("doc_id", F.lit(1).alias("p"))
-    unl = least(src.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))).select("doc_id", F.lit(1).alias("u"))
-    chosen = pos.join(unl, "doc_id", "full")
+    pos = told.where("y = 1").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
 
-    @F.arrow_udf("array<double>")
+    @F.arrow_udf("array<float>")
     def extract(texts: pa.Array) -> pa.Array:
-        return pa.array([features(t) for t in raw(texts)], pa.list_(pa.float64()))
+        return pa.array([features(t).astype(np.float32) for t in raw(texts)], pa.list_(pa.float32()))
 
-    rows = src.join(F.broadcast(chosen), "doc_id").select("p", "u", extract("text").alias("x")).collect()
+    named = src.where(~held_out(F.col("doc_id"))).join(F.broadcast(pos.withColumn("p", F.lit(1))), "doc_id", "left")
+    path = scratch_path(docs.sparkSession, "quality")
+    named.select(F.coalesce("p", F.lit(0)).alias("p"), extract("text").alias("x")).write.parquet(path)
     prior = told.agg(F.avg("y")).first()[0]
-    p, u = (np.array([r["x"] for r in rows if r[c]]).reshape(-1, N_FEATURES) for c in ("p", "u"))
-    if not len(p) or not len(u):
-        q = min(max(0.5 if prior is None else prior, 1e-6), 1 - 1e-6)
-        return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), float(np.log(q / (1 - q))))
-    return fit_nnpu(p, u, prior)
+    q = min(max(0.5 if prior is None else prior, 1e-6), 1 - 1e-6)
+    model = least_risk(_summed(docs.sparkSession.read.parquet(path)), q, N_FEATURES)
+    return model or Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), float(np.log(q / (1 - q))))
 
 
 def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.7) -> DataFrame:
