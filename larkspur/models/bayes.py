@@ -119,9 +119,14 @@ def discriminative(table: DataFrame, threshold: float = 0.9) -> DataFrame:
 def fit_multinomial_nb(terms: DataFrame, labels: DataFrame, key: str, label: str, alpha: float = 1.0, weight: str = "tf") -> NaiveBayes:
     """Table (term, class, total, log_prob) from (key, term, weight) and (key, label); priors are plain shares."""
     classes, sizes = _classes(labels, label)
-    joined = terms.join(labels.select(key, F.col(label).alias("_y")), key)
-    sums = joined.groupBy("term").agg(
-        *[F.sum(F.when(F.col("_y") == F.lit(k), F.col(weight)).otherwise(F.lit(0))).alias(f"n{i}") for i, k in enumerate(classes)]
+    joined = terms.join(labels.select(key, F.col(label).alias("class")), key)
+    return multinomial_from_counts(joined.select("term", "class", F.col(weight).alias("n")), classes, sizes, alpha)
+
+
+def multinomial_from_counts(counts: DataFrame, classes: list, sizes: list, alpha: float = 1.0) -> NaiveBayes:
+    """The model of sufficient statistics: weights `n` per (term, class), one row or several, and rows per class."""
+    sums = counts.groupBy("term").agg(
+        *[F.sum(F.when(F.col("class") == F.lit(k), F.col("n")).otherwise(F.lit(0))).alias(f"n{i}") for i, k in enumerate(classes)]
     )
     whole = sums.agg(F.struct(F.count("*").alias("v"), *[F.sum(f"n{i}").alias(f"t{i}") for i in range(len(classes))])).scalar()
     cells = [

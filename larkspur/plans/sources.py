@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.text_cols import collapse
 from larkspur.models import linear
-from larkspur.operators import split
+from larkspur.operators import split, text
 from larkspur.plans.registry import load, query
-from larkspur.session import scratch_path, spread
+from larkspur.plans.text import CLEAN, TERMS
+from larkspur.session import scratch_path, settle, spread
 from larkspur.sources import mail, tables
-from larkspur.streaming import scoring
+from larkspur.streaming import refit, scoring
 
 
 @query("src1_read_table", "SELECT p_partkey, p_name, nullif(nullif(p_type, 'PROMO'), 'SMALL') AS p_type, p_size, p_retailprice FROM part")
@@ -181,3 +182,32 @@ def _(spark, sf):
     c = load(spark, sf, "documents").select("doc_id", seen)
     c = c.select("doc_id", "seen", ((F.col("doc_id") + F.col("seen")) % 2).cast("int").alias("toxic"))
     return scoring.merge_corrections(load(spark, sf, "labels"), c, "doc_id", "toxic", "seen")
+
+
+@query(
+    "str2_refit_stream",
+    f"""WITH c AS (SELECT doc_id, seen, CAST((doc_id + seen) % 2 AS INT) AS toxic FROM documents, (SELECT unnest([1, 2, 3])::INT AS seen) WHERE (doc_id % 3 + 1) >= seen),
+       l AS (SELECT doc_id, arg_max(toxic, seen) AS new FROM c GROUP BY 1),
+       f AS (SELECT doc_id, coalesce(new, toxic) AS class FROM labels FULL JOIN l USING (doc_id)),
+       d AS (SELECT doc_id, {CLEAN} AS tokens FROM documents), {TERMS},
+       ws AS (SELECT term, class, sum(tf) AS n FROM tc JOIN f USING (doc_id) GROUP BY 1, 2),
+       cells AS (SELECT term, class FROM (SELECT DISTINCT term FROM ws), (SELECT unnest([0, 1])::INT AS class))
+       SELECT term, class, CAST(coalesce(n, 0) AS BIGINT) AS total,
+              round(ln((coalesce(n, 0) + 0.1) / (sum(coalesce(n, 0)) OVER (PARTITION BY class) + 0.1 * (SELECT count(DISTINCT term) FROM ws))), 9) AS log_prob
+       FROM cells LEFT JOIN ws USING (term, class)""",
+)
+def _(spark, sf):
+    """Every document is corrected one to three times, by files that arrive in the order of a hash."""
+    docs, train = load(spark, sf, "documents"), load(spark, sf, "labels").select("doc_id", "toxic")
+    seen = F.explode(F.sequence(F.lit(1), (F.col("doc_id") % 3 + 1).cast("int"))).alias("seen")
+    c = docs.select("doc_id", seen)
+    at = F.timestamp_seconds(F.col("seen") * 3600).alias("at")
+    c = c.select("doc_id", ((F.col("doc_id") + F.col("seen")) % 2).cast("int").alias("toxic"), at)
+    arrived, out = scratch_path(spark, "str2-in"), scratch_path(spark, "str2-out")
+    tables.write_table(c.repartition(4, F.xxhash64("doc_id", "at")), arrived)
+    run = refit.follow_corrections(spark, arrived, c.schema, out, scratch_path(spark, "str2-state"), "doc_id", "toxic", "at", "30 days", files_per_trigger=2)
+    run.awaitTermination()
+    terms = settle(text.term_counts(spread(docs, "doc_id").select("doc_id", text.clean_tokens("text").alias("tokens")), "doc_id", "tokens"))
+    before = refit.statistics(terms, refit.labelled(train, "doc_id", "toxic"), "doc_id")
+    after = refit.refit(before, terms, refit.moved(spark.read.parquet(out), train, "doc_id", "toxic"), "doc_id")
+    return refit.model(settle(after), alpha=0.1).table.withColumn("log_prob", F.round("log_prob", 9))
