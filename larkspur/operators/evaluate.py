@@ -85,7 +85,7 @@ def _score_counts(pred: DataFrame, score: str, positive, label: str) -> DataFram
 
 
 def _score_borders(pred: DataFrame, score: str) -> list:
-    return value_borders(pred.select(F.col(score).cast("double").alias("score")), ["score"], bin_count(pred))[0]["score"]
+    return value_borders(pred.select(F.col(score).cast("double").alias("score")), ["score"], bin_count(pred))["score"]
 
 
 def roc_points(pred: DataFrame, score: str = "score", positive=1, label: str = "label") -> DataFrame:

@@ -14,13 +14,14 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from larkspur.session import settle
+
 RANK_BITS = 12
 MAX_RANK_BITS = 18
 MAX_BINS = 1024
-QUANTILE_BINS = 256
-# `percentile` keeps every distinct value of a group in one buffer; beyond this many
-# distinct values the bin-narrowing form takes over.
-DISTINCT_LIMIT = 200_000
+SKETCH = 10_000  # a sketch is off by at most one row in so many
+GRID = 256  # quantiles by which a later read narrows the bounds
+LOT = 1_000_000  # values of one quantile that a task orders; with more, another read narrows them
 
 
 def hash_order(key: str | Column, seed: int | str = 42) -> Column:
@@ -154,75 +155,90 @@ def running_sums(
     return joined.drop("_bin", "_slot_key", *[f"_o_{c}" for c in sums], *[f"_s_{c}" for c in sums])
 
 
-def value_borders(df: DataFrame, cols: Sequence[str], bins: int) -> tuple[dict[str, list], dict[str, int]]:
-    """Approximate quantiles per column as bin borders, and the approximate distinct count per column."""
+def value_borders(df: DataFrame, cols: Sequence[str], bins: int) -> dict[str, list]:
+    """Approximate quantiles per column as bin borders."""
     probs = [i / bins for i in range(1, bins)]
     aggs = [F.percentile_approx(F.col(c).cast("double"), probs, 4 * bins).alias(f"b{i}") for i, c in enumerate(cols)]
-    aggs += [F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]
     row = df.agg(*aggs).first()
-    borders = {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(cols)}
-    return borders, {c: row[f"d{i}"] for i, c in enumerate(cols)}
+    return {c: sorted(set(row[f"b{i}"] or [])) for i, c in enumerate(cols)}
 
 
 def exact_quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    distinct_limit: int = DISTINCT_LIMIT,
-    bins: int | None = None,
+    df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (), sketch: int = SKETCH, grid: int = GRID, lot: int = LOT
 ) -> DataFrame:
-    """Linear-interpolated exact quantiles, one row per group and column, quantiles in array `q`.
+    """Linear-interpolated exact quantiles, one row per group and column, quantiles in array `q` (null without values;
+    NaN counts as the largest value).
 
-    Columns of few distinct values: the built-in `percentile`. The others take three steps: count rows
-    per bin, find the bin of every wanted rank, then order only the rows of those bins.
+    Two reads. The first is a mergeable sketch per group and column, which is off by at most one row in `sketch`, so
+    the values around each wanted rank are certain to lie between two of its quantiles. The second counts the values
+    below these bounds and orders the distinct ones between them: at most ten in `sketch` of the group's rows. Where
+    that can exceed `lot` values, reads in between narrow the bounds by a `grid` of quantiles of what lies inside.
     """
-    by, cols, probs = list(by), list(cols), list(probs)
-    borders, distinct = value_borders(df, cols, bins or max(QUANTILE_BINS, bin_count(df)))
-    few = [c for c in cols if distinct[c] <= distinct_limit]
-    many = [c for c in cols if distinct[c] > distinct_limit]
-    out = None
-    if few:
-        aggs = [F.percentile(F.col(c).cast("double"), F.array(*[F.lit(p) for p in probs])).alias(c) for c in few]
-        cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("q")) for c in few])
-        out = df.groupBy(*by).agg(*aggs).select(*by, F.inline(cells))
-    if many:
-        wide = _narrowed_quantiles(df, many, probs, by, {c: borders[c] for c in many})
-        out = wide if out is None else out.unionByName(wide)
-    return out
-
-
-def _narrowed_quantiles(df: DataFrame, cols: list, probs: list, by: list, borders: dict) -> DataFrame:
-    df = with_bins(df, borders, {c: f"_bin_{c}" for c in cols})
-    cells = [
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"), F.col(f"_bin_{c}").alias("bin"))
-        for c in cols
-    ]
-    long = df.select(*by, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    if grid < 12 or lot < 10:
+        raise ValueError("a read narrows the bounds only with a grid of 12 or more, and to no fewer than 10 values")
+    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
     who = [*by, "column"]
-    sizes = long.groupBy(*who, "bin").agg(F.count("*").alias("n"))
-    run = Window.partitionBy(*who).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*who)
-    sizes = sizes.withColumn("upto", F.sum("n").over(run)).withColumn("total", F.sum("n").over(whole))
-    wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)]))
-    spots = sizes.select("*", wanted.alias("w"))
-    at = F.col("w.p") * (F.col("total") - 1)
-    spots = spots.select("*", F.explode(F.array(F.floor(at), F.ceil(at))).alias("rank"), at.alias("at"))
-    spots = spots.where((F.col("rank") < F.col("upto")) & (F.col("rank") >= F.col("upto") - F.col("n")))
-    spots = spots.select(
-        *who, "bin", F.col("w.i").alias("i"), "at", "rank", (F.col("rank") - F.col("upto") + F.col("n")).alias("inside")
-    ).distinct()
-    hit_bins = spots.select(*who, "bin").distinct().withColumn("_hit", F.lit(True))
-    near = null_safe_join(long, hit_bins, [*who, "bin"]).groupBy(*who, "bin", "value").agg(F.count("*").alias("n"))
-    in_bin = Window.partitionBy(*who, "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    near = near.withColumn("upto", F.sum("n").over(in_bin))
-    found = null_safe_join(spots, near, [*who, "bin"]).where(
-        (F.col("inside") < F.col("upto")) & (F.col("inside") >= F.col("upto") - F.col("n"))
-    )
-    pair = found.groupBy(*who, "i", "at").agg(
-        F.min_by("value", "rank").alias("lo"), F.max_by("value", "rank").alias("hi")
-    )
-    frac = F.col("at") - F.floor("at")
-    pair = pair.withColumn("value", F.col("lo") + (F.col("hi") - F.col("lo")) * frac)
-    ordered = F.array_sort(F.collect_list(F.struct("i", "value")))
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols]
+    long = df.select(*by, F.inline(F.array(*cells)))
+    near = [min(1.0, max(0.0, p + d / sketch)) for p in probs for d in (-4, 4)]
+    whole = long.groupBy(*who).agg(F.count("value").alias("n"), F.percentile_approx(F.nanvl("value", F.lit(float("inf"))), near, sketch).alias("b"))
+    bounds = [
+        # a small group is ordered as a whole
+        F.struct(
+            F.when(F.col("n") > sketch, F.col("b")[2 * i]).otherwise(F.lit(float("-inf"))).alias("lo"),
+            F.when(F.col("n") > sketch, _up_to_nan(F.col("b")[2 * i + 1])).otherwise(F.lit(float("nan"))).alias("hi"),
+        )
+        for i in range(len(probs))
+    ]
+    whole = settle(whole.select(*who, "n", F.array(*bounds).alias("bounds")))
+    most = 10 * (whole.agg(F.max("n")).first()[0] or 0) / sketch
+    while most > lot:
+        whole = settle(_narrowed(_spots(long, whole, who, probs), whole, who, grid))
+        most = 6 * most / grid + 2
+    found = _at_ranks(_spots(long, whole, who, probs), who)
+    return null_safe_join(whole.select(*who), found, who, "left")
+
+
+def _up_to_nan(value: Column) -> Column:
+    """A sketch holds NaN as infinity."""
+    return F.when(value == float("inf"), F.lit(float("nan"))).otherwise(value)
+
+
+def _spots(long: DataFrame, whole: DataFrame, who: list, probs: list) -> DataFrame:
+    """(group, column, i, at, value): the values up to the upper bound of quantile i, null for one below the lower
+    bound. `at` is the wanted rank, from 0, with its fraction."""
+    held = null_safe_join(long.where(F.col("value").isNotNull()), whole, who)
+    spots = []
+    for i, p in enumerate(probs):
+        bound = F.col("bounds")[i]
+        value = F.when(F.col("value") >= bound["lo"], F.col("value"))
+        spots.append(F.when(F.col("value") <= bound["hi"], F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("n") - 1)).alias("at"), value.alias("value"))))
+    return held.select(*who, F.explode(F.array_compact(F.array(*spots))).alias("s")).select(*who, "s.*")
+
+
+def _narrowed(spots: DataFrame, whole: DataFrame, who: list, grid: int) -> DataFrame:
+    """`whole` with closer bounds, from a grid of quantiles of the values inside the bounds."""
+    value = F.nanvl("value", F.lit(float("inf")))
+    marks = F.percentile_approx(value, [g / grid for g in range(grid + 1)], 4 * grid)
+    ends = [F.min("value").alias("lo"), F.max("value").alias("hi")]
+    per = spots.groupBy(*who, "i", "at").agg(F.count_if(F.col("value").isNull()).alias("below"), F.count("value").alias("m"), marks.alias("marks"), *ends)
+    # places on the grid that lie a step or more beyond the wanted ranks, which the sketch can't miss
+    first = F.floor((F.floor("at") - F.col("below") + 1) * grid / F.col("m")).cast("int") - 1
+    last = F.ceil((F.ceil("at") - F.col("below") + 1) * grid / F.col("m")).cast("int") + 1
+    wide = F.col("m") > 4 * grid
+    lo = F.when(wide & (first >= 0), F.get("marks", first)).otherwise(F.col("lo"))
+    hi = F.when(wide & (last <= grid), _up_to_nan(F.get("marks", last))).otherwise(F.col("hi"))
+    bounds = per.groupBy(*who).agg(F.array_sort(F.collect_list(F.struct("i", lo.alias("lo"), hi.alias("hi")))).alias("bounds"))
+    return null_safe_join(whole.select(*who, "n"), bounds, who, "left")
+
+
+def _at_ranks(spots: DataFrame, who: list) -> DataFrame:
+    """(group, column, q) from the distinct values between the bounds, their rows counted before they are ordered."""
+    spots = spots.groupBy(*who, "i", "at", "value").agg(F.count("*").alias("rows"))
+    order = Window.partitionBy(*who, "i").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    spots = spots.withColumn("upto", F.sum("rows").over(order))
+    held = lambda rank: F.max(F.when((rank < F.col("upto")) & (rank >= F.col("upto") - F.col("rows")), F.col("value")))
+    pair = spots.groupBy(*who, "i").agg(held(F.floor("at")).alias("lo"), held(F.ceil("at")).alias("hi"), F.max("at").alias("at"))
+    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at")))
+    ordered = F.array_sort(F.collect_list(F.struct("i", value.alias("value"))))
     return pair.groupBy(*who).agg(F.transform(ordered, lambda s: s["value"]).alias("q"))

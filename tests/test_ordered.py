@@ -12,12 +12,34 @@ def test_quantiles_narrowed_equal_builtin_and_numpy(spark):
     rows += [("a", None), (None, 3.5), (None, 4.5)]
     df = spark.createDataFrame(rows, "g string, x double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.77, 1.0]
-    plain = {r["g"]: r["q"] for r in ordered.exact_quantiles(df, ["x"], probs, by=["g"]).collect()}
-    narrow = {r["g"]: r["q"] for r in ordered.exact_quantiles(df, ["x"], probs, by=["g"], distinct_limit=0).collect()}
-    assert set(plain) == {"a", "b", None} == set(narrow)
+    plain = {r["g"]: r["q"] for r in df.groupBy("g").agg(F.percentile("x", F.array(*map(F.lit, probs))).alias("q")).collect()}
+    whole = {r["g"]: r["q"] for r in ordered.exact_quantiles(df, ["x"], probs, by=["g"]).collect()}
+    narrow = {r["g"]: r["q"] for r in ordered.exact_quantiles(df, ["x"], probs, by=["g"], sketch=20, grid=16, lot=40).collect()}
+    assert set(plain) == {"a", "b", None} == set(narrow) == set(whole)
     for g in plain:
         want = np.quantile([x for k, x in rows if k == g and x is not None], probs)
-        assert np.allclose(plain[g], want) and np.allclose(narrow[g], want)
+        assert np.allclose(plain[g], want) and np.allclose(narrow[g], want) and np.allclose(whole[g], want)
+
+
+def test_quantiles_of_many_values_in_several_reads(spark):
+    """A hot group, ties at the wanted ranks, NaN and infinity as the largest values, a column without values."""
+    rng = np.random.default_rng(2)
+    x = np.concatenate([rng.normal(size=30_000), np.full(6_000, 0.5), np.full(300, np.inf), np.full(200, np.nan)])
+    g = np.where(rng.random(len(x)) < 0.9, 0, rng.integers(1, 40, len(x)))
+    df = spark.createDataFrame(list(zip(g.tolist(), x.tolist(), (x * 3).round(1).tolist())), "g int, x double, y double").withColumn("z", F.lit(None).cast("int")).repartition(5)
+    probs = [0.0, 0.001, 0.25, 0.3333, 0.5, 0.69, 0.9, 0.98, 1.0]
+    for sizes in ({}, {"sketch": 500}, {"sketch": 100, "grid": 16, "lot": 200}):
+        got = {(r["g"], r["column"]): r["q"] for r in ordered.exact_quantiles(df, ["x", "y", "z"], probs, by=["g"], **sizes).collect()}
+        assert len(got) == 3 * len(set(g)) and all(q is None for (_, c), q in got.items() if c == "z")
+        for k in set(g):
+            for c, v in (("x", x), ("y", (x * 3).round(1))):
+                v = np.sort(v[g == k])  # NaN last
+                at = np.array(probs) * (len(v) - 1)
+                lo, hi = v[np.floor(at).astype(int)], v[np.ceil(at).astype(int)]
+                with np.errstate(invalid="ignore"):
+                    want = np.where(lo == hi, lo, lo + (hi - lo) * (at - np.floor(at)))
+                assert np.allclose(got[k, c], want, equal_nan=True), (k, c, sizes)
+    assert ordered.exact_quantiles(df.limit(0), ["x"], probs).collect() == []
 
 
 def test_hash_rank_is_a_rank_per_group_with_nulls(spark):
