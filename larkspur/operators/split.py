@@ -10,10 +10,9 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from larkspur.operators.ordered import hash_order, hash_rank, unit_hash
+from larkspur.operators.ordered import hash_order, hash_rank, null_safe_join, unit_hash
 
 COPY_LOT = 10_000
-CLASS_LIMIT = 1000
 
 
 def split(df: DataFrame, key: str, share: float = 0.8, seed: int = 42, out: str = "part") -> DataFrame:
@@ -105,18 +104,18 @@ def bootstrap_columns(cols: Sequence[str], share: float = 0.64, seed: int = 42)
 
 
 def class_weights(df: DataFrame, label: str, given: Mapping | None = None, out: str = "weight") -> DataFrame:
-    """Weight n / (k * n_c) on each row, or the given weight of its class."""
+    """Weight n / (k * n_c) on each row, or the given weight of its class (1 for a class not given). Any number of
+    classes; a null label is a class of its own, unless weights are given."""
     if given:
         pick = F
         for k, w in given.items():
             pick = pick.when(F.col(label) == F.lit(k), F.lit(float(w)))
         return df.withColumn(out, pick.otherwise(F.lit(1.0)))
-    # the classes are few and known before the rows are weighed, so no join is needed
-    sizes = class_sizes(df, label).limit(CLASS_LIMIT + 1).collect()
-    if len(sizes) > CLASS_LIMIT:
-        raise ValueError(f"{label} has more than {CLASS_LIMIT} classes")
-    total = sum(r["_size"] for r in sizes)
-    return class_weights(df, label, {r[label]: total / (len(sizes) * r["_size"]) for r in sizes}, out)
+    df = df.drop(out)
+    sizes = class_sizes(df, label)
+    whole = sizes.select(F.struct(F.sum("_size").alias("n"), F.count("*").alias("k"))).scalar()
+    weights = sizes.select(label, (whole.getField("n") / (whole.getField("k") * F.col("_size"))).alias(out))
+    return null_safe_join(df, weights, [label], "left")
 
 
 def mask_labels(df: DataFrame, key: str, label: str, share: float, seed: int = 42, out: str = "masked") -> DataFrame:

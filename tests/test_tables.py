@@ -1,6 +1,7 @@
 """Cleaning, splits and statistics: invariants and edge cases."""
 
 import math
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -213,3 +214,12 @@ def test_shapiro_francia(spark):
         assert (got["p_value"] > 0.01) == (got["statistic"] > 0.98) and abs(got["p_value"] - (1 - NormalDist().cdf(got["z"]))) < 1e-9
     few = spark.createDataFrame([(1, 2.0), (2, 3.0)], "id long, x double")
     assert tuple(stats.shapiro_francia(few, "id", "x").first()) == (2, None, None, None)
+
+
+def test_class_weights_of_many_classes(spark):
+    df = spark.range(6000).select("id", F.when(F.col("id") >= 10, F.col("id") % 3000).alias("y"), F.lit(7.0).alias("weight"))
+    rows = split.class_weights(df, "y").collect()
+    n = Counter(r["y"] for r in rows)
+    assert len(rows) == 6000 and n[None] == 10 and len(n) == 3001
+    assert all(r["weight"] == 6000 / (3001 * n[r["y"]]) for r in rows)
+    assert {r["weight"] for r in split.class_weights(df, "y", {5: 2}).where("y = 5 OR y IS NULL").collect()} == {1.0, 2.0}
