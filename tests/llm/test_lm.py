@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from larkspur.llm import lm
 from larkspur.llm.queries import QUERIES
@@ -97,3 +98,58 @@ def test_score_near_plain_levels(spark):
     assert abs(off.mean()) < 0.01 * abs(np.mean(list(want.values()))) and np.median(abs(off)) < 0.5
     with pytest.raises(Exception, match="range_bytes"):
         lm.lm_scores(df, filter_bytes=100, range_bytes=10_000).count()
+
+
+def filter_score(rows, range_bytes):
+    """{text: score}, with every segment rebuilt as a set of bit places and probed entry by entry, on plain integers."""
+    full, k1, k2, k3 = (1 << 64) - 1, int(lm.K1), int(lm.K2), int(lm.K3)
+
+    def mixed(x):
+        x = ((x ^ x >> 29) * k2) & full
+        return ((x ^ x >> 32) * k1) & full
+
+    h = lambda w: xxhash.xxh3_64_intdigest(w)
+    cut = lambda t: (t or "").encode().lower().split() + [b"\n"]
+    word = lambda w: mixed(h(w)) >> 64 - lm.KEY_BITS
+    pair = lambda a, b: mixed((h(a) * k3 + h(b)) & full) >> 64 - lm.KEY_BITS
+    place = lambda key, level, i, bits: (mixed((key + level * k1 + i * k3) & full) >> 32) * bits >> 32
+    train = [cut(t) for d, t in rows if d is None or zlib.crc32(str(d).encode()) % 7 != 2]
+    one, two = Counter(w for ws in train for w in ws), Counter(p for ws in train for p in zip([b"\n", *ws], ws))
+    n, v = sum(one.values()), len(one)
+    ranges = -(-sum(len((t or "").encode()) for _, t in rows) // range_bytes)
+    entries = [(word(w), c) for w, c in one.items()] + [(pair(*p), c) for p, c in two.items()]
+    segments = []
+    for r in range(ranges):
+        mine = [(k, c.bit_length()) for k, c in entries if k * ranges >> lm.KEY_BITS == r]
+        bits = 8 * max(1, -(-sum(top for _, top in mine) * lm.ENTRY_BITS // 8))
+        segments.append((bits, {place(k, level, i, bits) for k, top in mine for level in range(1, top + 1) for i in range(lm.PROBES)}))
+
+    def mid(key):
+        bits, there = segments[key * ranges >> lm.KEY_BITS]
+        level = 0
+        while all(place(key, level + 1, i, bits) in there for i in range(lm.PROBES)):
+            level += 1
+        return (1.5 * 2**level - 1) / 2 if level else 0.0
+
+    def chance(a, b):
+        low, seen = (mid(word(b)) + 1) / (n + v + 1), mid(word(a))
+        return lm.MIX * min(1.0, mid(pair(a, b)) / seen) + (1 - lm.MIX) * low if seen else low
+
+    return {t: sum(math.log10(chance(a, b)) for a, b in zip([b"\n", *cut(t)], cut(t))) for _, t in rows}
+
+
+def test_score_equals_the_filter_rebuilt(spark, monkeypatch):
+    """False hits of the filter included: the score of every row, over several ranges and chunks."""
+    monkeypatch.setattr(lm, "CHUNK_DOCS", 32)
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"W{x}" for x in rng.zipf(1.4, rng.integers(0, 30)) % 400)) for i in range(300)]
+    rows += [(300, None), (None, "w1 w2 w1"), (7, rows[7][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want, by = filter_score(rows, 3_000), {}
+    for d, t in rows:
+        by.setdefault(d, set()).add(t)
+    out = lm.lm_scores(df, range_bytes=3_000).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        (t,) = by[r["doc_id"]]
+        assert r["score"] == pytest.approx(want[t], rel=1e-9, abs=1e-9)
