@@ -33,7 +33,6 @@ from larkspur.llm.quality import held_out
 CHUNK_DOCS = 4096
 RANGE_BYTES = 16 << 20  # corpus text for each range of keys
 FILTER_BYTES = 64 << 20  # bound of one range's segment
-WIDE = 16  # no longer read; a test sets it
 PROBES = 2
 ENTRY_BITS = 12  # with 2 probes 15% of the bits are set, and 2.4% of the entries asked for are false hits
 LEVELS = 48

@@ -39,13 +39,12 @@ def test_whole_table(spark, sf):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-@pytest.mark.parametrize("wide, docs", [(0, 3), (16, 4096)])
-def test_ranges_chunks_and_odd_rows(spark, monkeypatch, wide, docs):
+@pytest.mark.parametrize("docs", [3, 4096])
+def test_ranges_chunks_and_odd_rows(spark, monkeypatch, docs):
     """Several key ranges and small chunks; nulls, repeated rows, a long text, clashing columns."""
     rows = [(i, " ".join(f"W{(i * j) % 17}" for j in range(i % 9))) for i in range(60)]
     rows += [(1, ""), (2, None), (3, "a b a b"), (3, "a b a b"), (None, "a b a"), (99, "word " * 60_000)]
     monkeypatch.setattr(lm, "CHUNK_DOCS", docs)
-    monkeypatch.setattr(lm, "WIDE", wide)
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("kind", lm.F.lit(1)).withColumn("digest", lm.F.lit(1)).repartition(3)
     out = lm.lm_scores(df, filter_bytes=1 << 16, range_bytes=50_000).withColumn("n", lm.F.monotonically_increasing_id()).collect()
     want = plain(rows)
