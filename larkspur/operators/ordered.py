@@ -195,7 +195,7 @@ def exact_quantiles(
     while most > lot:
         whole = settle(_narrowed(_spots(long, whole, who, probs), whole, who, grid))
         most = 6 * most / grid + 2
-    found = _at_ranks(_spots(long, whole, who, probs), who)
+    found = _at_ranks(_counted(long, whole, who, probs), who)
     return null_safe_join(whole.select(*who), found, who, "left")
 
 
@@ -208,12 +208,28 @@ def _spots(long: DataFrame, whole: DataFrame, who: list, probs: list) -> DataFra
     """(group, column, i, at, value): the values up to the upper bound of quantile i, null for one below the lower
     bound. `at` is the wanted rank, from 0, with its fraction."""
     held = null_safe_join(long.where(F.col("value").isNotNull()), whole, who)
+    return _placed(held, who, probs)
+
+
+def _placed(held: DataFrame, who: list, probs: list, *more: str) -> DataFrame:
     spots = []
     for i, p in enumerate(probs):
         bound = F.col("bounds")[i]
         value = F.when(F.col("value") >= bound["lo"], F.col("value"))
         spots.append(F.when(F.col("value") <= bound["hi"], F.struct(F.lit(i).alias("i"), (F.lit(p) * (F.col("n") - 1)).alias("at"), value.alias("value"))))
-    return held.select(*who, F.explode(F.array_compact(F.array(*spots))).alias("s")).select(*who, "s.*")
+    return held.select(*who, *more, F.explode(F.array_compact(F.array(*spots))).alias("s")).select(*who, *more, "s.*")
+
+
+def _counted(long: DataFrame, whole: DataFrame, who: list, probs: list) -> DataFrame:
+    """As `_spots`, with `rows` of equal values. Values outside all bounds are counted per gap between lower bounds
+    before they fan out over the quantiles, one value standing for the gap."""
+    held = null_safe_join(long.where(F.col("value").isNotNull()), whole, who)
+    value = F.col("value")
+    inside = F.exists("bounds", lambda b: (value >= b["lo"]) & (value <= b["hi"]))
+    gap = F.size(F.filter("bounds", lambda b: value >= b["lo"]))
+    cells = held.select(*who, "value", F.when(inside, value).alias("_in"), gap.alias("_gap"))
+    cells = cells.groupBy(*who, "_gap", "_in").agg(F.min("value").alias("value"), F.count("*").alias("rows"))
+    return _placed(null_safe_join(cells, whole, who), who, probs, "rows")
 
 
 def _narrowed(spots: DataFrame, whole: DataFrame, who: list, grid: int) -> DataFrame:
@@ -234,7 +250,7 @@ def _narrowed(spots: DataFrame, whole: DataFrame, who: list, grid: int) -> DataF
 
 def _at_ranks(spots: DataFrame, who: list) -> DataFrame:
     """(group, column, q) from the distinct values between the bounds, their rows counted before they are ordered."""
-    spots = spots.groupBy(*who, "i", "at", "value").agg(F.count("*").alias("rows"))
+    spots = spots.groupBy(*who, "i", "at", "value").agg(F.sum("rows").alias("rows"))
     order = Window.partitionBy(*who, "i").orderBy(F.col("value").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
     spots = spots.withColumn("upto", F.sum("rows").over(order))
     held = lambda rank: F.max(F.when((rank < F.col("upto")) & (rank >= F.col("upto") - F.col("rows")), F.col("value")))
