@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.linear import with_features
 from larkspur.operators import evaluate
-from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _matrix, _visits, build_cells, points, within
+from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _matrix, build_cells, points, within
 from larkspur.operators.ordered import position
 from larkspur.session import settle
 
@@ -62,10 +62,32 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def _within(pts: DataFrame, others: DataFrame, cells: Cells, eps: float, fn, schema: str) -> DataFrame:
-    visits = _visits(pts, cells, lambda d: np.full(len(d), eps))
-    left, right = _blocks(visits, others, cells, BLOCK)
-    return _compare(left, right, fn, schema)
+def spanning(a: np.ndarray, b: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """Places of the edges (a, b) of a least spanning forest, from rounds in which each tree takes its first edge out."""
+    order = np.argsort(level, kind="stable")
+    names, at = np.unique(np.concatenate([a[order], b[order]]), return_inverse=True)
+    x, y, root, taken = at[: len(a)], at[len(a):], np.arange(len(names)), np.zeros(len(a), bool)
+    live = np.flatnonzero(x != y)
+    while len(live):
+        i, j = root[x[live]], root[y[live]]
+        first = np.full(len(names), len(a))
+        np.minimum.at(first, i, live)
+        np.minimum.at(first, j, live)
+        trees = np.flatnonzero(first < len(a))
+        edge = first[trees]
+        taken[edge] = True
+        other = root[x[edge]] + root[y[edge]] - trees
+        back = (first[other] == edge) & (trees < other)  # of two trees that take the same edge the smaller stays
+        root[trees] = np.where(back, trees, other)
+        while (root[root] != root).any():
+            root = root[root]
+        live = live[root[x[live]] != root[y[live]]]
+    return np.sort(order[taken])
+
+
+def _within(pts: DataFrame, others: DataFrame, cells: Cells, eps: float, fn, schema: str, merge=None) -> DataFrame:
+    left, right = _blocks(pts, others, cells, lambda d, _: np.full(len(d), eps), BLOCK)
+    return _compare(left, right, fn, schema, BLOCK, merge)
 
 
 def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "cluster") -> DataFrame:
@@ -86,7 +108,7 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
         near = within(_matrix(a["v"]), _matrix(b["v"]), eps)
         return pd.DataFrame({"id": a["id"], "n": near @ b["weight"].to_numpy()})
 
-    counts = _within(reps.select("id", "v"), placed, cells, eps, count, f"id {id_type}, n bigint")
+    counts = _within(reps.select("id", "v"), placed, cells, eps, count, f"id {id_type}, n bigint", lambda t: t.groupby("id", as_index=False)["n"].sum())
     dense = counts.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= m).select("id")
     core = settle(placed.join(dense, "id"))
 
@@ -110,7 +132,10 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
         moved = root != np.arange(len(names))
         return pd.DataFrame({"a": names[moved], "b": names[root[moved]]})
 
-    edges = _within(core.select("id", "v"), core.drop("weight"), cells, eps, forest, f"a {id_type}, b {id_type}")
+    def thin(t: pd.DataFrame) -> pd.DataFrame:
+        return t.iloc[spanning(t["a"].to_numpy(), t["b"].to_numpy(), np.zeros(len(t), np.int64))]
+
+    edges = _within(core.select("id", "v"), core.drop("weight"), cells, eps, forest, f"a {id_type}, b {id_type}", thin)
     roots = components(edges)
     core_root = core.select("id", "v", "cell", "dist").join(roots.withColumnRenamed("node", "id"), "id", "left")
     core_root = settle(core_root.withColumn("root", F.coalesce("root", "id")))
@@ -125,7 +150,8 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
         any_hit = hit.any(1)
         return pd.DataFrame({"id": a["id"].to_numpy()[any_hit], "root": b["root"].to_numpy()[order][hit.argmax(1)][any_hit]})
 
-    border = _within(rest, core_root, cells, eps, reach, f"id {id_type}, root {id_type}").groupBy("id").agg(F.min("root").alias("root"))
+    smallest = lambda t: t.groupby("id", as_index=False)["root"].min()
+    border = _within(rest, core_root, cells, eps, reach, f"id {id_type}, root {id_type}", smallest).groupBy("id").agg(F.min("root").alias("root"))
     found = settle(core_root.select("id", "root").union(border.select("id", "root")))
     numbers = position(found.select("root").distinct(), "root", out)
     labelled = found.join(numbers, "root").select("id", out)

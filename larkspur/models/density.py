@@ -22,7 +22,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from larkspur.operators.neighbors import BLOCK, _blocks, _compare, _distances, _matrix, _visits, build_cells, points
+from larkspur.models.cluster import components, spanning
+from larkspur.operators.neighbors import BLOCK, _blocks, _compare, _distances, _matrix, build_cells, points
 from larkspur.session import settle
 
 
@@ -67,10 +68,9 @@ def least_forest(link: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np
 
 def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What every pair's clusters follow from: rows (id, v, weight, core[], border[]), one per distinct vector;
-    links (pair, a, b); and the membership (key, v) of the rows of `df`.
+    links (k, level, a, b), each from its level on; and the membership (key, v) of the rows of `df`.
 
     core[k] and border[k] are the levels at which the row becomes core and border for ms[k]; len(epss) is never.
-    A pair is level * len(ms) + k.
     """
     eps = np.array(sorted({float(e) for e in epss}))
     if not len(eps) or not len(ms) or len(eps) > 120 or min(ms) < 1:
@@ -80,8 +80,8 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
     reps = settle(pts.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight")))
     id_type = reps.schema["id"].dataType.simpleString()
     placed, cells = build_cells(reps, 0)
-    visits = settle(_visits(reps.select("id", "v"), cells, lambda d: np.full(len(d), eps[-1])))
-    left, right = _blocks(visits, placed.select("id", "v", "weight", "cell"), cells, block)
+    reach = lambda d, _: np.full(len(d), eps[-1])
+    left, right = _blocks(reps.select("id", "v"), placed.select("id", "v", "weight", "cell"), cells, reach, block)
 
     def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
@@ -91,13 +91,19 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
         some = n[:, -1] > 0
         return pd.DataFrame({"id": a["id"].to_numpy()[some], "n": list(n[some])})
 
-    counts = _compare(left, right, count, f"id {id_type}, n array<bigint>")
+    def add(t: pd.DataFrame) -> pd.DataFrame:
+        ids, at = np.unique(t["id"].to_numpy(), return_inverse=True)
+        n = np.zeros((len(ids), top), np.int64)
+        np.add.at(n, at, np.stack(t["n"].to_numpy()))
+        return pd.DataFrame({"id": ids, "n": list(n)})
+
+    counts = _compare(left, right, count, f"id {id_type}, n array<bigint>", block, add)
     sums = counts.groupBy("id").agg(*[F.sum(F.col("n")[i]).alias(f"n{i}") for i in range(top)])
     within = F.array(*[F.col(f"n{i}") for i in range(top)])
     level = lambda m: F.size(F.filter(within, lambda n: n < m)).cast("int")  # noqa: E731 - counts rise with the level
     core = settle(sums.select("id", F.array(*[level(m) for m in ms]).alias("core")))
     again = core.select(F.col("id").alias("id"), F.col("core").alias("core"))  # names of its own: the two sides meet
-    left, right = _blocks(settle(visits.join(again, "id")), placed.select("id", "v", "cell").join(core, "id"), cells, block)
+    left, right = _blocks(settle(reps.select("id", "v").join(again, "id")), placed.select("id", "v", "cell").join(core, "id"), cells, reach, block)
 
     def forest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
@@ -116,7 +122,15 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
             out.append(pd.DataFrame({"k": np.int32(k), "level": at[apart].astype(np.int32), "a": ids[i[apart]], "b": other[j[apart]]}))
         return pd.concat(out)
 
-    found = settle(_compare(left, right, forest, f"k int, level int, a {id_type}, b {id_type}"))
+    def thin(t: pd.DataFrame) -> pd.DataFrame:
+        """The least border level of each row and the least spanning forest of the links, for each of ms."""
+        alone = t["b"].isna()
+        out = [t[alone].groupby(["k", "a"], as_index=False)["level"].min().assign(b=None)]
+        for _, links in t[~alone].groupby("k"):
+            out.append(links.iloc[spanning(links["a"].to_numpy(), links["b"].to_numpy(links["a"].dtype), links["level"].to_numpy())])
+        return pd.concat(out)[["k", "level", "a", "b"]]
+
+    found = settle(_compare(left, right, forest, f"k int, level int, a {id_type}, b {id_type}", block, thin))
     border = found.where("b is null").groupBy("a", "k").agg(F.min("level").alias("level"))
     border = border.groupBy(F.col("a").alias("id")).agg(*[F.min(F.when(F.col("k") == k, F.col("level"))).alias(f"b{k}") for k in range(many)])
     never = F.lit(top)
@@ -124,26 +138,58 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
         "id", "v", "weight", F.coalesce("core", F.array_repeat(never, many)).alias("core"),
         F.array(*[F.coalesce(f"b{k}", never) for k in range(many)]).alias("border"),
     )
-    # an edge holds from its level on: a graph of its own for every pair of the grid
+    # an edge holds from its level on
     edges = found.where("b is not null").groupBy("k", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("level").alias("level"))
-    pair = F.explode(F.transform(F.sequence("level", F.lit(top - 1)), lambda i: i * many + F.col("k")))
-    return settle(rows), edges.select(pair.alias("pair"), "a", "b"), pts.select(F.col("id").alias(key), "v")
+    return settle(rows), edges.select("k", "level", "a", "b"), pts.select(F.col("id").alias(key), "v")
+
+
+def level_roots(links: DataFrame, top: int) -> DataFrame:
+    """(k, id, level, root): the root of each node from a level on, where it changes at that level; `links` are (k, level, a, b).
+
+    Components only grow from level to level, so a level joins the roots of the one before by its own edges: an edge
+    is worked on once, in the first level that holds it, and edges inside a component are gone for good."""
+    node = lambda x: F.struct("k", F.col(x).alias("id")).alias(x)
+    rest, out, held = settle(links), None, None
+    for level in range(top):
+        if not rest.where(F.col("level") == level).limit(1).count():
+            continue
+        roots = components(rest.where(F.col("level") == level).select(node("a"), node("b")))
+        roots = settle(roots.select(F.col("node.k").alias("k"), F.col("node.id").alias("id"), F.col("root.id").alias("root")))
+        # those that hung on a node which now hangs on another come along
+        moved = roots
+        if held is not None:
+            below = held.join(roots.select("k", F.col("id").alias("old"), F.col("root").alias("new")), [held["k"] == roots["k"], F.col("root") == F.col("old")])
+            below = below.select(held["k"], held["id"], F.col("new").alias("root"))
+            moved = settle(roots.union(below))
+            held = settle(held.join(moved.select("k", "id"), ["k", "id"], "left_anti").union(moved))
+        else:
+            held = roots
+        part = moved.select("k", "id", F.lit(level).alias("level"), "root")
+        out = part if out is None else out.union(part)
+        rest = rest.where(F.col("level") > level)
+        for x in ("a", "b"):
+            to = roots.select("k", F.col("id").alias(x), F.col("root").alias("to"))
+            rest = rest.join(to, ["k", x], "left").select("k", "level", *[F.coalesce("to", x).alias(x) if c == x else c for c in ("a", "b")])
+        rest = settle(rest.where("a <> b").groupBy("k", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("level").alias("level")))
+    kind = links.schema["a"].dataType.simpleString()
+    return out if out is not None else links.sparkSession.createDataFrame([], f"k int, id {kind}, level int, root {kind}")
 
 
 def density_clusters(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], block: int = BLOCK) -> DataFrame:
     """(eps, min_samples, v, weight, root, core): for every pair and distinct vector the smallest core id of its
     component if it is core; a border row has none here but is marked by core = false, noise by null."""
-    from larkspur.models.cluster import components
-
     epss, many = sorted({float(e) for e in epss}), len(ms)
     rows, links, _ = density_levels(df, key, feats, epss, ms, block)
-    # a node is a row in the graph of a pair
-    roots = components(links.select(F.struct("pair", F.col("a").alias("id")).alias("a"), F.struct("pair", F.col("b").alias("id")).alias("b")))
-    roots = roots.select(F.col("node.pair").alias("pair"), F.col("node.id").alias("id"), F.col("root.id").alias("root"))
+    # a row's roots by level, for each of ms
+    roots = level_roots(links, len(epss)).groupBy("id").agg(
+        *[F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("level", "root")))).alias(f"r{k}") for k in range(many)]  # at most one a level
+    )
     at = F.explode(F.sequence(F.lit(0), F.lit(len(epss) * many - 1))).alias("pair")
     k, level = F.col("pair") % many + 1, F.floor(F.col("pair") / many)
-    each = rows.select("*", at).select("id", "v", "weight", "pair", (F.element_at("core", k) <= level).alias("core"), (F.element_at("border", k) <= level).alias("border"))
-    each = each.join(roots, ["pair", "id"], "left")
+    each = rows.join(roots, "id", "left").withColumn("r", F.array(*[f"r{i}" for i in range(many)])).drop(*[f"r{i}" for i in range(many)]).select("*", at)
+    reached = F.filter(F.element_at("r", k), lambda x: x["level"] <= level)
+    root = F.when(F.size(reached) > 0, F.element_at(reached, -1)["root"]).alias("root")
+    each = each.select("id", "v", "weight", "pair", (F.element_at("core", k) <= level).alias("core"), (F.element_at("border", k) <= level).alias("border"), root)
     state = F.when(F.col("core"), True).when(F.col("border"), False)
     return each.select(
         F.element_at(F.array(*[F.lit(e) for e in epss]), (level + 1).cast("int")).alias("eps"), F.element_at(F.array(*[F.lit(int(m)) for m in ms]), k.cast("int")).alias("min_samples"),

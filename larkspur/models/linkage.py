@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.cluster import components
-from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _distances, _matrix, build_cells, points
+from larkspur.operators.neighbors import BLOCK, _blocks, _compare, _distances, _matrix, build_cells, points
 from larkspur.session import settle
 
 
@@ -30,45 +30,26 @@ def _tie(a, b) -> int:
     return zlib.crc32(repr((min(a, b), max(a, b))).encode())
 
 
-def _visits(clusters: DataFrame, cells: Cells, least: np.ndarray, most: int) -> DataFrame:
-    """(id, v, n, cell) for every cell that may hold the cluster's cheapest partner. `least` is the smallest cluster
-    of each cell, `most` the largest of all."""
-    shared = clusters.sparkSession.sparkContext.broadcast((cells, least))
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, least = shared.value
-        between = _distances(c.pivots, c.pivots)
-        slack = 1e-9 + 1e-12 * np.abs(c.pivots).max()
-        for b in batches:
-            if not len(b):
-                continue
-            d, n = _distances(_matrix(b["v"]), c.pivots), b["n"].to_numpy().astype(np.float64)
-            # the second smallest bound, as the smallest may be the cluster itself
-            upper = (d[:, :, None] + c.closest[None, :, :]).reshape(len(d), -1)
-            far = np.partition(upper, 1, axis=1)[:, 1] if upper.shape[1] > 1 else np.full(len(d), np.inf)
-            cost = far**2 * n * most / (n + most)
-            part = n[:, None] * least[None, :] / (n[:, None] + least[None, :])
-            limit = np.sqrt(cost[:, None] / np.maximum(part, 1e-300)) * (1 + 1e-9) + slack
-            gap = between[d.argmin(1)]
-            depth = d**2 * (1 - 1e-9) - d.min(1)[:, None] ** 2 * (1 + 1e-9)
-            border = np.divide(depth, 2 * gap, out=np.zeros_like(d), where=gap > 0)
-            near = (c.size > 0) & (d * (1 - 1e-9) - c.radius[None, :] * (1 + 1e-9) <= limit) & (border <= limit + 1e-7)
-            row, cell = np.nonzero(near)
-            yield pd.DataFrame({"id": b["id"].to_numpy()[row], "v": b["v"].to_numpy()[row], "n": b["n"].to_numpy()[row], "cell": cell.astype("int32")})
-
-    kind = clusters.schema["id"].dataType.simpleString()
-    return clusters.mapInPandas(visit, f"id {kind}, v array<double>, n bigint, cell int")
-
-
 def _partners(clusters: DataFrame, block: int) -> DataFrame:
     """(a, b, cost) with the cheapest partner b of every cluster a."""
     placed, cells = build_cells(clusters.select("id", "v", "n"), 2)
-    least = np.ones(len(cells.size))
+    least = np.ones(len(cells.size))  # the smallest cluster of each cell
     sizes = placed.groupBy("cell").agg(F.min("n").alias("low"), F.max("n").alias("high")).collect()  # a row per cell
     for r in sizes:
         least[r["cell"]] = r["low"]
-    visits = settle(_visits(clusters.select(*[F.col(c).alias(c) for c in ("id", "v", "n")]), cells, least, max(r["high"] for r in sizes)))
-    left, right = _blocks(visits, placed.select("id", "v", "n", "cell"), cells, block)
+    most, closest = max(r["high"] for r in sizes), cells.closest
+
+    def reach(d: np.ndarray, b: pd.DataFrame) -> np.ndarray:
+        """How far the cluster's cheapest partner may lie in each cell."""
+        n = b["n"].to_numpy().astype(np.float64)
+        # the second smallest bound, as the smallest may be the cluster itself
+        upper = (d[:, :, None] + closest[None, :, :]).reshape(len(d), -1)
+        far = np.partition(upper, 1, axis=1)[:, 1] if upper.shape[1] > 1 else np.full(len(d), np.inf)
+        cost = far**2 * n * most / (n + most)
+        part = n[:, None] * least[None, :] / (n[:, None] + least[None, :])
+        return np.sqrt(cost[:, None] / np.maximum(part, 1e-300))
+
+    left, right = _blocks(clusters.select(*[F.col(c).alias(c) for c in ("id", "v", "n")]), placed.select("id", "v", "n", "cell"), cells, reach, block)
     kind = clusters.schema["id"].dataType.simpleString()
 
     def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -89,7 +70,10 @@ def _partners(clusters: DataFrame, block: int) -> DataFrame:
                     column.append(value)
         return pd.DataFrame(dict(zip(("a", "b", "cost", "tie"), out)))
 
-    found = _compare(left, right, best, f"a {kind}, b {kind}, cost double, tie bigint")
+    def first(t: pd.DataFrame) -> pd.DataFrame:
+        return t.sort_values(["a", "cost", "tie", "b"]).drop_duplicates("a")
+
+    found = _compare(left, right, best, f"a {kind}, b {kind}, cost double, tie bigint", block, first)
     return found.groupBy("a").agg(F.min(F.struct("cost", "tie", "b")).alias("m")).select("a", "m.b", "m.cost")
 
 

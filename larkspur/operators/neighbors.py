@@ -1,9 +1,11 @@
 """Exact nearest neighbours and neighbours within a radius, by cells around pivots.
 
 Rows go to the cell of their nearest pivot. Distances to the pivots bound the distance to everything in
-a cell, so a row visits only the cells that can hold an answer. A visited cell is cut into blocks of
-bounded size on both sides; a task compares one block with one block in numpy and sends on only its
-result (top k, counts, or joining edges), never the pairs. Hot cells just have more blocks.
+a cell, so a row visits only the cells that can hold an answer. Cells that lie near each other form zones of
+bounded size, and a row is sent once to a zone, with a bit for each of its cells that it visits, however many
+these are. Zones and their visitors are cut into blocks; a task compares one block with one block in numpy, cell by
+cell and piece by piece, and sends on only its result (top k, counts, or joining edges), never the pairs. Hot cells
+just have more blocks.
 """
 
 from __future__ import annotations
@@ -19,7 +21,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from larkspur.session import settle
 
 MAX_PIVOTS = 1024
-BLOCK = 2048
+BLOCK = 2048  # rows of a piece that is compared at once
+ZONE = 8  # pieces of a block that is sent to a task
+SLICE = 1 << 21  # bounds worked out at once
 
 
 @dataclass
@@ -29,6 +33,23 @@ class Cells:
     radius: np.ndarray
     closest: np.ndarray  # per cell the k smallest distances to the pivot, padded with inf
 
+    def zones(self, block: int) -> list[np.ndarray]:
+        """The cells in use as groups of neighbours of at most `block` rows, or a single cell of more."""
+        used = np.flatnonzero(self.size > 0)
+        spans = self.pivots[used]
+        if not len(used):
+            return []
+
+        def cut(cells: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
+            if len(cells) == 1 or self.size[cells].sum() <= block:
+                return [cells]
+            order = np.argsort(at[:, np.ptp(at, axis=0).argmax()], kind="stable")
+            total = self.size[cells[order]].cumsum()
+            half = int(np.clip(np.searchsorted(total, total[-1] / 2) + 1, 1, len(cells) - 1))
+            return cut(cells[order[:half]], at[order[:half]]) + cut(cells[order[half:]], at[order[half:]])
+
+        return cut(used, spans)
+
 
 def _vec(df: DataFrame, feats: str | list) -> Column:
     if not isinstance(feats, str):
@@ -108,48 +129,93 @@ def build_cells(pts: DataFrame, k: int) -> tuple[DataFrame, Cells]:
     return placed, Cells(pivots, size, radius, closest)
 
 
-def _visits(pts: DataFrame, cells: Cells, reach: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """(id, v, cell) for every cell that may hold a row within `reach` of the point."""
-    shared = pts.sparkSession.sparkContext.broadcast(cells)
+def _near(pts: pd.DataFrame, cells: Cells, between: np.ndarray, reach) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, near): slices of the rows, and which cells may hold something within reach of them."""
+    step = max(1, SLICE // max(1, cells.closest.size))
+    slack = 1e-9 + 1e-12 * np.abs(cells.pivots).max()
+    for at in range(0, len(pts), step):
+        part = pts.iloc[at: at + step]
+        d = _distances(_matrix(part["v"]), cells.pivots)
+        limit = reach(d, part)
+        limit = (limit[:, None] if limit.ndim == 1 else limit) * (1 + 1e-9) + slack
+        # farther pivot's half-space: how deep the cell border lies at least
+        gap = between[d.argmin(1)]
+        depth = d**2 * (1 - 1e-9) - d.min(1)[:, None] ** 2 * (1 + 1e-9)
+        border = np.divide(depth, 2 * gap, out=np.zeros_like(d), where=gap > 0)
+        near = (cells.size > 0) & (d * (1 - 1e-9) - cells.radius[None, :] * (1 + 1e-9) <= limit) & (border <= limit + 1e-7)
+        yield np.arange(at, at + len(part)), near
+
+
+def _blocks(
+    pts: DataFrame, placed: DataFrame, cells: Cells, reach: Callable[[np.ndarray, pd.DataFrame], np.ndarray], block: int
+) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the same (zone, part, lot): `part` cuts the data of a zone, `lot` its visitors. A visitor has in
+    `bits` the cells of the zone that may hold a row within `reach` of it, a data row in `nth` its cell's place there."""
+    zones, block = cells.zones(block * ZONE), block * ZONE
+    zone_of, nth = np.zeros(len(cells.size), int), np.zeros(len(cells.size), int)
+    for z, members in enumerate(zones):
+        zone_of[members], nth[members] = z, np.arange(len(members))
+    shared = pts.sparkSession.sparkContext.broadcast((cells, _distances(cells.pivots, cells.pivots), zones))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c, between, zones = shared.value
+        total = np.zeros(len(zones), np.int64)
+        for b in batches:
+            for _, near in _near(b, c, between, reach):
+                total += [int(near[:, m].any(1).sum()) for m in zones]
+        yield pd.DataFrame({"zone": np.arange(len(zones), dtype=np.int32), "n": total})
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c = shared.value
-        between = _distances(c.pivots, c.pivots)
+        c, between, zones = shared.value
         for b in batches:
-            if not len(b):
-                continue
-            d = _distances(_matrix(b["v"]), c.pivots)
-            slack = 1e-9 + 1e-12 * np.abs(c.pivots).max()
-            limit = reach(d)[:, None] * (1 + 1e-9) + slack
-            own = d.argmin(1)
-            # farther pivot's half-space: how deep the cell border lies at least
-            gap = between[own]
-            depth = d**2 * (1 - 1e-9) - d.min(1)[:, None] ** 2 * (1 + 1e-9)
-            border = np.divide(depth, 2 * gap, out=np.zeros_like(d), where=gap > 0)
-            near = (c.size > 0) & (d * (1 - 1e-9) - c.radius[None, :] * (1 + 1e-9) <= limit) & (border <= limit + 1e-7)
-            row, cell = np.nonzero(near)
-            yield pd.DataFrame({"id": b["id"].to_numpy()[row], "v": b["v"].to_numpy()[row], "cell": cell.astype("int32")})
-
-    id_type = pts.schema["id"].dataType.simpleString()
-    return pts.mapInPandas(visit, f"id {id_type}, v array<double>, cell int")
-
-
-def _blocks(visits: DataFrame, placed: DataFrame, cells: Cells, block: int) -> tuple[DataFrame, DataFrame]:
-    """Both sides with the same (cell, part, lot): `part` cuts the data of a cell, `lot` its visitors."""
-    visitors = {r["cell"]: r["n"] for r in visits.groupBy("cell").agg(F.count("*").alias("n")).collect()}
-    parts = [max(1, int(-(-n // block))) for n in cells.size]
-    lots = [max(1, int(-(-visitors.get(i, 0) // block))) for i in range(len(parts))]
-    n_parts = F.element_at(F.array(*[F.lit(p) for p in parts]), F.col("cell") + 1)
-    n_lots = F.element_at(F.array(*[F.lit(p) for p in lots]), F.col("cell") + 1)
+            held: list[pd.DataFrame] = []
+            for rows, near in _near(b, c, between, reach):
+                for z, m in enumerate(zones):
+                    at = near[:, m]
+                    some = np.flatnonzero(at.any(1))
+                    if len(some):
+                        bits = np.packbits(at[some], axis=1)
+                        held.append(b.iloc[rows[some]].assign(zone=np.int32(z), bits=[r.tobytes() for r in bits]))
+                    if sum(map(len, held)) >= 4 * BLOCK:
+                        yield pd.concat(held)
+                        held = []
+            if held:
+                yield pd.concat(held)
+
+    visitors = [0] * len(zones)
+    counted = pts.mapInPandas(count, "zone int, n bigint").groupBy("zone").agg(F.sum("n").alias("n"))
+    for r in counted.collect():  # a row per zone
+        visitors[r["zone"]] = r["n"]
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pts.schema.fields)
+    visits = pts.mapInPandas(visit, f"{columns}, zone int, bits binary")
+    ints = lambda values: F.array(*[F.lit(int(v)) for v in values or [0]])
+    n_parts = F.element_at(ints([max(1, -(-int(cells.size[m].sum()) // block)) for m in zones]), F.col("zone") + 1)
+    n_lots = F.element_at(ints([max(1, -(-n // block)) for n in visitors]), F.col("zone") + 1)
     spread = F.xxhash64(F.col("id"), F.lit(7))
     left = visits.withColumn("lot", F.pmod(spread, n_lots).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), n_parts - 1)))
-    right = placed.withColumn("part", F.pmod(spread, n_parts).cast("int")).withColumn("lot", F.explode(F.sequence(F.lit(0), n_lots - 1)))
-    return left, right
+    at = lambda values: F.element_at(ints(values.tolist()), F.col("cell") + 1)
+    right = placed.withColumn("zone", at(zone_of)).withColumn("nth", at(nth)).withColumn("part", F.pmod(spread, n_parts).cast("int"))
+    return left, right.withColumn("lot", F.explode(F.sequence(F.lit(0), n_lots - 1)))
+
 
+def _compare(left: DataFrame, right: DataFrame, fn, schema: str, block: int = BLOCK, merge=None) -> DataFrame:
+    """`fn` of every piece of visitors and the piece of a cell that they visit; `merge` brings the results of a block
+    together, in its task."""
+    on = ["zone", "part", "lot"]
 
-def _compare(left: DataFrame, right: DataFrame, fn, schema: str) -> DataFrame:
-    on = ["cell", "part", "lot"]
-    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(fn, schema)
+    def pieces(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            bits = np.stack([np.frombuffer(x, np.uint8) for x in a["bits"]])
+            for cell, data in b.groupby("nth"):
+                hit = a.iloc[np.flatnonzero(bits[:, cell >> 3] & (128 >> (cell & 7)))]
+                for i in range(0, len(hit), block):
+                    out += [fn(hit.iloc[i: i + block], data.iloc[j: j + block]) for j in range(0, len(data), block)]
+        out = [t for t in out if len(t)]
+        got = pd.concat(out, ignore_index=True) if out else fn(a.iloc[:0], b.iloc[:0])
+        return merge(got) if merge and len(got) else got
+
+    return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(pieces, schema)
 
 
 def nearest(
@@ -160,15 +226,14 @@ def nearest(
     placed, cells = build_cells(points(data, key, feats), take)
     closest = cells.closest
 
-    def reach(d: np.ndarray) -> np.ndarray:
+    def reach(d: np.ndarray, _: pd.DataFrame) -> np.ndarray:
         # the take-th smallest of (distance to a pivot + distances inside its cell) is an upper bound
         upper = (d[:, :, None] + closest[None, :, :]).reshape(len(d), -1)
         if upper.shape[1] < take:
             return np.full(len(d), np.inf)
         return np.partition(upper, take - 1, axis=1)[:, take - 1]
 
-    visits = _visits(points(queries, key, feats), cells, reach)
-    left, right = _blocks(visits, placed, cells, block)
+    left, right = _blocks(points(queries, key, feats), placed, cells, reach, block)
     id_type = data.schema[key].dataType.simpleString()
 
     def top(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -191,6 +256,10 @@ def nearest(
             out_d.append(exact[order])
         return pd.DataFrame({"id": np.concatenate(out_q), "neighbor": np.concatenate(out_n), "distance": np.concatenate(out_d)})
 
-    found = _compare(left, right, top, f"id {id_type}, neighbor {id_type}, distance double")
+    def first(t: pd.DataFrame) -> pd.DataFrame:
+        t = t.sort_values(["id", "distance", "neighbor"])
+        return t[t.groupby("id").cumcount() < k]
+
+    found = _compare(left, right, top, f"id {id_type}, neighbor {id_type}, distance double", block, first)
     rank = F.row_number().over(Window.partitionBy("id").orderBy("distance", "neighbor"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).withColumnRenamed("id", key)

@@ -105,3 +105,20 @@ def test_vectors_query(spark, sf):
     e = spark.read.parquet(f"{sf}/embeddings.parquet").collect()
     x = np.array([r["embedding"] for r in e], dtype=np.float64)
     check(queries()["tun7_sweep_dbscan_vectors"](spark, sf).collect(), x, np.array([r["label"] for r in e]), [0.1 + 1.9 / 9 * i for i in range(10)], [2, 3, 5, 10])
+
+
+def test_roots_by_level(spark):
+    """Each level's roots from its own edges equal the components of all edges up to it."""
+    rng = np.random.default_rng(8)
+    links = [(int(k), int(rng.integers(0, 4)), *map(int, rng.choice(60, 2, replace=False))) for k in (0, 1) for _ in range(70)]
+    df = spark.createDataFrame(links, "k int, level int, a long, b long")
+    got = density.level_roots(df, 4).collect()
+    for k in (0, 1):
+        for level in range(4):
+            told = {r["id"]: r["root"] for r in sorted(got, key=lambda r: r["level"]) if r["k"] == k and r["level"] <= level}
+            want = list(range(60))
+            for _ in range(60):
+                for kk, lev, a, b in links:
+                    if kk == k and lev <= level:
+                        want[a] = want[b] = min(want[a], want[b])
+            assert [told.get(i, i) for i in range(60)] == want

@@ -173,3 +173,47 @@ def test_distances_far_from_the_origin():
     assert np.allclose(neighbors._distances(a, b), right, rtol=1e-8, atol=0)
     eps = right[3, 4]
     assert (neighbors.within(a, b, eps) == (right <= eps)).all()
+
+
+def test_a_visitor_goes_once_to_a_zone(spark):
+    """Where bounds rule nothing out, a row's vector is sent once to a zone and not to each of its cells, and a task sends on k rows."""
+    x = np.random.default_rng(6).normal(size=(500, 24))
+    pts = neighbors.points(frame(spark, x), "id", "v")
+    placed, cells = neighbors.build_cells(pts, 1)
+    left, right = neighbors._blocks(pts, placed, cells, lambda d, _: np.full(len(d), 100.0), neighbors.BLOCK)
+    assert (cells.size > 0).sum() > 5 and left.count() == right.count() == 500
+    near = neighbors._near(pts.toPandas(), cells, neighbors._distances(cells.pivots, cells.pivots), lambda d, _: np.full(len(d), 100.0))
+    assert all(n.all() for _, n in near)
+    left, right = neighbors._blocks(pts, placed, cells, lambda d, _: np.full(len(d), 100.0), 8)
+    zones = len(cells.zones(8 * neighbors.ZONE))
+    assert 1 < zones < (cells.size > 0).sum() and right.select("id").distinct().count() == 500
+    assert left.select("id", "zone", "part").distinct().count() == left.count()
+
+
+def test_bounds_are_worked_out_in_slices(spark, monkeypatch):
+    x = cloud(200)
+    pts = neighbors.points(frame(spark, x), "id", "v")
+    _, cells = neighbors.build_cells(pts, 4)
+    monkeypatch.setattr(neighbors, "SLICE", 20 * cells.closest.size)
+    sizes = []
+    reach = lambda d, part: sizes.append(len(d)) or np.full(len(d), 0.5)
+    rows = [r for r, _ in neighbors._near(pts.toPandas(), cells, neighbors._distances(cells.pivots, cells.pivots), reach)]
+    assert max(sizes) == 20 and list(np.concatenate(rows)) == list(range(200))
+
+
+def test_spanning_forest_is_least():
+    rng = np.random.default_rng(7)
+    for n, m in ((40, 300), (40, 30), (5, 0)):
+        a, b, level = rng.integers(0, n, m), rng.integers(0, n, m), rng.integers(0, 5, m)
+        root, want = list(range(n)), []
+
+        def find(i):
+            while root[i] != i:
+                i = root[i]
+            return i
+
+        for i in np.argsort(level, kind="stable"):
+            if find(a[i]) != find(b[i]):
+                root[find(a[i])] = find(b[i])
+                want.append(i)
+        assert sorted(cluster.spanning(a, b, level)) == sorted(want)
