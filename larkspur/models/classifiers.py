@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.linear import with_features
 from larkspur.operators.neighbors import nearest
+from larkspur.session import set_checkpoints
 
 
 def fit_tree(df: DataFrame, feats, label: str, depth: int = 5, seed: int = 42) -> PipelineModel:
@@ -34,6 +35,7 @@ def fit_forest(df: DataFrame, feats, label: str, trees: int = 100, depth: int =
 
 def fit_boosted(df: DataFrame, feats, label: str, depth: int = 6, rate: float = 0.1, rounds: int = 100, classes: int = 2, seed: int = 42) -> PipelineModel:
     """Gradient boosted trees; more than two classes go one against the rest (one model for all: `boosting`)."""
+    set_checkpoints(df.sparkSession)  # else the scores of a round carry the lineage of all rounds before
     gbt = GBTClassifier(labelCol=label, maxDepth=depth, stepSize=rate, maxIter=rounds, seed=seed)
     return with_features(feats, gbt if classes == 2 else OneVsRest(labelCol=label, classifier=gbt)).fit(df)
 
