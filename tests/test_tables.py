@@ -223,3 +223,12 @@ def test_class_weights_of_many_classes(spark):
     assert len(rows) == 6000 and n[None] == 10 and len(n) == 3001
     assert all(r["weight"] == 6000 / (3001 * n[r["y"]]) for r in rows)
     assert {r["weight"] for r in split.class_weights(df, "y", {5: 2}).where("y = 5 OR y IS NULL").collect()} == {1.0, 2.0}
+
+
+def test_spread_grows_with_the_rows(spark, monkeypatch):
+    """A table of many rows gets more partitions than cores, and keeps its rows."""
+    from larkspur import session
+
+    monkeypatch.setattr(session, "SPREAD_ROWS", 100)
+    out = session.spread(spark.range(0, 3000, 1, 2), "id")
+    assert out.rdd.getNumPartitions() == 30 and out.distinct().count() == 3000
