@@ -22,6 +22,7 @@ MAX_BINS = 1024
 SKETCH = 10_000  # a sketch is off by at most one row in so many
 GRID = 256  # quantiles by which a later read narrows the bounds
 LOT = 1_000_000  # values of one quantile that a task orders; with more, another read narrows them
+SMALL = 10_000  # bounds that go to every task; with more, rows and bounds meet in a shuffle by group
 
 
 def hash_order(key: str | Column, seed: int | str = 42) -> Column:
@@ -191,11 +192,13 @@ def exact_quantiles(
         for i in range(len(probs))
     ]
     whole = settle(whole.select(*who, "n", F.array(*bounds).alias("bounds")))
-    most = 10 * (whole.agg(F.max("n")).first()[0] or 0) / sketch
+    groups, largest = whole.agg(F.count("*"), F.max("n")).first()
+    few = groups * len(probs) <= SMALL
+    most = 10 * (largest or 0) / sketch
     while most > lot:
-        whole = settle(_narrowed(_spots(long, whole, who, probs), whole, who, grid))
+        whole = settle(_narrowed(_spots(long, whole, who, probs, few), whole, who, grid))
         most = 6 * most / grid + 2
-    found = _at_ranks(_counted(long, whole, who, probs), who)
+    found = _at_ranks(_counted(long, whole, who, probs, few), who)
     return null_safe_join(whole.select(*who), found, who, "left")
 
 
@@ -204,10 +207,16 @@ def _up_to_nan(value: Column) -> Column:
     return F.when(value == float("inf"), F.lit(float("nan"))).otherwise(value)
 
 
-def _spots(long: DataFrame, whole: DataFrame, who: list, probs: list) -> DataFrame:
+def _with_bounds(rows: DataFrame, whole: DataFrame, who: list, few: bool) -> DataFrame:
+    """The bounds of a few groups go to the rows. In a shuffle by group each of a few groups would be one task's, and
+    Spark keeps to the shuffle where most partitions of the bounds are empty, however small these are."""
+    return null_safe_join(rows, F.broadcast(whole) if few else whole, who)
+
+
+def _spots(long: DataFrame, whole: DataFrame, who: list, probs: list, few: bool) -> DataFrame:
     """(group, column, i, at, value): the values up to the upper bound of quantile i, null for one below the lower
     bound. `at` is the wanted rank, from 0, with its fraction."""
-    held = null_safe_join(long.where(F.col("value").isNotNull()), whole, who)
+    held = _with_bounds(long.where(F.col("value").isNotNull()), whole, who, few)
     return _placed(held, who, probs)
 
 
@@ -220,16 +229,16 @@ def _placed(held: DataFrame, who: list, probs: list, *more: str) -> DataFrame:
     return held.select(*who, *more, F.explode(F.array_compact(F.array(*spots))).alias("s")).select(*who, *more, "s.*")
 
 
-def _counted(long: DataFrame, whole: DataFrame, who: list, probs: list) -> DataFrame:
+def _counted(long: DataFrame, whole: DataFrame, who: list, probs: list, few: bool) -> DataFrame:
     """As `_spots`, with `rows` of equal values. Values outside all bounds are counted per gap between lower bounds
     before they fan out over the quantiles, one value standing for the gap."""
-    held = null_safe_join(long.where(F.col("value").isNotNull()), whole, who)
+    held = _with_bounds(long.where(F.col("value").isNotNull()), whole, who, few)
     value = F.col("value")
     inside = F.exists("bounds", lambda b: (value >= b["lo"]) & (value <= b["hi"]))
     gap = F.size(F.filter("bounds", lambda b: value >= b["lo"]))
     cells = held.select(*who, "value", F.when(inside, value).alias("_in"), gap.alias("_gap"))
     cells = cells.groupBy(*who, "_gap", "_in").agg(F.min("value").alias("value"), F.count("*").alias("rows"))
-    return _placed(null_safe_join(cells, whole, who), who, probs, "rows")
+    return _placed(_with_bounds(cells, whole, who, few), who, probs, "rows")
 
 
 def _narrowed(spots: DataFrame, whole: DataFrame, who: list, grid: int) -> DataFrame:

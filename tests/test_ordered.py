@@ -65,3 +65,20 @@ def test_running_sums_both_ways(spark):
     down = ordered.running_sums(df, [], "x", ["n"], [10.0, 60.0], descending=True).collect()
     assert all(r["cum_n"] == r["x"] / 1.5 + 1 for r in up)
     assert all(r["cum_n"] == 100 - r["x"] / 1.5 for r in down)
+
+
+def test_bounds_of_few_groups_go_to_the_rows(spark, capsys):
+    """Else all rows of a group meet in one task: the shuffle stays where most partitions of the bounds are empty."""
+    df = spark.range(0, 4000, 1, 6).select((F.col("id") % 2).alias("g"), (F.col("id") * 7 % 4000).cast("double").alias("v"))
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = ordered.exact_quantiles(df, ["v"], [0.0, 0.5, 1.0], by=["g"])
+        out.explain()
+        rows = sorted((r["g"], r["q"]) for r in out.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+    assert capsys.readouterr().out.count("BroadcastHashJoin") == 2
+    for g, q in rows:
+        values = sorted(i * 7 % 4000 for i in range(g, 4000, 2))
+        assert q == [values[0], (values[999] + values[1000]) / 2, values[-1]]
