@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import email
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from larkspur.functions.text_cols import label_from_path, sender_domain
 
+LOT_BYTES = 4 << 20  # raw messages that a task parses before it sends them on
+SCANS = 64  # partitions of a file scan that one task reads
+
 PARSED = "path string, headers map<string,string>, parts array<struct<type:string,text:string>>, text string"
 
 
@@ -33,14 +36,26 @@ def _parse(path: str, raw: bytes) -> dict:
     return {"path": path, "headers": headers, "parts": parts, "text": text.strip()}
 
 
+def _parsed(messages: Iterable[tuple[str, bytes]]) -> Iterator[pd.DataFrame]:
+    """The parsed messages in lots of about LOT_BYTES of raw messages."""
+    rows, held = [], 0
+    for path, raw in messages:
+        rows.append(_parse(path, raw))
+        held += len(raw)
+        if held >= LOT_BYTES:
+            yield pd.DataFrame(rows, columns=["path", "headers", "parts", "text"])
+            rows, held = [], 0
+    if rows:
+        yield pd.DataFrame(rows, columns=["path", "headers", "parts", "text"])
+
+
 def parse_mail(df: DataFrame) -> DataFrame:
     """(path, headers, parts, text) from (path, content): header names in lower case, the first of a
     repeated header, the type of every part, and the text parts joined."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [_parse(p, c) for p, c in zip(b["path"], b["content"])]
-            yield pd.DataFrame(rows, columns=["path", "headers", "parts", "text"])
+            yield from _parsed(zip(b["path"], b["content"]))
 
     return df.select("path", "content").mapInPandas(run, PARSED)
 
@@ -60,8 +75,10 @@ def with_mail_columns(parsed: DataFrame) -> DataFrame:
 
 def read_mail(spark: SparkSession, root: str) -> DataFrame:
     """All messages under a folder tree."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    return with_mail_columns(parse_mail(files.select("path", "content")))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select("path", "content")
+    # a scan counts every small file as 4 MB (spark.sql.files.openCostInBytes), so a task would get some thirty messages
+    tasks = max(spark.sparkContext.defaultParallelism, files.rdd.getNumPartitions() // SCANS)
+    return with_mail_columns(parse_mail(files.coalesce(tasks)))
 
 
 def _open(path: str):
@@ -76,7 +93,7 @@ def _open(path: str):
 def read_mail_zip(spark: SparkSession, glob: str) -> DataFrame:
     """All messages in archives. One task lists each archive from its directory at the end of the file;
     the members are then spread over all tasks, each of which seeks to its own members, so a large
-    archive is not one task's work and is never held whole."""
+    archive is not one task's work and is never held whole. A member is parsed in the task that reads it."""
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -89,10 +106,9 @@ def read_mail_zip(spark: SparkSession, glob: str) -> DataFrame:
         for b in batches:
             for archive, rows in b.groupby("archive"):
                 with _open(archive) as f, zipfile.ZipFile(f) as z:
-                    for name in rows["member"]:
-                        yield pd.DataFrame({"path": [f"{archive}/{name}"], "content": [z.read(name)]})
+                    yield from _parsed((f"{archive}/{name}", z.read(name)) for name in rows["member"])
 
     archives = spark.read.format("binaryFile").load(glob).select(F.col("path").alias("archive"))
     listed = archives.mapInPandas(members, "archive string, member string")
     spread = listed.repartition("archive", "member")
-    return with_mail_columns(parse_mail(spread.mapInPandas(read, "path string, content binary")))
+    return with_mail_columns(spread.mapInPandas(read, PARSED))

@@ -84,3 +84,23 @@ def test_corrections(spark):
     train = spark.createDataFrame([(1, 0), (2, 0)], "k int, y int")
     fixes = spark.createDataFrame([(2, 1, 5), (2, 0, 9), (3, 1, 1)], "k int, y int, t int")
     assert {tuple(r) for r in scoring.merge_corrections(train, fixes, "k", "y", "t").collect()} == {(1, 0), (2, 0), (3, 1)}
+
+
+def test_messages_are_parsed_in_lots(monkeypatch):
+    monkeypatch.setattr(mail, "LOT_BYTES", 3 * len(PLAIN))
+    lots = list(mail._parsed((f"ham/{i}", PLAIN) for i in range(7)))
+    assert [len(t) for t in lots] == [3, 3, 1]
+    assert [p for t in lots for p in t["path"]] == [f"ham/{i}" for i in range(7)]
+
+
+def test_a_mail_tree_has_no_task_for_every_few_files(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"{i}").write_bytes(PLAIN)
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        found = mail.read_mail(spark, str(tmp_path))
+        assert found.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+        assert found.count() == 100
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
