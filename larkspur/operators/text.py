@@ -10,6 +10,8 @@ from larkspur.functions import text_cols as tc
 from larkspur.functions.words import STOP_WORDS
 from larkspur.operators.ordered import hash_order
 
+TASK_DOCS = 1_000  # texts whose terms one task counts
+
 
 def clean_tokens(col: str | Column, digits: bool = True, words: Sequence[str] = STOP_WORDS) -> Column:
     """Normalize, split, drop stop words."""
@@ -38,8 +40,10 @@ def most_common(df: DataFrame, col: str, n: int) -> DataFrame:
 
 
 def term_counts(df: DataFrame, key: str, tokens: str | Column, ngrams: tuple[int, int] = (1, 1)) -> DataFrame:
-    """(key, term, tf). Rows are spread by key once; counting, and later joins and sums by key, reuse that."""
-    src = df.select(F.col(key), tc.ngrams(tokens, *ngrams).alias("_t")).repartition(key)
+    """(key, term, tf). Rows are spread by key once; counting, and later joins and sums by key, reuse that. There is
+    a partition for every TASK_DOCS rows at least, so that no task's counts grow with the table."""
+    parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.select(key).count() // TASK_DOCS))  # the tokens aren't worked out for it
+    src = df.select(F.col(key), tc.ngrams(tokens, *ngrams).alias("_t")).repartition(parts, key)
     return explode_terms(src, [key], "_t").groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 

@@ -96,3 +96,11 @@ def test_html_text_decodes_every_entity(spark):
     df = spark.createDataFrame([(i, p) for i, p in enumerate(pages)], "i int, html string")
     got = [r["t"] for r in df.select("i", tc.html_text("html").alias("t")).orderBy("i").collect()]
     assert got == ["café © 2020 … <b>", "a &lt; b &nosuch; Αα 'x'", "", None]
+
+
+def test_term_counts_have_partitions_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(text, "TASK_DOCS", 10)
+    df = spark.range(1000).select(F.col("id").alias("doc_id"), F.array(F.lit("a"), F.lit("a"), F.col("id").cast("string")).alias("t"))
+    counts = text.term_counts(df, "doc_id", "t")
+    assert counts.rdd.getNumPartitions() == 100
+    assert counts.count() == 2000 and counts.where("term = 'a' and tf = 2").count() == 1000
