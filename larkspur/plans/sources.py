@@ -2,6 +2,7 @@
 
 import uuid
 import zipfile
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyarrow import fs
@@ -102,9 +103,14 @@ def _store(root, zipped):
             else:
                 for folder in {p.rsplit("/", 1)[0] for p in b["path"]}:
                     system.create_dir(base + folder, recursive=True)
-                for path, raw in zip(b["path"], b["content"]):
+
+                def write(path, raw):
                     with system.open_output_stream(base + path) as f:
                         f.write(bytes(raw))
+
+                with ThreadPoolExecutor(8) as pool:  # a small file is mostly waiting for the store
+                    last = dict(zip(b["path"], b["content"]))  # of one path the last message holds
+                    list(pool.map(write, last.keys(), last.values()))
             yield pd.DataFrame({"n": [len(b)]})
 
     return run

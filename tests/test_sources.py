@@ -2,6 +2,7 @@
 
 import zipfile
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from larkspur.models import linear
@@ -104,3 +105,13 @@ def test_a_mail_tree_has_no_task_for_every_few_files(spark, tmp_path):
         assert found.count() == 100
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_a_path_that_comes_twice_holds_its_last_message(tmp_path):
+    from larkspur.plans.sources import _store
+
+    paths = [f"/mail/{i % 50}" for i in range(200)]
+    batch = pd.DataFrame({"path": paths, "content": [bytes([i]) * (400 - i) for i in range(200)]})
+    assert [int(t["n"][0]) for t in _store(f"file://{tmp_path}", False)(iter([batch]))] == [200]
+    for i in range(50):
+        assert (tmp_path / "mail" / str(i)).read_bytes() == bytes([150 + i]) * (250 - i)
