@@ -4,8 +4,9 @@ Merging clusters A and B adds cost(A, B) = |A||B| / (|A| + |B|) * |mean A - mean
 The linkage is reducible: a merge brings no other pair closer than it was, so pairs that are each other's nearest
 can merge in any order, or together, and the tree is that of merging the cheapest pair each time. A round needs
 each cluster's mean and size only. Its nearest partner is found exactly over the cells of `neighbors`, with cell
-bounds on distance and size; blocks meet in numpy and send on one candidate per cluster. Once the clusters fit
-in one block, one task ends the tree.
+bounds on distance and size; blocks meet in numpy and send on one candidate per cluster. Once the clusters are no
+more than a task compares at a time (a zone), one task ends the tree: in many dimensions most clusters point at a few
+others, so a round merges few pairs.
 
 Costs are compared with a hash of the pair behind them, so rows on a lattice, all equally far, still pair off by
 the third in every round; equal rows merge at height zero before the first.
@@ -21,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.cluster import components
-from larkspur.operators.neighbors import BLOCK, _blocks, _compare, _distances, _matrix, build_cells, points
+from larkspur.operators.neighbors import BLOCK, ZONE, _blocks, _compare, _distances, _matrix, build_cells, points
 from larkspur.session import settle
 
 
@@ -78,24 +79,47 @@ def _partners(clusters: DataFrame, block: int) -> DataFrame:
 
 
 def _chain(ids: np.ndarray, v: np.ndarray, n: np.ndarray) -> Iterator[tuple]:
-    """All merges of a few clusters, following nearest neighbours until two point at each other."""
+    """All merges of a few clusters, following nearest neighbours until two point at each other. Costs come from products
+    around the centre, with a bound on what they lose; those that may be the least are worked out by differences."""
     v, n, live, chain = v.copy(), n.astype(np.float64), np.ones(len(ids), bool), []
-    for _ in range(len(ids) - 1):
+    with np.errstate(all="ignore"):
+        centre = v.mean(0)
+        x = v - centre
+        norm = (x * x).sum(1)
+    sound = bool(np.isfinite(norm).all())  # else products tell nothing
+    slack = 1e-15 * (v.shape[1] + 16)
+    for left in range(len(ids), 1, -1):
+        if 2 * left < len(ids):  # the dead ones go, the others keep their order
+            place, live = np.cumsum(live) - 1, np.flatnonzero(live)
+            chain = [int(place[i]) for i in chain]
+            ids, v, n, x, norm = (t[live] for t in (ids, v, n, x, norm))
+            live = np.ones(left, bool)
         while True:
             if not chain:
                 chain = [int(np.flatnonzero(live)[0])]
             a = chain[-1]
-            cost = ((v - v[a]) ** 2).sum(1) * (n * n[a] / (n + n[a]))
-            cost[~live] = np.inf
-            cost[a] = np.inf
-            b = chain[-2] if len(chain) > 1 and cost[chain[-2]] <= cost.min() else int(cost.argmin())
-            if len(chain) > 1 and b == chain[-2]:
+            part, open_ = n * n[a] / (n + n[a]), live.copy()
+            open_[a] = False
+            if sound:
+                both = norm + norm[a]
+                rough, lost = (both - 2.0 * (x @ x[a])) * part, both * part * slack
+                rough[~open_] = np.inf
+                open_ = rough - lost <= (rough + lost).min()
+            pick = np.flatnonzero(open_)
+            cost = ((v[pick] - v[a]) ** 2).sum(1) * part[pick]
+            low = float(cost.min())
+            b = int(pick[cost.argmin()])
+            if len(chain) > 1 and (b == chain[-2] or chain[-2] in pick[cost == low]):
+                b = chain[-2]
                 break
             chain.append(b)
-        chain, low = chain[:-2], float(cost[b])
+        chain = chain[:-2]
         a, b = sorted((a, b), key=lambda i: ids[i])
         yield ids[a], ids[b], low
         v[a] = (n[a] * v[a] + n[b] * v[b]) / (n[a] + n[b])
+        if sound:
+            x[a] = v[a] - centre
+            norm[a] = x[a] @ x[a]
         n[a] += n[b]
         live[b] = False
 
@@ -113,7 +137,7 @@ def ward_merges(df: DataFrame, key: str, feats, block: int = BLOCK, rounds: int
     out = same.select("a", F.col("id").alias("b"), F.lit(0.0).alias("height"))
     height = F.sqrt(2 * F.col("cost")).alias("height")
     for _ in range(rounds):
-        if clusters.count() <= block:
+        if clusters.count() <= block * ZONE:
             break
         best = settle(_partners(clusters, block))
         back = best.select(F.col("a").alias("b"), F.col("b").alias("a"), F.lit(1).alias("mutual"))
@@ -126,13 +150,13 @@ def ward_merges(df: DataFrame, key: str, feats, block: int = BLOCK, rounds: int
         rest = clusters.join(gone, "id", "left_anti").select("id", "v", "n")
         clusters = settle(rest.union(joined.select("a", mean, F.col("na") + F.col("nb"))))
     else:
-        raise RuntimeError("the clusters did not come down to one block")
+        raise RuntimeError("the clusters did not come down to one zone")
 
     def end(t: pd.DataFrame) -> pd.DataFrame:
         t = t.sort_values("id")
         return pd.DataFrame(list(_chain(t["id"].to_numpy(), _matrix(t["v"]), t["n"].to_numpy())), columns=["a", "b", "cost"])
 
-    last = clusters.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(end, f"a {kind}, b {kind}, cost double")  # at most `block` rows
+    last = clusters.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(end, f"a {kind}, b {kind}, cost double")  # at most ZONE blocks
     return out.unionByName(last.select("a", "b", height))
 
 

@@ -85,3 +85,25 @@ def test_one_row_and_none(spark):
     assert linkage.ward_merges(one.limit(0), "id", "v").count() == 0
     odd = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (2, None), (3, [None]), (4, [float("nan")])], "id long, v array<double>")
     assert [tuple(r) for r in linkage.ward_merges(odd, "id", "v").collect()] == [(0, 1, 1.0)]
+
+
+@pytest.mark.parametrize("block,dim,rounds", [(20, 24, 0), (8, 2, 3)])
+def test_a_zone_of_clusters_takes_no_round(spark, monkeypatch, block, dim, rounds):
+    """In many dimensions a round merges few pairs: the tree of a zone's clusters must not wait for them."""
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(120, dim)) * rng.uniform(0.5, 2, size=(120, 1)) + 1e5
+    seen, partners = [], linkage._partners
+    monkeypatch.setattr(linkage, "_partners", lambda c, block: seen.append(c.count()) or partners(c, block))
+    merges = linkage.ward_merges(frame(spark, x), "id", "v", block=block).collect()
+    assert sorted((r["a"], r["b"]) for r in merges) == sorted((a, b) for a, b, _ in plain(x))
+    assert min(rounds, 1) <= len(seen) <= rounds and all(n > block * linkage.ZONE for n in seen)
+
+
+def test_chain_far_from_the_origin_and_infinite():
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(90, 6)), 1) * 1e-3 + 1e4 * np.arange(90)[:, None] // 30
+    got = sorted((int(a), int(b), float(np.sqrt(2 * c))) for a, b, c in linkage._chain(np.arange(90), x, np.ones(90)))
+    want = sorted(plain(x))
+    assert [m[:2] for m in got] == [m[:2] for m in want] and np.allclose([h for *_, h in got], [h for *_, h in want], rtol=1e-9)
+    far = np.array([[0.0, 1.0], [np.inf, 0.0], [0.0, 1.5]])
+    assert [(int(a), int(b)) for a, b, _ in linkage._chain(np.arange(3), far, np.ones(3))] == [(0, 2), (0, 1)]
