@@ -3,7 +3,8 @@
 A row's gradients need all its scores, so the classes of a round cannot be fitted apart. Each level of a round is
 one read: tasks work out the gradients of their rows, add them up by (class, node, feature, bin) in numpy and send
 one array for each class and node; the arrays are added and split in the same shuffle. Scores lie in the rows and
-are written back every few rounds, so that a read follows only the trees grown since. The driver holds the trees.
+are written back every few rounds, so that a read follows only the trees grown since. A row holds its features as bin
+numbers, found once: a value is above a cut just if its bin is. The driver holds the trees.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from larkspur.operators.neighbors import _vec
 from larkspur.session import settle
 
 START = 0.5
+NOTHING = 0xFFFF
 
 
 @dataclass
@@ -29,18 +31,20 @@ class Round:
     feature: np.ndarray  # -1: a leaf, or a node not grown
     threshold: np.ndarray
     value: np.ndarray
+    cut: np.ndarray  # place of the threshold among the feature's cut points
 
-    def at(self, x: np.ndarray, depth: int) -> np.ndarray:
-        """(row, class): the node that each row has come to after `depth` levels."""
+    def at(self, x: np.ndarray, depth: int, binned: bool = False) -> np.ndarray:
+        """(row, class): the node that each row, of values or of bins, has come to after `depth` levels."""
+        limit = self.cut if binned else self.threshold
         trees = np.arange(len(self.feature))[None, :]
         node, rows = np.zeros((len(x), len(self.feature)), np.int64), np.arange(len(x))[:, None]
         for _ in range(depth):
             f = self.feature[trees, node]
-            node = np.where(f >= 0, 2 * node + 1 + (x[rows, np.maximum(f, 0)] > self.threshold[trees, node]), node)
+            node = np.where(f >= 0, 2 * node + 1 + (x[rows, np.maximum(f, 0)] > limit[trees, node]), node)
         return node
 
-    def scores(self, x: np.ndarray, depth: int) -> np.ndarray:
-        return self.value[np.arange(len(self.feature))[None, :], self.at(x, depth)]
+    def scores(self, x: np.ndarray, depth: int, binned: bool = False) -> np.ndarray:
+        return self.value[np.arange(len(self.feature))[None, :], self.at(x, depth, binned)]
 
 
 @dataclass
@@ -100,6 +104,27 @@ def cut_points(df: DataFrame, bins: int) -> np.ndarray:
     return np.array([r["c"] for r in found], dtype=np.float64)
 
 
+def _binned(data: DataFrame, cuts: np.ndarray) -> DataFrame:
+    """`data` with the features' bins as 16-bit numbers in place of their values; NOTHING stands for a NaN."""
+
+    @F.arrow_udf("binary")
+    def bins(col: pa.Array) -> pa.Array:
+        x = _rows(col)
+        if not len(x):
+            return pa.array([], pa.binary())
+        out = np.stack([np.searchsorted(cuts[f], x[:, f], "left") for f in range(len(cuts))], 1).astype("<u2")
+        out[np.isnan(x)] = NOTHING
+        return pa.array([r.tobytes() for r in out], pa.binary())
+
+    return data.select(bins("x").alias("x"), "y", "s")
+
+
+def _bins(col: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bins that a cut is compared with, bins that sums go to): a NaN is above no cut and in the last bin's sum."""
+    x = np.frombuffer(b"".join(col.to_pylist()), "<u2").reshape(-1, width).astype(np.int64)
+    return np.where(x == NOTHING, 0, x), x
+
+
 def fit_boosting(
     df: DataFrame, feats, label: str, rounds: int = 100, depth: int = 3, rate: float = 0.1, bins: int = 32, penalty: float = 1.0,
     least: float = 1.0, cut_every: int = 10,
@@ -115,16 +140,18 @@ def fit_boosting(
     data = settle(src.select("x", index.alias("y"), F.array_repeat(F.lit(START), many).alias("s")))
     cuts = cut_points(data, bins)
     width = len(cuts)
+    data = settle(_binned(data, cuts))
+    base = np.arange(width)[None, :] * bins
 
     def now(col: pa.Array, x: np.ndarray, pending: list[Round]) -> np.ndarray:
         s = _rows(col).copy()
         for r in pending:
-            s += r.scores(x, depth)
+            s += r.scores(x, depth, binned=True)
         return s
 
     pending: list[Round] = []
     for _ in range(rounds):
-        grown = Round(np.full((many, nodes), -1), np.zeros((many, nodes)), np.zeros((many, nodes)))
+        grown = Round(np.full((many, nodes), -1), np.zeros((many, nodes)), np.zeros((many, nodes)), np.zeros((many, nodes), np.int64))
         sums = {}  # (class, node): sums of both derivatives
         open_ = [(k, 0) for k in range(many)]
         for level in range(depth):
@@ -134,10 +161,10 @@ def fit_boosting(
                 for b in batches:
                     if not b.num_rows:
                         continue
-                    x, y = _rows(b.column(0)), b.column(1).to_numpy()
+                    (x, bin_), y = _bins(b.column(0), width), b.column(1).to_numpy()
                     g, h = gradients(now(b.column(2), x, pending), y)
-                    at = grown.at(x, level)
-                    bin_ = np.stack([np.searchsorted(cuts[f], x[:, f], "left") for f in range(width)], 1) + np.arange(width)[None, :] * bins
+                    at = grown.at(x, level, binned=True)
+                    bin_ = np.minimum(bin_, bins - 1) + base
                     for k, node in open_:
                         rows = np.flatnonzero(at[:, k] == node)
                         if len(rows):
@@ -163,7 +190,7 @@ def fit_boosting(
                 sums[k, node] = left + right
                 if r["best"] >= 0:
                     f, c = divmod(r["best"], bins)
-                    grown.feature[k, node], grown.threshold[k, node] = f, cuts[f, c]
+                    grown.feature[k, node], grown.threshold[k, node], grown.cut[k, node] = f, cuts[f, c], c
                     for child, own in ((2 * node + 1, left), (2 * node + 2, right)):
                         sums[k, child] = own
                         open_.append((k, child))
@@ -174,16 +201,16 @@ def fit_boosting(
         model.rounds.append(grown)
         pending = [*pending, grown]
         if len(pending) == cut_every:
-            data, pending = settle(_add_scores(data, pending, depth)), []
+            data, pending = settle(_add_scores(data, pending, depth, width)), []
     return model
 
 
-def _add_scores(data: DataFrame, pending: list[Round], depth: int) -> DataFrame:
+def _add_scores(data: DataFrame, pending: list[Round], depth: int, width: int) -> DataFrame:
     @F.arrow_udf("array<double>")
     def add(xs: pa.Array, ss: pa.Array) -> pa.Array:
-        x, s = _rows(xs), _rows(ss).copy()
+        (x, _), s = _bins(xs, width), _rows(ss).copy()
         for r in pending:
-            s += r.scores(x, depth)
+            s += r.scores(x, depth, binned=True)
         return pa.ListArray.from_arrays(pa.array(np.arange(len(xs) + 1) * (s.shape[1] if len(xs) else 0), pa.int32()), pa.array(s.ravel()))
 
     moved: Column = add(F.col("x"), F.col("s"))

@@ -75,3 +75,18 @@ def test_loss_falls_and_one_class(spark):
     assert {r["prediction"] for r in one.transform(df).collect()} == {1.0}
     with pytest.raises(ValueError):
         boosting.fit_boosting(df.limit(0), "v", "y")
+
+
+def test_bins_stand_for_values(spark):
+    """Rows hold bins, found once before the rounds; trees send them where they send the values, NaN and equal cuts too."""
+    rng = np.random.default_rng(2)
+    x = np.round(rng.normal(size=(80, 3)), 1)
+    x[5, 1], cuts = np.nan, np.sort(np.round(rng.normal(size=(3, 7)), 1), axis=1)
+    df = spark.createDataFrame([([float(a) for a in r], 0, [0.5]) for r in x], "x array<double>, y int, s array<double>").coalesce(1)
+    both = boosting._binned(df, cuts).toArrow()["x"].combine_chunks()
+    route, sums = boosting._bins(both, 3)
+    assert sums[5, 1] > 7 and route[5, 1] == 0
+    feature, cut = rng.integers(-1, 3, size=(2, 7)), rng.integers(0, 7, size=(2, 7))
+    tree = boosting.Round(feature, cuts[np.maximum(feature, 0), cut], rng.normal(size=(2, 7)), cut)
+    assert np.array_equal(tree.at(route, 2, binned=True), tree.at(x, 2))
+    assert np.array_equal(tree.scores(route, 2, binned=True), tree.scores(x, 2))
