@@ -7,7 +7,7 @@ from larkspur.models import boosting, classifiers, cluster, committee, density,
 from larkspur.operators import evaluate, split, text
 from larkspur.plans.registry import load, query
 from larkspur.plans.text import labelled_tokens
-from larkspur.session import settle, spread
+from larkspur.session import gather, settle, spread
 
 PART_FEATS = ["o_custkey", "month", "year", "urgent"]
 
@@ -35,9 +35,10 @@ LINE_FEATS = ["l_quantity", "l_discount", "l_tax"]
 
 def vectors(spark, sf):
     """Embeddings as ml vectors, ten classes, a binary label, parts and folds."""
-    e = cluster.as_vectors(load(spark, sf, "embeddings"), "embedding")
+    rows = load(spark, sf, "embeddings")
+    e = cluster.as_vectors(rows, "embedding")
     e = e.select("vec_id", "features", F.col("label").cast("double").alias("label"), (F.col("label") < 3).cast("double").alias("low"))
-    return split.split(split.kfold(e, "vec_id", 3), "vec_id", 0.8).cache()
+    return gather(split.split(split.kfold(e, "vec_id", 3), "vec_id", 0.8), rows.count()).cache()
 
 
 def _parts(df):

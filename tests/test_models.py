@@ -238,3 +238,20 @@ def models_query(name):
     import __spark_entry__
 
     return __spark_entry__.queries()[name]
+
+
+def test_vectors_lie_in_few_partitions(spark, sf):
+    """What loops read again and again must not have a task for each of a shuffle's partitions."""
+    from larkspur.plans.models import vectors
+    from larkspur.session import gather
+
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    most = 2 * spark.sparkContext.defaultParallelism
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", most + 40)
+        e = vectors(spark, sf)
+        assert e.rdd.getNumPartitions() <= most and e.select("vec_id").distinct().count() == spark.read.parquet(f"{sf}/embeddings.parquet").count()
+        e.unpersist()
+        assert gather(spark.range(0, 100, 1, 90), 30 * 250_000).rdd.getNumPartitions() == max(most, 30)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
