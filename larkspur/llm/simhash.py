@@ -25,8 +25,9 @@ from larkspur.llm.common import bucket_of, id_text, pack_sorted, raw, smallest_r
 from larkspur.models.cluster import components
 from larkspur.session import settle
 
-CHUNK = 4096  # fingerprints whose variants one task holds at a time
+CHUNK = 4096  # fingerprints whose variants go out together
 KEYS = 2_000_000  # variants of one range of keys
+HELD = 1 << 20  # variants that a worker holds at once, about
 MIX = np.uint64(0x9E3779B97F4A7C15)
 SEED = 42
 SLICE = 65536  # shingles whose bits are counted at a time
@@ -69,6 +70,28 @@ def ball(radius: int) -> np.ndarray:
     return np.array([sum(c) for k in range(radius + 1) for c in combinations(bits, k)], np.uint64)
 
 
+def runs_by_range(fps: np.ndarray, masks: np.ndarray, shift: np.uint64, borders: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(range, ascending keys) of all variants of `fps`. The variants are made anew for every few ranges, as all of them
+    at once would be most of a worker's memory."""
+    ranges = len(borders)
+    step = max(1, ranges * HELD // max(1, len(fps) * len(masks)))
+    for r in range(0, ranges, step):
+        some = []
+        for i in range(0, len(fps), 128):
+            keys = fps[i: i + 128, None] ^ masks
+            keys *= MIX
+            keys >>= shift
+            inside = keys >= borders[r]
+            if r + step < ranges:
+                inside &= keys < borders[r + step]
+            some.append(keys[inside])
+        keys = np.concatenate(some)
+        del some
+        keys.sort()
+        at = [*np.searchsorted(keys, borders[r: r + step]).tolist(), len(keys)]
+        yield from ((r + i, keys[a:b]) for i, (a, b) in enumerate(zip(at, at[1:])) if b > a)
+
+
 def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
     """(a, b): links between distinct fingerprints `fp`, whose components are those of all pairs at `max_bits`
     bits or fewer. At most one link per fingerprint and range of keys comes back, never all pairs of a group."""
@@ -93,20 +116,15 @@ def links(prints: DataFrame, max_bits: int = 4) -> DataFrame:
             for chunk, fps in zip(b.column(0).to_pylist(), b.column(1)):
                 fps = fps.values.to_numpy().view(np.uint64)
                 for i in range(0, len(fps), CHUNK):
-                    keys = fps[i: i + CHUNK, None] ^ masks
-                    keys *= MIX
-                    keys >>= shift
-                    keys = keys.ravel()
-                    keys.sort()
-                    at = [*np.searchsorted(keys, borders).tolist(), len(keys)]
-                    full = [r for r in range(ranges) if at[r + 1] > at[r]]
-                    yield from to_batches(packed, [[[chunk] * len(full), full, [pack_sorted(keys[at[r]: at[r + 1]]) for r in full]]])
+                    for r, keys in runs_by_range(fps[i: i + CHUNK], masks, shift, borders):
+                        yield from to_batches(packed, [[[chunk], [r], [pack_sorted(keys)]]])
 
     back = pa.schema([("chunk", pa.int32()), ("keys", pa.binary())])
 
     def meet(t: pa.Table) -> pa.Table:
         runs = [unpack_sorted(x) for x in t["keys"].to_pylist()]
-        keys = np.sort(np.concatenate(runs))
+        keys = np.concatenate(runs)
+        keys.sort()
         twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
         out: list[list] = [[], []]
         for chunk, run in zip(t["chunk"].to_pylist(), runs):

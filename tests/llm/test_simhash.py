@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pytest
 
 from larkspur.llm import simhash
 from larkspur.llm.common import pack_sorted, unpack_sorted
@@ -52,3 +54,20 @@ def test_packed_keys():
         for top in (1, 300, 1 << 40, 1 << 63):
             x = np.sort(rng.integers(0, top, n, dtype=np.uint64))
             assert (unpack_sorted(pack_sorted(x)) == x).all()
+
+
+@pytest.mark.parametrize("ranges", [1, 5, 40])
+def test_variants_are_held_a_few_ranges_at_a_time(ranges):
+    fps, masks, shift = np.random.default_rng(3).integers(0, 1 << 63, 4096).astype(np.uint64), simhash.ball(2), np.uint64(30)
+    borders = np.array([(b << 34) // ranges for b in range(ranges)], np.uint64)
+    few = fps[:50]
+    got = list(simhash.runs_by_range(few, masks, shift, borders))
+    want = np.sort(((few[:, None] ^ masks) * simhash.MIX >> shift).ravel())
+    assert np.array_equal(np.concatenate([k for _, k in got]), want) and all(len(k) for _, k in got)
+    assert all((np.searchsorted(borders, k, "right") - 1 == r).all() for r, k in got)
+    if ranges == 40:
+        tracemalloc.start()
+        n = sum(len(k) for _, k in simhash.runs_by_range(fps, masks, shift, borders))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert n == 4096 * len(masks) and peak < 45e6  # all keys take 68 MB
