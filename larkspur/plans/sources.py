@@ -6,6 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyarrow import fs
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from larkspur.functions.text_cols import collapse
@@ -213,7 +214,10 @@ def _(spark, sf):
     tables.write_table(c.repartition(4, F.xxhash64("doc_id", "at")), arrived)
     run = refit.follow_corrections(spark, arrived, c.schema, out, scratch_path(spark, "str2-state"), "doc_id", "toxic", "at", "30 days", files_per_trigger=2)
     run.awaitTermination()
-    terms = settle(text.term_counts(spread(docs, "doc_id").select("doc_id", text.clean_tokens("text").alias("tokens")), "doc_id", "tokens"))
+    # kept as the shuffle by doc_id left them, so that neither join moves the terms again; a checkpoint forgets that
+    terms = text.term_counts(spread(docs, "doc_id").select("doc_id", text.clean_tokens("text").alias("tokens")), "doc_id", "tokens").persist(StorageLevel.DISK_ONLY)
     before = refit.statistics(terms, refit.labelled(train, "doc_id", "toxic"), "doc_id")
     after = refit.refit(before, terms, refit.moved(spark.read.parquet(out), train, "doc_id", "toxic"), "doc_id")
-    return refit.model(settle(after), alpha=0.1).table.withColumn("log_prob", F.round("log_prob", 9))
+    after = settle(after)
+    terms.unpersist()
+    return refit.model(after, alpha=0.1).table.withColumn("log_prob", F.round("log_prob", 9))

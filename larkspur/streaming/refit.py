@@ -1,7 +1,7 @@
 """A naive Bayes model that follows labels corrected by an arriving stream.
 
-The stream keeps one state row per corrected key, the label held and its event time, and writes a change whenever a
-later correction replaces it. The model is a table of sufficient statistics (term, class, n), with the documents of
+The stream keeps for each corrected key the label held and its event time, and writes a change whenever a later
+correction replaces it. The model is a table of sufficient statistics (term, class, n), with the documents of
 each class under a null term. A change takes the document's terms from one class and adds them to the other, so a
 refit sums over the changed documents only and equals a fit on the merged labels.
 """
@@ -17,6 +17,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from larkspur.models.bayes import NaiveBayes, multinomial_from_counts
 
+BUCKETS = 4096  # parts of a stream's state; a checkpoint can't go on with another number
+
 
 def label_changes(stream: DataFrame, key: str, label: str, at: str, delay: str = "1 day") -> DataFrame:
     """(key, was, label, first): a row whenever corrections of a later event time replace the label held for a key.
@@ -24,27 +26,34 @@ def label_changes(stream: DataFrame, key: str, label: str, at: str, delay: str =
     Corrections may come in any order; of equal times the larger label holds. One that is older than the watermark
     (`delay` behind the latest event time seen in earlier batches) is dropped. `first` marks a key's first change,
     whose `was` is null, as the training table holds it. Rows with a null key, label or time are no corrections.
+
+    State lies in BUCKETS parts by the keys' hash, each with the label and time held for every key of the part, so
+    that a batch calls Python once for a part and not once for a key.
     """
     rows = stream.select(F.col(key).alias("key"), F.col(label).alias("label"), F.col(at).cast("timestamp").alias("at"))
     rows = rows.where(F.col("key").isNotNull() & F.col("label").isNotNull() & F.col("at").isNotNull())
-    rows = rows.withWatermark("at", delay).withColumn("us", F.unix_micros("at"))
-    kind = rows.schema["label"].dataType
-    held = T.StructType().add("label", kind).add("us", T.LongType())
-    out = T.StructType().add("key", rows.schema["key"].dataType).add("was", kind).add("label", kind).add("first", T.BooleanType())
-
-    def newest(k: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        was, since = state.get if state.exists else (None, None)
-        now, time = was, since
+    rows = rows.withWatermark("at", delay).withColumn("us", F.unix_micros("at")).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(BUCKETS)))
+    name, kind = rows.schema["key"].dataType, rows.schema["label"].dataType
+    held = T.StructType().add("keys", T.ArrayType(name)).add("labels", T.ArrayType(kind)).add("us", T.ArrayType(T.LongType()))
+    out = T.StructType().add("key", name).add("was", kind).add("label", kind).add("first", T.BooleanType())
+
+    def newest(_: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        keys, labels, times = state.get if state.exists else ((), (), ())
+        old = dict(zip(keys, zip(times, labels)))
+        new = {}
         for part in parts:
-            us, new = max(zip(part["us"].tolist(), part["label"].tolist()))
-            if time is None or (us, new) > (time, now):
-                now, time = new, us
-        if (now, time) != (was, since):
-            state.update((now, time))
-            yield pd.DataFrame({"key": [k[0]], "was": pd.Series([was], dtype=object), "label": [now], "first": [since is None]})
+            for k, us, y in zip(part["key"].tolist(), part["us"].tolist(), part["label"].tolist()):
+                now = new.get(k) or old.get(k)
+                if now is None or (us, y) > now:
+                    new[k] = (us, y)
+        if new:
+            both = {**old, **new}
+            state.update((list(both), [y for _, y in both.values()], [us for us, _ in both.values()]))
+            was = [old[k][1] if k in old else None for k in new]
+            yield pd.DataFrame({"key": list(new), "was": pd.Series(was, dtype=object), "label": [y for _, y in new.values()], "first": [k not in old for k in new]})
 
     # no timeout is ever set: the event-time form is what makes Spark drop late rows
-    return rows.groupBy("key").applyInPandasWithState(newest, out, held, "append", GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("bucket").applyInPandasWithState(newest, out, held, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def follow_corrections(

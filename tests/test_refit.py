@@ -62,6 +62,25 @@ def test_late_corrections_are_dropped(spark):
     assert got == {(1, None, "x", True), (2, None, "x", True), (2, "x", "y", False), (4, None, "y", True)}
 
 
+def test_state_and_calls_do_not_grow_with_the_keys(spark, monkeypatch):
+    """Many keys of one part of the state: each keeps its own label, over two starts of the stream."""
+    monkeypatch.setattr(refit, "BUCKETS", 3)
+    arrived, out, state = paths(spark)
+    ddl, at = "k string, y int, at timestamp", [START + timedelta(hours=h) for h in range(3)]
+    for lot in range(2):
+        rows = [(f"k{k}", (k + lot) % 5, at[1] if lot == 0 or k % 2 else at[0]) for k in range(100 * lot, 200 + 100 * lot)]
+        rows += [(k, 9, at[0]) for k, _, t in rows if t == at[1]]  # older than the others of this lot
+        spark.createDataFrame(rows, ddl).coalesce(1).write.mode("append").parquet(arrived)
+        query = refit.follow_corrections(spark, arrived, spark.createDataFrame([], ddl).schema, out, state, "k", "y", "at", "30 days")
+        query.awaitTermination()
+        assert sum(s["numRowsTotal"] for s in query.recentProgress[-1]["stateOperators"]) <= 3
+    want = {(f"k{k}", None, k % 5, True) for k in range(200)}
+    # of the keys of both lots, odd ones have a label of the same time, which holds if larger
+    want |= {(f"k{k}", k % 5, (k + 1) % 5, False) for k in range(100, 200) if k % 2 and (k + 1) % 5 > k % 5}
+    want |= {(f"k{k}", None, (k + 1) % 5, True) for k in range(200, 300)}
+    assert sorted(map(tuple, spark.read.parquet(out).collect()), key=str) == sorted(want, key=str)
+
+
 def test_statistics_by_hand(spark):
     train = spark.createDataFrame([(1, 0), (2, 1)], "k long, y int")
     terms = spark.createDataFrame([(1, "a", 2), (2, "a", 1), (3, "b", 4)], "k long, term string, tf long")
