@@ -32,6 +32,10 @@ _ONE = 1 << P_BITS
 STRETCH = np.array([0, *(round(256 * np.log(p / (_ONE - p))) for p in range(1, _ONE))], np.int64)
 STRETCH[0] = STRETCH[1]
 SQUASH = np.array([min(_ONE - 16, max(16, round(_ONE / (1 + np.exp(-x / 256))))) for x in range(-2047, 2048)], np.int64)
+#: How sure a candidate is that was right once more; which weights an order-1 candidate's standing uses.
+BUMP = np.array([1, 2, 3, 4, 5, 6, 7, 7], np.int32)
+SET_B = (np.arange(64) % 8 > 1).astype(np.int64)
+WIDE = 1024  # lanes from which a decoder keeps the id of every place, in place of a search
 
 
 def _between(x: np.ndarray, low: int, high: int) -> np.ndarray:
@@ -44,17 +48,14 @@ class Mixer:
     def __init__(self):
         self.w = np.full((2, 2), 40_000, np.int64)
 
-    def mix(self, st: tuple[np.ndarray, np.ndarray], ctx: np.ndarray) -> np.ndarray:
-        dot = self.w[0][ctx] * st[0] + self.w[1][ctx] * st[1] >> 16
-        return SQUASH[_between(dot, -2047, 2047) + 2047]
+    def mix(self, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+        """The probability, for logits already times their weights."""
+        return SQUASH[_between(one + two >> 16, -2047, 2047) + 2047]
 
-    def learn(self, st: tuple[np.ndarray, np.ndarray], ctx: np.ndarray, p: np.ndarray, hit: np.ndarray) -> None:
-        err = (hit.astype(np.int64) << P_BITS) - p
-        yes = err * ctx
-        n = int(ctx.sum())
-        for w, s in zip(self.w, st):
-            one, both = int(yes @ s), int(err @ s)
-            w += np.array([(both - one) // (max(1, len(p) - n) << 6), one // (max(1, n) << 6)])
+    def learn(self, n: list[int], sums: list[list[int]]) -> None:
+        """`n` is how many lanes had either context, `sums` their errors times each logit."""
+        for w, s in zip(self.w, sums):
+            w += np.array([s[0] // (max(1, n[0]) << 6), s[1] // (max(1, n[1]) << 6)])
 
 
 class Rates:
@@ -62,77 +63,96 @@ class Rates:
 
     def __init__(self, contexts: int):
         self.hit, self.all = np.ones(contexts, np.int64), np.full(contexts, 2, np.int64)
-        self.n = contexts
         self.refresh()
 
     def refresh(self) -> None:
         self.st = STRETCH[_between((self.hit << P_BITS) // self.all, 16, _ONE - 16)]
 
-    def learn(self, ctx: np.ndarray, hit: np.ndarray) -> None:
-        self.hit += np.bincount(ctx[hit], minlength=self.n)
-        self.all += np.bincount(ctx, minlength=self.n)
+    def learn(self, hit: np.ndarray, n: np.ndarray) -> None:
+        self.hit += hit
+        self.all += n
         self.refresh()
 
 
 class Model:
-    def __init__(self, size: int, lanes: int):
+    """What the lanes share. A candidate and how sure it is lie in one number, `8 * id + sure`. Whatever depends on
+    the standing alone is worked out once for each of the few standings, not for each lane."""
+
+    def __init__(self, size: int, lanes: int, inverse: bool = False):
         self.size = size
-        self.next1, self.sure1 = np.zeros(size + 1, np.int64), np.zeros(size + 1, np.int64)
-        self.next2, self.sure2 = np.zeros(1 << HASH_BITS, np.int64), np.zeros(1 << HASH_BITS, np.int64)
+        self.next1, self.next2 = np.zeros(size + 1, np.int32), np.zeros(1 << HASH_BITS, np.int32)
         self.count = np.ones(size, np.int64)
+        self.seen: list[np.ndarray] = []
         self.first, self.second = Rates(8 * 8 * 2), Rates(8 * 8)
         self.alone = Rates(8)
         self.mix_first, self.mix_second = Mixer(), Mixer()
         self.p1 = np.full(lanes, size, np.int64)
         self.p2 = np.full(lanes, size, np.int64)
         self.step = 0
+        self.inverse = inverse and lanes >= WIDE
         self.sums()
 
     def sums(self) -> None:
+        if self.seen:
+            self.count += GAIN * np.bincount(np.concatenate(self.seen), minlength=self.size)
+            self.seen = []
         total = int(self.count.sum())
         cum = np.concatenate([[0], np.cumsum(self.count)])
-        self.cum = (cum * ((1 << SUM_BITS) - self.size) // total + np.arange(self.size + 1)).astype(U)
+        cum = cum * ((1 << SUM_BITS) - self.size) // total + np.arange(self.size + 1)
+        width = np.diff(cum)
+        self.cum, self.width = cum.astype(U), width.astype(U)
+        self.share = STRETCH[_between(width >> SUM_BITS - P_BITS, 1, _ONE - 1)]
+        if self.inverse:
+            self.id_at = np.repeat(np.arange(self.size, dtype=np.int32), width)
+
+    def find(self, at: np.ndarray) -> np.ndarray:
+        """The ids whose shares of the interval hold the places `at`."""
+        at = np.minimum(at, U((1 << SUM_BITS) - 1))
+        if self.inverse:
+            return self.id_at.take(at.astype(np.int64)).astype(np.int64)
+        return np.searchsorted(self.cum, at, side="right") - 1
 
     def guess(self, m: int) -> None:
-        """Candidates and probabilities for the first m lanes."""
+        """Candidates of the first m lanes, and where in the tables of `begin` and `width` a hit or a miss lies."""
         self.m = m
         c1 = self.c1 = self.p1[:m]
         c2 = self.c2 = (self.p2[:m] * 40503 + c1 * 2654435761 >> 7) & ((1 << HASH_BITS) - 1)
-        self.a, self.b = self.next2[c2], self.next1[c1]
-        s2, s1 = self.sure2[c2], self.sure1[c1]
-        same = (self.a == self.b).astype(np.int64)
-        self.ctx_a = (s2 * 8 + s1) * 2 + same
-        self.ctx_s = s2
-        self.same = same
-        self.st_a = (self.first.st[self.ctx_a], self.alone.st[s2])
-        self.prob_a = self.mix_first.mix(self.st_a, same)
-        self.ctx_b = s2 * 8 + s1
+        two, one = self.next2.take(c2), self.next1.take(c1)
+        self.a, self.b = two >> 3, one >> 3
+        self.s2, self.s1 = two & 7, one & 7
+        self.same = self.a == self.b
+        self.ctx = (self.s2 << 4 | self.s1 << 1 | self.same).astype(np.int64)
+        w = self.mix_first.w
+        self.logits = self.first.st, np.repeat(self.alone.st, 16)
+        self.prob = self.mix_first.mix(np.tile(w[0], 64) * self.logits[0], np.tile(w[1], 64) * self.logits[1])
 
     def guess_second(self, at: np.ndarray) -> np.ndarray:
         """Probabilities of the order-1 candidate for lanes `at`, where the order-2 one was wrong."""
-        self.at = at
-        b = self.b[at]
-        share = _between((self.cum[b + 1] - self.cum[b]).astype(np.int64) >> SUM_BITS - P_BITS, 1, _ONE - 1)
-        self.kb = self.ctx_b[at]
-        self.st_b = (self.second.st[self.kb], STRETCH[share])
-        self.set_b = (self.kb % 8 > 1).astype(np.int64)
-        self.prob_b = self.mix_second.mix(self.st_b, self.set_b)
+        self.kb = self.ctx.take(at) >> 1
+        self.st_b = self.share.take(self.b.take(at))
+        w = self.mix_second.w
+        self.prob_b = self.mix_second.mix((w[0].take(SET_B) * self.second.st).take(self.kb), w[1].take(SET_B).take(self.kb) * self.st_b)
         return self.prob_b
 
     def learn(self, ids: np.ndarray, hit_a: np.ndarray, hit_b: np.ndarray) -> None:
         m = self.m
-        self.mix_first.learn(self.st_a, self.same, self.prob_a, hit_a)
-        self.first.learn(self.ctx_a, hit_a)
-        self.alone.learn(self.ctx_s, hit_a)
-        if len(self.at):
-            self.mix_second.learn(self.st_b, self.set_b, self.prob_b, hit_b)
-            self.second.learn(self.kb, hit_b)
-        self.sure2[self.c2] = np.where(hit_a, np.minimum(self.sure2[self.c2] + 1, 7), 0)
-        self.next2[self.c2] = ids
-        right = self.b == ids
-        self.sure1[self.c1] = np.where(right, np.minimum(self.sure1[self.c1] + 1, 7), 0)
-        self.next1[self.c1] = ids
-        np.add.at(self.count, ids, GAIN)
+        n, hit = (np.bincount(c, minlength=128) for c in (self.ctx, self.ctx[hit_a]))
+        err = (hit << P_BITS) - n * self.prob
+        self.mix_first.learn([int(n[k::2].sum()) for k in (0, 1)], [[int(err[k::2] @ st[k::2]) for k in (0, 1)] for st in self.logits])
+        self.first.learn(hit, n)
+        self.alone.learn(hit.reshape(8, 16).sum(1), n.reshape(8, 16).sum(1))
+        if len(self.kb):
+            n, hit = (np.bincount(c, minlength=64) for c in (self.kb, self.kb[hit_b]))
+            err = (hit_b.astype(np.int64) << P_BITS) - self.prob_b
+            # sums of whole numbers far below 2^53, so that doubles hold them exactly
+            by = [np.bincount(self.kb, e, 64).astype(np.int64) for e in (err, err * self.st_b)]
+            by[0] *= self.second.st
+            self.mix_second.learn([int(n[SET_B == k].sum()) for k in (0, 1)], [[int(e[SET_B == k].sum()) for k in (0, 1)] for e in by])
+            self.second.learn(hit, n)
+        now = (ids << 3).astype(np.int32)
+        self.next2[self.c2] = now | BUMP.take(self.s2) * hit_a
+        self.next1[self.c1] = now | BUMP.take(self.s1) * (self.b == ids)
+        self.seen.append(ids)
         self.p2[:m] = self.p1[:m]
         self.p1[:m] = ids
         self.step += 1
@@ -146,22 +166,36 @@ def _shape(n: int) -> tuple[int, np.ndarray]:
     return lanes, n // lanes + (np.arange(lanes) < n % lanes)
 
 
+def _steps(lanes: int, ids: np.ndarray, back: np.ndarray | None = None) -> np.ndarray:
+    """The ids of each step side by side, the lanes lying one after the other in `ids`; with `back`, which is such a
+    table, `ids` is filled from it instead."""
+    long, extra = divmod(len(ids), lanes)
+    table = np.zeros((long + 1, lanes), ids.dtype) if back is None else back
+    first, rest = ids[: extra * (long + 1)].reshape(extra, long + 1), ids[extra * (long + 1):].reshape(lanes - extra, long)
+    for lane, step in ((first, table[:, :extra]), (rest, table[:long, extra:])):
+        if back is None:
+            step[...] = lane.T
+        else:
+            lane[...] = step.T
+    return table
+
+
 def encode_ids(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(words of each lane, words of all lanes one after the other)."""
     lanes, length = _shape(len(ids))
-    start = np.concatenate([[0], np.cumsum(length)])[:-1]
+    steps = _steps(lanes, ids)
     model = Model(size, lanes)
     low, rng = np.zeros(lanes, U), np.full(lanes, (1 << 48) - 1, U)
     out_lane, out_word = [], []
 
-    def put(at: np.ndarray, begin: np.ndarray, width: np.ndarray, bits: int) -> None:
+    def put(at, begin: np.ndarray, width: np.ndarray, bits: int) -> None:
+        """`at`: lanes, or a slice of them."""
         r = rng[at] >> U(bits)
         l2, g2 = low[at] + r * begin, r * width
-        more = g2 < U(1 << 32)
-        who = at[more]
-        if len(who):
+        more = np.flatnonzero(g2 < U(1 << 32))
+        if len(more):
             lm = l2[more]
-            out_lane.append(who.astype(np.uint16))
+            out_lane.append((more if isinstance(at, slice) else at[more]).astype(np.uint16))
             out_word.append((lm >> U(32)).astype(np.int64))
             l2[more] = (lm & U(0xFFFFFFFF)) << U(16)
             g2[more] <<= U(16)
@@ -170,20 +204,23 @@ def encode_ids(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     every = np.arange(lanes)
     for t in range(int(length[0]) if len(ids) else 0):
         m = int(np.count_nonzero(length > t))
-        now = ids[start[:m] + t].astype(np.int64)
+        now = steps[t, :m].astype(np.int64)
         model.guess(m)
         hit = model.a == now
-        p = model.prob_a.astype(U)
-        put(every[:m], np.where(hit, U(0), p), np.where(hit, p, U(_ONE) - p), P_BITS)
-        at = np.flatnonzero(~hit & (model.same == 0))
+        p = model.prob.astype(U)
+        case = model.ctx << 1 | hit
+        begin, width = np.stack([p, np.zeros_like(p)], 1).ravel(), np.stack([U(_ONE) - p, p], 1).ravel()
+        put(slice(0, m), begin.take(case), width.take(case), P_BITS)
+        left = np.flatnonzero(~hit)
+        at = left[~model.same[left]]
         hit_b = model.b[at] == now[at]
         p = model.guess_second(at).astype(U)
         put(at, np.where(hit_b, U(0), p), np.where(hit_b, p, U(_ONE) - p), P_BITS)
-        left = ~hit
-        left[at[hit_b]] = False
-        left = np.flatnonzero(left)
+        miss = ~hit
+        miss[at[hit_b]] = False
+        left = np.flatnonzero(miss)
         x = now[left]
-        put(left, model.cum[x], model.cum[x + 1] - model.cum[x], SUM_BITS)
+        put(left, model.cum.take(x), model.width.take(x), SUM_BITS)
         model.learn(now, hit, hit_b)
     for _ in range(3):
         out_lane.append(every.astype(np.uint16))
@@ -200,51 +237,53 @@ def encode_ids(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def decode_ids(n: int, size: int, per_lane: np.ndarray, words: np.ndarray) -> np.ndarray:
     lanes, length = _shape(n)
-    start = np.concatenate([[0], np.cumsum(length)])[:-1]
     ids = np.empty(n, np.int64)
-    model = Model(size, lanes)
+    steps = np.empty((n // lanes + 1, lanes), np.int64)
+    model = Model(size, lanes, inverse=True)
     words = np.concatenate([words, np.zeros(1, "<u2")]).astype(U)
     ptr = np.concatenate([[0], np.cumsum(per_lane)])[:-1].astype(np.int64)
     code = words[ptr] << U(32) | words[ptr + 1] << U(16) | words[ptr + 2] if n else np.zeros(lanes, U)
     ptr += 3
     rng = np.full(lanes, (1 << 48) - 1, U)
 
-    def take(at: np.ndarray, r: np.ndarray, begin: np.ndarray, width: np.ndarray) -> None:
+    def take(at, r: np.ndarray, begin: np.ndarray, width: np.ndarray) -> None:
+        """`at`: lanes, or a slice of them."""
         c2, g2 = code[at] - r * begin, r * width
-        more = g2 < U(1 << 32)
-        who = at[more]
-        if len(who):
+        more = np.flatnonzero(g2 < U(1 << 32))
+        if len(more):
+            who = more if isinstance(at, slice) else at[more]
             c2[more] = c2[more] << U(16) | words[ptr[who]]
             g2[more] <<= U(16)
             ptr[who] += 1
         code[at], rng[at] = c2, g2
 
-    every = np.arange(lanes)
     for t in range(int(length[0]) if n else 0):
         m = int(np.count_nonzero(length > t))
         model.guess(m)
-        now = np.empty(m, np.int64)
 
-        def decide(at: np.ndarray, p: np.ndarray) -> np.ndarray:
+        def decide(at, p: np.ndarray) -> np.ndarray:
             p, r = p.astype(U), rng[at] >> U(P_BITS)
             hit = code[at] < r * p
             take(at, r, np.where(hit, U(0), p), np.where(hit, p, U(_ONE) - p))
             return hit
 
-        hit = decide(every[:m], model.prob_a)
-        now[hit] = model.a[hit]
-        at = np.flatnonzero(~hit & (model.same == 0))
+        hit = decide(slice(0, m), model.prob.take(model.ctx))
+        now = np.where(hit, model.a, 0).astype(np.int64)
+        left = np.flatnonzero(~hit)
+        at = left[~model.same[left]]
         hit_b = decide(at, model.guess_second(at))
-        now[at[hit_b]] = model.b[at[hit_b]]
-        left = ~hit
-        left[at[hit_b]] = False
-        left = np.flatnonzero(left)
+        right = at[hit_b]
+        now[right] = model.b[right]
+        miss = ~hit
+        miss[right] = False
+        left = np.flatnonzero(miss)
         r = rng[left] >> U(SUM_BITS)
-        x = np.searchsorted(model.cum, np.minimum(code[left] // r, U((1 << SUM_BITS) - 1)), side="right") - 1
+        x = model.find(code[left] // r)
         now[left] = x
-        take(left, r, model.cum[x], model.cum[x + 1] - model.cum[x])
+        take(left, r, model.cum.take(x), model.width.take(x))
         model.learn(now, hit, hit_b)
-        ids[start[:m] + t] = now
+        steps[t, :m] = now
+    _steps(lanes, ids, steps)
     return ids
 
 

@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tokenizers import Tokenizer
@@ -26,14 +28,19 @@ from larkspur.llm.idcoder import pack_block, unpack_block
 
 BLOCK_IDS = 1 << 21  # ids after which a block is closed, at the next document's end
 WORDS = 1_000_000  # distinct words that a worker remembers
-BATCH = 500  # documents whose words are looked up together
+LOT = 1 << 22  # bytes of the texts whose words are looked up together
 END = 1
 PARTS = 1024  # partitions of one running sum
 _SPACE = r"\t-\r \x85\xa0"
 _LETTER = "a-zªµºß-öø-ÿ"
 _DIGIT = "0-9²³¹¼½¾"
-#: Fixed value: how the vocabulary splits a lower-case text, written out for Latin-1.
-SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}{_LETTER}{_DIGIT}]+")
+#: How the vocabulary splits a lower-case text, for Latin-1. Kinds of characters, and what may follow an
+#: apostrophe: one letter, or two of which the second is named by the first.
+SPACE, LETTER, DIGIT, OTHER = range(4)
+KIND = bytes(next((k for k, c in ((SPACE, _SPACE), (LETTER, _LETTER), (DIGIT, _DIGIT)) if re.match(f"[{c}]", chr(i))), OTHER) for i in range(256))
+SHORT = np.isin(np.arange(256), list(b"stmd"))
+LONG = np.zeros(256, np.uint8)
+LONG[list(b"rvl")] = list(b"eel")
 
 
 class WordCodec(dict):
@@ -45,49 +52,38 @@ class WordCodec(dict):
         self.whole.no_truncation()
         self.whole.no_padding()
         self.model = self.whole.model
-        self.opening = re.compile("|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()))
+        self.opening = re.compile(b"|".join(re.escape(t.content.encode()) for t in self.whole.get_added_tokens_decoder().values()))
         self.shown = {b: c for c, b in byte_of_char().items()}
         self.size = self.whole.get_vocab_size()
-        self.flat, self.begin, self.used = np.empty(1 << 16, np.uint16), np.zeros(1 << 14, np.int64), 0
-
-    def __missing__(self, word: str) -> int:
-        at = len(self)
-        ids = [t.id for t in self.model.tokenize("".join([self.shown[b] for b in word.encode()]))]
-        if self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + len(ids), np.uint16)])
-        if at + 2 > len(self.begin):
-            self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-        self.flat[self.used: self.used + len(ids)] = ids
-        self.used += len(ids)
-        self.begin[at + 1] = self.used
-        self[word] = at
+        self.flat, self.begin = array("H"), array("q", [0])
+
+    def __missing__(self, word: bytes) -> int:
+        text = word.decode("latin-1")
+        shown = text if word.isascii() and text.isprintable() else "".join([self.shown[b] for b in text.encode()])
+        self.flat.extend([t.id for t in self.model.tokenize(shown)])
+        at = self[word] = len(self.begin) - 1
+        self.begin.append(len(self.flat))
         return at
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(number of ids of each text, the ids one after the other), the end id after each text."""
-        if len(self) > WORDS:
+        if len(self) > WORDS or len(self.flat) > 8 * WORDS:
             self.clear()
-            self.used = 0
-        words: list[str] = []
-        counts, odd = [], {}
+            self.flat, self.begin = array("H"), array("q", [0])
+        plain, odd = [], {}
         for i, text in enumerate(texts):
-            s = text.decode("utf-8")
-            try:
-                s.encode("latin-1")
-                plain = not self.opening.search(s)
-            except UnicodeEncodeError:
-                plain = False
-            if plain:
-                w = SPLIT.findall(s.lower())
-                words += w
-                counts.append(len(w))
-            else:
-                odd[i] = np.array([*self.whole.encode(s, add_special_tokens=False).ids, END], np.uint16)
-                counts.append(0)
-        place = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        first, many = self.begin[place], self.begin[place + 1] - self.begin[place]
+            low = None if self.opening.search(text) else lower(text)
+            if low is None:
+                odd[i] = np.array([*self.whole.encode(text.decode("utf-8"), add_special_tokens=False).ids, END], np.uint16)
+            plain.append(low or b"")
+        words, counts = split(plain)
+        coded = words.dictionary_encode()
+        place = np.fromiter(map(self.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        at = coded.indices.to_numpy()
+        flat, begin = np.frombuffer(self.flat, np.uint16), np.frombuffer(self.begin, np.int64)
+        first, many = begin[place][at], (begin[place + 1] - begin[place])[at]
         ends = np.cumsum(many)
-        ids = self.flat[np.repeat(first - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = flat[np.repeat(first - ends + many, many) + np.arange(ends[-1] if len(ends) else 0)]
         total = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         out, lengths = [], np.diff(total) + 1
         end = np.array([END], np.uint16)
@@ -99,6 +95,40 @@ class WordCodec(dict):
         return lengths, np.concatenate(out)
 
 
+def lower(text: bytes) -> bytes | None:
+    """A UTF-8 text in lower-case Latin-1; none if it has characters beyond."""
+    if text.isascii():
+        return text.lower()
+    s = text.decode("utf-8")
+    try:
+        s.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    return s.lower().encode("latin-1")
+
+
+def split(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+    """(the words of all lower-case Latin-1 texts one after the other, how many each text has).
+
+    A word starts where the kind of character changes, and each digit is one; an apostrophe that starts a word takes
+    the ending after it along.
+    """
+    joined = b" ".join([*texts, b"  "])  # three blanks at the end
+    data, kind = np.frombuffer(joined, np.uint8), np.frombuffer(joined.translate(KIND), np.uint8)
+    before = np.concatenate([[SPACE], kind[:-1]])
+    starts = (kind != before) & (kind != SPACE) | (kind == DIGIT)
+    quote = np.flatnonzero((data == ord("'")) & (before != OTHER))
+    one, two = data[quote + 1], data[quote + 2]
+    for at, n in ((quote[SHORT[one]], 2), (quote[(LONG[one] == two) & (two > 0)], 3)):
+        starts[at + 1] = False
+        starts[at + n] = kind[at + n] != SPACE
+    ends = np.cumsum([len(t) + 1 for t in texts], dtype=np.int64)
+    counts = np.diff(np.searchsorted(np.flatnonzero(starts), ends), prepend=0)
+    solid = kind != SPACE
+    offsets = np.append(np.flatnonzero(starts[solid]), np.count_nonzero(solid)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data[solid])]), counts
+
+
 @lru_cache(maxsize=2)
 def word_codec(path: str) -> WordCodec:
     return WordCodec(path)
@@ -125,8 +155,10 @@ def write_ids(docs: DataFrame, tokenizer: str, out: str, id_col: str = "doc_id",
             return to_batches(schema, [[[part], [seq], [held], [packed]]])
 
         for b in batches:
-            for i in range(0, b.num_rows, BATCH):
-                some = b.slice(i, BATCH)
+            size = np.cumsum(pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            cuts = [0, *(np.flatnonzero(np.diff(size // LOT)) + 1).tolist(), b.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                some = b.slice(i, j - i)
                 n, x = codec.encode(raw(some.column(1)))
                 who += some.column(0).to_pylist()
                 lengths.append(n)

@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -42,6 +43,40 @@ def test_words_agree_with_the_library(plain):
         assert ids[a:b].tolist() == ids_of(plain, t), t
 
 
+def test_split_equals_the_pattern():
+    """Kinds of characters, digits and endings after an apostrophe, as the vocabulary's pattern has them."""
+    blank, letter, digit = r"\t-\r \x85\xa0", "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
+    pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^{blank}{letter}{digit}]+")
+    rng = random.Random(1)
+    some = "'''stmdrevl 1!.\x1c\xa0\x85é²a\t\n"
+    for _ in range(100):
+        texts = ["".join(rng.choice(some) if rng.random() < 0.8 else chr(rng.randrange(256)) for _ in range(rng.randrange(40))).lower() for _ in range(rng.randrange(30))]
+        words, counts = idfiles.split([t.encode("latin-1") for t in texts])
+        want = [pattern.findall(t) for t in texts]
+        assert [w.decode("latin-1") for w in words.to_pylist()] == sum(want, [])
+        assert counts.tolist() == [len(w) for w in want]
+
+
+def test_a_word_is_looked_up_once_for_a_lot(plain):
+    class Counting(idfiles.WordCodec):
+        asked = 0
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    codec = Counting(PATH)
+    text = "one two, " * 1000
+    assert codec.encode([text.encode()] * 3)[1].tolist() == ids_of(plain, text) * 3
+    assert codec.asked <= 3
+
+
+def test_blocks_are_the_ones_of_before():
+    """Blocks already written stay readable: the bytes of one are pinned."""
+    ids = np.random.default_rng(8).zipf(1.2, 600_000) % 49408
+    assert zlib.crc32(idcoder.encode_ids(ids, 49408)[1].tobytes()) == 2542251611
+
+
 def test_words_are_forgotten(monkeypatch, plain):
     monkeypatch.setattr(idfiles, "WORDS", 3)
     codec = idfiles.WordCodec(PATH)
