@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.linear import with_features
 from larkspur.operators import evaluate
-from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, _matrix, build_cells, points, within
+from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, build_cells, points, within
 from larkspur.operators.ordered import position
 from larkspur.session import settle
 
@@ -102,20 +102,20 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
     id_type = reps.schema["id"].dataType.simpleString()
     placed, cells = build_cells(reps, 0)
 
-    def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def count(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "n": []})
-        near = within(_matrix(a["v"]), _matrix(b["v"]), eps)
+        near = within(x, y, eps)
         return pd.DataFrame({"id": a["id"], "n": near @ b["weight"].to_numpy()})
 
     counts = _within(reps.select("id", "v"), placed, cells, eps, count, f"id {id_type}, n bigint", lambda t: t.groupby("id", as_index=False)["n"].sum())
     dense = counts.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= m).select("id")
     core = settle(placed.join(dense, "id"))
 
-    def forest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def forest(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []})
-        near = within(_matrix(a["v"]), _matrix(b["v"]), eps)
+        near = within(x, y, eps)
         names, at = np.unique(np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()]), return_inverse=True)
         ia, ib = at[: len(a)], at[len(a):]
         root, far = np.arange(len(names)), len(names)
@@ -141,10 +141,10 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
     core_root = settle(core_root.withColumn("root", F.coalesce("root", "id")))
     rest = reps.select("id", "v").join(dense, "id", "left_anti")
 
-    def reach(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def reach(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "root": []})
-        near = within(_matrix(a["v"]), _matrix(b["v"]), eps)
+        near = within(x, y, eps)
         order = np.argsort(b["root"].to_numpy(), kind="stable")
         hit = near[:, order]
         any_hit = hit.any(1)

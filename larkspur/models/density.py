@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.cluster import components, spanning
-from larkspur.operators.neighbors import BLOCK, _blocks, _compare, _distances, _matrix, build_cells, points
+from larkspur.operators.neighbors import BLOCK, _blocks, _compare, _distances, build_cells, points
 from larkspur.session import settle
 
 
@@ -83,10 +83,10 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
     reach = lambda d, _: np.full(len(d), eps[-1])
     left, right = _blocks(reps.select("id", "v"), placed.select("id", "v", "weight", "cell"), cells, reach, block)
 
-    def count(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def count(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "n": []})
-        lev, w = levels(_matrix(a["v"]), _matrix(b["v"]), eps), b["weight"].to_numpy().astype(np.float64)
+        lev, w = levels(x, y, eps), b["weight"].to_numpy().astype(np.float64)
         n = np.stack([(lev <= i) @ w for i in range(top)], 1).astype(np.int64)
         some = n[:, -1] > 0
         return pd.DataFrame({"id": a["id"].to_numpy()[some], "n": list(n[some])})
@@ -105,10 +105,10 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
     again = core.select(F.col("id").alias("id"), F.col("core").alias("core"))  # names of its own: the two sides meet
     left, right = _blocks(settle(reps.select("id", "v").join(again, "id")), placed.select("id", "v", "cell").join(core, "id"), cells, reach, block)
 
-    def forest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def forest(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"k": [], "level": [], "a": [], "b": []})
-        lev = levels(_matrix(a["v"]), _matrix(b["v"]), eps)
+        lev = levels(x, y, eps)
         ids, other = a["id"].to_numpy(), b["id"].to_numpy()
         ca, cb = (np.stack(x["core"].to_numpy()).astype(np.int8) for x in (a, b))
         out = []

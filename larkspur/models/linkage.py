@@ -4,7 +4,9 @@ Merging clusters A and B adds cost(A, B) = |A||B| / (|A| + |B|) * |mean A - mean
 The linkage is reducible: a merge brings no other pair closer than it was, so pairs that are each other's nearest
 can merge in any order, or together, and the tree is that of merging the cheapest pair each time. A round needs
 each cluster's mean and size only. Its nearest partner is found exactly over the cells of `neighbors`, with cell
-bounds on distance and size; blocks meet in numpy and send on one candidate per cluster. Once the clusters are no
+bounds on distance and size; blocks meet in numpy and send on one candidate per cluster. As a merge brings nothing
+closer, a partner stays the nearest until it merges or the cluster does: only those that lost theirs look for a new one.
+Clusters whose vectors take no more than HELD bytes go whole to every task, and a round is one read. Once they are no
 more than a task compares at a time (a zone), one task ends the tree: in many dimensions most clusters point at a few
 others, so a round merges few pairs.
 
@@ -22,17 +24,75 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from larkspur.models.cluster import components
-from larkspur.operators.neighbors import BLOCK, ZONE, _blocks, _compare, _distances, _matrix, build_cells, points
+from larkspur.operators.neighbors import BLOCK, SLAB, ZONE, Rough, _blocks, _compare, _distances, _matrix, build_cells, points
 from larkspur.session import settle
 
+HELD = 1 << 26  # bytes of vectors that are sent whole to every task
+
 
 def _tie(a, b) -> int:
     """The same for both orders of a pair."""
     return zlib.crc32(repr((min(a, b), max(a, b))).encode())
 
 
-def _partners(clusters: DataFrame, block: int) -> DataFrame:
-    """(a, b, cost) with the cheapest partner b of every cluster a."""
+def _plain(x):
+    return x.item() if hasattr(x, "item") else x
+
+
+def _first(rows: np.ndarray, names, others, cost: np.ndarray) -> np.ndarray:
+    """Places of the least cost of each row, of equal ones that of the least hash."""
+    order = np.lexsort((cost, rows))
+    start = np.flatnonzero(np.diff(rows[order], prepend=-1))
+    size, keep = np.diff(start, append=len(rows)), order[start]
+    next_ = order[np.minimum(start + 1, len(rows) - 1)]
+    for k in np.flatnonzero((size > 1) & (cost[next_] == cost[keep])):
+        at = order[start[k]: start[k] + size[k]]
+        keep[k] = min(at[cost[at] == cost[keep[k]]], key=lambda p: (_tie(_plain(names[p]), _plain(others[p])), _plain(others[p])))
+    return keep
+
+
+def _cheapest(
+    x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, ids: np.ndarray, other: np.ndarray, rough: bool = True
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, cost): for the clusters (x, n) of `ids` the one that costs least of the clusters (y, m) of `other`,
+    itself left out. Costs in single precision, with a bound on what they lose, leave few pairs to work out."""
+    n, m = n.astype(np.float64), m.astype(np.float64)
+    close, same, pairs = Rough(x, y), np.isin(ids, other), []
+    rough = rough and close.sound
+    for at in range(0, len(x), SLAB):
+        s = slice(at, at + SLAB)
+        if rough:
+            cost = close.left[s] @ close.right
+            cost /= (1 / n[s]).astype(np.float32)[:, None] + (1 / m).astype(np.float32)[None, :]
+            lost = 2 * close.off / (1 / n[s] + 1 / m.max())
+        else:
+            cost, lost = _distances(x[s], y) ** 2 * (n[s, None] * m[None, :] / (n[s, None] + m[None, :])), 0.0
+        for i in np.flatnonzero(same[s]):
+            cost[i, other == ids[at + i]] = np.inf
+        j = cost.argmin(1)
+        i = np.arange(len(j))
+        low = cost[i, j]
+        limit = low + ((1e-6 * np.abs(low) + lost) if rough else 1e-9 * low)
+        found = np.flatnonzero(low < np.inf)
+        pairs.append((found + at, j[found]))
+        cost[i, j] = np.inf
+        more = cost <= np.where(low < np.inf, limit, -np.inf).astype(cost.dtype)[:, None]
+        some = np.flatnonzero(more.any(1))
+        if rough and np.count_nonzero(more) > 64 * len(j):  # too many to tell apart in single precision
+            return _cheapest(x, y, n, m, ids, other, False)
+        i, j = np.nonzero(more[some])
+        pairs.append((some[i] + at, j))
+    rows, places = (np.concatenate(t) for t in zip(*pairs))
+    exact = np.empty(len(rows))
+    for at in range(0, len(rows), 1 << 16):
+        i, j = rows[at: at + (1 << 16)], places[at: at + (1 << 16)]
+        exact[at: at + (1 << 16)] = ((x[i] - y[j]) ** 2).sum(1) * (n[i] * m[j] / (n[i] + m[j]))
+    keep = _first(rows, ids[rows], other[places], exact)
+    return rows[keep], places[keep], exact[keep]
+
+
+def _partners(clusters: DataFrame, block: int, some: DataFrame | None = None) -> DataFrame:
+    """(a, b, cost) with the cheapest partner b of every cluster a, or of `some` of them."""
     placed, cells = build_cells(clusters.select("id", "v", "n"), 2)
     least = np.ones(len(cells.size))  # the smallest cluster of each cell
     sizes = placed.groupBy("cell").agg(F.min("n").alias("low"), F.max("n").alias("high")).collect()  # a row per cell
@@ -50,34 +110,74 @@ def _partners(clusters: DataFrame, block: int) -> DataFrame:
         part = n[:, None] * least[None, :] / (n[:, None] + least[None, :])
         return np.sqrt(cost[:, None] / np.maximum(part, 1e-300))
 
-    left, right = _blocks(clusters.select(*[F.col(c).alias(c) for c in ("id", "v", "n")]), placed.select("id", "v", "n", "cell"), cells, reach, block)
+    pts = (clusters if some is None else some).select(*[F.col(c).alias(c) for c in ("id", "v", "n")])
+    left, right = _blocks(pts, placed.select("id", "v", "n", "cell"), cells, reach, block)
     kind = clusters.schema["id"].dataType.simpleString()
 
-    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        out: list[list] = [[], [], [], []]
-        if len(a) and len(b):
-            x, y = _matrix(a["v"]), _matrix(b["v"])
-            n, m = (t["n"].to_numpy().astype(np.float64) for t in (a, b))
-            ids, other = a["id"].to_numpy(), b["id"].to_numpy()
-            rough = _distances(x, y) ** 2 * (n[:, None] * m[None, :] / (n[:, None] + m[None, :]))
-            rough[ids[:, None] == other[None, :]] = np.inf
-            bound = rough.min(1)
-            for i in np.flatnonzero(bound < np.inf):
-                pick = np.flatnonzero(rough[i] <= bound[i] * (1 + 1e-9))
-                exact = ((x[i] - y[pick]) ** 2).sum(1) * (n[i] * m[pick] / (n[i] + m[pick]))
-                pick, low = pick[exact == exact.min()], float(exact.min())
-                tie, j = min((_tie(ids[i].item() if hasattr(ids[i], "item") else ids[i], o), o) for o in other[pick].tolist())
-                for column, value in zip(out, (ids[i], j, low, tie)):
-                    column.append(value)
-        return pd.DataFrame(dict(zip(("a", "b", "cost", "tie"), out)))
+    def best(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
+        if not len(a) or not len(b):
+            return pd.DataFrame({"a": [], "b": [], "cost": [], "tie": []})
+        ids, other = a["id"].to_numpy(), b["id"].to_numpy()
+        i, j, cost = _cheapest(x, y, a["n"].to_numpy(), b["n"].to_numpy(), ids, other)
+        return pd.DataFrame({"a": ids[i], "b": other[j], "cost": cost, "tie": 0})
 
     def first(t: pd.DataFrame) -> pd.DataFrame:
-        return t.sort_values(["a", "cost", "tie", "b"]).drop_duplicates("a")
+        t = t.iloc[_first(pd.factorize(t["a"])[0], t["a"].to_numpy(), t["b"].to_numpy(), t["cost"].to_numpy())]
+        return t.assign(tie=[_tie(a, b) for a, b in zip(t["a"].tolist(), t["b"].tolist())])
 
     found = _compare(left, right, best, f"a {kind}, b {kind}, cost double, tie bigint", block, first)
     return found.groupBy("a").agg(F.min(F.struct("cost", "tie", "b")).alias("m")).select("a", "m.b", "m.cost")
 
 
+def _held_rounds(spark, ids: np.ndarray, v: np.ndarray, n: np.ndarray, mate: np.ndarray, cost: np.ndarray, end: int, chain: int, block: int, rounds: int) -> tuple[list, tuple]:
+    """([(a, b, cost) as columns, for each round], the clusters left), from clusters few enough to be sent whole to every
+    task, sorted by id; `mate` has the place of each one's cheapest partner, or -1. In a round the tasks look for the
+    partners that the last one's merges took away. Ends with `end` clusters, or with `chain` where rounds merge few pairs."""
+    out, tasks, anew = [], 2 * spark.sparkContext.defaultParallelism, False
+    for _ in range(rounds):
+        if len(ids) <= end:
+            return out, (ids, v, n)
+        at = np.arange(len(ids))
+        a = np.flatnonzero((mate > at) & (mate[mate] == at))
+        b = mate[a]
+        if len(a) * 64 < len(ids) <= chain:
+            return out, (ids, v, n)
+        out.append((ids[a], ids[b], cost[a]))
+        touched = np.zeros(len(ids), bool)
+        touched[a], touched[b] = True, True
+        v[a] = (n[a, None] * v[a] + n[b, None] * v[b]) / (n[a] + n[b])[:, None]
+        n[a] += n[b]
+        if not len(a) and anew:
+            break
+        anew = not len(a)  # equal costs only: they are told by their hash where all partners are looked for at once
+        stale = touched | (mate < 0) | touched[mate] | anew
+        kept = np.ones(len(ids), bool)
+        kept[b] = False
+        place = np.where(kept, np.cumsum(kept) - 1, -1)
+        ids, v, n, mate, cost, stale = ids[kept], v[kept], n[kept], place[mate[kept]], cost[kept], np.flatnonzero(stale[kept])
+        mate[stale] = -1
+        shared = spark.sparkContext.broadcast((ids, v, n, stale))
+
+        def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            ids, v, n, stale = shared.value
+            for task in (int(t) for t_ in batches for t in t_["id"]):
+                mine = stale[task::tasks]
+                for i in range(0, len(mine), block):
+                    p, got = mine[i: i + block], []
+                    for j in range(0, len(ids), block):
+                        q = slice(j, j + block)
+                        r, c, low = _cheapest(v[p], v[q], n[p], n[q], ids[p], ids[q])
+                        got.append((r, c + j, low))
+                    r, c, low = (np.concatenate(t) for t in zip(*got))
+                    k = _first(r, ids[p[r]], ids[c], low)
+                    yield pd.DataFrame({"a": p[r[k]], "b": c[k], "cost": low[k]})
+
+        found = spark.range(0, tasks, 1, tasks).mapInPandas(look, "a bigint, b bigint, cost double").toPandas()
+        shared.destroy()
+        mate[found["a"].to_numpy()], cost[found["a"].to_numpy()] = found["b"].to_numpy(), found["cost"].to_numpy()
+    raise RuntimeError("the clusters did not come down to one zone")
+
+
 def _chain(ids: np.ndarray, v: np.ndarray, n: np.ndarray) -> Iterator[tuple]:
     """All merges of a few clusters, following nearest neighbours until two point at each other. Costs come from products
     around the centre, with a bound on what they lose; those that may be the least are worked out by differences."""
@@ -136,19 +236,40 @@ def ward_merges(df: DataFrame, key: str, feats, block: int = BLOCK, rounds: int
     same = pts.join(clusters.select("v", F.col("id").alias("a")), "v").where(F.col("id") > F.col("a"))
     out = same.select("a", F.col("id").alias("b"), F.lit(0.0).alias("height"))
     height = F.sqrt(2 * F.col("cost")).alias("height")
-    for _ in range(rounds):
-        if clusters.count() <= block * ZONE:
+    dim = clusters.select(F.max(F.size("v"))).first()[0] or 1
+    best = None
+    for done in range(rounds):
+        size = clusters.count()
+        if size <= block * ZONE:
             break
-        best = settle(_partners(clusters, block))
+        if best is None:
+            best = settle(_partners(clusters, block))
+        else:
+            stale = clusters.join(best.select(F.col("a").alias("id")), "id", "left_anti").select("id", "v", "n")
+            best = settle(best.union(_partners(clusters, block, stale)))
+        if size * dim * 8 <= HELD:
+            t = clusters.join(best.withColumnRenamed("a", "id"), "id", "left").select("id", "n", "b", "cost", "v").toPandas().sort_values("id")
+            ids, mates = t["id"].to_numpy(), t["b"].to_numpy()
+            mate = pd.Index(ids).get_indexer(mates)
+            held, (ids, v, n) = _held_rounds(
+                clusters.sparkSession, ids, _matrix(t["v"]), t["n"].to_numpy().astype(np.float64), mate, t["cost"].to_numpy(), 2 * block, block * ZONE, block, rounds - done
+            )
+            held.append(tuple(np.array(c) for c in zip(*_chain(ids, v, n))))
+            table = pd.concat([pd.DataFrame(dict(zip(("a", "b", "cost"), c))) for c in held if len(c) and len(c[0])])
+            last = clusters.sparkSession.createDataFrame(table, f"a {kind}, b {kind}, cost double")
+            return out.unionByName(last.select("a", "b", height))
         back = best.select(F.col("a").alias("b"), F.col("b").alias("a"), F.lit(1).alias("mutual"))
         merges = settle(best.join(back, ["a", "b"]).where("a < b").select("a", "b", "cost"))
         out = out.unionByName(merges.select("a", "b", height))
         side = lambda x: clusters.select(F.col("id").alias(x), F.col("v").alias(f"v{x}"), F.col("n").alias(f"n{x}"))
         joined = merges.select("a", "b").join(side("a"), "a").join(side("b"), "b")
         mean = F.zip_with("va", "vb", lambda x, y: (x * F.col("na") + y * F.col("nb")) / (F.col("na") + F.col("nb")))
-        gone = merges.select(F.col("a").alias("id")).union(merges.select("b"))
+        gone = settle(merges.select(F.col("a").alias("id")).union(merges.select("b")))
         rest = clusters.join(gone, "id", "left_anti").select("id", "v", "n")
         clusters = settle(rest.union(joined.select("a", mean, F.col("na") + F.col("nb"))))
+        # a partner stays the cheapest until it or the cluster merges; with equal costs only, all are looked for anew
+        kept = best.join(gone.withColumnRenamed("id", "a"), "a", "left_anti").join(gone.withColumnRenamed("id", "b"), "b", "left_anti").select("a", "b", "cost")
+        best = kept if merges.limit(1).count() else None
     else:
         raise RuntimeError("the clusters did not come down to one zone")
 

@@ -11,7 +11,7 @@ just have more blocks.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -24,6 +24,7 @@ MAX_PIVOTS = 1024
 BLOCK = 2048  # rows of a piece that is compared at once
 ZONE = 8  # pieces of a block that is sent to a task
 SLICE = 1 << 21  # bounds worked out at once
+SLAB = 256  # rows whose distances to a piece are worked out at once
 
 
 @dataclass
@@ -50,6 +51,13 @@ class Cells:
 
         return cut(used, spans)
 
+    def holding(self, placed: DataFrame) -> Cells:
+        """The same cells for some of their rows only."""
+        size = np.zeros(len(self.size))
+        for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect():  # a row per cell
+            size[r["cell"]] = r["n"]
+        return replace(self, size=size)
+
 
 def _vec(df: DataFrame, feats: str | list) -> Column:
     if not isinstance(feats, str):
@@ -80,8 +88,61 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(sq)
 
 
+class Rough:
+    """Squared distances of the rows of a and b in single precision, around a shared centre and in a unit in which none
+    runs out of range. No one is off by more than `off`, by the bound on the error of a sum of products. `sound` is
+    False where that does not serve: in few dimensions and for values that aren't finite."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray):
+        with np.errstate(all="ignore"):
+            centre = b.mean(0)
+            x, y = a - centre, b - centre
+            self.unit = float(max(np.abs(x).max(), np.abs(y).max()))
+        self.a, self.b = a, b
+        self.sound = a.shape[1] > 4 and 1e-100 < self.unit < 1e100
+        if self.sound:
+            x, y = x / self.unit, y / self.unit
+            nx, ny = (x * x).sum(1), (y * y).sum(1)
+            self.off = float((a.shape[1] + 18) * 2.0**-23 * (nx.max() + ny.max()) + 1e-30)
+            self.left = np.column_stack([-2 * x, nx, np.ones(len(x))]).astype(np.float32)
+            self.right = np.ascontiguousarray(np.column_stack([y, np.ones(len(y)), ny]).T, dtype=np.float32)
+
+    def serves(self, eps: float) -> bool:
+        """Whether few distances are too near to eps to be told from it."""
+        return self.sound and self.off <= 1e-3 * (eps / self.unit) ** 2 < 1e30
+
+    def slabs(self) -> Iterator[tuple[slice, np.ndarray]]:
+        """(rows, squared distances in units) of a few rows of a at a time, as many as stay in a core's cache."""
+        for at in range(0, len(self.left), SLAB):
+            rows = slice(at, min(at + SLAB, len(self.left)))
+            yield rows, self.left[rows] @ self.right
+
+    def near(self, rows: np.ndarray, sq: np.ndarray, eps: float) -> np.ndarray:
+        """Which of the pairs of `rows` of a with all of b are at most eps apart, exactly: those whose `sq` does not tell
+        are decided on their differences."""
+        mid = (eps / self.unit) ** 2
+        slack = self.off + 1e-6 * mid
+        out = sq <= np.float32(mid + slack)
+        sure = sq <= np.float32(mid - slack)
+        if np.count_nonzero(out) != np.count_nonzero(sure):
+            np.logical_xor(out, sure, out=sure)
+            some = np.flatnonzero(sure.any(1))
+            i, j = np.nonzero(sure[some])
+            i = some[i]
+            for at in range(0, len(i), 1 << 16):
+                s = slice(at, at + (1 << 16))
+                out[i[s], j[s]] = np.sqrt(((self.a[rows[i[s]]] - self.b[j[s]]) ** 2).sum(1)) <= eps
+        return out
+
+
 def within(a: np.ndarray, b: np.ndarray, eps: float) -> np.ndarray:
     """Which pairs are at most `eps` apart; those near the border are decided on their differences."""
+    rough = Rough(a, b) if len(a) and len(b) else None
+    if rough and rough.serves(eps):
+        near = np.empty((len(a), len(b)), bool)
+        for rows, sq in rough.slabs():
+            near[rows] = rough.near(np.arange(rows.start, rows.stop), sq, eps)
+        return near
     d = _distances(a, b)
     near = d <= eps
     i, j = np.nonzero(np.abs(d - eps) <= 1e-9 * eps)
@@ -147,35 +208,44 @@ def _near(pts: pd.DataFrame, cells: Cells, between: np.ndarray, reach) -> Iterat
 
 
 def _blocks(
-    pts: DataFrame, placed: DataFrame, cells: Cells, reach: Callable[[np.ndarray, pd.DataFrame], np.ndarray], block: int
+    pts: DataFrame, placed: DataFrame, cells: Cells, reach: Callable[[np.ndarray, pd.DataFrame], np.ndarray], block: int, half: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Both sides with the same (zone, part, lot): `part` cuts the data of a zone, `lot` its visitors. A visitor has in
-    `bits` the cells of the zone that may hold a row within `reach` of it, a data row in `nth` its cell's place there."""
+    `bits` the cells of the zone that may hold a row within `reach` of it, a data row in `nth` its cell's place there.
+
+    `half` is for rows that all meet each other: `pts` are the rows of `placed`, with their cell, and visit their own zone,
+    told by `own`, and those after it. Where they are not at home their pairs are met once and count for both rows."""
     zones, block = cells.zones(block * ZONE), block * ZONE
     zone_of, nth = np.zeros(len(cells.size), int), np.zeros(len(cells.size), int)
     for z, members in enumerate(zones):
         zone_of[members], nth[members] = z, np.arange(len(members))
-    shared = pts.sparkSession.sparkContext.broadcast((cells, _distances(cells.pivots, cells.pivots), zones))
+    shared = pts.sparkSession.sparkContext.broadcast((cells, _distances(cells.pivots, cells.pivots), zones, zone_of))
+
+    def homes(b: pd.DataFrame, zone_of: np.ndarray) -> np.ndarray:
+        return zone_of[b["cell"].to_numpy()] if half else np.full(len(b), -1)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, between, zones = shared.value
+        c, between, zones, zone_of = shared.value
         total = np.zeros(len(zones), np.int64)
         for b in batches:
-            for _, near in _near(b, c, between, reach):
-                total += [int(near[:, m].any(1).sum()) for m in zones]
+            home = homes(b, zone_of)
+            for rows, near in _near(b, c, between, reach):
+                total += [int((near[:, m].any(1) & (home[rows] <= z)).sum()) for z, m in enumerate(zones)]
         yield pd.DataFrame({"zone": np.arange(len(zones), dtype=np.int32), "n": total})
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        c, between, zones = shared.value
+        c, between, zones, zone_of = shared.value
         for b in batches:
             held: list[pd.DataFrame] = []
+            home = homes(b, zone_of)
             for rows, near in _near(b, c, between, reach):
                 for z, m in enumerate(zones):
                     at = near[:, m]
-                    some = np.flatnonzero(at.any(1))
+                    some = np.flatnonzero(at.any(1) & (home[rows] <= z))
                     if len(some):
                         bits = np.packbits(at[some], axis=1)
-                        held.append(b.iloc[rows[some]].assign(zone=np.int32(z), bits=[r.tobytes() for r in bits]))
+                        own = {"own": home[rows[some]] == z} if half else {}
+                        held.append(b.iloc[rows[some]].assign(zone=np.int32(z), bits=[r.tobytes() for r in bits], **own))
                     if sum(map(len, held)) >= 4 * BLOCK:
                         yield pd.concat(held)
                         held = []
@@ -187,7 +257,7 @@ def _blocks(
     for r in counted.collect():  # a row per zone
         visitors[r["zone"]] = r["n"]
     columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pts.schema.fields)
-    visits = pts.mapInPandas(visit, f"{columns}, zone int, bits binary")
+    visits = pts.mapInPandas(visit, f"{columns}, zone int, bits binary" + ", own boolean" * half)
     ints = lambda values: F.array(*[F.lit(int(v)) for v in values or [0]])
     n_parts = F.element_at(ints([max(1, -(-int(cells.size[m].sum()) // block)) for m in zones]), F.col("zone") + 1)
     n_lots = F.element_at(ints([max(1, -(-n // block)) for n in visitors]), F.col("zone") + 1)
@@ -199,20 +269,40 @@ def _blocks(
 
 
 def _compare(left: DataFrame, right: DataFrame, fn, schema: str, block: int = BLOCK, merge=None) -> DataFrame:
-    """`fn` of every piece of visitors and the piece of a cell that they visit; `merge` brings the results of a block
-    together, in its task."""
+    """`fn(a, b, x, y, both)` of every piece a of visitors, with vectors x, and the piece b of the cells that they visit, with
+    vectors y; `both` says that the pairs are met here only (`half` of _blocks) and count for the rows of b as well. `merge`
+    brings the results of a block together, in its task."""
     on = ["zone", "part", "lot"]
 
     def pieces(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(a) and len(b):
-            bits = np.stack([np.frombuffer(x, np.uint8) for x in a["bits"]])
-            for cell, data in b.groupby("nth"):
-                hit = a.iloc[np.flatnonzero(bits[:, cell >> 3] & (128 >> (cell & 7)))]
-                for i in range(0, len(hit), block):
-                    out += [fn(hit.iloc[i: i + block], data.iloc[j: j + block]) for j in range(0, len(data), block)]
+            b = b.iloc[np.argsort(b["nth"].to_numpy(), kind="stable")]
+            x, y = _matrix(a["v"]), _matrix(b["v"])
+            bits = np.stack([np.frombuffer(t, np.uint8) for t in a["bits"]])
+            cells, first, size = np.unique(b["nth"].to_numpy(), return_index=True, return_counts=True)
+            own = a["own"].to_numpy(bool) if "own" in a else np.ones(len(a), bool)
+            a, b = a.drop(columns=["v", "bits"]), b.drop(columns="v")
+            for home in (True, False):
+                rows = np.flatnonzero(own == home)
+                if not len(rows):
+                    continue
+                hits = [np.flatnonzero(bits[rows, c >> 3] & (128 >> (c & 7))) for c in cells]
+                at = [np.arange(i, i + n) for i, n in zip(first, size)]
+                # cells that most rows visit are compared with all of them, in pieces of many cells
+                wide = [2 * len(h) >= len(rows) for h in hits]
+                jobs = [(rows[h], c) for h, c, w in zip(hits, at, wide) if not w]
+                if any(wide):
+                    jobs.append((rows, np.concatenate([c for c, w in zip(at, wide) if w])))
+                for r, c in jobs:
+                    for i in range(0, len(r), block):
+                        p = r[i: i + block]
+                        pa, px = a.iloc[p], x[p]
+                        for j in range(0, len(c), block):
+                            q = c[j: j + block]
+                            out.append(fn(pa, b.iloc[q], px, y[q], not home))
         out = [t for t in out if len(t)]
-        got = pd.concat(out, ignore_index=True) if out else fn(a.iloc[:0], b.iloc[:0])
+        got = pd.concat(out, ignore_index=True) if out else fn(a.iloc[:0], b.iloc[:0], None, None, False)
         return merge(got) if merge and len(got) else got
 
     return left.groupBy(*on).cogroup(right.groupBy(*on)).applyInPandas(pieces, schema)
@@ -236,10 +326,9 @@ def nearest(
     left, right = _blocks(points(queries, key, feats), placed, cells, reach, block)
     id_type = data.schema[key].dataType.simpleString()
 
-    def top(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+    def top(a: pd.DataFrame, b: pd.DataFrame, qv: np.ndarray, dv: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "neighbor": [], "distance": []})
-        qv, dv = _matrix(a["v"]), _matrix(b["v"])
         ids = b["id"].to_numpy()
         rough = _distances(qv, dv)
         last = min(len(ids), take) - 1

@@ -107,3 +107,24 @@ def test_chain_far_from_the_origin_and_infinite():
     assert [m[:2] for m in got] == [m[:2] for m in want] and np.allclose([h for *_, h in got], [h for *_, h in want], rtol=1e-9)
     far = np.array([[0.0, 1.0], [np.inf, 0.0], [0.0, 1.5]])
     assert [(int(a), int(b)) for a, b, _ in linkage._chain(np.arange(3), far, np.ones(3))] == [(0, 2), (0, 1)]
+
+
+@pytest.mark.parametrize("held", [0, 1 << 26])
+def test_only_clusters_that_lost_their_partner_look_again(spark, monkeypatch, held):
+    """A merge brings nothing closer, so a round looks for the partners that the merges before it took away, and not for all."""
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(90, 6)) * rng.uniform(0.5, 2, size=(90, 1)) + 50
+    asked, partners, cheapest = [], linkage._partners, linkage._cheapest
+    monkeypatch.setattr(linkage, "HELD", held)
+    monkeypatch.setattr(linkage, "_partners", lambda c, block, some=None: asked.append((c.count(), some and some.count())) or partners(c, block, some))
+    got = sorted((r["a"], r["b"], r["height"]) for r in linkage.ward_merges(frame(spark, x), "id", "v", block=6).collect())
+    want = sorted(plain(x))
+    assert [m[:2] for m in got] == [m[:2] for m in want] and np.allclose([h for *_, h in got], [h for *_, h in want], rtol=1e-9)
+    assert asked[0] == (90, None) and all(some < many for many, some in asked[1:]) and (len(asked) > 1) == (not held)
+    # the kernel tells pairs apart that single precision does not
+    n, ids = rng.integers(1, 9, 40), np.arange(40)
+    for y in (x[:40], 1e6 + x[:40] * 1e-3, np.round(x[:40]) * 1e5, x[:40] * 1e-60):
+        cost = ((y[:, None] - y[None]) ** 2).sum(2) * (n[:, None] * n[None] / (n[:, None] + n[None]))
+        np.fill_diagonal(cost, np.inf)
+        row, place, low = cheapest(y, y, n, n, ids, ids)
+        assert (row == ids).all() and (low == cost.min(1)).all() and (cost[row, place] == low).all()
