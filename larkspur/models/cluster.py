@@ -11,9 +11,10 @@ from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
+from larkspur.models.forest import least_forest, levels, neighbour_counts, settled, spanning
 from larkspur.models.linear import with_features
 from larkspur.operators import evaluate
-from larkspur.operators.neighbors import BLOCK, Cells, _blocks, _compare, build_cells, points, within
+from larkspur.operators.neighbors import BLOCK, ZONE, Cells, _blocks, _compare, build_cells, points, within
 from larkspur.operators.ordered import position
 from larkspur.session import settle
 
@@ -62,80 +63,52 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def spanning(a: np.ndarray, b: np.ndarray, level: np.ndarray) -> np.ndarray:
-    """Places of the edges (a, b) of a least spanning forest, from rounds in which each tree takes its first edge out."""
-    order = np.argsort(level, kind="stable")
-    names, at = np.unique(np.concatenate([a[order], b[order]]), return_inverse=True)
-    x, y, root, taken = at[: len(a)], at[len(a):], np.arange(len(names)), np.zeros(len(a), bool)
-    live = np.flatnonzero(x != y)
-    while len(live):
-        i, j = root[x[live]], root[y[live]]
-        first = np.full(len(names), len(a))
-        np.minimum.at(first, i, live)
-        np.minimum.at(first, j, live)
-        trees = np.flatnonzero(first < len(a))
-        edge = first[trees]
-        taken[edge] = True
-        other = root[x[edge]] + root[y[edge]] - trees
-        back = (first[other] == edge) & (trees < other)  # of two trees that take the same edge the smaller stays
-        root[trees] = np.where(back, trees, other)
-        while (root[root] != root).any():
-            root = root[root]
-        live = live[root[x[live]] != root[y[live]]]
-    return np.sort(order[taken])
-
-
-def _within(pts: DataFrame, others: DataFrame, cells: Cells, eps: float, fn, schema: str, merge=None) -> DataFrame:
-    left, right = _blocks(pts, others, cells, lambda d, _: np.full(len(d), eps), BLOCK)
+def _within(pts: DataFrame, others: DataFrame, cells: Cells, eps: float, fn, schema: str, merge=None, half: bool = False) -> DataFrame:
+    left, right = _blocks(pts, others, cells, lambda d, _: np.full(len(d), eps), BLOCK, half)
     return _compare(left, right, fn, schema, BLOCK, merge)
 
 
 def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "cluster") -> DataFrame:
     """(key, cluster): density clusters, noise = -1, clusters numbered by their smallest core key.
 
-    Equal points are one point with a weight. Rows meet block by block (see neighbors): one pass counts
-    neighbours, one returns per block pair a spanning forest of the core points in reach of each other
-    (at most one edge per point), one finds for the other points the smallest component in reach.
+    Equal points are one point with a weight. Rows meet block by block (see neighbors): one pass counts neighbours, each
+    pair once. Some core points then tell which others hang together anyway (see forest); for the rest one pass returns
+    per block pair a spanning forest of the core points in reach of each other (at most one edge per point), and one finds
+    for the points that are not core the smallest component in reach.
     """
     pts = points(df, key, feats)
     reps = settle(pts.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight")))
     id_type = reps.schema["id"].dataType.simpleString()
     placed, cells = build_cells(reps, 0)
+    one = np.array([eps], np.float64)
 
-    def count(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
+    def count(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, both: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "n": []})
-        near = within(x, y, eps)
-        return pd.DataFrame({"id": a["id"], "n": near @ b["weight"].to_numpy()})
+        of_a, of_b = neighbour_counts(x, y, a["weight"].to_numpy(), b["weight"].to_numpy(), one, both)
+        t = pd.DataFrame({"id": a["id"].to_numpy(), "n": of_a[:, 0]})
+        return pd.concat([t, pd.DataFrame({"id": b["id"].to_numpy(), "n": of_b[:, 0]})]) if both else t
 
-    counts = _within(reps.select("id", "v"), placed, cells, eps, count, f"id {id_type}, n bigint", lambda t: t.groupby("id", as_index=False)["n"].sum())
-    dense = counts.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= m).select("id")
+    rows = placed.select("id", "v", "weight", "cell")
+    counts = _within(rows, rows, cells, eps, count, f"id {id_type}, n bigint", lambda t: t.groupby("id", as_index=False)["n"].sum(), True)
+    dense = settle(counts.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= m).select("id"))
     core = settle(placed.join(dense, "id"))
+    since, first = settled(core.select("id", "v", F.array(F.lit(0)).alias("core")), one, 1, BLOCK, BLOCK * ZONE)
+    whole = settle(core.select("id", "v", "cell").join(since.select("id", F.col("since")[0].alias("since")), "id"))
 
     def forest(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"a": [], "b": []})
-        near = within(x, y, eps)
-        names, at = np.unique(np.concatenate([a["id"].to_numpy(), b["id"].to_numpy()]), return_inverse=True)
-        ia, ib = at[: len(a)], at[len(a):]
-        root, far = np.arange(len(names)), len(names)
-        while True:  # smallest root over the neighbours, hung on the old root, then paths cut short
-            before = root.copy()
-            low = np.where(near, root[ia][:, None], far).min(0)
-            np.minimum.at(root, root[ib], np.minimum(low, root[ib]))
-            low = np.where(near, root[ib][None, :], far).min(1)
-            np.minimum.at(root, root[ia], np.minimum(low, root[ia]))
-            while (root[root] != root).any():
-                root = root[root]
-            if (root == before).all():
-                break
-        moved = root != np.arange(len(names))
-        return pd.DataFrame({"a": names[moved], "b": names[root[moved]]})
+        i, j, _ = least_forest(levels(x, y, one), 1, (a["since"].to_numpy(np.int8), b["since"].to_numpy(np.int8)))
+        return pd.DataFrame({"a": a["id"].to_numpy()[i], "b": b["id"].to_numpy()[j]})
 
     def thin(t: pd.DataFrame) -> pd.DataFrame:
         return t.iloc[spanning(t["a"].to_numpy(), t["b"].to_numpy(), np.zeros(len(t), np.int64))]
 
-    edges = _within(core.select("id", "v"), core.drop("weight"), cells, eps, forest, f"a {id_type}, b {id_type}", thin)
+    apart = whole.where("since > 0").select("id", "v", "since")
+    edges = _within(apart, whole, cells.holding(whole), eps, forest, f"a {id_type}, b {id_type}", thin)
+    if first[0] is not None:
+        edges = edges.union(whole.where("since = 0").select(F.col("id").alias("a"), F.lit(first[0]).cast(id_type).alias("b")))
     roots = components(edges)
     core_root = core.select("id", "v", "cell", "dist").join(roots.withColumnRenamed("node", "id"), "id", "left")
     core_root = settle(core_root.withColumn("root", F.coalesce("root", "id")))
@@ -144,14 +117,13 @@ def dbscan(df: DataFrame, key: str, feats, eps: float, m: int, out: str = "clust
     def reach(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"id": [], "root": []})
-        near = within(x, y, eps)
         order = np.argsort(b["root"].to_numpy(), kind="stable")
-        hit = near[:, order]
+        hit = within(x, y[order], eps)
         any_hit = hit.any(1)
         return pd.DataFrame({"id": a["id"].to_numpy()[any_hit], "root": b["root"].to_numpy()[order][hit.argmax(1)][any_hit]})
 
     smallest = lambda t: t.groupby("id", as_index=False)["root"].min()
-    border = _within(rest, core_root, cells, eps, reach, f"id {id_type}, root {id_type}", smallest).groupBy("id").agg(F.min("root").alias("root"))
+    border = _within(rest, core_root, cells.holding(core_root), eps, reach, f"id {id_type}, root {id_type}", smallest).groupBy("id").agg(F.min("root").alias("root"))
     found = settle(core_root.select("id", "root").union(border.select("id", "root")))
     numbers = position(found.select("root").distinct(), "root", out)
     labelled = found.join(numbers, "root").select("id", out)

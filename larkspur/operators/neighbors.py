@@ -56,7 +56,7 @@ class Cells:
         size = np.zeros(len(self.size))
         for r in placed.groupBy("cell").agg(F.count("*").alias("n")).collect():  # a row per cell
             size[r["cell"]] = r["n"]
-        return replace(self, size=size)
+        return replace(self, size=size) if size.any() else self
 
 
 def _vec(df: DataFrame, feats: str | list) -> Column:
@@ -109,7 +109,7 @@ class Rough:
 
     def serves(self, eps: float) -> bool:
         """Whether few distances are too near to eps to be told from it."""
-        return self.sound and self.off <= 1e-3 * (eps / self.unit) ** 2 < 1e30
+        return self.sound and self.off <= 0.05 * (eps / self.unit) ** 2 < 1e30
 
     def slabs(self) -> Iterator[tuple[slice, np.ndarray]]:
         """(rows, squared distances in units) of a few rows of a at a time, as many as stay in a core's cache."""

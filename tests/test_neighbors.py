@@ -217,3 +217,18 @@ def test_spanning_forest_is_least():
                 root[find(a[i])] = find(b[i])
                 want.append(i)
         assert sorted(cluster.spanning(a, b, level)) == sorted(want)
+
+
+def test_dbscan_meets_all_rows_once(spark, monkeypatch):
+    """Pairs are met once for their count; after it only rows that a few others do not tell to hang together meet all."""
+    rng = np.random.default_rng(14)
+    x = np.concatenate([rng.normal(size=(330, 6)) * 0.6, rng.normal(size=(60, 6)) * 0.3 + 4, rng.uniform(-6, 6, size=(60, 6))])
+    x = np.concatenate([x, x[:20]])
+    sent, within = [], cluster._within
+    monkeypatch.setattr(cluster, "BLOCK", 16)
+    monkeypatch.setattr(cluster, "_within", lambda pts, *a: sent.append((pts.count(), a[-1])) or within(pts, *a))
+    for eps, m in ((1.3, 5), (0.9, 4)):
+        got = {r["id"]: r["cluster"] for r in cluster.dbscan(frame(spark, x), "id", "v", eps, m).collect()}
+        assert [got[i] for i in range(len(x))] == list(brute_dbscan(x, eps, m))
+        (all_rows, half), (forest, _), _ = sent[-3:]
+        assert (all_rows, half) == (450, True) and 0 < forest < 250
