@@ -10,8 +10,9 @@ it. Everything DBSCAN asks is then a comparison of small numbers:
 - a row that isn't core at (eps_i, m) is border if some core row of that pair lies within level i.
 
 So two passes over the block pairs of the largest eps serve every pair of the grid: one counts neighbours per
-level, the other returns from each block pair a least spanning forest for each m (at most one edge per row) and
-the level at which each row becomes border. No pair of rows leaves a task.
+level, each pair once, the other returns from each block pair a least spanning forest for each m (at most one edge per
+row) and the level at which each row becomes border. Before the second some rows tell which others hang together anyway
+(see forest); these need not meet all. No pair of rows leaves a task.
 """
 
 from __future__ import annotations
@@ -22,55 +23,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from larkspur.models.cluster import components, spanning
-from larkspur.operators.neighbors import BLOCK, _blocks, _compare, _distances, build_cells, points
+from larkspur.models.cluster import components
+from larkspur.models.forest import least_forest, levels, neighbour_counts, settled, spanning
+from larkspur.operators.neighbors import BLOCK, ZONE, _blocks, _compare, build_cells, points
 from larkspur.session import settle
 
 
-def levels(a: np.ndarray, b: np.ndarray, epss: np.ndarray) -> np.ndarray:
-    """For all pairs the first of the ascending `epss` that is no less than their distance, or len(epss).
-    Pairs near a border are decided on their differences."""
-    d = _distances(a, b)
-    out, close = np.zeros(d.shape, np.int8), np.zeros(d.shape, bool)
-    for eps in epss:
-        out += d > eps
-        close |= np.abs(d - eps) <= 1e-9 * eps
-    i, j = np.nonzero(close)
-    for at in range(0, len(i), 1 << 16):
-        s = slice(at, at + (1 << 16))
-        out[i[s], j[s]] = np.searchsorted(epss, np.sqrt(((a[i[s]] - b[j[s]]) ** 2).sum(1)), "left")
-    return out
-
-
-def least_forest(link: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, column, level) of a least spanning forest of the bipartite graph whose edges are the entries below
-    `top` (Prim's rule: the nearest node outside joins next)."""
-    n, m = link.shape
-    best = np.full(n + m, top, np.int8)  # level of the best edge from the tree, rows before columns
-    other = np.full(n + m, -1)
-    out: list[tuple[int, int, int]] = []
-    open_ = np.ones(n + m, bool)
-    open_[:n] = (link < top).any(1)
-    open_[n:] = (link < top).any(0)
-    key = np.where(open_, best, top + 1).astype(np.int8)
-    while True:
-        v = int(key.argmin())
-        if key[v] > top:
-            return tuple(np.array(c, np.int64) for c in zip(*out)) if out else (np.empty(0, np.int64),) * 3  # type: ignore[return-value]
-        if key[v] < top:
-            out.append((v, int(other[v]) - n, int(key[v])) if v < n else (int(other[v]), v - n, int(key[v])))
-        key[v] = top + 1
-        part, row = (key[n:], link[v]) if v < n else (key[:n], link[:, v - n])
-        better = np.flatnonzero((row < part) & (part <= top))
-        part[better] = row[better]
-        (other[n:] if v < n else other[:n])[better] = v
-
-
 def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], block: int = BLOCK) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What every pair's clusters follow from: rows (id, v, weight, core[], border[]), one per distinct vector;
     links (k, level, a, b), each from its level on; and the membership (key, v) of the rows of `df`.
 
-    core[k] and border[k] are the levels at which the row becomes core and border for ms[k]; len(epss) is never.
+    core[k] and border[k] are the levels at which the row becomes core and border for ms[k]; len(epss) is never, and a
+    border level that is not below the core level is not worked out.
     """
     eps = np.array(sorted({float(e) for e in epss}))
     if not len(eps) or not len(ms) or len(eps) > 120 or min(ms) < 1:
@@ -81,43 +45,48 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
     id_type = reps.schema["id"].dataType.simpleString()
     placed, cells = build_cells(reps, 0)
     reach = lambda d, _: np.full(len(d), eps[-1])
-    left, right = _blocks(reps.select("id", "v"), placed.select("id", "v", "weight", "cell"), cells, reach, block)
+    left, right = _blocks(placed.select("id", "v", "weight", "cell"), placed.select("id", "v", "weight", "cell"), cells, reach, block, True)
+    names = [f"n{i}" for i in range(top)]
 
-    def count(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
+    def count(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, both: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
-            return pd.DataFrame({"id": [], "n": []})
-        lev, w = levels(x, y, eps), b["weight"].to_numpy().astype(np.float64)
-        n = np.stack([(lev <= i) @ w for i in range(top)], 1).astype(np.int64)
-        some = n[:, -1] > 0
-        return pd.DataFrame({"id": a["id"].to_numpy()[some], "n": list(n[some])})
+            return pd.DataFrame({"id": [], **{n: [] for n in names}})
+        of_a, of_b = neighbour_counts(x, y, a["weight"].to_numpy(), b["weight"].to_numpy(), eps, both)
+        out = []
+        for t, n in ((a, of_a), (b, of_b))[: 1 + both]:
+            some = np.flatnonzero(n[:, -1])
+            out.append(pd.DataFrame(n[some], columns=names).assign(id=t["id"].to_numpy()[some]))
+        return pd.concat(out)[["id", *names]]
 
     def add(t: pd.DataFrame) -> pd.DataFrame:
-        ids, at = np.unique(t["id"].to_numpy(), return_inverse=True)
-        n = np.zeros((len(ids), top), np.int64)
-        np.add.at(n, at, np.stack(t["n"].to_numpy()))
-        return pd.DataFrame({"id": ids, "n": list(n)})
-
-    counts = _compare(left, right, count, f"id {id_type}, n array<bigint>", block, add)
-    sums = counts.groupBy("id").agg(*[F.sum(F.col("n")[i]).alias(f"n{i}") for i in range(top)])
-    within = F.array(*[F.col(f"n{i}") for i in range(top)])
+        return t.groupby("id", as_index=False)[names].sum()
+
+    counts = _compare(left, right, count, f"id {id_type}, " + ", ".join(f"{n} bigint" for n in names), block, add)
+    sums = counts.groupBy("id").agg(*[F.sum(n).alias(n) for n in names]).join(reps.select("id", "weight"), "id")
+    within = F.array(*names)
     level = lambda m: F.size(F.filter(within, lambda n: n < m)).cast("int")  # noqa: E731 - counts rise with the level
-    core = settle(sums.select("id", F.array(*[level(m) for m in ms]).alias("core")))
-    again = core.select(F.col("id").alias("id"), F.col("core").alias("core"))  # names of its own: the two sides meet
-    left, right = _blocks(settle(reps.select("id", "v").join(again, "id")), placed.select("id", "v", "cell").join(core, "id"), cells, reach, block)
+    # `met` is the level from which on there is any other row
+    core = settle(sums.select("id", F.array(*[level(m) for m in ms]).alias("core"), F.size(F.filter(within, lambda n: n <= F.col("weight"))).alias("met")))
+    whole = settle(placed.select("id", "v", "cell").join(core, "id"))
+    since, first = settled(whole, eps, many, block, block * ZONE)
+    whole = settle(whole.join(since, "id"))
+    # a row meets all others if it may be border before it is core, or core before it hangs together with the first
+    needed = F.exists(F.arrays_zip("core", "since"), lambda t: (t["core"] < t["since"]) | (F.col("met") < t["core"]))
+    left, right = _blocks(whole.where(needed).select("id", "v", "core", "since"), whole.select("id", "v", "core", "since", "cell"), cells, reach, block)
 
     def forest(a: pd.DataFrame, b: pd.DataFrame, x: np.ndarray, y: np.ndarray, _: bool) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"k": [], "level": [], "a": [], "b": []})
         lev = levels(x, y, eps)
         ids, other = a["id"].to_numpy(), b["id"].to_numpy()
-        ca, cb = (np.stack(x["core"].to_numpy()).astype(np.int8) for x in (a, b))
+        ca, cb, sa, sb = (np.stack(t[c].to_numpy()).astype(np.int8) for c in ("core", "since") for t in (a, b))
         out = []
         for k in range(many):
             seen = np.maximum(lev, cb[:, k])  # level at which the other row, being core, reaches this one
             border = seen.min(1)
-            some = np.flatnonzero(border < top)
+            some = np.flatnonzero((border < top) & (border < ca[:, k]))
             out.append(pd.DataFrame({"k": np.int32(k), "level": border[some].astype(np.int32), "a": ids[some], "b": None}))
-            i, j, at = least_forest(np.maximum(seen, ca[:, k][:, None]), top)
+            i, j, at = least_forest(np.maximum(seen, ca[:, k][:, None]), top, (sa[:, k], sb[:, k]))
             apart = ids[i] != other[j]
             out.append(pd.DataFrame({"k": np.int32(k), "level": at[apart].astype(np.int32), "a": ids[i[apart]], "b": other[j[apart]]}))
         return pd.concat(out)
@@ -139,7 +108,12 @@ def density_levels(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Se
         F.array(*[F.coalesce(f"b{k}", never) for k in range(many)]).alias("border"),
     )
     # an edge holds from its level on
-    edges = found.where("b is not null").groupBy("k", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("level").alias("level"))
+    told = [(k, r) for k, r in enumerate(first) if r is not None]
+    links = found.where("b is not null")
+    for k, r in told:
+        one = whole.select(F.lit(k).alias("k"), F.col("since")[k].alias("level"), F.col("id").alias("a"), F.lit(r).cast(id_type).alias("b"))
+        links = links.union(one.where((F.col("level") < top) & (F.col("a") != F.col("b"))))
+    edges = links.groupBy("k", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.min("level").alias("level"))
     return settle(rows), edges.select("k", "level", "a", "b"), pts.select(F.col("id").alias(key), "v")
 
 
@@ -175,45 +149,58 @@ def level_roots(links: DataFrame, top: int) -> DataFrame:
     return out if out is not None else links.sparkSession.createDataFrame([], f"k int, id {kind}, level int, root {kind}")
 
 
-def density_clusters(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], block: int = BLOCK) -> DataFrame:
-    """(eps, min_samples, v, weight, root, core): for every pair and distinct vector the smallest core id of its
-    component if it is core; a border row has none here but is marked by core = false, noise by null."""
-    epss, many = sorted({float(e) for e in epss}), len(ms)
-    rows, links, _ = density_levels(df, key, feats, epss, ms, block)
+def _states(rows: DataFrame, links: DataFrame, epss: Sequence[float], ms: Sequence[int]) -> DataFrame:
+    """`rows` once for every pair: eps, min_samples, the row's columns, root and core."""
+    many = len(ms)
     # a row's roots by level, for each of ms
     roots = level_roots(links, len(epss)).groupBy("id").agg(
         *[F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("level", "root")))).alias(f"r{k}") for k in range(many)]  # at most one a level
     )
+    return settle(rows.join(roots, "id", "left").withColumn("r", F.array(*[f"r{i}" for i in range(many)])).drop(*[f"r{i}" for i in range(many)]))
+
+
+def _each(states: DataFrame, epss: Sequence[float], ms: Sequence[int], *keep: str) -> DataFrame:
+    many = len(ms)
     at = F.explode(F.sequence(F.lit(0), F.lit(len(epss) * many - 1))).alias("pair")
     k, level = F.col("pair") % many + 1, F.floor(F.col("pair") / many)
-    each = rows.join(roots, "id", "left").withColumn("r", F.array(*[f"r{i}" for i in range(many)])).drop(*[f"r{i}" for i in range(many)]).select("*", at)
+    each = states.select("id", "r", "core", "border", *keep, at)
     reached = F.filter(F.element_at("r", k), lambda x: x["level"] <= level)
     root = F.when(F.size(reached) > 0, F.element_at(reached, -1)["root"]).alias("root")
-    each = each.select("id", "v", "weight", "pair", (F.element_at("core", k) <= level).alias("core"), (F.element_at("border", k) <= level).alias("border"), root)
+    each = each.select("id", *keep, "pair", (F.element_at("core", k) <= level).alias("core"), (F.element_at("border", k) <= level).alias("border"), root)
     state = F.when(F.col("core"), True).when(F.col("border"), False)
     return each.select(
         F.element_at(F.array(*[F.lit(e) for e in epss]), (level + 1).cast("int")).alias("eps"), F.element_at(F.array(*[F.lit(int(m)) for m in ms]), k.cast("int")).alias("min_samples"),
-        "id", "v", "weight", F.when(F.col("core"), F.coalesce("root", "id")).alias("root"), state.alias("core"),
+        "id", *keep, F.when(F.col("core"), F.coalesce("root", "id")).alias("root"), state.alias("core"),
     )
 
 
+def density_clusters(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], block: int = BLOCK) -> DataFrame:
+    """(eps, min_samples, v, weight, root, core): for every pair and distinct vector the smallest core id of its
+    component if it is core; a border row has none here but is marked by core = false, noise by null."""
+    epss = sorted({float(e) for e in epss})
+    rows, links, _ = density_levels(df, key, feats, epss, ms, block)
+    return _each(_states(rows, links, epss, ms), epss, ms, "v", "weight")
+
+
 def sweep_dbscan(df: DataFrame, key: str, feats, epss: Sequence[float], ms: Sequence[int], label: str | None = None, block: int = BLOCK) -> DataFrame:
     """(eps, min_samples, clusters, noise, core_rows[, ari]) for every pair of parameters.
 
     The adjusted Rand index reads clusters over the core rows; border and noise rows, whose cluster DBSCAN leaves
     to the order of its rows or to none, are each left out of it.
     """
-    got = density_clusters(df, key, feats, epss, ms, block)
-    out = got.groupBy("eps", "min_samples").agg(
+    epss = sorted({float(e) for e in epss})
+    rows, links, _ = density_levels(df, key, feats, epss, ms, block)
+    states = _states(rows, links, epss, ms)
+    out = _each(states, epss, ms, "weight").groupBy("eps", "min_samples").agg(
         F.count_if(F.col("core") & (F.col("root") == F.col("id"))).alias("clusters"),
         F.coalesce(F.sum(F.when(F.col("core").isNull(), F.col("weight"))), F.lit(0)).alias("noise"),
         F.coalesce(F.sum(F.when(F.col("core"), F.col("weight"))), F.lit(0)).alias("core_rows"),
     )
     if not label:
         return out
-    cells = got.where("core").select("eps", "min_samples", "v", "root")
     told = points(df, label, feats).select("v", F.col("id").alias("y")).groupBy("v", "y").agg(F.count("*").alias("n"))
-    cells = cells.join(told, "v").groupBy("eps", "min_samples", "root", "y").agg(F.sum("n").alias("n"))
+    labelled = states.join(told, "v").select("id", "r", "core", "border", "y", "n")  # before the grid, which has a row for every pair
+    cells = settle(_each(labelled, epss, ms, "y", "n").where("core").groupBy("eps", "min_samples", "root", "y").agg(F.sum("n").alias("n")))
     pairs = lambda n: F.sum(n.cast("double") * (n - 1) / 2)
     on = ["eps", "min_samples"]
     both = cells.groupBy(*on).agg(pairs(F.col("n")).alias("both"), F.sum("n").cast("double").alias("all"))

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from __spark_entry__ import queries
-from larkspur.models import density
+from larkspur.models import density, forest
 
 
 def plain(x, epss, ms):
@@ -122,3 +122,49 @@ def test_roots_by_level(spark):
                     if kk == k and lev <= level:
                         want[a] = want[b] = min(want[a], want[b])
             assert [told.get(i, i) for i in range(60)] == want
+
+
+def test_rows_known_to_hang_together_do_not_meet_all(spark, monkeypatch):
+    rng = np.random.default_rng(15)
+    x = np.concatenate([rng.normal(size=(260, 6)) * 0.6, rng.normal(size=(50, 6)) * 0.3 + 4, rng.uniform(-6, 6, size=(30, 6))])
+    x = np.concatenate([x, x[:40] + 1e-3, x[:15]])
+    y = np.arange(len(x)) % 4
+    sent, blocks = [], density._blocks
+    monkeypatch.setattr(density, "_blocks", lambda pts, *a: sent.append(pts.count()) or blocks(pts, *a))
+    epss, ms = [0.05, 0.7, 1.4, 4.0], [2, 4]
+    check(density.sweep_dbscan(frame(spark, x, y), "id", "v", epss, ms, label="y", block=16).collect(), x, y, epss, ms)
+    assert sent[0] == 380 and 0 < sent[1] < 330
+
+
+def test_counts_and_known_links():
+    """Counts for both sides, and a least forest that leaves out what is known to hang together."""
+    rng = np.random.default_rng(16)
+    a, b = rng.normal(size=(300, 9)) * 0.3, rng.normal(size=(77, 9)) * 0.3
+    b[:40] = a[:40] + 1e-4
+    d = np.sqrt(((a[:, None] - b[None]) ** 2).sum(2))
+    epss = np.sort(np.append(np.quantile(d, [0.001, 0.2, 0.9]), [d[5, 6], 9.0]))
+    wa, wb = rng.integers(1, 4, 300), rng.integers(1, 3, 77)
+    for far in (0.0, 1e4):
+        lev = forest.levels(a + far, b + far, epss)
+        right = np.searchsorted(epss, np.sqrt((((a + far)[:, None] - (b + far)[None]) ** 2).sum(2)))
+        assert (lev == right).all()
+        of_a, of_b = forest.neighbour_counts(a + far, b + far, wa, wb, epss, True)
+        for i in range(len(epss)):
+            assert (of_a[:, i] == (right <= i) @ wb).all() and (of_b[:, i] == wa @ (right <= i)).all()
+    top = 4
+    for few in (0, 1 << 16):
+        forest.FEW, held = few, forest.FEW
+        for _ in range(100):
+            n, m = rng.integers(1, 12, 2)
+            link = rng.integers(0, top + 3, size=(n, m)).astype(np.int8)
+            since = rng.integers(0, 2 * top, size=n + m).astype(np.int8)
+            i, j, at = forest.least_forest(link, top, (since[:n], since[n:]))
+            for level in range(top):
+                roots = []
+                for edges in (zip(*np.nonzero(link <= level)), zip(i[at <= level], j[at <= level])):
+                    root, tied = np.arange(n + m), np.flatnonzero(since <= level)
+                    e = np.array([(p, q + n) for p, q in edges] + [(tied[0], t) for t in tied]).reshape(-1, 2).astype(int)
+                    forest.hang(root, e[:, 0], e[:, 1])
+                    roots.append([[p == q for p in root] for q in root])
+                assert roots[0] == roots[1]
+        forest.FEW = held
