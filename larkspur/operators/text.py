@@ -41,10 +41,11 @@ def most_common(df: DataFrame, col: str, n: int) -> DataFrame:
 
 def term_counts(df: DataFrame, key: str, tokens: str | Column, ngrams: tuple[int, int] = (1, 1)) -> DataFrame:
     """(key, term, tf). Rows are spread by key once; counting, and later joins and sums by key, reuse that. There is
-    a partition for every TASK_DOCS rows at least, so that no task's counts grow with the table."""
+    a partition for every TASK_DOCS rows at least, so that no task's counts grow with the table. Tokens are what is
+    spread; their runs, several times as long, are made where they are counted."""
     parts = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.select(key).count() // TASK_DOCS))  # the tokens aren't worked out for it
-    src = df.select(F.col(key), tc.ngrams(tokens, *ngrams).alias("_t")).repartition(parts, key)
-    return explode_terms(src, [key], "_t").groupBy(key, "term").agg(F.count("*").alias("tf"))
+    src = df.select(F.col(key), F.col(tokens).alias("_t") if isinstance(tokens, str) else tokens.alias("_t")).repartition(parts, key)
+    return explode_terms(src, [key], tc.ngrams("_t", *ngrams)).groupBy(key, "term").agg(F.count("*").alias("tf"))
 
 
 def fit_vocabulary(
@@ -54,16 +55,28 @@ def fit_vocabulary(
     them (ties by term), with idf = ln((1 + n) / (1 + df)) + 1."""
     n = F.lit(n_docs) if isinstance(n_docs, int) else n_docs
     vocab = terms.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df"))
-    vocab = vocab.where((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
+    vocab = _in_limits(vocab, n, min_df, max_df)
     if max_terms:
         vocab = vocab.orderBy(F.desc("total"), "term").limit(max_terms)
-    return vocab.withColumn("idf", F.log((n + 1) / (F.col("df") + 1)) + 1)
+    return vocab.withColumn("idf", _idf(n))
+
+
+def _in_limits(terms: DataFrame, n: Column, min_df: int, max_df: float) -> DataFrame:
+    return terms.where((F.col("df") >= min_df) & (F.col("df") <= n * max_df))
+
+
+def _idf(n: Column) -> Column:
+    return F.log((n + 1) / (F.col("df") + 1)) + 1
+
 
 def apply_tfidf(terms: DataFrame, vocab: DataFrame, key: str, sublinear: bool = False, norm: bool = True) -> DataFrame:
     """(key, term, weight) with unit length per key. Spark picks the join by the vocabulary's size."""
-    table = vocab.select("term", "idf")
+    return _weigh(terms.join(vocab.select("term", "idf"), "term"), key, sublinear, norm)
+
+
+def _weigh(terms: DataFrame, key: str, sublinear: bool, norm: bool = True) -> DataFrame:
     tf = F.log("tf") + 1 if sublinear else F.col("tf")
-    long = terms.join(table, "term").select(key, "term", (tf * F.col("idf")).alias("weight"))
+    long = terms.select(key, "term", (tf * F.col("idf")).alias("weight"))
     if not norm:
         return long
     # the terms of one key are at most one document
@@ -81,9 +94,15 @@ def tfidf(
     min_df: int = 1,
     max_df: float = 1.0,
 ) -> DataFrame:
-    """Fit on `df` and weigh `df`; for a train/test split call the two steps apart."""
+    """Fit on `df` and weigh `df`; for a train/test split call the two steps apart. Of runs of tokens most are rare, so
+    a vocabulary is nearly as long as the terms: these are shuffled by term once, and counted and weighed where they meet."""
     terms = term_counts(df, key, tokens, ngrams)
-    vocab = fit_vocabulary(terms, df.agg(F.count("*")).scalar(), max_terms, min_df, max_df)
+    n = df.agg(F.count("*")).scalar()
+    if ngrams[1] > 1 and not max_terms:
+        # a term has a row for each document that holds it
+        met = terms.withColumn("df", F.count("*").over(Window.partitionBy("term")))
+        return _weigh(_in_limits(met, n, min_df, max_df).withColumn("idf", _idf(n)), key, sublinear)
+    vocab = fit_vocabulary(terms, n, max_terms, min_df, max_df)
     return apply_tfidf(terms, vocab, key, sublinear)
 
 

@@ -104,3 +104,27 @@ def test_term_counts_have_partitions_by_rows(spark, monkeypatch):
     counts = text.term_counts(df, "doc_id", "t")
     assert counts.rdd.getNumPartitions() == 100
     assert counts.count() == 2000 and counts.where("term = 'a' and tf = 2").count() == 1000
+
+
+def test_runs_of_tokens_are_shuffled_by_term_once(spark):
+    """Counts, limits and weights of n-grams come from one shuffle by term, and what is spread by document are the tokens."""
+    import math
+    from collections import Counter
+
+    rows = [(1, "a b c a".split()), (2, "a b d".split()), (3, "b c a b".split()), (4, []), (5, None), (6, ["e"])]
+    df = spark.createDataFrame(rows, "id long, tokens array<string>")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = text.tfidf(df, "id", "tokens", ngrams=(1, 3), sublinear=True, min_df=2, max_df=0.4)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("hashpartitioning(term#") == 1
+        assert plan.index("zip_with") < plan.rindex("REPARTITION_BY_NUM")  # printed from the last step to the first
+        got = {(r["id"], r["term"]): r["weight"] for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    tf = {i: Counter(" ".join(t[j: j + n]) for n in (1, 2, 3) for j in range(len(t) - n + 1)) for i, t in rows if t}
+    found = Counter(t for c in tf.values() for t in c)
+    want = {(i, t): (1 + math.log(n)) * (math.log(7 / (found[t] + 1)) + 1) for i, c in tf.items() for t, n in c.items() if 2 <= found[t] <= 2.4}
+    norm = {i: math.sqrt(sum(w * w for (j, _), w in want.items() if j == i)) for i in tf}
+    assert want and set(got) == set(want) and all(abs(got[k] - w / norm[k[0]]) < 1e-12 for k, w in want.items())
