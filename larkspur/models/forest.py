@@ -26,13 +26,18 @@ def levels(a: np.ndarray, b: np.ndarray, epss: np.ndarray) -> np.ndarray:
         out = np.empty((len(a), len(b)), np.int8)
         for rows, sq in rough.slabs():
             at = np.arange(rows.start, rows.stop)
-            low, high = float(sq.min()) * rough.unit**2, float(sq.max()) * rough.unit**2
-            slack = 4 * rough.off * rough.unit**2
+            least, most = sq.min(1), float(sq.max())
             part = np.zeros(sq.shape, np.int8)
             for eps in epss:
-                if eps * eps * (1 + 1e-5) + slack < low:
+                mid = (eps / rough.unit) ** 2
+                slack = 2 * rough.off + 1e-5 * mid
+                if mid - slack > most:
+                    break
+                some = np.flatnonzero(least <= mid + slack)
+                if len(some) * 4 < len(at):
                     part += 1
-                elif eps * eps * (1 - 1e-5) - slack <= high:
+                    part[some] -= rough.near(at[some], sq[some], eps)
+                else:
                     part += ~rough.near(at, sq, eps)
             out[rows] = part
         return out
