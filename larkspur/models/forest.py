@@ -44,7 +44,7 @@ def levels(a: np.ndarray, b: np.ndarray, epss: np.ndarray) -> np.ndarray:
     d = _distances(a, b)
     out, close = np.zeros(d.shape, np.int8), np.zeros(d.shape, bool)
     for eps in epss:
-        out += d > eps
+        out += ~(d <= eps)  # no distance, as of a null, is beyond all
         close |= np.abs(d - eps) <= 1e-9 * eps
     i, j = np.nonzero(close)
     for at in range(0, len(i), 1 << 16):

@@ -232,3 +232,10 @@ def test_dbscan_meets_all_rows_once(spark, monkeypatch):
         assert [got[i] for i in range(len(x))] == list(brute_dbscan(x, eps, m))
         (all_rows, half), (forest, _), _ = sent[-3:]
         assert (all_rows, half) == (450, True) and 0 < forest < 250
+
+
+def test_dbscan_leaves_nulls_apart(spark):
+    """A row without a value is near to none, itself included."""
+    rows = spark.createDataFrame([(i, None if i in (3, 8) else float(i)) for i in range(12)], "id long, x double")
+    got = {r["id"]: r["cluster"] for r in cluster.dbscan(rows, "id", ["x"], 1.0, 2).collect()}
+    assert got[3] == got[8] == -1 and all(got[i] >= 0 for i in (4, 5, 6, 9, 10, 11))
